@@ -110,3 +110,24 @@ def oov_report(df: DataFrame, col: str, tokenizer: Tokenizer | None = None) -> D
 
 def base_size() -> int:
     return BASE_SIZE
+
+
+def _encode_by_join(self: Tokenizer, df: DataFrame, col: str = "text",
+                    out: str = "encoded", on_oov: str = "fail") -> DataFrame:
+    """J1 as a join: explode tokens with positions, equi-join the vocabulary
+    (broadcast; its size is the tokenizer's), reassemble per document by
+    position.  One group per document holds exactly that document's tokens."""
+    spark = df.sparkSession
+    tok = self.tokenize(df.select("doc_id", col), col, "_tokens")
+    ex = tok.select("doc_id", F.posexplode("_tokens").alias("k", "token"))
+    vocab = F.broadcast(self.vocab_df(spark))
+    joined = ex.join(vocab, "token", "left")
+    if on_oov == "fail":
+        joined = joined.withColumn("id", F.coalesce(F.col("id"), A.raise_oov("token").cast("int")))
+    per_doc = joined.groupBy("doc_id").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("k", "id"))), lambda s: s["id"]).alias(out))
+    res = df.join(per_doc, "doc_id", "left")
+    return res.withColumn(out, F.coalesce(F.col(out), F.array().cast("array<int>")))
+
+
+Tokenizer.encode_by_join = _encode_by_join

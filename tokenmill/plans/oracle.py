@@ -56,3 +56,76 @@ def ids_str(lst: str) -> str:
 def frame(ids: str, n: int) -> str:
     return (f"list_concat([1], {ids}, [2], "
             f"list_transform(range({n} - len({ids}) - 1), lambda x: 0))")
+
+
+# --- BPE ----------------------------------------------------------------------
+_ESC_CLASS = r"([#$&()*+\-.?\[\]^{|}~])"
+
+
+def esc(expr: str) -> str:
+    """Q4 escape rule: one backslash before each regex special character."""
+    return f"regexp_replace({expr}, {q(_ESC_CLASS)}, {q(chr(92) * 2 + chr(92) + '1')}, 'g')"
+
+
+def bpe_words(text_sql: str) -> str:
+    """A1 over ``text_sql`` (doc_id, text): word, freq, first (struct d, p)."""
+    return (f"select word, count(*) as freq, min({{'d': doc_id, 'p': pos}}) as first from "
+            f"(select doc_id, unnest(ws) as word, unnest(range(len(ws))) as pos from "
+            f"(select doc_id, string_split_regex(text, {q(WS_RUN)}) as ws from ({text_sql}))) "
+            f"where word <> '' group by word")
+
+
+def _pairs(w: str) -> str:
+    return (f"select s[i] as l, s[i + 1] as r, freq, "
+            f"{{'d': first.d, 'p': first.p, 'i': i}} as f from "
+            f"(select s, freq, first, unnest(range(1, len(s))) as i from "
+            f"(select string_split(sym, ' ') as s, freq, first from {w}))")
+
+
+def bpe_ctes(text_sql: str, n_merges: int) -> list[str]:
+    """Unrolled rounds: w_k (working words), b_k (winning pair of round k)."""
+    ctes = [f"words as ({bpe_words(text_sql)})",
+            "w0 as (select array_to_string(regexp_extract_all(word, '(?s).'), ' ') as sym, freq, first "
+            "from words where length(word) > 1)"]
+    for k in range(n_merges):
+        ctes.append(f"b{k} as (select l, r, sum(freq) as c, min(f) as f from ({_pairs(f'w{k}')}) "
+                    f"group by l, r order by c desc, f limit 1)")
+        if k + 1 < n_merges:
+            rep = f"replace(w.sym, b.l || ' ' || b.r, {esc('b.l || b.r')})"
+            ctes.append(f"w{k + 1} as (select sym, freq, first from "
+                        f"(select {rep} as sym, w.freq, w.first from w{k} w, b{k} b) "
+                        f"where contains(sym, ' '))")
+    ctes.append("merges as (" + " union all ".join(
+        f"select {k} as rank, l, r, c from b{k}" for k in range(n_merges)) + ")")
+    return ctes
+
+
+def bpe_merges(text_sql: str, n_merges: int) -> str:
+    return ("with " + ", ".join(bpe_ctes(text_sql, n_merges)) +
+            " select cast(rank as bigint) as rank, l, r, l || r as token, cast(c as bigint) as c, "
+            "cast(98 + rank as bigint) as id from merges")
+
+
+def bpe_encode_two_char(fit_sql: str, n_merges: int, text_sql: str) -> str:
+    """Encode with merges that are all two single characters (checked in SQL).
+
+    Then the lowest-id rule equals anchored replacement in id order on
+    characters wrapped in chr(1) markers.  Emits doc_id, n_tokens, encoded.
+    """
+    X = "chr(1)"
+    s = f"{X} || array_to_string({chars('t.text')}, {X} || {X}) || {X}"
+    for k in range(n_merges):
+        s = (f"replace({s}, (select {X} || l || {X} || {X} || r || {X} from merges where rank = {k} "
+             f"and length(l) = 1 and length(r) = 1), (select {X} || l || r || {X} from merges "
+             f"where rank = {k}))")
+    body = ("with " + ", ".join(bpe_ctes(fit_sql, n_merges)) +
+            f", enc as (select t.doc_id, case when t.text = '' then [] else "
+            f"string_split(substr({s}, 2, length({s}) - 2), {X} || {X}) end as toks from ({text_sql}) t), "
+            f"ids as (select e.doc_id, k, coalesce((select max(98 + rank) from merges m "
+            f"where m.l || m.r = tok), {char_id('tok')}) as id "
+            f"from (select doc_id, unnest(toks) as tok, unnest(range(len(toks))) as k from enc) e) "
+            f"select t.doc_id, cast(coalesce(n, 0) as bigint) as n_tokens, coalesce(encoded, '') as encoded "
+            f"from ({text_sql}) t left join (select doc_id, count(*) as n, "
+            f"string_agg(cast(id as varchar), ' ' order by k) as encoded from ids group by doc_id) a "
+            f"on a.doc_id = t.doc_id")
+    return body

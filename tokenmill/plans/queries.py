@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tokenmill.functions import arrays as A
 from tokenmill.functions import text as TX
 from tokenmill.operators import sequence as S
+from tokenmill.operators import bpe as B
 from tokenmill.operators.tokenizer import CharacterTokenizer, oov_report
 from tokenmill.plans import oracle as O
 from tokenmill.sources.tables import documents
@@ -116,6 +117,78 @@ def q_oov_report(spark, sf):
     return oov_report(documents(spark, sf), "text")
 
 
+# --- A/H: BPE -----------------------------------------------------------------
+FIT_MERGES = 32      # bpe_merges
+ENCODE_MERGES = 8    # tokenizers used by the encode / lookup queries
+
+
+def _fitted(spark, sf, n=ENCODE_MERGES) -> B.BPETokenizer:
+    return B.BPETokenizer(n).fit(documents(spark, sf), "text")
+
+
+def q_word_freq(spark, sf):
+    w = B.word_table(documents(spark, sf))
+    return w.select("word", F.col("freq").cast("long").alias("freq"),
+                    B.first_doc(F.col("seen")).alias("first_doc"))
+
+
+def q_pair_stats(spark, sf):
+    st = B.pair_stats(B.word_table(documents(spark, sf)))
+    return st.select("l", "r", F.col("c").cast("long").alias("c"))
+
+
+def q_top_pair(spark, sf):
+    words = B.word_table(documents(spark, sf))
+    stats = B.pair_stats(words)
+    best = B.best_pair(words, stats)
+    return stats.where((F.col("l") == best["l"]) & (F.col("r") == best["r"])).select(
+        "l", "r", F.col("c").cast("long").alias("c"))
+
+
+def q_merge_once(spark, sf):
+    words = B.word_table(documents(spark, sf))
+    best = B.best_pair(words, B.pair_stats(words))
+    return words.select("word", B.merge_pair(F.col("sym"), best["l"], best["r"]).alias("sym"))
+
+
+def q_bpe_merges(spark, sf):
+    tok = B.BPETokenizer(FIT_MERGES).fit(documents(spark, sf), "text")
+    m = tok.merges_df(spark)
+    return m.select(F.col("rank").cast("long"), "l", "r", F.concat("l", "r").alias("token"),
+                    F.col("c").cast("long"), F.col("id").cast("long"))
+
+
+def q_vocab_size(spark, sf):
+    tok = _fitted(spark, sf)
+    return spark.range(1).select(F.lit(len(tok)).cast("long").alias("vocab_size"))
+
+
+def q_bpe_encode(spark, sf):
+    tok = _fitted(spark, sf)
+    e = tok.encode(_clean_docs(spark, sf, "collapse"))
+    return e.select("doc_id", F.size("encoded").cast("long").alias("n_tokens"),
+                    A.ids_str(F.col("encoded")).alias("encoded"))
+
+
+def q_bpe_encode_distinct(spark, sf):
+    tok = _fitted(spark, sf)
+    e = tok.encode(_clean_docs(spark, sf, "collapse"), strategy="distinct")
+    return e.select("doc_id", F.size("encoded").cast("long").alias("n_tokens"),
+                    A.ids_str(F.col("encoded")).alias("encoded"))
+
+
+def q_token_id_join(spark, sf):
+    tok = _fitted(spark, sf)
+    e = tok.encode_by_join(_clean_docs(spark, sf, "collapse"), "text", "encoded")
+    return e.select("doc_id", F.size("encoded").cast("long").alias("n_tokens"),
+                    A.ids_str(F.col("encoded")).alias("encoded"))
+
+
+def q_vocab_pair_hits(spark, sf):
+    tok = _fitted(spark, sf)
+    return B.vocab_pair_hits(_clean_docs(spark, sf, "collapse"), "text", tok)
+
+
 QUERIES = {
     "transliterate": q_transliterate,
     "strip_newlines": q_strip_newlines,
@@ -133,6 +206,16 @@ QUERIES = {
     "context_crop": q_context_crop,
     "prefix_split": q_prefix_split,
     "oov_report": q_oov_report,
+    "word_freq": q_word_freq,
+    "pair_stats": q_pair_stats,
+    "top_pair": q_top_pair,
+    "merge_once": q_merge_once,
+    "bpe_merges": q_bpe_merges,
+    "vocab_size": q_vocab_size,
+    "bpe_encode": q_bpe_encode,
+    "bpe_encode_distinct": q_bpe_encode_distinct,
+    "token_id_join": q_token_id_join,
+    "vocab_pair_hits": q_vocab_pair_hits,
 }
 
 # --- oracle SQL -------------------------------------------------------------
@@ -174,3 +257,32 @@ ORACLE = {
                    f"from (select doc_id, unnest({O.chars('text')}) as c from documents) "
                    f"where c not in ({_BASE_CHARS_SQL}) group by c"),
 }
+
+_DOCS = "select doc_id, text from documents"
+_COLLAPSE = f"select doc_id, {O.clean_collapse('text')} as text from documents"
+_W0 = O.bpe_ctes(_DOCS, 1)
+_ENCODE_SQL = O.bpe_encode_two_char(_DOCS, ENCODE_MERGES, _COLLAPSE)
+ORACLE.update({
+    "word_freq": (f"select word, cast(freq as bigint) as freq, cast(first.d as bigint) as first_doc "
+                  f"from ({O.bpe_words(_DOCS)})"),
+    "pair_stats": f"with {_W0[0]}, {_W0[1]} select l, r, cast(sum(freq) as bigint) as c "
+                  f"from ({O._pairs('w0')}) group by l, r",
+    "top_pair": f"with {', '.join(_W0[:3])} select l, r, cast(c as bigint) as c from b0",
+    "merge_once": (f"with {', '.join(_W0[:3])} select w.word, replace("
+                   f"array_to_string(regexp_extract_all(w.word, '(?s).'), ' '), b.l || ' ' || b.r, "
+                   f"{O.esc('b.l || b.r')}) as sym from words w, b0 b"),
+    "bpe_merges": O.bpe_merges(_DOCS, FIT_MERGES),
+    "vocab_size": (f"with {', '.join(O.bpe_ctes(_DOCS, ENCODE_MERGES))} select cast(count(*) as bigint) "
+                   f"as vocab_size from (select token from (values ('<PAD>'), ('<SOS>'), ('<EOS>')) v(token) "
+                   f"union select chr(c::int) from range(32, 127) t(c) where c <> 92 "
+                   f"union select chr(10) union select l || r from merges)"),
+    "bpe_encode": _ENCODE_SQL,
+    "bpe_encode_distinct": _ENCODE_SQL,
+    "token_id_join": _ENCODE_SQL,
+    "vocab_pair_hits": (f"with {', '.join(O.bpe_ctes(_DOCS, ENCODE_MERGES))}, "
+                        f"vocab as (select l || r as pair from merges union select '<PAD>' "
+                        f"union select '<SOS>' union select '<EOS>') "
+                        f"select pair, count(*) as occurrences from (select cs[i] || cs[i + 1] as pair from "
+                        f"(select cs, unnest(range(1, len(cs))) as i from (select {O.chars('text')} as cs "
+                        f"from ({_COLLAPSE})))) where pair in (select pair from vocab) group by pair"),
+})

@@ -61,7 +61,36 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Checkpoint folder + code shipping; called by every registered query."""
+    ensure_checkpoint_dir(spark)
+    ship_code(spark)
+    return spark
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss), never a local one."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Make ``tokenmill`` importable in local Python workers.
+
+    On a cluster the package is shipped with ``--py-files``; for local
+    masters whose workers may start outside the repo, add a zip once.
+    """
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED or not sc.master.startswith("local"):
+        return
+    import shutil
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="tokenmill-code-")
+    zpath = shutil.make_archive(os.path.join(out, "tokenmill"), "zip",
+                                os.path.dirname(pkg), "tokenmill")
+    sc.addPyFile(zpath)
+    _SHIPPED.add(key)
