@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tokenmill.functions.text import chars
-from tokenmill.functions.vocab import EOS_ID, PAD_ID, SOS_ID, char_id
+from tokenmill.functions.vocab import EOS_ID, PAD_ID, SOS_ID, char_id_lookup
 
 
 def raise_oov(what: str) -> Column:
@@ -15,12 +15,11 @@ def raise_oov(what: str) -> Column:
 
 def char_encode(text: Column, on_oov: str = "fail") -> Column:
     """One id per character.  ``on_oov``: 'fail' raises, 'null' keeps NULL."""
-    def one(c: Column) -> Column:
-        cid = char_id(c)
-        if on_oov == "fail":
-            return F.coalesce(cid, raise_oov("character").cast("int"))
-        return cid
-    return F.transform(chars(text), one)
+    ids = F.transform(chars(text), char_id_lookup)
+    if on_oov == "fail":
+        return F.when(F.exists(ids, lambda x: x.isNull()),
+                      raise_oov("character").cast("array<int>")).otherwise(ids)
+    return ids
 
 
 def frame(encoded: Column, context_length: int, sos: int = SOS_ID,

@@ -65,9 +65,13 @@ def transliterate(col: Column, unknown: str = "drop") -> Column:
     All-ASCII rows (the common case) skip the work through one ``rlike``.
     """
     one, many = transliteration_table()
-    out = col
+    chain = col
     for ch, rep in sorted(many.items()):
-        out = F.replace(out, F.lit(ch), F.lit(rep))
+        chain = F.replace(chain, F.lit(ch), F.lit(rep))
+    # the one-to-many chain runs only on rows holding one of its characters
+    many_class = "[" + "".join(sorted(many)).replace("\\", "\\\\").replace("]", "\\]") \
+        .replace("[", "\\[").replace("^", "\\^").replace("-", "\\-") + "]"
+    out = F.when(col.rlike(many_class), chain).otherwise(col)
     src = "".join(sorted(one))
     out = F.translate(out, src, "".join(one[c] for c in sorted(one)))
     if unknown == "drop":

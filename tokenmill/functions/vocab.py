@@ -39,6 +39,20 @@ def char_id(c: Column) -> Column:
             .when((cp >= 93) & (cp <= 126) & (F.length(c) == 1), cp - 30))
 
 
+def ascii_id_table() -> list[int | None]:
+    """Id of each ASCII code point 0..127 (None when out of vocabulary)."""
+    stoi = base_stoi()
+    return [stoi.get(chr(c)) for c in range(128)]
+
+
+def char_id_lookup(c: Column) -> Column:
+    """Same as :func:`char_id` through a 128-entry constant array: one array
+    access per character, which matters inside ``transform`` lambdas (they are
+    evaluated without code generation).  Non-ASCII gives NULL."""
+    lut = F.array(*[F.lit(v) for v in ascii_id_table()]).cast("array<int>")
+    return F.try_element_at(lut, F.ascii(c) + 1)
+
+
 def char_of_id(i: Column) -> Column:
     """Inverse of :func:`char_id` for base character ids 3..97 (NULL otherwise)."""
     return (F.when(i == 97, F.lit("\n"))

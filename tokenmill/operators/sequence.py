@@ -11,14 +11,29 @@ from pyspark.sql import functions as F
 from tokenmill.functions import arrays as A
 
 
+def filter_computed(df: DataFrame, cond) -> DataFrame:
+    """Filter on computed columns without recomputing them.
+
+    Catalyst pushes a filter through a deterministic projection by inlining
+    the aliased expressions, so an expensive column (cleaning, encoding) would
+    be evaluated once in the filter and again in the projection -- and below
+    any exchange.  A projection holding a non-deterministic column (here the
+    cheap ``spark_partition_id()``) is not pushed through, so each row's
+    columns are computed once and the filter runs on the result.
+    """
+    # the condition reads the barrier, so column pruning cannot drop it first
+    return (df.withColumn("_barrier", F.spark_partition_id())
+            .where(cond & (F.col("_barrier") >= 0)).drop("_barrier"))
+
+
 def length_filter(df: DataFrame, context_length: int, col: str = "encoded") -> DataFrame:
     """Keep sequences strictly shorter than ``context_length`` (before specials)."""
-    return df.where(F.size(col) < context_length)
+    return filter_computed(df, F.size(col) < context_length)
 
 
 def framed_filter(df: DataFrame, context_length: int, col: str = "encoded") -> DataFrame:
     """Keep pre-framed sequences of exactly ``context_length + 1`` ids."""
-    return df.where(F.size(col) == context_length + 1)
+    return filter_computed(df, F.size(col) == context_length + 1)
 
 
 def frame_sequences(df: DataFrame, context_length: int, col: str = "encoded") -> DataFrame:

@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 from tokenmill.functions import arrays as A
 from tokenmill.functions import text as TX
 from tokenmill.operators import sequence as S
+from tokenmill.operators import batching as W
 from tokenmill.operators import bpe as B
+from tokenmill.operators import crawl as C
+from tokenmill.sources import pages as PG
 from tokenmill.operators.tokenizer import CharacterTokenizer, oov_report
 from tokenmill.plans import oracle as O
 from tokenmill.sources.tables import documents
@@ -189,6 +192,96 @@ def q_vocab_pair_hits(spark, sf):
     return B.vocab_pair_hits(_clean_docs(spark, sf, "collapse"), "text", tok)
 
 
+# --- W: order, split, batches -------------------------------------------------
+TRAIN = W.TrainArgs()
+
+
+def _split_corpus(spark, sf):
+    return W.train_test_split(_framed(spark, sf), TRAIN.train_test_split_ratio)
+
+
+def q_train_test_split(spark, sf):
+    return _split_corpus(spark, sf).select("doc_id", F.col("ord").cast("long"), "split")
+
+
+def q_stream_split(spark, sf):
+    s = W.stream_split(_char_encoded(spark, sf), 0.9)
+    return s.select("doc_id", F.col("offset").cast("long"),
+                    F.size("train").cast("long").alias("n_train"),
+                    F.size("test").cast("long").alias("n_test"))
+
+
+def _batches(spark, sf):
+    return W.shuffle_batches(_split_corpus(spark, sf).drop("ord"), TRAIN)
+
+
+def q_shuffle_batches(spark, sf):
+    b = _batches(spark, sf)
+    return b.select("doc_id", "split", F.col("epoch").cast("long"), F.col("ord").cast("long"),
+                    F.col("batch_id").cast("long"))
+
+
+def q_batch_plan(spark, sf):
+    return W.batch_plan(_batches(spark, sf), TRAIN)
+
+
+# --- S4 / C: crawl over the pages table ----------------------------------------
+START_PAGE = 0
+SAMPLE_SIZE = 100      # upstream default sample size
+N_PAGES = 10_000       # upstream crawl size
+SEED = "0"
+
+
+def _pages(spark, sf):
+    return PG.read_pages(spark, sf)[0]
+
+
+def q_page_extract(spark, sf):
+    p = _pages(spark, sf)
+    return p.select("page_id", "title", "summary", F.size("links").cast("long").alias("n_links"),
+                    "title_key")
+
+
+def q_link_edges(spark, sf):
+    return C.link_edges(_pages(spark, sf))
+
+
+def q_crawl_depth(spark, sf):
+    p = _pages(spark, sf)
+    start = p.where(F.col("page_id") == START_PAGE).select("page_id")
+    return C.crawl_depth(C.link_edges(p), start)
+
+
+def q_dedup_title(spark, sf):
+    p = _pages(spark, sf).select("page_id", "title", "summary", F.col("page_id").alias("ord"))
+    d = C.dedup_title(p, "ord")
+    return d.select("title", "page_id", "summary", F.col("first_ord").cast("long").alias("first_page"))
+
+
+def _terms(spark, sf):
+    return C.link_terms(_pages(spark, sf)).select("term")
+
+
+def q_frontier_union(spark, sf):
+    keys = _pages(spark, sf).select(F.col("title_key").alias("term"))
+    return C.frontier_union(_terms(spark, sf), keys)
+
+
+def q_frontier_except(spark, sf):
+    keys = _pages(spark, sf).select(F.col("title_key").alias("term"))
+    return C.frontier_except(_terms(spark, sf).distinct(), keys, ["term"])
+
+
+def q_frontier_sample(spark, sf):
+    return C.sample_frontier(_terms(spark, sf).distinct(), "term", SAMPLE_SIZE, SEED, 0)
+
+
+def q_crawl_sample(spark, sf):
+    p = _pages(spark, sf)
+    _, log = C.crawl(p, C.link_edges(p), START_PAGE, N_PAGES, SAMPLE_SIZE, SEED)
+    return log.select("round", "ord", "page_id", "title")
+
+
 QUERIES = {
     "transliterate": q_transliterate,
     "strip_newlines": q_strip_newlines,
@@ -216,6 +309,18 @@ QUERIES = {
     "bpe_encode_distinct": q_bpe_encode_distinct,
     "token_id_join": q_token_id_join,
     "vocab_pair_hits": q_vocab_pair_hits,
+    "train_test_split": q_train_test_split,
+    "stream_split": q_stream_split,
+    "shuffle_batches": q_shuffle_batches,
+    "batch_plan": q_batch_plan,
+    "page_extract": q_page_extract,
+    "link_edges": q_link_edges,
+    "crawl_depth": q_crawl_depth,
+    "dedup_title": q_dedup_title,
+    "frontier_union": q_frontier_union,
+    "frontier_except": q_frontier_except,
+    "frontier_sample": q_frontier_sample,
+    "crawl_sample": q_crawl_sample,
 }
 
 # --- oracle SQL -------------------------------------------------------------
@@ -286,3 +391,64 @@ ORACLE.update({
                         f"(select cs, unnest(range(1, len(cs))) as i from (select {O.chars('text')} as cs "
                         f"from ({_COLLAPSE})))) where pair in (select pair from vocab) group by pair"),
 })
+
+_SPLIT = (f"select doc_id, ids, cast(row_number() over (order by doc_id) - 1 as bigint) as ord, "
+          f"case when row_number() over (order by doc_id) - 1 < "
+          f"floor({TRAIN.train_test_split_ratio}::double * count(*) over ()) "
+          f"then 'train' else 'test' end as split from ({_FRAMED})")
+_BATCHES = (f"select doc_id, split, epoch, cast(row_number() over (partition by split, epoch order by "
+            f"md5(concat_ws(':', '{TRAIN.seed}', epoch::varchar, doc_id::varchar)), doc_id) - 1 as bigint) as ord "
+            f"from ({_SPLIT}) s, (select unnest(range(1, {TRAIN.n_epochs + 1})) as epoch) e")
+_N_TRAIN = f"(select count(*) from ({_SPLIT}) where split = 'train')"
+ORACLE.update({
+    "train_test_split": f"select doc_id, ord, split from ({_SPLIT})",
+    "stream_split": (f"select doc_id, off as offset, least(greatest(cut - off, 0), len(ids)) as n_train, "
+                     f"len(ids) - least(greatest(cut - off, 0), len(ids)) as n_test from "
+                     f"(select doc_id, ids, cast(coalesce(sum(len(ids)) over (order by doc_id rows between "
+                     f"unbounded preceding and 1 preceding), 0) as bigint) as off, "
+                     f"cast(floor(0.9::double * sum(len(ids)) over ()) as bigint) as cut from ({_ENC}))"),
+    "shuffle_batches": (f"select doc_id, split, cast(epoch as bigint) as epoch, ord, "
+                        f"cast(ord // {TRAIN.batch_size} as bigint) as batch_id from ({_BATCHES})"),
+    "batch_plan": (f"select cast(epoch as bigint) as epoch, cast(b as bigint) as batch_id, "
+                   f"cast(count(*) as bigint) as n_examples, "
+                   f"cast(least((b + 1) * {TRAIN.batch_size}, n) as bigint) as examples_seen, "
+                   f"((b + 1) % {TRAIN.n_accumulation_steps} = 0 or b + 1 = ceil(n / {TRAIN.batch_size})) as step, "
+                   f"(b % {TRAIN.log_interval} = 0 or least((b + 1) * {TRAIN.batch_size}, n) = n) as log, "
+                   f"cast(b * {TRAIN.batch_size} + (epoch - 1) * n as bigint) as train_counter "
+                   f"from (select epoch, ord // {TRAIN.batch_size} as b, {_N_TRAIN} as n from ({_BATCHES}) "
+                   f"where split = 'train') group by epoch, b, n"),
+})
+
+
+def _unescape_sql(x: str) -> str:
+    for ent, ch in PG.ENTITIES:
+        x = f"replace({x}, {O.q(ent)}, {O.q(ch)})"
+    return x
+
+
+_RAW_TITLE = f"regexp_extract(html, {O.q(PG.TITLE_RE)}, 1)"
+_PARA = (f"{_unescape_sql(f'regexp_replace(regexp_extract(html, {O.q(PG.FIRST_PARAGRAPH_RE)}, 1), ' + O.q('<[^>]*>') + ', ' + chr(39) * 2 + ', ' + O.q('g') + ')')}")
+_PAGES = (f"select page_id, {O.clean_reference(_unescape_sql(_RAW_TITLE))} as title, "
+          f"{O.clean_reference(_PARA)} as summary, "
+          f"regexp_extract_all(html, {O.q(PG.LINK_RE)}, 1) as links, "
+          f"lower(list_filter(string_split_regex({_RAW_TITLE}, {O.q(O.WS_RUN)}), lambda w: w <> '')[1]) as title_key "
+          f"from pages")
+_PAGES_OK = f"select * from ({_PAGES}) where title is not null and title <> ''"
+_EDGES = (f"select distinct l.src, p.page_id as dst from (select page_id as src, lower(unnest(links)) as term "
+          f"from ({_PAGES_OK})) l join ({_PAGES_OK}) p on p.title_key = l.term")
+_TERMS = f"select lower(unnest(links)) as term from ({_PAGES_OK})"
+ORACLE.update({
+    "page_extract": (f"select page_id, title, summary, cast(len(links) as bigint) as n_links, title_key "
+                     f"from ({_PAGES_OK})"),
+    "link_edges": _EDGES,
+    "crawl_depth": (f"with recursive r(page_id, depth) as (select page_id, 0 from ({_PAGES_OK}) "
+                    f"where page_id = {START_PAGE} union select e.dst, r.depth + 1 from r join ({_EDGES}) e "
+                    f"on e.src = r.page_id where r.depth < (select count(*) from pages)) "
+                    f"select page_id, cast(min(depth) as bigint) as depth from r group by page_id"),
+    "dedup_title": (f"select title, max(page_id) as page_id, arg_max(summary, page_id) as summary, "
+                    f"min(page_id) as first_page from ({_PAGES_OK}) group by title"),
+    "frontier_union": f"select term from ({_TERMS}) union select title_key from ({_PAGES_OK})",
+    "frontier_except": f"select term from ({_TERMS}) except select title_key from ({_PAGES_OK})",
+    "frontier_sample": (f"select term from (select distinct term from ({_TERMS})) "
+                        f"order by md5(concat_ws(':', '{SEED}', '0', term)), term limit {SAMPLE_SIZE}"),
+})

@@ -12,9 +12,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Scan-parallelism guard for CPU-heavy narrow work (cleaning, encoding).
+
+    A file written as one row group is read by one task.  When the scan gives
+    fewer partitions than the cluster's parallelism, hash-partition by
+    ``key`` (deterministic on retry, and reusable by later joins on ``key``);
+    a large, already-split scan is left alone.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target, key)
+    return df
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus: ``doc_id`` is the order key, ``text`` plays ``summary``."""
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
 
 
 CORPUS_SCHEMA = T.StructType([
