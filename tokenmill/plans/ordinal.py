@@ -40,25 +40,31 @@ def _bucket(k: Column, bounds: list[float], lo: int, hi: int) -> Column:
 def with_ordinal(df: DataFrame, bucket_key: Column, order_cols: list[Column],
                  group_cols: list[str] | None = None, out: str = "ord",
                  value: Column | None = None, cum_out: str | None = None,
-                 n_blocks: int | None = None) -> tuple[DataFrame, dict]:
+                 n_blocks: int | None = None, materialize_input: bool = True) -> tuple[DataFrame, dict]:
     """Add ``out`` = 0-based position of the row within its group by
     ``order_cols`` (which must be a total order), and optionally ``cum_out`` =
     sum of ``value`` over all earlier rows of the group.
 
     Returns (DataFrame, totals) where totals maps group tuples to
-    (row count, value sum).
+    (row count, value sum).  The input is read three times (quantiles, block
+    counts, numbering); with ``materialize_input`` it is computed once and
+    written as a Parquet table in the checkpoint folder, so the first two
+    passes scan only the key columns.
     """
+    from tokenmill.session import materialize
     spark = df.sparkSession
     groups = list(group_cols or [])
     blocks = n_blocks or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     d = df.withColumn("_bk", bucket_key.cast("double"))
+    val = value if value is not None else F.lit(0)
+    d = d.withColumn("_val", val.cast("long"))
+    if materialize_input:
+        d = materialize(d, "ordinal-input")
     bounds: list[float] = []
     if blocks > 1:
         qs = d.approxQuantile("_bk", [i / blocks for i in range(1, blocks)], 1.0 / (4 * blocks))
         bounds = sorted(set(q for q in qs if q is not None))
     d = d.withColumn("_blk", _bucket(F.col("_bk"), bounds, 0, len(bounds)))
-    val = value if value is not None else F.lit(0)
-    d = d.withColumn("_val", val.cast("long"))
     per_block = (d.groupBy(*groups, "_blk")
                  .agg(F.count(F.lit(1)).alias("n"), F.sum("_val").alias("v"))
                  .collect())

@@ -17,6 +17,7 @@ from tokenmill.operators import sequence as S
 from tokenmill.operators import batching as W
 from tokenmill.operators import bpe as B
 from tokenmill.operators import crawl as C
+from tokenmill.operators import ngram as M
 from tokenmill.sources import pages as PG
 from tokenmill.operators.tokenizer import CharacterTokenizer, oov_report
 from tokenmill.plans import oracle as O
@@ -282,6 +283,96 @@ def q_crawl_sample(spark, sf):
     return log.select("round", "ord", "page_id", "title")
 
 
+# --- M: next-token statistics ----------------------------------------------------
+MAX_NEW_TOKENS = 100   # upstream generation default
+VOCAB = 98             # character tokenizer size (smoothing denominator)
+
+
+def _train_framed(spark, sf):
+    sp = _split_corpus(spark, sf)
+    return sp.where(F.col("split") == "train").drop("ord", "split")
+
+
+def q_transitions(spark, sf):
+    t = M.transitions(_train_framed(spark, sf))
+    return t.select("ctx", F.col("next").cast("long"), F.col("c").cast("long"))
+
+
+def q_next_token_probs(spark, sf):
+    pr = M.next_token_probs(M.transitions(_train_framed(spark, sf)))
+    return pr.select("ctx", F.col("next").cast("long"), F.round("p", 6).alias("p"))
+
+
+def _prompts(spark, sf):
+    from tokenmill.sources.tables import spread, table
+    b = spread(table(spark, sf, "benchmark"), "item_id")
+    enc = CharacterTokenizer().encode(b.select(F.col("item_id").alias("rid"),
+                                               TX.clean_text(F.col("text")).alias("text")), "text", "ids")
+    return enc.select("rid", "ids")
+
+
+def _generate(spark, sf, mode):
+    model = M.fit(_train_framed(spark, sf))
+    g = M.generate(_prompts(spark, sf), model, max_new_tokens=MAX_NEW_TOKENS, mode=mode, seed=SEED)
+    return g.select(F.col("rid").cast("long").alias("item_id"), F.col("n_new").cast("long"),
+                    A.ids_str(F.col("ids")).alias("completion"))
+
+
+def q_generate(spark, sf):
+    return _generate(spark, sf, "greedy")
+
+
+def q_generate_sampled(spark, sf):
+    return _generate(spark, sf, "sample")
+
+
+def _losses(spark, sf):
+    framed = _framed(spark, sf)
+    trans = M.transitions(_train_framed(spark, sf))
+    seq = M.sequence_losses(framed, trans, VOCAB)
+    ep1 = _batches(spark, sf).where(F.col("epoch") == 1).select("doc_id", "split", "batch_id")
+    return M.loss_report(seq, ep1, TRAIN.n_accumulation_steps)
+
+
+def q_lm_eval(spark, sf):
+    _, summary = _losses(spark, sf)
+    return summary.select("split", F.col("n_examples").cast("long"), F.col("n_batches").cast("long"),
+                          F.round("reference_loss", 6).alias("reference_loss"),
+                          F.round("token_mean_loss", 6).alias("token_mean_loss"))
+
+
+def q_batch_losses(spark, sf):
+    per_batch, _ = _losses(spark, sf)
+    return per_batch.select("split", F.col("batch_id").cast("long"), F.col("n_examples").cast("long"),
+                            F.round("batch_mean", 6).alias("batch_mean"),
+                            F.round("scaled_loss", 6).alias("scaled_loss"))
+
+
+# --- H3 / H4: composed jobs ------------------------------------------------------
+def q_text_to_tokens(spark, sf):
+    """H3: transliterate -> character encode -> split each sequence at 0.9."""
+    from tokenmill.plans.compose import text_to_tokens
+    out = text_to_tokens(documents(spark, sf), CharacterTokenizer(), 0.9)
+    return out.select("doc_id", F.size("train").cast("long").alias("n_train"),
+                      F.size("test").cast("long").alias("n_test"))
+
+
+def _prepared_bpe(spark, sf):
+    tok = _fitted(spark, sf)
+    return S.prepare_corpus(_clean_docs(spark, sf), tok, CONTEXT_LENGTH)
+
+
+def q_prepare_corpus(spark, sf):
+    p = _prepared_bpe(spark, sf)
+    return p.select("doc_id", A.ids_str(F.col("encoded")).alias("encoded"))
+
+
+def q_prepare_summary(spark, sf):
+    from tokenmill.plans.compose import prepare_summary
+    tok = _fitted(spark, sf)
+    return prepare_summary(_clean_docs(spark, sf), tok, CONTEXT_LENGTH, TRAIN.train_test_split_ratio)
+
+
 QUERIES = {
     "transliterate": q_transliterate,
     "strip_newlines": q_strip_newlines,
@@ -321,6 +412,15 @@ QUERIES = {
     "frontier_except": q_frontier_except,
     "frontier_sample": q_frontier_sample,
     "crawl_sample": q_crawl_sample,
+    "transitions": q_transitions,
+    "next_token_probs": q_next_token_probs,
+    "generate": q_generate,
+    "generate_sampled": q_generate_sampled,
+    "lm_eval": q_lm_eval,
+    "batch_losses": q_batch_losses,
+    "text_to_tokens": q_text_to_tokens,
+    "prepare_corpus": q_prepare_corpus,
+    "prepare_summary": q_prepare_summary,
 }
 
 # --- oracle SQL -------------------------------------------------------------
@@ -452,3 +552,56 @@ ORACLE.update({
     "frontier_sample": (f"select term from (select distinct term from ({_TERMS})) "
                         f"order by md5(concat_ws(':', '{SEED}', '0', term)), term limit {SAMPLE_SIZE}"),
 })
+
+_TRAIN_IDS = f"select doc_id, ids from ({_SPLIT}) where split = 'train'"
+_TRANS = (f"select cast(ids[i] as varchar) as ctx, ids[i + 1] as next, count(*) as c from "
+          f"(select ids, unnest(range(1, len(ids))) as i from ({_TRAIN_IDS})) group by all")
+_GREEDY = (f"with trans as ({_TRANS}), allc as (select * from trans union all "
+           f"select '' as ctx, next, sum(c) from trans group by next), "
+           f"greedy as (select ctx, first(next order by c desc, next) as next from allc "
+           f"where next not in (0, 1) group by ctx)")
+_PROMPTS = (f"select item_id as rid, case when len(ids) = 0 then [1] else ids end as ids from "
+            f"(select item_id, {O.char_ids(O.clean_reference('text'))} as ids from benchmark)")
+_LOSS = (f"with trans as ({_TRANS}), tot as (select ctx, sum(c) as n_ctx from trans group by ctx), "
+         f"pos as (select doc_id, cast(ids[i] as varchar) as ctx, ids[i + 1] as next from "
+         f"(select doc_id, ids, unnest(range(1, len(ids))) as i from ({_FRAMED}))), "
+         f"seq as (select doc_id, -sum(ln((coalesce(c, 0) + 1.0) / (coalesce(n_ctx, 0) + {VOCAB}.0))) as nll, "
+         f"count(*) as n_pos from pos left join trans using (ctx, next) left join tot using (ctx) group by doc_id), "
+         f"b as (select doc_id, split, ord // {TRAIN.batch_size} as batch_id from ({_BATCHES}) where epoch = 1), "
+         f"pb as (select split, batch_id, count(*) as n_examples, sum(nll) as nll, sum(n_pos) as n_pos, "
+         f"sum(nll) / sum(n_pos) as batch_mean from b join seq using (doc_id) group by split, batch_id)")
+ORACLE.update({
+    "transitions": f"select ctx, cast(next as bigint) as next, cast(c as bigint) as c from ({_TRANS})",
+    "next_token_probs": (f"select ctx, cast(next as bigint) as next, round(c / sum(c) over (partition by ctx), 6) as p "
+                         f"from ({_TRANS}) where next not in (0, 1)"),
+    "generate": (f"{_GREEDY}, fb as (select next from greedy where ctx = ''), "
+                 f"gen as (select * from (with recursive g(rid, ids, n_new) as (select rid, ids, 0 from ({_PROMPTS}) "
+                 f"union all select rid, list_append(ids, nx), n_new + 1 from (select g.rid, g.ids, g.n_new, "
+                 f"coalesce(gr.next, (select next from fb)) as nx from g left join greedy gr "
+                 f"on gr.ctx = cast(g.ids[len(g.ids)] as varchar)) where nx <> 2 and n_new < {MAX_NEW_TOKENS}) "
+                 f"select * from g)) "
+                 f"select cast(rid as bigint) as item_id, cast(max(n_new) as bigint) as n_new, "
+                 f"{O.ids_str('arg_max(ids, n_new)')} as completion from gen group by rid"),
+    "lm_eval": (f"{_LOSS} select split, cast(sum(n_examples) as bigint) as n_examples, "
+                f"cast(count(*) as bigint) as n_batches, round(sum(batch_mean) / sum(n_examples), 6) as reference_loss, "
+                f"round(sum(nll) / sum(n_pos), 6) as token_mean_loss from pb group by split"),
+    "batch_losses": (f"{_LOSS} select split, cast(batch_id as bigint) as batch_id, cast(n_examples as bigint) "
+                     f"as n_examples, round(batch_mean, 6) as batch_mean, "
+                     f"round(batch_mean / {TRAIN.n_accumulation_steps}, 6) as scaled_loss from pb"),
+})
+
+_BPE_CLEAN = O.bpe_encode_two_char(_DOCS, ENCODE_MERGES, _CLEAN)
+_PREP = (f"select doc_id, {O.frame('ids', CONTEXT_LENGTH)} as ids from (select doc_id, "
+         f"case when encoded = '' then []::int[] else list_transform(string_split(encoded, ' '), "
+         f"lambda x: cast(x as int)) end as ids from ({_BPE_CLEAN})) where len(ids) < {CONTEXT_LENGTH}")
+ORACLE.update({
+    "text_to_tokens": (f"select doc_id, cast(floor(0.9::double * len(ids)) as bigint) as n_train, "
+                       f"cast(len(ids) - floor(0.9::double * len(ids)) as bigint) as n_test from "
+                       f"(select doc_id, {O.char_ids(O.translit('text'))} as ids from documents)"),
+    "prepare_corpus": f"select doc_id, {O.ids_str('ids')} as encoded from ({_PREP})",
+    "prepare_summary": (f"select cast((select count(*) from documents) as bigint) as n_in, "
+                        f"cast(count(*) as bigint) as n_kept, "
+                        f"cast(floor({TRAIN.train_test_split_ratio}::double * count(*)) as bigint) as n_train, "
+                        f"cast(count(*) - floor({TRAIN.train_test_split_ratio}::double * count(*)) as bigint) "
+                        f"as n_test from ({_PREP})"),
+})

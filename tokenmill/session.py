@@ -69,9 +69,16 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss), never a local one."""
+    """Reliable checkpoint (survives executor loss), never a local one.
+
+    The data is persisted first: an eager checkpoint runs one job to count
+    and another to write, and without the cache the second recomputes.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    kept = df.persist()
+    out = kept.checkpoint(eager=True)
+    kept.unpersist()
+    return out
 
 
 _SHIPPED: set[int] = set()
@@ -94,3 +101,16 @@ def ship_code(spark: SparkSession) -> None:
                                 os.path.dirname(pkg), "tokenmill")
     sc.addPyFile(zpath)
     _SHIPPED.add(key)
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as Parquet under the checkpoint folder and read it back.
+
+    Cuts lineage like a checkpoint, and later passes that need few columns
+    read only those (columnar, pruned), unlike a row-serialized checkpoint.
+    """
+    import uuid
+    base = ensure_checkpoint_dir(df.sparkSession)
+    path = f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
