@@ -132,6 +132,74 @@ def merge_pair(sym: Column, left: str, right: str, mode: str = "reference") -> C
     return F.replace(sym, F.lit(f" {left}  {right} "), F.lit(f" {left}{right} "))
 
 
+def _pair_rows(words: DataFrame, mode: str, sign: int) -> DataFrame:
+    """Exploded pairs of ``words`` weighted by ``sign * freq``."""
+    sy = _symbols(F.col("sym"), mode)
+    n = F.size(sy) - 1
+    zipped = F.arrays_zip(F.slice(sy, 1, n).alias("l"), F.slice(sy, 2, n).alias("r"))
+    return words.select((F.col("freq") * sign).alias("dc"), "seen",
+                        F.explode(zipped).alias("p")).select(
+        F.col("p.l").alias("l"), F.col("p.r").alias("r"), "dc", "seen")
+
+
+def pair_delta(affected_old: DataFrame, affected_new: DataFrame, mode: str) -> DataFrame:
+    """Change of the pair table when ``affected_old`` words become
+    ``affected_new``: old pairs count negative, new pairs positive.
+    ``s_add`` = first word among the additions; ``removed`` flags pairs that
+    lost occurrences (their stored first-seen may now be too early)."""
+    rows = _pair_rows(affected_old, mode, -1).unionByName(_pair_rows(affected_new, mode, 1))
+    return rows.groupBy("l", "r").agg(
+        F.sum("dc").alias("dc"),
+        F.min(F.when(F.col("dc") > 0, F.col("seen"))).alias("s_add"),
+        F.max(F.when(F.col("dc") < 0, F.lit(True)).otherwise(F.lit(False))).alias("removed"))
+
+
+def apply_delta(pairs: DataFrame, delta: DataFrame) -> DataFrame:
+    """Fold a delta into the pair table (full outer join on the pair; the
+    table is hash-partitioned by pair, so only the delta moves).  Counts stay
+    exact; ``s`` stays a lower bound of the true first-seen key."""
+    j = pairs.join(delta, ["l", "r"], "full_outer")
+    c = F.coalesce(F.col("c"), F.lit(0)) + F.coalesce(F.col("dc"), F.lit(0))
+    s = F.when(F.col("s").isNull(), F.col("s_add")).when(F.col("s_add").isNull(), F.col("s")) \
+        .otherwise(F.least(F.col("s"), F.col("s_add")))
+    return j.select("l", "r", c.alias("c"), s.alias("s")).where(F.col("c") > 0)
+
+
+def exact_first_seen(words: DataFrame, cand: list, mode: str) -> dict:
+    """Exact first-seen key of the candidate pairs (a bounded set: the pairs
+    tied at the top count), via a broadcast semi-join on the exploded pairs."""
+    spark = words.sparkSession
+    cdf = F.broadcast(spark.createDataFrame([(r["l"], r["r"]) for r in cand], "l string, r string"))
+    rows = _pair_rows(words, mode, 1).join(cdf, ["l", "r"], "left_semi")
+    got = rows.groupBy("l", "r").agg(F.min("seen").alias("s")).collect()
+    return {(r["l"], r["r"]): r["s"] for r in got}
+
+
+def best_pair_incremental(words: DataFrame, pairs: DataFrame, mode: str, k: int = 64):
+    """A3 on a pair table whose first-seen keys are lower bounds: the top
+    count decides unless tied; ties get exact keys, then the in-word index."""
+    rows = pairs.orderBy(F.desc("c")).limit(k).collect()
+    if not rows:
+        return None
+    top = rows[0]["c"]
+    tied = [r for r in rows if r["c"] == top]
+    if len(tied) == 1:
+        return tied[0]
+    if len(tied) == len(rows):
+        tied = pairs.where(F.col("c") == F.lit(top)).collect()
+    exact = exact_first_seen(words, tied, mode)
+    s_min = min(exact[(r["l"], r["r"])] for r in tied)
+    firsts = [r for r in tied if exact[(r["l"], r["r"])] == s_min]
+    if len(firsts) == 1:
+        return firsts[0]
+    sym = words.where(F.col("seen") == F.lit(s_min)).select("sym").first()["sym"]
+    symbols = sym.split(" ") if mode == "reference" else sym.strip().split("  ")
+    first_index: dict[tuple[str, str], int] = {}
+    for i in range(len(symbols) - 1):
+        first_index.setdefault((symbols[i], symbols[i + 1]), i)
+    return min(firsts, key=lambda r: first_index[(r["l"], r["r"])])
+
+
 class BPETokenizer(Tokenizer):
     """BPE tokenizer (K2): ``fit`` learns merges, ``encode`` applies them.
 
@@ -141,7 +209,8 @@ class BPETokenizer(Tokenizer):
     """
 
     def __init__(self, num_merges: int, mode: str = "reference",
-                 checkpoint_every: int = 4, reserve_special: bool = False) -> None:
+                 checkpoint_every: int = 4, reserve_special: bool = False,
+                 incremental: bool = True) -> None:
         super().__init__()
         if mode not in ("reference", "canonical"):
             raise ValueError("mode must be 'reference' or 'canonical'")
@@ -149,10 +218,13 @@ class BPETokenizer(Tokenizer):
         self.mode = mode
         self.checkpoint_every = checkpoint_every
         self.reserve_special = reserve_special
+        self.incremental = incremental
         self.merges: list[tuple[int, str, str, int, int]] = []
 
     # -- H1 ------------------------------------------------------------------
     def fit(self, df: DataFrame, col: str = "text") -> "BPETokenizer":
+        if self.incremental:
+            return self._fit_incremental(df, col)
         start = len(self)
         words = word_table(df, col, self.mode).select("sym", "freq", "seen")
         words = words.where(F.length(F.trim("sym")) > 1).persist()
@@ -186,6 +258,61 @@ class BPETokenizer(Tokenizer):
             prev.unpersist()
         return self
 
+    def _register(self, rank: int, start: int, l: str, r: str, c: int) -> None:
+        token = l + r
+        if self.reserve_special and token in ("<PAD>", "<SOS>", "<EOS>"):
+            raise ValueError(f"merge {rank} would spell special token {token}")
+        new_id = start + rank
+        self.stoi[token] = new_id
+        self.itos[new_id] = token
+        self.merges.append((rank, l, r, c, new_id))
+
+    def _fit_incremental(self, df: DataFrame, col: str) -> "BPETokenizer":
+        """H1 with incremental pair counts.
+
+        Round: pick the best pair from the persisted pair table; rewrite the
+        words (narrow); recount pairs only for the words that held the merged
+        pattern and fold that delta into the table.  The corpus-wide explode
+        and aggregation happen once, not once per merge.
+        """
+        start = len(self)
+        space = " " if self.mode == "reference" else "  "
+        words = word_table(df, col, self.mode).select("sym", "freq", "seen")
+        words = words.where(F.col("sym").contains(space)).persist()
+        pairs = pair_stats(words, self.mode).persist()
+        keep: list[DataFrame] = []
+        rank = 0
+        while rank < self.num_merges:
+            best = best_pair_incremental(words, pairs, self.mode)
+            for d in keep:
+                d.unpersist()
+            keep = []
+            if best is None:
+                break
+            l, r, c = best["l"], best["r"], int(best["c"])
+            self._register(rank, start, l, r, c)
+            rank += 1
+            if rank == self.num_merges:
+                break
+            pattern = f"{l} {r}" if self.mode == "reference" else f" {l}  {r} "
+            hit = F.col("sym").contains(pattern)
+            old = words.where(hit)
+            new = old.withColumn("sym", merge_pair(F.col("sym"), l, r, self.mode))
+            delta = pair_delta(old, new, self.mode)
+            nxt_pairs = apply_delta(pairs, delta)
+            nxt_words = (words.withColumn("sym", F.when(hit, merge_pair(F.col("sym"), l, r, self.mode))
+                                          .otherwise(F.col("sym")))
+                         .where(F.col("sym").contains(space)))
+            if self.checkpoint_every and rank % self.checkpoint_every == 0:
+                nxt_words, nxt_pairs = cut_lineage(nxt_words), cut_lineage(nxt_pairs)
+            keep = [words, pairs]
+            words, pairs = nxt_words.persist(), nxt_pairs.persist()
+        words.unpersist()
+        pairs.unpersist()
+        for d in keep:
+            d.unpersist()
+        return self
+
     def fingerprint(self) -> str:
         import hashlib
         h = hashlib.sha1(repr(sorted(self.stoi.items())).encode())
