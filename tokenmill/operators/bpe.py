@@ -84,7 +84,7 @@ def pair_stats(words: DataFrame, mode: str = "reference") -> DataFrame:
     Pairs come from zipping two slices of the symbol array (cheaper than an
     index lambda), and no per-row arithmetic runs before the aggregation.
     """
-    sy = _symbols(F.col("sym"), mode)
+    sy = F.col("syms") if "syms" in words.columns else _symbols(F.col("sym"), mode)
     n = F.size(sy) - 1
     zipped = F.arrays_zip(F.slice(sy, 1, n).alias("l"), F.slice(sy, 2, n).alias("r"))
     p = words.select("freq", "seen", F.explode(zipped).alias("p"))
@@ -209,8 +209,8 @@ class BPETokenizer(Tokenizer):
     """
 
     def __init__(self, num_merges: int, mode: str = "reference",
-                 checkpoint_every: int = 4, reserve_special: bool = False,
-                 incremental: bool = True) -> None:
+                 checkpoint_every: int = 8, reserve_special: bool = False,
+                 incremental: bool | str = "auto") -> None:
         super().__init__()
         if mode not in ("reference", "canonical"):
             raise ValueError("mode must be 'reference' or 'canonical'")
@@ -222,12 +222,32 @@ class BPETokenizer(Tokenizer):
         self.merges: list[tuple[int, str, str, int, int]] = []
 
     # -- H1 ------------------------------------------------------------------
+    # Above this many exploded pair rows a full recount per merge costs more
+    # than recounting only the words that hold the merged pattern.
+    INCREMENTAL_MIN_PAIR_ROWS = 50_000_000
+
     def fit(self, df: DataFrame, col: str = "text") -> "BPETokenizer":
-        if self.incremental:
-            return self._fit_incremental(df, col)
+        """H1.  ``incremental``: True, False or 'auto' (decided from the
+        number of exploded pair rows, counted while the word table is cached)."""
+        use_inc = self.incremental
+        if use_inc == "auto":
+            words = word_table(df, col, self.mode).select("sym", "freq", "seen").persist()
+            n_pairs = words.agg(F.sum(F.size(_symbols(F.col("sym"), self.mode)) - 1)).first()[0] or 0
+            use_inc = n_pairs >= self.INCREMENTAL_MIN_PAIR_ROWS
+            self.strategy_used = "incremental" if use_inc else "recount"
+            out = self._fit_incremental(words, None) if use_inc else self._fit_recount(words, None)
+            words.unpersist()
+            return out
+        self.strategy_used = "incremental" if use_inc else "recount"
+        return self._fit_incremental(df, col) if use_inc else self._fit_recount(df, col)
+
+    def _fit_recount(self, df: DataFrame, col: str | None) -> "BPETokenizer":
+        """H1, one full pair aggregation per merge over the remaining words."""
         start = len(self)
-        words = word_table(df, col, self.mode).select("sym", "freq", "seen")
-        words = words.where(F.length(F.trim("sym")) > 1).persist()
+        words = df if col is None else word_table(df, col, self.mode).select("sym", "freq", "seen")
+        # the symbol array rides along; a round re-splits only the words it touched
+        words = (words.where(F.length(F.trim("sym")) > 1)
+                 .withColumn("syms", _symbols(F.col("sym"), self.mode)).persist())
         prev = None
         rank = 0
         while rank < self.num_merges:
@@ -238,18 +258,19 @@ class BPETokenizer(Tokenizer):
             if best is None:
                 break  # no pair left: early stop
             l, r, c = best["l"], best["r"], int(best["c"])
-            token = l + r
-            if self.reserve_special and token in ("<PAD>", "<SOS>", "<EOS>"):
-                raise ValueError(f"merge {rank} would spell special token {token}")
-            new_id = start + rank
-            self.stoi[token] = new_id
-            self.itos[new_id] = token
-            self.merges.append((rank, l, r, c, new_id))
+            self._register(rank, start, l, r, c)
             rank += 1
             if rank == self.num_merges:
                 break
-            nxt = (words.withColumn("sym", merge_pair(F.col("sym"), l, r, self.mode))
-                   .where(F.col("sym").contains(" " if self.mode == "reference" else "  ")))
+            pattern = f"{l} {r}" if self.mode == "reference" else f" {l}  {r} "
+            hit = F.col("sym").contains(pattern)
+            merged = merge_pair(F.col("sym"), l, r, self.mode)
+            nxt = (words.withColumn("_hit", hit)
+                   .withColumn("sym", F.when(F.col("_hit"), merged).otherwise(F.col("sym")))
+                   .withColumn("syms", F.when(F.col("_hit"), _symbols(F.col("sym"), self.mode))
+                               .otherwise(F.col("syms")))
+                   .drop("_hit")
+                   .where(F.size("syms") > 1))
             if self.checkpoint_every and rank % self.checkpoint_every == 0:
                 nxt = cut_lineage(nxt)
             prev, words = words, nxt.persist()
@@ -277,16 +298,17 @@ class BPETokenizer(Tokenizer):
         """
         start = len(self)
         space = " " if self.mode == "reference" else "  "
-        words = word_table(df, col, self.mode).select("sym", "freq", "seen")
+        words = df if col is None else word_table(df, col, self.mode).select("sym", "freq", "seen")
         words = words.where(F.col("sym").contains(space)).persist()
         pairs = pair_stats(words, self.mode).persist()
-        keep: list[DataFrame] = []
+        keep: list[list[DataFrame]] = []
         rank = 0
         while rank < self.num_merges:
             best = best_pair_incremental(words, pairs, self.mode)
-            for d in keep:
-                d.unpersist()
-            keep = []
+            # a generation is released only once its successor was computed
+            while len(keep) > 1:
+                for d in keep.pop(0):
+                    d.unpersist()
             if best is None:
                 break
             l, r, c = best["l"], best["r"], int(best["c"])
@@ -305,12 +327,13 @@ class BPETokenizer(Tokenizer):
                          .where(F.col("sym").contains(space)))
             if self.checkpoint_every and rank % self.checkpoint_every == 0:
                 nxt_words, nxt_pairs = cut_lineage(nxt_words), cut_lineage(nxt_pairs)
-            keep = [words, pairs]
+            keep.append([words, pairs])
             words, pairs = nxt_words.persist(), nxt_pairs.persist()
         words.unpersist()
         pairs.unpersist()
-        for d in keep:
-            d.unpersist()
+        for gen in keep:
+            for d in gen:
+                d.unpersist()
         return self
 
     def fingerprint(self) -> str:

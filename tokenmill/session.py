@@ -62,9 +62,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Checkpoint folder + code shipping; called by every registered query."""
+    """Checkpoint folder, code shipping and two runtime SQL settings; called
+    by every registered query.
+
+    Iterative jobs persist intermediate tables.  By default Spark keeps a
+    cached plan's shuffle partition count (``spark.sql.shuffle.partitions``)
+    instead of letting adaptive execution size it from the data, so every
+    later round would run that many tasks however small the table is.
+    """
     ensure_checkpoint_dir(spark)
     ship_code(spark)
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true")
     return spark
 
 
