@@ -107,3 +107,22 @@ def test_runs_are_independent():
     for _ in range(300):
         text = "".join(rnd.choice("ab ") for _ in range(rnd.randint(0, 25)))
         assert tokenize_text(text, stoi) == _naive(text, stoi)
+
+
+@pytest.mark.parametrize("name", list(FIXTURES))
+def test_incremental_fit_matches_worked_examples(spark, name):
+    texts, n, expect = FIXTURES[name]
+    tok = BPETokenizer(n, incremental=True).fit(docs_df(spark, texts))
+    assert [(l, r, c) for _, l, r, c, _ in tok.merges] == expect
+    rec = BPETokenizer(n, incremental=False).fit(docs_df(spark, texts))
+    assert tok.stoi == rec.stoi
+
+
+def test_incremental_equals_recount_on_random_corpora(spark):
+    rnd = random.Random(3)
+    for _ in range(3):
+        texts = [" ".join("".join(rnd.choice("ab.c") for _ in range(rnd.randint(1, 6)))
+                          for _ in range(rnd.randint(1, 8))) for _ in range(4)]
+        a = BPETokenizer(12, incremental=True).fit(docs_df(spark, texts))
+        b = BPETokenizer(12, incremental=False).fit(docs_df(spark, texts))
+        assert a.merges == b.merges, texts

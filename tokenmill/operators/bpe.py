@@ -165,19 +165,11 @@ def apply_delta(pairs: DataFrame, delta: DataFrame) -> DataFrame:
     return j.select("l", "r", c.alias("c"), s.alias("s")).where(F.col("c") > 0)
 
 
-def exact_first_seen(words: DataFrame, cand: list, mode: str) -> dict:
-    """Exact first-seen key of the candidate pairs (a bounded set: the pairs
-    tied at the top count), via a broadcast semi-join on the exploded pairs."""
-    spark = words.sparkSession
-    cdf = F.broadcast(spark.createDataFrame([(r["l"], r["r"]) for r in cand], "l string, r string"))
-    rows = _pair_rows(words, mode, 1).join(cdf, ["l", "r"], "left_semi")
-    got = rows.groupBy("l", "r").agg(F.min("seen").alias("s")).collect()
-    return {(r["l"], r["r"]): r["s"] for r in got}
-
-
 def best_pair_incremental(words: DataFrame, pairs: DataFrame, mode: str, k: int = 64):
     """A3 on a pair table whose first-seen keys are lower bounds: the top
-    count decides unless tied; ties get exact keys, then the in-word index."""
+    count decides unless tied; tied pairs get exact keys computed in Spark
+    (the tied set stays a DataFrame: broadcast only when it is known to be
+    under ``k`` rows), then the in-word index breaks the last ties."""
     rows = pairs.orderBy(F.desc("c")).limit(k).collect()
     if not rows:
         return None
@@ -185,11 +177,16 @@ def best_pair_incremental(words: DataFrame, pairs: DataFrame, mode: str, k: int
     tied = [r for r in rows if r["c"] == top]
     if len(tied) == 1:
         return tied[0]
-    if len(tied) == len(rows):
-        tied = pairs.where(F.col("c") == F.lit(top)).collect()
-    exact = exact_first_seen(words, tied, mode)
-    s_min = min(exact[(r["l"], r["r"])] for r in tied)
-    firsts = [r for r in tied if exact[(r["l"], r["r"])] == s_min]
+    tied_df = pairs.where(F.col("c") == F.lit(top)).select("l", "r", "c")
+    if len(tied) < len(rows):
+        tied_df = F.broadcast(tied_df)
+    exact = (_pair_rows(words, mode, 1).join(tied_df.select("l", "r"), ["l", "r"], "left_semi")
+             .groupBy("l", "r").agg(F.min("seen").alias("s")).join(tied_df, ["l", "r"]))
+    cands = exact.orderBy("s").limit(k).collect()
+    s_min = cands[0]["s"]
+    firsts = [r for r in cands if r["s"] == s_min]
+    if len(firsts) == len(cands):  # all in one word: bounded by its length
+        firsts = exact.where(F.col("s") == F.lit(s_min)).collect()
     if len(firsts) == 1:
         return firsts[0]
     sym = words.where(F.col("seen") == F.lit(s_min)).select("sym").first()["sym"]

@@ -131,3 +131,23 @@ def _encode_by_join(self: Tokenizer, df: DataFrame, col: str = "text",
 
 
 Tokenizer.encode_by_join = _encode_by_join
+
+
+def _decode_by_join(self: Tokenizer, df: DataFrame, col: str = "encoded",
+                    out: str = "text") -> DataFrame:
+    """J2 as a join: explode ids with positions, equi-join the inverse
+    vocabulary (broadcast; tokenizer-sized), concatenate per document in
+    position order.  An unknown id raises, as upstream's KeyError."""
+    spark = df.sparkSession
+    ex = df.select("doc_id", F.posexplode(col).alias("k", "id"))
+    inv = F.broadcast(self.inverse_vocab_df(spark))
+    joined = ex.join(inv, "id", "left").withColumn(
+        "token", F.coalesce(F.col("token"), A.raise_oov("id").cast("string")))
+    per_doc = joined.groupBy("doc_id").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("k", "token"))),
+                                 lambda s: s["token"]), "").alias(out))
+    res = df.join(per_doc, "doc_id", "left")
+    return res.withColumn(out, F.coalesce(F.col(out), F.lit("")))
+
+
+Tokenizer.decode_by_join = _decode_by_join

@@ -188,6 +188,12 @@ def q_token_id_join(spark, sf):
                     A.ids_str(F.col("encoded")).alias("encoded"))
 
 
+def q_bpe_decode(spark, sf):
+    tok = _fitted(spark, sf)
+    e = tok.encode(_clean_docs(spark, sf, "collapse"))
+    return tok.decode_by_join(e, "encoded", "decoded").select("doc_id", "decoded")
+
+
 def q_vocab_pair_hits(spark, sf):
     tok = _fitted(spark, sf)
     return B.vocab_pair_hits(_clean_docs(spark, sf, "collapse"), "text", tok)
@@ -399,6 +405,7 @@ QUERIES = {
     "bpe_encode": q_bpe_encode,
     "bpe_encode_distinct": q_bpe_encode_distinct,
     "token_id_join": q_token_id_join,
+    "bpe_decode": q_bpe_decode,
     "vocab_pair_hits": q_vocab_pair_hits,
     "train_test_split": q_train_test_split,
     "stream_split": q_stream_split,
@@ -605,3 +612,5 @@ ORACLE.update({
                         f"cast(count(*) - floor({TRAIN.train_test_split_ratio}::double * count(*)) as bigint) "
                         f"as n_test from ({_PREP})"),
 })
+
+ORACLE["bpe_decode"] = _COLLAPSE.replace(" as text from", " as decoded from")
