@@ -194,6 +194,18 @@ def q_bpe_decode(spark, sf):
     return tok.decode_by_join(e, "encoded", "decoded").select("doc_id", "decoded")
 
 
+def q_conversation_roundtrip(spark, sf):
+    """H2 + J2 on another table: encode and decode every conversation turn."""
+    from tokenmill.sources.tables import spread, table
+    tok = _fitted(spark, sf)
+    conv = spread(table(spark, sf, "conversations"), "conv_id").select(
+        F.col("conv_id"), F.col("turn"), TX.clean_text(F.col("text"), "collapse").alias("text"))
+    keyed = conv.withColumn("doc_id", F.col("conv_id") * 100000 + F.col("turn"))
+    enc = tok.encode(keyed)
+    dec = tok.decode(enc, "encoded", "decoded")
+    return dec.select("conv_id", "turn", F.size("encoded").cast("long").alias("n_tokens"), "decoded")
+
+
 def q_vocab_pair_hits(spark, sf):
     tok = _fitted(spark, sf)
     return B.vocab_pair_hits(_clean_docs(spark, sf, "collapse"), "text", tok)
@@ -406,6 +418,7 @@ QUERIES = {
     "bpe_encode_distinct": q_bpe_encode_distinct,
     "token_id_join": q_token_id_join,
     "bpe_decode": q_bpe_decode,
+    "conversation_roundtrip": q_conversation_roundtrip,
     "vocab_pair_hits": q_vocab_pair_hits,
     "train_test_split": q_train_test_split,
     "stream_split": q_stream_split,
@@ -614,3 +627,9 @@ ORACLE.update({
 })
 
 ORACLE["bpe_decode"] = _COLLAPSE.replace(" as text from", " as decoded from")
+
+_CONV = (f"select conv_id, turn, {O.clean_collapse('text')} as text from conversations")
+ORACLE["conversation_roundtrip"] = (
+    f"select e.doc_id // 100000 as conv_id, e.doc_id % 100000 as turn, e.n_tokens, c.text as decoded from "
+    f"({O.bpe_encode_two_char(_DOCS, ENCODE_MERGES, 'select conv_id * 100000 + turn as doc_id, text from (' + _CONV + ')')}) e "
+    f"join (select conv_id * 100000 + turn as doc_id, text from ({_CONV})) c on c.doc_id = e.doc_id")
