@@ -66,8 +66,11 @@ def shuffle_batches(df: DataFrame, args: TrainArgs = TrainArgs(),
     ``batch_size``; the last partial batch stays.  Both loaders shuffle.
 
     One row per (epoch, document): ``epoch``, ``ord`` (position in the
-    shuffled epoch), ``batch_id``.
+    shuffled epoch), ``batch_id``.  Only the keys travel: the result is a
+    small assignment table, joined back to the sequences where needed, so
+    ``n_epochs`` copies of the token arrays are never written.
     """
+    df = df.select(key_col, split_col)
     ep = df.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(args.n_epochs))))
     h = shuffle_key(args.seed, F.col("epoch"), F.col(key_col))
     ep = ep.withColumn("_h", h)
