@@ -148,11 +148,38 @@ def _array_model(model: Model):
     return g, nexts, cums, [n for n, _ in fb], [c for _, c in fb]
 
 
+def _greedy_paths(g: list, fallback: int, max_new_tokens: int) -> tuple[list, list]:
+    """Greedy bigram continuation of every possible last token (and of an
+    unseen one): a function of the last token alone, computed on the model
+    table (bounded by the vocabulary and the size check), not on the data."""
+    def walk(first: int | None, start_from_fallback: bool) -> list[int]:
+        out: list[int] = []
+        cur = first
+        for _ in range(max_new_tokens):
+            nx = fallback if start_from_fallback and not out and cur is None else (
+                g[cur] if cur is not None and 0 <= cur < len(g) and g[cur] is not None else fallback)
+            if nx == EOS_ID:
+                break
+            out.append(nx)
+            cur = nx
+        return out
+    return [walk(t, False) for t in range(len(g))], walk(None, True)
+
+
 def _generate_arrays(prompts: DataFrame, model: Model, max_new_tokens: int, mode: str,
                      seed: str, checkpoint_every: int) -> DataFrame:
     """Bigram fast path: every step is one projection (no join, no shuffle);
     finished rows carry a ``done`` flag and stop changing."""
     g, nexts, cums, fb_n, fb_c = _array_model(model)
+    start = F.when(F.size("ids") == 0, F.array(F.lit(SOS_ID))).otherwise(F.col("ids"))
+    if mode == "greedy":
+        # one projection: prompt ++ continuation of its last token
+        paths, unseen = _greedy_paths(g, model.fallback_greedy, max_new_tokens)
+        p_arr = F.array(*[F.lit(p).cast("array<int>") for p in paths])
+        cont = F.coalesce(F.try_element_at(p_arr, F.element_at(start, -1) + 1),
+                          F.lit(unseen).cast("array<int>"))
+        return prompts.select("rid", F.concat(start, cont).alias("ids"),
+                              F.size(cont).alias("n_new"))
     g_arr = F.array(*[F.lit(v) for v in g]).cast("array<int>")
     n_arr = F.array(*[F.lit(v).cast("array<int>") if v else F.lit(None).cast("array<int>")
                       for v in nexts])
