@@ -36,17 +36,9 @@ class Tokenizer:
     # -- shared ------------------------------------------------------------
     def encode(self, df: DataFrame, col: str = "text", out: str = "encoded",
                on_oov: str = "fail") -> DataFrame:
-        """Tokens -> ids through the vocabulary (a per-task map lookup)."""
-        tok = self.tokenize(df, col, "_tokens")
-        return tok.withColumn(out, self.ids_of(F.col("_tokens"), on_oov)).drop("_tokens")
-
-    def ids_of(self, tokens: Column, on_oov: str = "fail") -> Column:
-        vocab = F.create_map(*[x for k, v in sorted(self.stoi.items(), key=lambda kv: kv[1])
-                               for x in (F.lit(k), F.lit(v))])
-        def one(t: Column) -> Column:
-            i = F.try_element_at(vocab, t)
-            return F.coalesce(i, A.raise_oov("token").cast("int")) if on_oov == "fail" else i
-        return F.transform(tokens, one)
+        """Tokens -> ids through a broadcast join with the vocabulary table
+        (a literal map would be scanned key by key for every token)."""
+        return self.encode_by_join(df, col, out, on_oov)
 
     def decode_col(self, ids: Column) -> Column:
         """Concatenate the tokens of the ids (unknown id -> error)."""
