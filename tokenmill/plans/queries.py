@@ -117,6 +117,21 @@ def q_prefix_split(spark, sf):
                     A.ids_str(F.col("test")).alias("test"))
 
 
+def q_frame_stream(spark, sf):
+    """The flagship chain as a Structured Streaming query (availableNow file
+    source -> Parquet sink with its own checkpoint), read back when done."""
+    import uuid
+    from tokenmill.session import ensure_checkpoint_dir
+    from tokenmill.streaming.prepare_stream import prepare_stream
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/frame-{uuid.uuid4().hex}"
+    q = prepare_stream(spark, sf, f"{base}/out", CONTEXT_LENGTH,
+                       checkpoint_location=f"{base}/checkpoint", path_glob="documents.parquet",
+                       spread_partitions=spark.sparkContext.defaultParallelism)
+    q.awaitTermination()
+    out = spark.read.schema("doc_id long, text string, encoded array<int>").parquet(f"{base}/out")
+    return out.select("doc_id", A.ids_str(F.col("encoded")).alias("encoded"))
+
+
 def q_oov_report(spark, sf):
     return oov_report(documents(spark, sf), "text")
 
@@ -408,6 +423,7 @@ QUERIES = {
     "context_crop": q_context_crop,
     "prefix_split": q_prefix_split,
     "oov_report": q_oov_report,
+    "frame_stream": q_frame_stream,
     "word_freq": q_word_freq,
     "pair_stats": q_pair_stats,
     "top_pair": q_top_pair,
@@ -478,6 +494,7 @@ ORACLE = {
     "prefix_split": (f"select doc_id, n as n_train, cast(len(ids) as bigint) - n as n_test, "
                      f"{O.ids_str('ids[n + 1:len(ids)]')} as test from "
                      f"(select doc_id, ids, cast(floor(0.9::double * len(ids)) as bigint) as n from ({_ENC}))"),
+    "frame_stream": f"select doc_id, {O.ids_str('ids')} as encoded from ({_FRAMED})",
     "oov_report": (f"select c as token, count(*) as occurrences, count(distinct doc_id) as documents "
                    f"from (select doc_id, unnest({O.chars('text')}) as c from documents) "
                    f"where c not in ({_BASE_CHARS_SQL}) group by c"),
