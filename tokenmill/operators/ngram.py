@@ -166,8 +166,36 @@ def _greedy_paths(g: list, fallback: int, max_new_tokens: int) -> tuple[list, li
     return [walk(t, False) for t in range(len(g))], walk(None, True)
 
 
+def _sample_fold(prompts: DataFrame, start: Column, nexts: list, cums: list, fb_n: list,
+                 fb_c: list, max_new_tokens: int, seed: str) -> DataFrame:
+    """Sampled bigram decoding as one ``aggregate`` fold over the step index:
+    every row runs its own ``max_new_tokens`` draws inside one projection (no
+    driver loop, no per-step plan).  Draw ``u`` = xxhash64(seed, rid, step),
+    the same as the step-by-step path."""
+    n_arr = F.array(*[F.lit(v).cast("array<int>") if v else F.lit(None).cast("array<int>")
+                      for v in nexts])
+    c_arr = F.array(*[F.lit(v).cast("array<double>") if v else F.lit(None).cast("array<double>")
+                      for v in cums])
+    fb_narr = F.lit(fb_n).cast("array<int>")
+    fb_carr = F.lit(fb_c).cast("array<double>")
+
+    def step(acc: Column, st: Column) -> Column:
+        last = F.element_at(acc["ids"], -1) + 1
+        ns = F.coalesce(F.try_element_at(n_arr, last), fb_narr)
+        cs = F.coalesce(F.try_element_at(c_arr, last), fb_carr)
+        u = _uniform(seed, F.col("rid"), st)
+        nx = F.element_at(ns, F.least(F.size(F.filter(cs, lambda c: c <= u)) + 1, F.size(ns)))
+        stop = acc["done"] | (nx == EOS_ID)
+        return F.struct(F.when(stop, acc["ids"]).otherwise(F.concat(acc["ids"], F.array(nx))).alias("ids"),
+                        F.when(stop, acc["n_new"]).otherwise(acc["n_new"] + 1).alias("n_new"),
+                        stop.alias("done"))
+    init = F.struct(start.alias("ids"), F.lit(0).alias("n_new"), F.lit(False).alias("done"))
+    out = F.aggregate(F.sequence(F.lit(0), F.lit(max_new_tokens - 1)), init, step)
+    return prompts.select("rid", out.alias("_g")).select("rid", "_g.ids", "_g.n_new")
+
+
 def _generate_arrays(prompts: DataFrame, model: Model, max_new_tokens: int, mode: str,
-                     seed: str, checkpoint_every: int) -> DataFrame:
+                     seed: str, checkpoint_every: int, fold: bool = True) -> DataFrame:
     """Bigram fast path: every step is one projection (no join, no shuffle);
     finished rows carry a ``done`` flag and stop changing."""
     g, nexts, cums, fb_n, fb_c = _array_model(model)
@@ -181,6 +209,8 @@ def _generate_arrays(prompts: DataFrame, model: Model, max_new_tokens: int, mode
         return prompts.select("rid", F.concat(start, cont).alias("ids"),
                               F.size(cont).alias("n_new"))
     g_arr = F.array(*[F.lit(v) for v in g]).cast("array<int>")
+    if mode == "sample" and fold:
+        return _sample_fold(prompts, start, nexts, cums, fb_n, fb_c, max_new_tokens, seed)
     n_arr = F.array(*[F.lit(v).cast("array<int>") if v else F.lit(None).cast("array<int>")
                       for v in nexts])
     c_arr = F.array(*[F.lit(v).cast("array<double>") if v else F.lit(None).cast("array<double>")
