@@ -120,3 +120,15 @@ def test_real_tables_smoke(spark):
     from tokenmill.sources.pages import read_pages
     ok, bad = read_pages(spark, SF)
     assert ok.count() > 0 and bad.count() == 0
+
+
+def test_sampled_fold_equals_step_loop(spark):
+    tok = CharacterTokenizer()
+    framed = S.frame_sequences(tok.encode(docs_df(spark, ["abcab cba", "bca acb", "aab"])), 16)
+    model = M.fit(framed)
+    prompts = spark.createDataFrame([(0, [67]), (1, [68, 69]), (2, [])], "rid long, ids array<int>")
+    fold = {r["rid"]: (list(r["ids"]), r["n_new"])
+            for r in M._generate_arrays(prompts, model, 12, "sample", "7", 5, fold=True).collect()}
+    loop = {r["rid"]: (list(r["ids"]), r["n_new"])
+            for r in M._generate_arrays(prompts, model, 12, "sample", "7", 5, fold=False).collect()}
+    assert fold == loop
