@@ -25,8 +25,10 @@ def link_edges(pages: DataFrame) -> DataFrame:
     """A link term points at every page whose title's first word equals
     it (case-insensitive).  Distinct (src, dst); equi-join on the term, so the
     shuffle is keyed by term and AQE splits a hot term."""
-    keys = pages.select(F.col("page_id").alias("dst"), F.col("title_key").alias("term"))
-    return link_terms(pages).join(keys, "term").select("src", "dst").distinct()
+    keys = pages.select(F.col("page_id").alias("dst"), F.col("title_key").alias("term")).distinct()
+    # distinct (src, term) first: the join then emits each edge at most once
+    # per matching term, so its output is bounded by the edge relation itself
+    return link_terms(pages).distinct().join(keys, "term").select("src", "dst").distinct()
 
 
 def frontier_union(frontier: DataFrame, new: DataFrame) -> DataFrame:

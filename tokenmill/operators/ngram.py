@@ -301,8 +301,14 @@ def sequence_losses(framed: DataFrame, model_trans: DataFrame, vocab_size: int,
     x, y = A.shift_inputs(F.col(col)), A.shift_targets(F.col(col))
     pos = framed.select("doc_id", F.explode(F.arrays_zip(x.alias("x"), y.alias("y"))).alias("p")).select(
         "doc_id", F.col("p.x").cast("string").alias("ctx"), F.col("p.y").alias("next"))
-    ctx_tot = model_trans.groupBy("ctx").agg(F.sum("c").alias("n_ctx"))
-    j = (pos.join(model_trans, ["ctx", "next"], "left").join(ctx_tot, "ctx", "left")
+    # The position table is the big, skewed side (PAD->PAD alone can be a third
+    # of it); the model side is counted and broadcast under a fixed bound, so
+    # the hot key never concentrates in one shuffle partition.
+    trans = model_trans.persist()
+    n_model = trans.count()
+    ctx_tot = trans.groupBy("ctx").agg(F.sum("c").alias("n_ctx"))
+    j = (pos.join(_maybe_broadcast(trans, n_model), ["ctx", "next"], "left")
+         .join(_maybe_broadcast(ctx_tot, n_model), "ctx", "left")
          .withColumn("lp", F.log((F.coalesce("c", F.lit(0)) + k) /
                                  (F.coalesce("n_ctx", F.lit(0)) + k * vocab_size))))
     return j.groupBy("doc_id").agg((-F.sum("lp")).alias("nll"), F.count(F.lit(1)).alias("n_pos"))
