@@ -102,6 +102,7 @@ def crawl(pages: DataFrame, edges: DataFrame, start_page: int, n_pages: int,
     e = edges.persist()
     frontier = spark.createDataFrame([(start_page,)], "page_id long")
     fetched = None
+    samples: list[DataFrame] = []
     collected, round_no = 0, 0
     while collected < n_pages:
         size = frontier.count()
@@ -109,6 +110,7 @@ def crawl(pages: DataFrame, edges: DataFrame, start_page: int, n_pages: int,
             break
         k = min(sample_size, size, n_pages - collected)
         sample = sample_frontier(frontier, "page_id", k, seed, round_no).persist()
+        samples.append(sample)
         got = (sample.join(pages, "page_id")
                .withColumn("round", F.lit(round_no).cast("long"))
                .withColumn("ord", F.lit(collected).cast("long")
@@ -123,6 +125,9 @@ def crawl(pages: DataFrame, edges: DataFrame, start_page: int, n_pages: int,
         if round_no % checkpoint_every == 0:
             frontier = cut_lineage(frontier)
             fetched = cut_lineage(fetched)
+            for smp in samples:  # no longer in any live lineage
+                smp.unpersist()
+            samples = []
     if fetched is None:
         fetched = pages.limit(0).withColumn("round", F.lit(0).cast("long")).withColumn(
             "ord", F.lit(0).cast("long"))

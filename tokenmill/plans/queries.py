@@ -390,6 +390,14 @@ def q_text_to_tokens(spark, sf):
                       F.size("test").cast("long").alias("n_test"))
 
 
+def q_text_to_tokens_stream(spark, sf):
+    """H3 with the whole corpus as one token stream (W3 split)."""
+    from tokenmill.plans.compose import text_to_tokens
+    out = text_to_tokens(documents(spark, sf), CharacterTokenizer(), 0.9, whole_stream=True)
+    return out.select("doc_id", F.size("train").cast("long").alias("n_train"),
+                      F.size("test").cast("long").alias("n_test"))
+
+
 def _prepared_bpe(spark, sf):
     tok = _fitted(spark, sf)
     return S.prepare_corpus(_clean_docs(spark, sf), tok, CONTEXT_LENGTH)
@@ -455,6 +463,7 @@ QUERIES = {
     "lm_eval": q_lm_eval,
     "batch_losses": q_batch_losses,
     "text_to_tokens": q_text_to_tokens,
+    "text_to_tokens_stream": q_text_to_tokens_stream,
     "prepare_corpus": q_prepare_corpus,
     "prepare_summary": q_prepare_summary,
 }
@@ -650,3 +659,11 @@ ORACLE["conversation_roundtrip"] = (
     f"select e.doc_id // 100000 as conv_id, e.doc_id % 100000 as turn, e.n_tokens, c.text as decoded from "
     f"({O.bpe_encode_two_char(_DOCS, ENCODE_MERGES, 'select conv_id * 100000 + turn as doc_id, text from (' + _CONV + ')')}) e "
     f"join (select conv_id * 100000 + turn as doc_id, text from ({_CONV})) c on c.doc_id = e.doc_id")
+
+_TRANSLIT_IDS = f"select doc_id, {O.char_ids(O.translit('text'))} as ids from documents"
+ORACLE["text_to_tokens_stream"] = (
+    f"select doc_id, least(greatest(cut - off, 0), len(ids)) as n_train, "
+    f"len(ids) - least(greatest(cut - off, 0), len(ids)) as n_test from "
+    f"(select doc_id, ids, cast(coalesce(sum(len(ids)) over (order by doc_id rows between "
+    f"unbounded preceding and 1 preceding), 0) as bigint) as off, "
+    f"cast(floor(0.9::double * sum(len(ids)) over ()) as bigint) as cut from ({_TRANSLIT_IDS}))")
