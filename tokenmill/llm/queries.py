@@ -3,10 +3,14 @@ where SQL can express them (the others have brute-force tests)."""
 
 from __future__ import annotations
 
-from tokenmill.llm import exact_dedup, mixing, sharding
+from tokenmill.llm import exact_dedup, jaccard_join, language_id, mixing, sentencepiece, sharding
 from tokenmill.llm.tables import read
 
 
+#: A SentencePiece model with byte pieces; another file may be given to the operator.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
 def op1_exact_dedup(spark, sf):
     return exact_dedup.dedup_report(read(spark, sf, "documents"))
 
@@ -15,11 +19,24 @@ def op2_sharding(spark, sf):
     return sharding.shard(read(spark, sf, "documents"), n_shards=24)[0]
 
 
+def op3_sentencepiece(spark, sf):
+    return sentencepiece.round_trip(read(spark, sf, "documents"), PIECE_MODEL)
+
+
 def op5_mixing(spark, sf):
     return mixing.mix_report(read(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op5_mixing)}
+def op7_jaccard_join(spark, sf):
+    return jaccard_join.near_duplicates(read(spark, sf, "documents"))
+
+
+def op10_language_id(spark, sf):
+    return language_id.predict(read(spark, sf, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_exact_dedup, op2_sharding, op3_sentencepiece, op5_mixing, op7_jaccard_join, op10_language_id)}
 
 ORACLE = {
     "op1_exact_dedup": """
