@@ -3,7 +3,7 @@ where SQL can express them (the others have brute-force tests)."""
 
 from __future__ import annotations
 
-from tokenmill.llm import exact_dedup, jaccard_join, language_id, mixing, sentencepiece, sharding
+from tokenmill.llm import exact_dedup, jaccard_join, knn_join, language_id, mixing, sentencepiece, sharding, toxicity
 from tokenmill.llm.tables import read
 
 
@@ -31,14 +31,34 @@ def op7_jaccard_join(spark, sf):
     return jaccard_join.near_duplicates(read(spark, sf, "documents"))
 
 
+def op8_toxicity(spark, sf):
+    return toxicity.score(read(spark, sf, "documents"), read(spark, sf, "labels"))
+
+
+def op9_knn_join(spark, sf):
+    return knn_join.top_k(read(spark, sf, "embeddings"))
+
+
 def op10_language_id(spark, sf):
     return language_id.predict(read(spark, sf, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op2_sharding, op3_sentencepiece, op5_mixing, op7_jaccard_join, op10_language_id)}
+    op1_exact_dedup, op2_sharding, op3_sentencepiece, op5_mixing, op7_jaccard_join, op8_toxicity, op9_knn_join,
+    op10_language_id)}
 
 ORACLE = {
+    "op9_knn_join": """
+with v as (
+  select vec_id, list_transform(embedding, x -> floor(256 * x::double)::bigint) as v from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, x -> x is null or not isfinite(x::double))) = 0),
+s as (
+  select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2]))::bigint as score
+  from v q join v c on q.vec_id <> c.vec_id and len(q.v) = len(c.v) where q.vec_id % 50 = 0),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+select query_id, rank::int as rank, vec_id, score from r where rank <= 5
+""",
     "op1_exact_dedup": """
 select doc_id, max(doc_id) over g as keep_id, count(*) over g as group_size,
        row_number() over (partition by coalesce(text, '') order by doc_id desc nulls last) = 1 as kept,
