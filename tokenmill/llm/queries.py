@@ -3,7 +3,8 @@ where SQL can express them (the others have brute-force tests)."""
 
 from __future__ import annotations
 
-from tokenmill.llm import exact_dedup, jaccard_join, knn_join, language_id, mixing, sentencepiece, sharding, toxicity
+from tokenmill.llm import (
+    exact_dedup, html_extract, jaccard_join, knn_join, language_id, line_dedup, mixing, sentencepiece, sharding, toxicity)
 from tokenmill.llm.tables import read
 
 
@@ -23,10 +24,18 @@ def op3_sentencepiece(spark, sf):
     return sentencepiece.round_trip(read(spark, sf, "documents"), PIECE_MODEL)
 
 
+def op4_line_dedup(spark, sf):
+    return line_dedup.dedup_lines(read(spark, sf, "pages"))
+
+
 def op5_mixing(spark, sf):
     return mixing.mix_report(read(spark, sf, "documents"))
 
 
+def op6_html_extraction(spark, sf):
+    return html_extract.extract(read(spark, sf, "pages"))
+
+
 def op7_jaccard_join(spark, sf):
     return jaccard_join.near_duplicates(read(spark, sf, "documents"))
 
@@ -44,17 +53,37 @@ def op10_language_id(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op2_sharding, op3_sentencepiece, op5_mixing, op7_jaccard_join, op8_toxicity, op9_knn_join,
+    op1_exact_dedup, op2_sharding, op3_sentencepiece, op4_line_dedup, op5_mixing, op6_html_extraction, op7_jaccard_join, op8_toxicity, op9_knn_join,
     op10_language_id)}
 
 ORACLE = {
+    "op4_line_dedup": rf"""
+with p as (
+  select row_number() over () as r, page_id, lower(regexp_extract(coalesce(url, ''), '{line_dedup.HOST}', 1)) as host,
+    list_filter(list_transform(string_split(
+      regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '{line_dedup.HIDDEN}', ' ', 'g'),
+        '{line_dedup.BLANK}', ' ', 'g'), '{line_dedup.BREAK}', chr(10), 'g'), '{line_dedup.TAG}', '', 'g'), chr(10)),
+      lambda x: trim(regexp_replace(x, ' +', ' ', 'g'))), lambda x: x <> '') as lines
+  from pages),
+n as (select host, count(*) as pages from p group by host),
+l as (select r, host, unnest(list_distinct(lines)) as line from p),
+c as (
+  select l.host, l.line from l join n on l.host = n.host group by l.host, l.line, n.pages
+  having count(*) >= {line_dedup.MIN_PAGES} and count(*) / n.pages > {line_dedup.MAX_SHARE}),
+d as (select host, list(line) as gone from c group by host),
+k as (
+  select p.*, case when gone is null then lines else list_filter(lines, lambda x: not list_contains(gone, x)) end as kept
+  from p left join d on p.host = d.host)
+select page_id, host, coalesce(array_to_string(kept, chr(10)), '') as text, len(lines)::bigint as n_lines, (len(lines) - len(kept))::bigint as n_dropped
+from k
+""",
     "op9_knn_join": """
 with v as (
-  select vec_id, list_transform(embedding, x -> floor(256 * x::double)::bigint) as v from embeddings
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
   where vec_id is not null and embedding is not null
-    and len(list_filter(embedding, x -> x is null or not isfinite(x::double))) = 0),
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x::double))) = 0),
 s as (
-  select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2]))::bigint as score
+  select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint as score
   from v q join v c on q.vec_id <> c.vec_id and len(q.v) = len(c.v) where q.vec_id % 50 = 0),
 r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
 select query_id, rank::int as rank, vec_id, score from r where rank <= 5
