@@ -48,6 +48,8 @@ QUERIES_PER_GROUP = 128
 MIN_PIVOTS, MAX_PIVOTS = 8, 2048
 BLOCK_QUERIES = 512
 CHUNK_ROWS = 4096
+#: In place of an id while a query has fewer than k neighbours.
+FREE = -2 ** 63
 
 
 def integer_vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -182,7 +184,7 @@ def _solve_task(dim: int, k: int):
 
     def flush():
         if top_id is not None and len(top_id):
-            r, c = np.nonzero(top_id >= 0)
+            r, c = np.nonzero(top_id != FREE)
             yield pa.record_batch([pa.array(q[0][r]), pa.array(top_id[r, c]), pa.array(top_score[r, c].astype(np.int64))],
                                   names=["query_id", "vec_id", "score"])
 
@@ -205,13 +207,13 @@ def _solve_task(dim: int, k: int):
                 big, top_score = True, top_score.astype(object)
         own = q[0][:, None] == ids[None]
         # A new row enters only by a higher score, or into a free place: ids come in order.
-        worse = (score > top_score[:, -1:]) | (top_id[:, -1:] < 0)
+        worse = (score > top_score[:, -1:]) | (top_id[:, -1:] == FREE)
         live = np.flatnonzero((worse & ~own).any(1))
         if not len(live):
             return
-        cand_id = np.concatenate([top_id[live], np.where(own[live], -1, np.broadcast_to(ids, (len(live), len(ids))))], 1)
+        cand_id = np.concatenate([top_id[live], np.where(own[live], FREE, np.broadcast_to(ids, (len(live), len(ids))))], 1)
         cand = np.concatenate([top_score[live], score[live]], 1)
-        cand = np.where(cand_id < 0, -float("inf"), cand)
+        cand = np.where(cand_id == FREE, -float("inf"), cand)
         for r, row in enumerate(live):
             best = np.argsort(-cand[r], kind="stable")[:k]
             top_id[row], top_score[row] = cand_id[r][best], cand[r][best]
@@ -235,7 +237,7 @@ def _solve_task(dim: int, k: int):
                 qi, qv = (np.concatenate(q_id), np.concatenate(q_vec)) if q_id else (np.zeros(0, np.int64), np.zeros((0, dim), np.int64))
                 once = np.unique(np.column_stack([qi, qv]), axis=0) if len(qi) else np.zeros((0, dim + 1), np.int64)
                 q, qf = (once[:, 0], once[:, 1:]), once[:, 1:].astype(np.float64)
-                top_id = np.full((len(once), k), -1, np.int64)
+                top_id = np.full((len(once), k), FREE, np.int64)
                 top_score = np.full((len(once), k), -np.inf)
             meet(ids[a:b], x[a:b])
 
