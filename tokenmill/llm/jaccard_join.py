@@ -25,11 +25,22 @@ Signatures travel as packed blocks (4 bytes plus a 2-byte reference each) to
 the owner of their hash range; a task sends one entry for all equal sets it
 has read.  Owners return the members of buckets that hold two documents or
 more and a probe.  Pairs are never expanded inside a bucket: equal sets are
-one node (their class), each bucket first proposes its members against one
-probing member (a star), and links found this way are merged to components.
-Only pairs of members that still lie in different components, one of them a
-probe, are then proposed.  Every proposed pair is verified on the full sets.
-Pairs left out are already connected, so classes and components are exact.
+one node (their class), and each bucket hands its members to one probing
+member, its center; the members of all buckets of a center are its cluster.
+
+* Stars: a center is verified against the members it shares two buckets or
+  more with; similar ones are merged to components.
+* Rest: two members of a cluster can still be similar only if they lie in
+  different components, and then the rarest tokens of both (n - o + 1 of n,
+  for an intersection of o) share one.  Members of the components that are
+  not a cluster's largest meet the whole cluster by such a token, and the
+  pairs found are verified.  Large groups of near copies thus pay for the
+  tokens that tell their members apart, not for their pairs.
+
+Every link comes from a verification on the full sets; pairs not verified are
+ruled out by a bound or already connected, so components are exact.  Sets of
+cluster members are made in a further scan, behind a Bloom filter of their
+ids (2**26 bits at most); texts are never shuffled.
 
 Defined cases: null or empty texts have no set and link with nothing; fewer
 than five words are one shingle; rows repeating an id and text are copies; a
@@ -190,8 +201,8 @@ _BLOCK = pa.schema([("part", pa.int64()), ("ids", pa.binary()), ("low", pa.binar
 SHORT = -1
 
 
-def _sign_task(cost, seed: int, n_parts: int):
-    signers = [Signer(cost.value, k) for k in range(seed + 1)]
+def _sign_task(cost, seed: int, n_parts: int, signer: type = Signer):
+    signers = [signer(cost.value, k) for k in range(seed + 1)]
     ids: list[int] = []
     short: list[int] = []
     sigs: list[np.ndarray] = []
@@ -290,10 +301,51 @@ def _owner_task():
     return fn
 
 
-def _set_task():
+def _bloom_bits(ids: np.ndarray, n_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    h = mix(ids.astype(np.int64).view(U64) + U64(3))
+    return (h & U64(n_bits - 1)).astype(np.int64), (h >> U64(38) & U64(n_bits - 1)).astype(np.int64)
+
+
+def _bloom_task(n_bits: int):
+    """Words of the filter that this task's ids set, sent once at its end."""
+    bits = np.zeros(n_bits, bool)
+
     def fn(batch):
-        ids, sets = batch.column(0), [s.tobytes() for s in shingle_sets(batch.column(1))]
-        yield pa.record_batch([ids.cast(pa.int64()), pa.array(sets, pa.binary())], names=["id", "set"])
+        for at in _bloom_bits(batch.column(0).to_numpy(), n_bits):
+            bits[at] = True
+        return ()
+
+    def end():
+        packed = np.packbits(bits).view(np.int64)
+        at = np.flatnonzero(packed)
+        yield pa.record_batch([pa.array(at), pa.array(packed[at])], names=["at", "word"])
+
+    fn.end = end
+    return fn
+
+
+def _set_task(bloom, n_bits: int):
+    def fn(batch):
+        bits = bloom.value
+        known = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+        one, two = _bloom_bits(batch.column(0).cast(pa.int64()).fill_null(0).to_numpy(), n_bits)
+        hit = known & bits[one] & bits[two]
+        if hit.any():
+            batch = batch.filter(pa.array(hit))
+            sets = [s.tobytes() for s in shingle_sets(batch.column(1))]
+            yield pa.record_batch([batch.column(0).cast(pa.int64()), pa.array(sets, pa.binary())], names=["id", "set"])
+    return fn
+
+
+def _rare_task(cost):
+    """(id, n, place, token): the n // 5 + 1 rarest tokens, by counter and hash."""
+    def fn(batch):
+        for id_, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            s = np.frombuffer(raw, U64)
+            top = s[np.lexsort((s, cost.value[_cell(s)]))[:len(s) // 5 + 1]]
+            full = np.full(len(top), id_, np.int64), np.full(len(top), len(s), np.int64)
+            yield pa.record_batch([pa.array(full[0]), pa.array(full[1]), pa.array(np.arange(1, len(top) + 1)),
+                                   pa.array(top.view(np.int64))], names=["id", "n", "place", "token"])
     return fn
 
 
@@ -320,11 +372,20 @@ def _docs(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are similar; texts are read again for the
-    documents of the pairs only."""
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = T.store(T.map_arrow(docs.join(wanted, "id", "left_semi"), _set_task, "id long, set binary").distinct(), "pair-sets")
+def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, set) of the wanted ids, and of few others."""
+    wanted = T.store(wanted.distinct(), "set-ids")
+    n_bits = 1 << min(26, max(16, (16 * wanted.count()).bit_length()))
+    words = (T.map_arrow(wanted, lambda: _bloom_task(n_bits), "at long, word long")
+             .groupBy("at").agg(F.bit_or("word").alias("word")).toPandas())
+    packed = np.zeros(n_bits // 64, np.int64)
+    packed[words["at"].to_numpy(np.int64)] = words["word"].to_numpy(np.int64)
+    bloom = docs.sparkSession.sparkContext.broadcast(np.unpackbits(packed.view(np.uint8)).astype(bool))
+    return T.store(T.map_arrow(docs, lambda: _set_task(bloom, n_bits), "id long, set binary"), "sets")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets are similar."""
     both = (pairs.join(sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
             .join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").select("a", "b", "x", "y"))
     return T.store(T.map_arrow(both, _verify_task, "a long, b long").distinct(), "links")
@@ -339,7 +400,7 @@ class Join:
     ``classes`` (fingerprints, rep, copies), ``links`` between class
     representatives, and ``labels`` (node, label)."""
 
-    def __init__(self, df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> None:
+    def __init__(self, df: DataFrame, id_col: str = "doc_id", text_col: str = "text", signer: type = Signer) -> None:
         spark = T.ready(df.sparkSession)
         docs = _docs(df, id_col, text_col)
         found = T.store(T.map_arrow(docs, _key_task, "kind int, id long, n long, fp1 long, fp2 long"), "set-keys")
@@ -354,7 +415,7 @@ class Join:
         members, seed = [], 0
         n_parts = max(64, -(-int(0.45 * tokens) // OWNER_ENTRIES))
         while True:
-            blocks = T.map_arrow(docs, lambda seed=seed: _sign_task(shared, seed, n_parts),
+            blocks = T.map_arrow(docs, lambda seed=seed: _sign_task(shared, seed, n_parts, signer),
                                  "part long, ids binary, low binary, ref binary")
             owned = blocks.repartition("part").sortWithinPartitions("part")
             found = T.store(T.map_arrow(owned, _owner_task, "bucket long, id long, probe boolean"), "buckets")
@@ -367,42 +428,49 @@ class Join:
         rows = members[0]
         for more in members[1:]:
             rows = rows.unionByName(more)
-        self._link(rows, docs)
+        self._link(rows, docs, shared)
 
-    def _link(self, rows: DataFrame, docs: DataFrame) -> None:
+    def _link(self, rows: DataFrame, docs: DataFrame, shared) -> None:
         reps = self.keys.join(self.classes, ["fp1", "fp2", "n"]).select("id", "rep", "n")
-        rows = (rows.join(reps, "id").groupBy("seed", "bucket", "rep", "n").agg(F.max("probe").alias("probe")))
+        rows = rows.join(reps, "id").groupBy("seed", "bucket", "rep", "n").agg(F.max("probe").alias("probe"))
         rows = T.store(rows, "bucket-members")
         heart = (rows.groupBy("seed", "bucket")
                  .agg(F.min(F.when(F.col("probe"), F.struct("rep", "n"))).alias("c"), F.count(F.lit(1)).alias("size"))
                  .where("size > 1 and c is not null").select("seed", "bucket", F.col("c.rep").alias("center"), F.col("c.n").alias("cn")))
-        star = (rows.join(heart, ["seed", "bucket"]).where((F.col("rep") != F.col("center")) & _sizes_fit("n", "cn"))
+        clusters = (rows.join(heart, ["seed", "bucket"]).groupBy("center", "cn", "rep", "n").agg(F.count(F.lit(1)).alias("shared")))
+        clusters = T.store(clusters, "clusters")
+        sets = _sets(docs, clusters.select(F.col("rep").alias("id")))
+        star = (clusters.where((F.col("rep") != F.col("center")) & (F.col("shared") > 1) & _sizes_fit("n", "cn"))
                 .select(F.least("rep", "center").alias("a"), F.greatest("rep", "center").alias("b")).distinct())
         star = T.store(star, "star-pairs")
-        first = _verified(star, docs)
-        labels = components(first)
-        # Members that still differ, against the members of other components.
-        at = (rows.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-              .select("seed", "bucket", "rep", "n", "probe", F.coalesce("label", "rep").alias("label")))
-        at = T.store(at, "labelled-members")
-        major = (at.groupBy("seed", "bucket", "label").agg(F.count(F.lit(1)).alias("k"), F.max("probe").alias("p"))
-                 .groupBy("seed", "bucket").agg(F.max(F.struct("k", "label")).alias("m"), F.count(F.lit(1)).alias("labels"),
-                                                F.max("p").alias("p"))
-                 .where("labels > 1 and p").select("seed", "bucket", F.col("m.label").alias("major")))
-        few = (at.join(major, ["seed", "bucket"]).where("label <> major")
-               .select("seed", "bucket", F.col("rep").alias("r2"), F.col("n").alias("n2"), F.col("probe").alias("p2"),
-                       F.col("label").alias("l2")))
-        rest = (at.join(few, ["seed", "bucket"])
-                .where((F.col("label") != F.col("l2")) & (F.col("probe") | F.col("p2")) & _sizes_fit("n", "n2"))
+        links = _verified(star, sets)
+        labels = components(links)
+        # What is left: members of one cluster in different components that share a rare token.
+        at = (clusters.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+              .select("center", "rep", F.coalesce("label", "rep").alias("label")))
+        at = T.store(at, "labelled-clusters")
+        major = (at.groupBy("center", "label").agg(F.count(F.lit(1)).alias("k"))
+                 .groupBy("center").agg(F.max(F.struct("k", "label")).alias("m"), F.count(F.lit(1)).alias("labels"))
+                 .where("labels > 1").select("center", F.col("m.label").alias("major")))
+        at = T.store(at.join(major, "center"), "open-clusters")
+        rare = T.map_arrow(sets.join(at.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"),
+                           lambda: _rare_task(shared), "id long, n long, place long, token long")
+        rare = T.store(at.join(rare.withColumnRenamed("id", "rep"), "rep"), "rare-tokens")
+        few = (rare.where("label <> major").select("center", "token", F.col("rep").alias("r2"), F.col("n").alias("n2"),
+                                                   F.col("place").alias("p2"), F.col("label").alias("l2")))
+        both = F.ceil((F.col("n") + F.col("n2")) * 4 / F.lit(9.0) - 1e-9)  # the intersection that a link needs
+        rest = (rare.join(few, ["center", "token"])
+                .where((F.col("label") != F.col("l2")) & _sizes_fit("n", "n2")
+                       & (F.col("place") <= F.col("n") - both + 1) & (F.col("p2") <= F.col("n2") - both + 1))
                 .select(F.least("rep", "r2").alias("a"), F.greatest("rep", "r2").alias("b")).distinct()
                 .join(star, ["a", "b"], "left_anti"))
         rest = T.store(rest, "rest-pairs")
         if not rest.isEmpty():
-            second = _verified(rest, docs)
+            second = _verified(rest, sets)
             if not second.isEmpty():
-                first = first.unionByName(second)
-                labels = components(first)
-        self.links, self.labels = first, labels
+                links = links.unionByName(second)
+                labels = components(links)
+        self.links, self.labels = links, labels
 
     def report(self) -> DataFrame:
         """One row per input row: doc_id, n_shingles, component_id."""
