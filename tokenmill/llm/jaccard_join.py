@@ -14,7 +14,7 @@ up to one deletion on either side for 2, not looked at for 0.
 * Probe side: under its own scheme and, where a pair across bands is
   possible, the scheme below, r spends its H + 1 units where they cost least.
   The cost of a segment is the document frequency of its rarest token (times
-  its neighbours for the second unit), read from a fixed table of 2**18
+  its neighbours for the second unit), read from a fixed table of 2**21
   counters over all documents.  Segments that lie wholly inside a passage
   shared by many documents are thus passed over.
 * If a set's tokens fall into too few segments for H + 1 units (chance below
@@ -32,10 +32,11 @@ member, its center; the members of all buckets of a center are its cluster.
   more with; similar ones are merged to components.
 * Rest: two members of a cluster can still be similar only if they lie in
   different components, and then the rarest tokens of both (n - o + 1 of n,
-  for an intersection of o) share one.  Members of the components that are
-  not a cluster's largest meet the whole cluster by such a token, and the
-  pairs found are verified.  Large groups of near copies thus pay for the
-  tokens that tell their members apart, not for their pairs.
+  for an intersection of o) share one.  Members of clusters that hold several
+  components meet by such a token, those of the token's largest component
+  only the others, and the pairs found are verified.  Large groups of near
+  copies thus pay for the tokens that tell their members apart, not for their
+  pairs.
 
 Every link comes from a verification on the full sets; pairs not verified are
 ruled out by a bound or already connected, so components are exact.  Sets of
@@ -50,6 +51,7 @@ empty result.  Different texts should have different ids.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -62,7 +64,9 @@ from tokenmill.llm.bytehash import U64, mix, random_words, text_runs, words
 from tokenmill.llm.components import components
 
 SHINGLE = 5
-CELL_BITS = 18
+CELL_BITS = 21
+#: The counter table travels in blocks of this many counters.
+CELL_BLOCK = 1 << 15
 #: Bands below this one index one-deletion neighbours (sets below 64 tokens).
 DELETION_BANDS = 6
 #: Entries and documents that a task packs into one set of blocks.
@@ -98,12 +102,13 @@ def _cell(s: np.ndarray) -> np.ndarray:
     return (s >> U64(64 - CELL_BITS)).astype(np.int64)
 
 
-_KEYS = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("n", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64())])
+_KEYS = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("n", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()),
+                   ("cells", pa.binary())])
 
 
 def _key_task():
-    """Rows (0, id, set size, fingerprint) and, at the end, (1, cell, count)."""
-    cells = np.zeros(1 << CELL_BITS, np.int64)
+    """Rows (0, id, set size, fingerprint) and, at the end, (1, block, packed counters)."""
+    cells = np.zeros(1 << CELL_BITS, np.uint32)
     seen: set[int] = set()
 
     def fn(batch):
@@ -118,17 +123,39 @@ def _key_task():
             seen.clear()
         n, f1, f2 = zip(*out) if out else ((), (), ())
         yield pa.record_batch([pa.array(np.zeros(len(n), np.int32)), batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()),
-                               pa.array(f1, pa.int64()), pa.array(f2, pa.int64())], schema=_KEYS)
+                               pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.nulls(len(n), pa.binary())], schema=_KEYS)
 
     def end():
-        at = np.flatnonzero(cells)
+        blocks = cells.reshape(-1, CELL_BLOCK)
+        at = np.flatnonzero(blocks.any(1))
         zero = pa.array(np.zeros(len(at), np.int64))
-        yield pa.record_batch([pa.array(np.ones(len(at), np.int32)), pa.array(at), pa.array(cells[at]), zero, zero], schema=_KEYS)
+        yield pa.record_batch([pa.array(np.ones(len(at), np.int32)), pa.array(at), zero, zero, zero,
+                               pa.array([zlib.compress(blocks[b].tobytes(), 1) for b in at], pa.binary())], schema=_KEYS)
 
     fn.end = end
     return fn
 
 
+def _cell_sum_task():
+    """Sums the blocks, which come sorted, of all tasks."""
+    at, total = None, np.zeros(CELL_BLOCK, np.int64)
+
+    def flush():
+        if at is not None:
+            yield pa.record_batch([pa.array([at]), pa.array([total.tobytes()], pa.binary())], names=["block", "cells"])
+
+    def fn(batch):
+        nonlocal at, total
+        for block, cells in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if block != at:
+                yield from flush()
+                at, total = block, np.zeros(CELL_BLOCK, np.int64)
+            total += np.frombuffer(zlib.decompress(cells), np.uint32)
+
+    fn.end = flush
+    return fn
+
+
 def scheme(n: int) -> int:
     return n.bit_length() - 1
 
@@ -403,15 +430,17 @@ class Join:
     def __init__(self, df: DataFrame, id_col: str = "doc_id", text_col: str = "text", signer: type = Signer) -> None:
         spark = T.ready(df.sparkSession)
         docs = _docs(df, id_col, text_col)
-        found = T.store(T.map_arrow(docs, _key_task, "kind int, id long, n long, fp1 long, fp2 long"), "set-keys")
-        self.keys = found.where("kind = 0").drop("kind")
-        cells = found.where("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
-        cost = np.zeros(1 << CELL_BITS, np.int64)
-        cost[cells["id"].to_numpy()] = cells["n"].to_numpy()
+        found = T.store(T.map_arrow(docs, _key_task, "kind int, id long, n long, fp1 long, fp2 long, cells binary"), "set-keys")
+        self.keys = found.where("kind = 0").drop("kind", "cells")
+        blocks = found.where("kind = 1").select("id", "cells").repartition("id").sortWithinPartitions("id")
+        cost = np.zeros((1 << CELL_BITS, ), np.int64).reshape(-1, CELL_BLOCK)
+        for r in T.map_arrow(blocks, _cell_sum_task, "block long, cells binary").collect():
+            cost[r["block"]] = np.frombuffer(r["cells"], np.int64)
+        cost = np.minimum(cost.ravel(), 2 ** 32 - 1).astype(np.uint32)
         tokens = self.keys.agg(F.sum("n")).first()[0] or 0
         self.classes = T.store(self.keys.where("n > 0 and id is not null").groupBy("fp1", "fp2", "n")
                                .agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")), "set-classes")
-        shared = spark.sparkContext.broadcast(cost)  # 2**18 counters, whatever the corpus
+        shared = spark.sparkContext.broadcast(cost)  # 2**21 counters, whatever the corpus
         members, seed = [], 0
         n_parts = max(64, -(-int(0.45 * tokens) // OWNER_ENTRIES))
         while True:
@@ -452,14 +481,18 @@ class Join:
         major = (at.groupBy("center", "label").agg(F.count(F.lit(1)).alias("k"))
                  .groupBy("center").agg(F.max(F.struct("k", "label")).alias("m"), F.count(F.lit(1)).alias("labels"))
                  .where("labels > 1").select("center", F.col("m.label").alias("major")))
-        at = T.store(at.join(major, "center"), "open-clusters")
-        rare = T.map_arrow(sets.join(at.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"),
+        at = T.store(at.join(major, "center").groupBy("rep").agg(F.max("label").alias("label")), "open-members")
+        rare = T.map_arrow(sets.join(at.select(F.col("rep").alias("id")), "id", "left_semi"),
                            lambda: _rare_task(shared), "id long, n long, place long, token long")
         rare = T.store(at.join(rare.withColumnRenamed("id", "rep"), "rep"), "rare-tokens")
-        few = (rare.where("label <> major").select("center", "token", F.col("rep").alias("r2"), F.col("n").alias("n2"),
-                                                   F.col("place").alias("p2"), F.col("label").alias("l2")))
+        most = (rare.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k"))
+                .groupBy("token").agg(F.max(F.struct("k", "label")).alias("m"), F.count(F.lit(1)).alias("labels"))
+                .where("labels > 1").select("token", F.col("m.label").alias("most")))
+        rare = T.store(rare.join(most, "token"), "shared-tokens")
+        few = rare.where("label <> most").select("token", F.col("rep").alias("r2"), F.col("n").alias("n2"),
+                                                 F.col("place").alias("p2"), F.col("label").alias("l2"))
         both = F.ceil((F.col("n") + F.col("n2")) * 4 / F.lit(9.0) - 1e-9)  # the intersection that a link needs
-        rest = (rare.join(few, ["center", "token"])
+        rest = (rare.join(few, "token")
                 .where((F.col("label") != F.col("l2")) & _sizes_fit("n", "n2")
                        & (F.col("place") <= F.col("n") - both + 1) & (F.col("p2") <= F.col("n2") - both + 1))
                 .select(F.least("rep", "r2").alias("a"), F.greatest("rep", "r2").alias("b")).distinct()
