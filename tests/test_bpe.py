@@ -109,20 +109,70 @@ def test_runs_are_independent():
         assert tokenize_text(text, stoi) == _naive(text, stoi)
 
 
-@pytest.mark.parametrize("name", list(FIXTURES))
-def test_incremental_fit_matches_worked_examples(spark, name):
-    texts, n, expect = FIXTURES[name]
-    tok = BPETokenizer(n, incremental=True).fit(docs_df(spark, texts))
-    assert [(l, r, c) for _, l, r, c, _ in tok.merges] == expect
-    rec = BPETokenizer(n, incremental=False).fit(docs_df(spark, texts))
-    assert tok.stoi == rec.stoi
-
-
-def test_incremental_equals_recount_on_random_corpora(spark):
+def _literal_fit(texts, n):
+    """The rule one step at a time: count, arg-max with ties to first insertion, replace."""
+    vocab = {}
+    for t in texts:
+        for w in t.split():
+            vocab[" ".join(w)] = vocab.get(" ".join(w), 0) + 1
+    merges = []
+    while len(merges) < n:
+        stats = {}
+        for sym, freq in vocab.items():
+            parts = sym.split(" ")
+            for pair in zip(parts, parts[1:]):
+                stats[pair] = stats.get(pair, 0) + freq
+        if not stats:
+            break
+        best = max(stats, key=stats.get)
+        merges.append((*best, stats[best]))
+        vocab = {k.replace(" ".join(best), escape_replacement("".join(best))): f for k, f in vocab.items()}
+    return merges
+
+
+def test_fit_equals_literal_rule_on_random_corpora(spark):
     rnd = random.Random(3)
     for _ in range(3):
         texts = [" ".join("".join(rnd.choice("ab.c") for _ in range(rnd.randint(1, 6)))
                           for _ in range(rnd.randint(1, 8))) for _ in range(4)]
-        a = BPETokenizer(12, incremental=True).fit(docs_df(spark, texts))
-        b = BPETokenizer(12, incremental=False).fit(docs_df(spark, texts))
-        assert a.merges == b.merges, texts
+        tok = BPETokenizer(12).fit(docs_df(spark, texts))
+        assert [(l, r, c) for _, l, r, c, _ in tok.merges] == _literal_fit(texts, 12), texts
+
+
+def test_reserved_special_is_refused_and_the_fit_goes_on(spark):
+    texts = ["<PAD> <PAD> xy"]
+    free = BPETokenizer(6).fit(docs_df(spark, texts))
+    kept = BPETokenizer(6, reserve_special=True).fit(docs_df(spark, texts))
+    assert free.stoi["<PAD>"] != 0 and kept.stoi["<PAD>"] == 0
+    assert [m[1] + m[2] for m in kept.merges] == ["<P", "<PA", "<PAD", "xy"]
+
+
+def test_one_oov_rule_for_all_encoders(spark):
+    tok = BPETokenizer(2).fit(docs_df(spark, ["ab ab abc"]))
+    df = spark.createDataFrame([(0, "ab \u00e9"), (1, None), (2, ""), (3, "abc  ab"), (4, "\u00e9")], "doc_id long, text string")
+    for encode in (lambda d: tok.encode(d, on_oov="null"), lambda d: tok.encode(d, on_oov="null", strategy="distinct"),
+                   lambda d: tok.encode_by_join(d, on_oov="null")):
+        got = {r["doc_id"]: r["encoded"] for r in encode(df).collect()}
+        assert got == {0: None, 1: None, 2: [], 3: [99, 3, 3, 98], 4: None}
+    for encode in (lambda d: tok.encode(d), lambda d: tok.encode(d, strategy="distinct"), lambda d: tok.encode_by_join(d)):
+        with pytest.raises(Exception, match="not in vocabulary"):
+            encode(df).collect()
+
+
+def test_join_encoders_run_the_tokenizer_once(spark):
+    tok = BPETokenizer(2).fit(docs_df(spark, ["ab ab abc"]))
+    df = docs_df(spark, ["ab abc", "ab"])
+    for out in (tok.encode_by_join(df), tok.decode_by_join(tok.encode(df).drop("text"), "encoded", "text")):
+        plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("ArrowEvalPython") == 1, plan
+
+
+def test_memo_is_bounded_by_characters():
+    from tokenmill.operators.bpe_kernel import MEMO_RUN, RunEncoder
+    stoi = {c: i for i, c in enumerate("ab")}
+    enc = RunEncoder(stoi, memo_chars=100)
+    for k in range(200):
+        assert enc.encode("ab" * (k % 20 + 1)) == [0, 1] * (k % 20 + 1)
+        assert sum(map(len, enc.memo)) <= 100
+    enc.encode("a" * (MEMO_RUN + 1))
+    assert all(len(r) <= MEMO_RUN for r in enc.memo)

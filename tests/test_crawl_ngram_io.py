@@ -40,6 +40,27 @@ def test_crawl_sample_visits_reachable_pages(spark):
     assert log2.count() == 2
 
 
+def test_crawl_numbers_a_round_in_sample_order(spark):
+    import hashlib
+    pages = spark.createDataFrame([(0, "s", [f"w{i}" for i in range(1, 9)], "s")] + [(i, "same", [], f"w{i}") for i in range(1, 9)],
+                                  "page_id long, title string, links array<string>, title_key string")
+    order = sorted(range(1, 9), key=lambda i: hashlib.md5(f"0:1:{i}".encode()).hexdigest())
+    log = C.crawl_log(C.link_edges(pages), 0, 100, 100, "0").orderBy("ord").collect()
+    assert [r["page_id"] for r in log] == [0, *order]
+    records, _ = C.crawl(pages, C.link_edges(pages), 0, 100, 100, "0")
+    assert {r["title"]: (r["page_id"], r["first_ord"]) for r in records.collect()} == {"s": (0, 0), "same": (order[-1], 1)}
+
+
+def test_a_link_resolves_to_one_page(spark):
+    pages = spark.createDataFrame([(0, "a", ["B", "b", "x"], "a"), (2, "b 2", ["a"], "b"), (1, "b 1", ["b"], "b")],
+                                  "page_id long, title string, links array<string>, title_key string")
+    got = sorted(map(tuple, C.link_edges(pages).collect()))
+    assert got == [(0, 1), (1, 1), (2, 0)]
+    from tokenmill.sources.pages import read_pages
+    real = read_pages(spark, SF)[0]
+    assert C.link_edges(real).count() <= C.link_terms(real).count()
+
+
 def test_dedup_title_keeps_last_value_first_position(spark):
     recs = spark.createDataFrame([("t", "x", 0), ("u", "y", 1), ("t", "z", 2)],
                                  "title string, summary string, ord long")
@@ -55,14 +76,48 @@ def test_ngram_probabilities_and_generation(spark):
     sums = probs.groupBy("ctx").agg(F.sum("p").alias("s")).collect()
     assert all(abs(r["s"] - 1) < 1e-9 for r in sums)
     assert probs.where(F.col("next").isin(0, 1)).count() == 0
-    prompts = spark.createDataFrame([(0, [67]), (1, [])], "rid long, ids array<int>")
+    prompts = spark.createDataFrame([(0, [67]), (1, []), (2, [90])], "rid long, ids array<int>")
     for mode in ("greedy", "sample"):
         out = {r["rid"]: r for r in M.generate(prompts, model, max_new_tokens=5, mode=mode).collect()}
-        assert out[0]["ids"][0] == 67 and out[1]["ids"][0] == 1
+        assert len(out) == 3 and out[0]["ids"][0] == 67 and out[1]["ids"][0] == 1
         assert all(r["n_new"] <= 5 for r in out.values())
         assert all(2 not in r["ids"] and 0 not in r["ids"][1:] for r in out.values())
 
 
+def _literal_decode(counts, ids, order, n):
+    """Greedy completion step by step from (ctx, next) counts."""
+    ids = list(ids) or [1]
+    rest = {}
+    for (_, nx), c in counts.items():
+        rest[nx] = rest.get(nx, 0) + c
+    for _ in range(n):
+        ctx = " ".join(map(str, ids[max(0, len(ids) - (order - 1)):]))
+        own = {nx: c for (k, nx), c in counts.items() if k == ctx and nx > 1} or {k: c for k, c in rest.items() if k > 1}
+        nx = min(own, key=lambda k: (-own[k], k))
+        if nx == 2:
+            break
+        ids.append(nx)
+    return ids
+
+
+def test_greedy_generation_of_orders_2_and_3(spark):
+    texts = ["abcab cba", "bca acb", "aab", "abc abd abc"]
+    framed = S.frame_sequences(CharacterTokenizer().encode(docs_df(spark, texts)), 16)
+    prompts = spark.createDataFrame([(0, [67]), (1, [68, 69]), (2, []), (3, [90, 91])], "rid long, ids array<int>")
+    for order in (2, 3):
+        counts = {(r["ctx"], r["next"]): r["c"] for r in M.transitions(framed, order).collect()}
+        got = {r["rid"]: r["ids"] for r in M.generate(prompts, M.fit(framed, order), order, max_new_tokens=13).collect()}
+        assert got == {r["rid"]: _literal_decode(counts, r["ids"], order, 13) for r in prompts.collect()}
+
+
+def test_generation_from_no_training_text(spark):
+    framed = S.frame_sequences(CharacterTokenizer().encode(docs_df(spark, ["ab"])), 8).limit(0)
+    prompts = spark.createDataFrame([(0, [67]), (1, [])], "rid long, ids array<int>")
+    for mode in ("greedy", "sample"):
+        out = {r["rid"]: (r["ids"], r["n_new"]) for r in M.generate(prompts, M.fit(framed), max_new_tokens=4, mode=mode).collect()}
+        assert out == {0: ([67], 0), 1: ([1], 0)}
+
+
 def test_sampling_frequencies(spark):
     tok = CharacterTokenizer()
     framed = S.frame_sequences(tok.encode(docs_df(spark, ["ab", "ac", "ac", "ac"])), 4)
@@ -122,13 +177,33 @@ def test_real_tables_smoke(spark):
     assert ok.count() > 0 and bad.count() == 0
 
 
-def test_sampled_fold_equals_step_loop(spark):
-    tok = CharacterTokenizer()
-    framed = S.frame_sequences(tok.encode(docs_df(spark, ["abcab cba", "bca acb", "aab"])), 16)
-    model = M.fit(framed)
-    prompts = spark.createDataFrame([(0, [67]), (1, [68, 69]), (2, [])], "rid long, ids array<int>")
-    fold = {r["rid"]: (list(r["ids"]), r["n_new"])
-            for r in M._generate_arrays(prompts, model, 12, "sample", "7", 5, fold=True).collect()}
-    loop = {r["rid"]: (list(r["ids"]), r["n_new"])
-            for r in M._generate_arrays(prompts, model, 12, "sample", "7", 5, fold=False).collect()}
-    assert fold == loop
+def test_json_round_trip(spark):
+    d = tempfile.mkdtemp(prefix="tm-json-")
+    df = spark.createDataFrame([("A", "Hi"), ("B", "[x"), ("C", None)], "title string, summary string")
+    TB.write_corpus(df.coalesce(1), os.path.join(d, "out"), fmt="json")
+    back = TB.read_json_corpus(spark, os.path.join(d, "out"))
+    assert sorted(map(tuple, back.select("title", "summary").collect())) == [("A", "Hi"), ("B", "[x"), ("C", None)]
+
+
+def test_stream_goes_on_after_a_restart(spark):
+    """A second application (another checkpoint dir of the session) adds new documents to the same sink."""
+    from tokenmill.streaming.prepare_stream import prepare_stream
+    d = tempfile.mkdtemp(prefix="tm-stream-")
+    src, sink = os.path.join(d, "in"), os.path.join(d, "out")
+    old = spark.sparkContext.getCheckpointDir()
+    try:
+        for k, text in enumerate(["Cafe", "Bar"]):
+            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tm-ckpt-"))
+            spark.createDataFrame([(k, text)], "doc_id long, text string").write.mode("append").parquet(src)
+            assert prepare_stream(spark, src, sink, 8).awaitTermination(120)
+        assert sorted(r["doc_id"] for r in spark.read.parquet(sink).collect()) == [0, 1]
+    finally:
+        spark.sparkContext.setCheckpointDir(os.path.dirname(old))
+
+
+def test_quarantine_sets_rows_aside(spark):
+    from tokenmill.operators.tokenizer import quarantine
+    df = spark.createDataFrame([(0, "fine"), (1, "caf\u00e9 \u00e9"), (2, None), (3, "back\\slash")], "doc_id long, text string")
+    ok, bad = quarantine(df, "text")
+    assert sorted(r["doc_id"] for r in ok.collect()) == [0, 2]
+    assert {r["doc_id"]: r["n_oov"] for r in bad.collect()} == {1: 2, 3: 1}

@@ -58,3 +58,28 @@ def test_shuffle_batches_cover_each_epoch(spark):
     plan = W.batch_plan(b, args).where("epoch = 1").orderBy("batch_id").collect()
     assert [r["step"] for r in plan] == [False, False, False, True]
     assert [r["log"] for r in plan] == [True, False, False, True]
+
+
+def test_only_keys_cross_an_exchange(spark):
+    """W1 and M1 read a framed corpus without shuffling texts or arrays."""
+    df = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text"),
+                                  F.array(F.lit(1), F.lit(5), F.lit(2)).alias("encoded"))
+    out = W.train_test_split(df, 0.9)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.where(F.col("split") == "train").count() == 1800
+    from tokenmill.operators.ngram import transitions
+    plan = transitions(out.where(F.col("split") == "train"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "encoded" not in plan.split("Exchange")[0]
+
+
+def test_bucket_key_must_be_numeric(spark):
+    import pytest
+    with pytest.raises(TypeError):
+        with_ordinal(spark.createDataFrame([("a",)], "k string"), F.col("k"), [F.col("k")])
+
+
+def test_blocks_follow_the_row_count(spark, monkeypatch):
+    from tokenmill.plans import ordinal
+    monkeypatch.setattr(ordinal, "BLOCK_ROWS", 50)
+    got, _ = with_ordinal(spark.range(3000).withColumnRenamed("id", "k"), F.col("k"), [F.col("k")])
+    assert [r["ord"] for r in got.orderBy("k").collect()] == list(range(3000))

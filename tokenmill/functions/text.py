@@ -32,6 +32,9 @@ EXTRA_TRANSLITERATIONS = {
     "«": "<<", "»": ">>", "‹": "<", "›": ">", "•": "*", "·": ".",
     "¡": "!", "¿": "?", "©": "(c)", "®": "(r)", "°": "deg", "€": "EUR",
     "£": "PS", "¥": "Y=", "§": "SS", "¶": "P", "×": "x", "÷": "/",
+    "±": "+-", "µ": "u", "¢": "C/", "¤": "$?", "¦": "|", "¬": "!",
+    "´": "'", "¨": '"', "¯": "-", "¸": ",", "′": "'", "″": '"', "‴": "'''",
+    "…": "...", "⁄": "/", "†": "+", "‡": "++", "‰": "%0", "™": "tm", "№": "No",
 }
 
 # Code point blocks scanned for decompositions (Latin-1 supplement, Latin
@@ -50,7 +53,9 @@ def transliteration_table() -> tuple[dict[str, str], dict[str, str]]:
             ch = chr(cp)
             if ch in EXTRA_TRANSLITERATIONS:
                 continue
-            base = "".join(c for c in unicodedata.normalize("NFKD", ch) if ord(c) < 128)
+            # the fraction slash is no ASCII character: without it 1/2 would read 12
+            plain = unicodedata.normalize("NFKD", ch).replace("\u2044", "/")
+            base = "".join(c for c in plain if ord(c) < 128)
             if not base:
                 continue
             (one if len(base) == 1 else many)[ch] = base
@@ -120,8 +125,3 @@ def words(col: Column) -> Column:
 def chars(col: Column) -> Column:
     """G1: one element per code point; the empty string gives an empty array."""
     return F.when(col == "", F.array().cast("array<string>")).otherwise(F.split(col, ""))
-
-
-def spaced_chars(col: Column) -> Column:
-    """characters of a word separated by single spaces."""
-    return F.array_join(F.split(col, ""), " ")

@@ -27,15 +27,27 @@ class TrainArgs:
     seed: str = "0"
 
 
+def split_keys(df: DataFrame, ratio: float, order_col: str = "doc_id") -> DataFrame:
+    """W1 on keys: (order_col, ord, split); the first ``int(ratio * N)`` rows
+    by ``order_col`` are train.  Only the keys are numbered."""
+    withord, totals = with_ordinal(df.select(order_col), F.col(order_col), [F.col(order_col)])
+    n = sum(t[0] for t in totals.values())
+    cut = int(ratio * n)  # Python float semantics, exactly as upstream (Q12)
+    return withord.withColumn("split", F.when(F.col("ord") < cut, F.lit("train")).otherwise(F.lit("test")))
+
+
 def train_test_split(df: DataFrame, ratio: float, order_col: str = "doc_id") -> DataFrame:
     """First ``int(ratio * N)`` rows by ``order_col`` are train, rest test.
 
-    Positional, not random.  Adds ``ord`` and ``split``.
+    Positional, not random.  Adds ``split``.  The one key at the cut is found
+    on the numbered keys; the rows themselves are then split by a narrow
+    comparison, so no text or token array is written or shuffled.  Keys are
+    taken to be unique.
     """
-    withord, totals = with_ordinal(df, F.col(order_col), [F.col(order_col)])
-    n = sum(t[0] for t in totals.values())
-    cut = int(ratio * n)  # Python float semantics, exactly as upstream (Q12)
-    return withord.withColumn("split", F.when(F.col("ord") < cut, F.lit("train")).otherwise(F.lit("test")))
+    keys = split_keys(df, ratio, order_col)
+    first = keys.where(F.col("split") == "test").agg(F.min(order_col).alias("k")).first()["k"]
+    train = F.lit(True) if first is None else F.col(order_col) < F.lit(first)
+    return df.withColumn("split", F.when(train, F.lit("train")).otherwise(F.lit("test")))
 
 
 def stream_split(df: DataFrame, train_size: float, col: str = "encoded",
@@ -46,13 +58,13 @@ def stream_split(df: DataFrame, train_size: float, col: str = "encoded",
     """
     if not 0 <= train_size <= 1:
         raise ValueError("train_size must be between 0 and 1")
-    withcum, totals = with_ordinal(df, F.col(order_col), [F.col(order_col)],
-                                   value=F.size(col), cum_out="offset")
+    sizes = df.select(order_col, F.size(col).alias("_n"))
+    offsets, totals = with_ordinal(sizes, F.col(order_col), [F.col(order_col)], value=F.col("_n"), cum_out="offset")
     total = sum(t[1] for t in totals.values())
     cut = int(train_size * total)
     k = F.least(F.greatest(F.lit(cut) - F.col("offset"), F.lit(0)), F.size(col))
-    return withcum.select("*", A.head(F.col(col), k).alias("train"),
-                          A.tail(F.col(col), k).alias("test"))
+    return df.join(offsets.select(order_col, "offset"), order_col).select(
+        "*", A.head(F.col(col), k).alias("train"), A.tail(F.col(col), k).alias("test"))
 
 
 def shuffle_key(seed: str, epoch: Column, key: Column) -> Column:
@@ -61,7 +73,7 @@ def shuffle_key(seed: str, epoch: Column, key: Column) -> Column:
 
 
 def shuffle_batches(df: DataFrame, args: TrainArgs = TrainArgs(),
-                    split_col: str = "split", key_col: str = "doc_id") -> DataFrame:
+                    split_col: str = "split", key_col: str = "doc_id", first_epoch: int = 1) -> DataFrame:
     """For every epoch and split, a seeded shuffle cut into batches of
     ``batch_size``; the last partial batch stays.  Both loaders shuffle.
 
@@ -71,7 +83,7 @@ def shuffle_batches(df: DataFrame, args: TrainArgs = TrainArgs(),
     ``n_epochs`` copies of the token arrays are never written.
     """
     df = df.select(key_col, split_col)
-    ep = df.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(args.n_epochs))))
+    ep = df.withColumn("epoch", F.explode(F.sequence(F.lit(first_epoch), F.lit(args.n_epochs))))
     h = shuffle_key(args.seed, F.col("epoch"), F.col(key_col))
     ep = ep.withColumn("_h", h)
     # bucket on the first 60 bits of the hash: non-decreasing in hex order

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from tokenmill.functions import arrays as A
 from tokenmill.functions import text as TX
+from tokenmill.functions.vocab import SPECIALS
 from tokenmill.operators.tokenizer import Tokenizer
 from tokenmill.session import cut_lineage
 
@@ -206,8 +207,7 @@ class BPETokenizer(Tokenizer):
     """
 
     def __init__(self, num_merges: int, mode: str = "reference",
-                 checkpoint_every: int = 8, reserve_special: bool = False,
-                 incremental: bool | str = "auto") -> None:
+                 checkpoint_every: int = 8, reserve_special: bool = False) -> None:
         super().__init__()
         if mode not in ("reference", "canonical"):
             raise ValueError("mode must be 'reference' or 'canonical'")
@@ -215,89 +215,29 @@ class BPETokenizer(Tokenizer):
         self.mode = mode
         self.checkpoint_every = checkpoint_every
         self.reserve_special = reserve_special
-        self.incremental = incremental
         self.merges: list[tuple[int, str, str, int, int]] = []
 
     # -- H1 ------------------------------------------------------------------
-    # Above this many exploded pair rows a full recount per merge costs more
-    # than recounting only the words that hold the merged pattern.
-    INCREMENTAL_MIN_PAIR_ROWS = 50_000_000
-
-    def fit(self, df: DataFrame, col: str = "text") -> "BPETokenizer":
-        """H1.  ``incremental``: True, False or 'auto' (decided from the
-        number of exploded pair rows, counted while the word table is cached)."""
-        use_inc = self.incremental
-        if use_inc == "auto":
-            words = word_table(df, col, self.mode).select("sym", "freq", "seen").persist()
-            n_pairs = words.agg(F.sum(F.size(_symbols(F.col("sym"), self.mode)) - 1)).first()[0] or 0
-            use_inc = n_pairs >= self.INCREMENTAL_MIN_PAIR_ROWS
-            self.strategy_used = "incremental" if use_inc else "recount"
-            out = self._fit_incremental(words, None) if use_inc else self._fit_recount(words, None)
-            words.unpersist()
-            return out
-        self.strategy_used = "incremental" if use_inc else "recount"
-        return self._fit_incremental(df, col) if use_inc else self._fit_recount(df, col)
-
-    def _fit_recount(self, df: DataFrame, col: str | None) -> "BPETokenizer":
-        """H1, one full pair aggregation per merge over the remaining words."""
-        start = len(self)
-        words = df if col is None else word_table(df, col, self.mode).select("sym", "freq", "seen")
-        # the symbol array rides along; a round re-splits only the words it touched
-        words = (words.where(F.length(F.trim("sym")) > 1)
-                 .withColumn("syms", _symbols(F.col("sym"), self.mode)).persist())
-        prev = None
-        rank = 0
-        while rank < self.num_merges:
-            best = best_pair(words, pair_stats(words, self.mode), self.mode)
-            if prev is not None:
-                prev.unpersist()
-                prev = None
-            if best is None:
-                break  # no pair left: early stop
-            l, r, c = best["l"], best["r"], int(best["c"])
-            self._register(rank, start, l, r, c)
-            rank += 1
-            if rank == self.num_merges:
-                break
-            pattern = f"{l} {r}" if self.mode == "reference" else f" {l}  {r} "
-            hit = F.col("sym").contains(pattern)
-            merged = merge_pair(F.col("sym"), l, r, self.mode)
-            nxt = (words.withColumn("_hit", hit)
-                   .withColumn("sym", F.when(F.col("_hit"), merged).otherwise(F.col("sym")))
-                   .withColumn("syms", F.when(F.col("_hit"), _symbols(F.col("sym"), self.mode))
-                               .otherwise(F.col("syms")))
-                   .drop("_hit")
-                   .where(F.size("syms") > 1))
-            if self.checkpoint_every and rank % self.checkpoint_every == 0:
-                nxt = cut_lineage(nxt)
-            prev, words = words, nxt.persist()
-        words.unpersist()
-        if prev is not None:
-            prev.unpersist()
-        return self
-
     def _register(self, rank: int, start: int, l: str, r: str, c: int) -> None:
         token = l + r
-        if self.reserve_special and token in ("<PAD>", "<SOS>", "<EOS>"):
-            raise ValueError(f"merge {rank} would spell special token {token}")
         new_id = start + rank
         self.stoi[token] = new_id
         self.itos[new_id] = token
         self.merges.append((rank, l, r, c, new_id))
 
-    def _fit_incremental(self, df: DataFrame, col: str) -> "BPETokenizer":
-        """H1 with incremental pair counts.
-
-        Round: pick the best pair from the persisted pair table; rewrite the
+    def fit(self, df: DataFrame, col: str = "text") -> "BPETokenizer":
+        """H1.  Round: pick the best pair from the persisted pair table; rewrite the
         words (narrow); recount pairs only for the words that held the merged
         pattern and fold that delta into the table.  The corpus-wide explode
         and aggregation happen once, not once per merge.
         """
         start = len(self)
         space = " " if self.mode == "reference" else "  "
-        words = df if col is None else word_table(df, col, self.mode).select("sym", "freq", "seen")
+        words = word_table(df, col, self.mode).select("sym", "freq", "seen")
         words = words.where(F.col("sym").contains(space)).persist()
         pairs = pair_stats(words, self.mode).persist()
+        if self.reserve_special:  # a refused pair never wins; other pairs go on
+            pairs = pairs.where(~F.concat("l", "r").isin(*SPECIALS))
         keep: list[list[DataFrame]] = []
         rank = 0
         while rank < self.num_merges:
@@ -318,6 +258,8 @@ class BPETokenizer(Tokenizer):
             old = words.where(hit)
             new = old.withColumn("sym", merge_pair(F.col("sym"), l, r, self.mode))
             delta = pair_delta(old, new, self.mode)
+            if self.reserve_special:
+                delta = delta.where(~F.concat("l", "r").isin(*SPECIALS))
             nxt_pairs = apply_delta(pairs, delta)
             nxt_words = (words.withColumn("sym", F.when(hit, merge_pair(F.col("sym"), l, r, self.mode))
                                           .otherwise(F.col("sym")))
@@ -375,24 +317,30 @@ class BPETokenizer(Tokenizer):
 
     def _encode_distinct(self, df, col, out, on_oov):
         bc = df.sparkSession.sparkContext.broadcast(dict(self.stoi))
-        key = self.fingerprint()
         runs = df.select("doc_id", F.posexplode(
             F.regexp_extract_all(F.col(col), F.lit(f"({TX.WS}|[^{TX.WS_CLASS}]+)"), 1)).alias("k", "run"))
 
         @F.pandas_udf(T.ArrayType(T.IntegerType()))
         def _enc(rs):
-            enc = _worker_encoder(bc, key)
-            return rs.map(enc.run_ids)
-        distinct = runs.select("run").distinct().withColumn("ids", _enc(F.col("run")))
+            from tokenmill.operators.bpe_kernel import RunEncoder
+            return rs.map(RunEncoder(bc.value).solve)  # each run comes once: nothing to remember
+        # A run of one character (every space is one: half of all runs) is its own
+        # token; its id is closed-form, so only longer runs meet in the join.
+        single = F.length("run") == 1
+        long_runs = runs.where(~single)
+        distinct = long_runs.select("run").distinct().withColumn("ids", _enc(F.col("run")))
+        joined = (long_runs.join(distinct, "run").select("doc_id", "k", "ids")
+                  .unionByName(runs.where(single).select(
+                      "doc_id", "k", A.char_encode(F.col("run"), "null").alias("ids"))))
         if on_oov == "fail":
-            distinct = distinct.withColumn("ids", F.coalesce(
-                F.col("ids"), A.raise_oov("bpe").cast("array<int>")))
-        joined = runs.join(distinct, "run")
+            joined = joined.withColumn("ids", F.coalesce(F.col("ids"), A.raise_oov("bpe").cast("array<int>")))
         per_doc = joined.groupBy("doc_id").agg(
+            F.max(F.col("ids").isNull()).alias("_oov"),
             F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("k", "ids"))),
                                   lambda s: s["ids"])).alias(out))
         base = df.join(per_doc, "doc_id", "left")
-        return base.withColumn(out, F.coalesce(F.col(out), F.array().cast("array<int>")))
+        whole = F.when(F.col("_oov").isNull(), F.array().cast("array<int>")).when(~F.col("_oov"), F.col(out))
+        return base.withColumn(out, F.when(F.col(col).isNotNull(), whole)).drop("_oov")
 
 
 _ENCODERS: dict[str, object] = {}

@@ -96,24 +96,38 @@ def tokenize_text(text: str, stoi: dict[str, int]) -> list[str]:
     return out
 
 
+#: The memo holds so many characters of runs (about 25 bytes each with their
+#: ids), and no run longer than this: long runs are documents, which rarely repeat.
+MEMO_CHARS = 2_000_000
+MEMO_RUN = 64
+
+
 class RunEncoder:
-    """Encodes texts run by run with a bounded per-process memo of runs."""
+    """Encodes texts run by run; a memo of short runs bounded by characters."""
 
-    def __init__(self, stoi: dict[str, int], max_memo: int = 500_000) -> None:
+    def __init__(self, stoi: dict[str, int], memo_chars: int = MEMO_CHARS) -> None:
         self.stoi = stoi
         self.memo: dict[str, list[int] | None] = {}
-        self.max_memo = max_memo
+        self.memo_chars = memo_chars
+        self.held = 0
+
+    def solve(self, run: str) -> list[int] | None:
+        try:
+            return [self.stoi[t] for t in tokenize_run(run, self.stoi)]
+        except KeyError:
+            return None
 
     def run_ids(self, run: str) -> list[int] | None:
+        if len(run) > MEMO_RUN:
+            return self.solve(run)
         got = self.memo.get(run, False)
         if got is not False:
             return got
-        try:
-            ids = [self.stoi[t] for t in tokenize_run(run, self.stoi)]
-        except KeyError:
-            ids = None
-        if len(self.memo) >= self.max_memo:
+        ids = self.solve(run)
+        self.held += len(run)
+        if self.held > self.memo_chars:
             self.memo.clear()
+            self.held = len(run)
         self.memo[run] = ids
         return ids
 

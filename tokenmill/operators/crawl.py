@@ -22,12 +22,11 @@ def link_terms(pages: DataFrame) -> DataFrame:
 
 
 def link_edges(pages: DataFrame) -> DataFrame:
-    """A link term points at every page whose title's first word equals
-    it (case-insensitive).  Distinct (src, dst); equi-join on the term, so the
-    shuffle is keyed by term and AQE splits a hot term."""
-    keys = pages.select(F.col("page_id").alias("dst"), F.col("title_key").alias("term")).distinct()
-    # distinct (src, term) first: the join then emits each edge at most once
-    # per matching term, so its output is bounded by the edge relation itself
+    """A link term resolves to one page, as a title lookup does: the
+    smallest page_id whose title's first word equals it (case-insensitive).
+    Distinct (src, dst), never more rows than links; equi-join on the term,
+    so the shuffle is keyed by term and AQE splits a hot term."""
+    keys = pages.groupBy(F.col("title_key").alias("term")).agg(F.min("page_id").alias("dst"))
     return link_terms(pages).distinct().join(keys, "term").select("src", "dst").distinct()
 
 
@@ -63,79 +62,76 @@ def crawl_depth(edges: DataFrame, start: DataFrame, checkpoint_every: int = 3,
     """Breadth-first depth of every page reachable from ``start``
     (column ``page_id``).  Each round joins only the newest frontier with
     the edges and anti-joins everything visited."""
-    spark = edges.sparkSession
     e = edges.persist()
     visited = start.select("page_id", F.lit(0).cast("long").alias("depth")).distinct().persist()
     frontier = visited
+    rounds = [visited]
     depth = 0
     while True:
         depth += 1
         nxt = (frontier.join(e, frontier.page_id == e.src).select(F.col("dst").alias("page_id"))
                .distinct().join(visited.select("page_id"), "page_id", "left_anti")
                .select("page_id", F.lit(depth).cast("long").alias("depth")))
-        nxt = cut_lineage(nxt) if depth % checkpoint_every == 0 else nxt.persist()
+        if depth % checkpoint_every == 0:
+            nxt = cut_lineage(nxt)
+        else:
+            rounds.append(nxt.persist())
+            nxt = rounds[-1]
         if nxt.isEmpty() or (max_rounds is not None and depth >= max_rounds):
             break
         visited = visited.unionByName(nxt)
         if depth % checkpoint_every == 0:
             visited = cut_lineage(visited)
         frontier = nxt
-    e.unpersist()
+    visited = cut_lineage(visited)
+    for r in [e, *rounds]:
+        r.unpersist()
     return visited
 
 
-def crawl(pages: DataFrame, edges: DataFrame, start_page: int, n_pages: int,
-          sample_size: int = 100, seed: str = "0", revisit: bool = False,
-          checkpoint_every: int = 3) -> tuple[DataFrame, DataFrame]:
-    """Sampled frontier crawl.
+def crawl_log(edges: DataFrame, start_page: int, n_pages: int, sample_size: int = 100, seed: str = "0",
+              revisit: bool = False) -> DataFrame:
+    """C1's fetch log (round, ord, page_id): which pages a sampled crawl takes.
 
     Each round samples ``min(sample_size, |frontier|, n_pages - collected)``
-    page ids, removes them from the frontier, fetches them (join with the
-    page table), appends the records and adds their out-links.  With
-    ``revisit=True`` a fetched page can re-enter the frontier (upstream has
-    no visited set, Q10); by default fetched pages are excluded.  Ends at
-    ``n_pages`` records or an empty frontier, then dedups by title (A4).
-
-    Returns (deduplicated records, raw fetch log with ``round`` and ``ord``).
+    page ids (in sample order, which numbers them), removes them from the
+    frontier and adds their out-links.  With ``revisit=True`` a fetched page
+    can re-enter the frontier (upstream has no visited set, Q10); by default
+    fetched pages are excluded.  Ends at ``n_pages`` or an empty frontier.
+
+    The loop works on ids and the edge table alone.  The ids of one sample
+    (at most ``sample_size``) pass through the driver, and the log of at most
+    ``n_pages`` ids, both parameters; frontiers stay distributed.
     """
-    spark = pages.sparkSession
-    e = edges.persist()
-    frontier = spark.createDataFrame([(start_page,)], "page_id long")
-    fetched = None
-    samples: list[DataFrame] = []
-    collected, round_no = 0, 0
-    while collected < n_pages:
-        size = frontier.count()
-        if size == 0:
+    spark = edges.sparkSession
+    ids = "page_id long"
+    e = edges.select("src", "dst").persist()
+    frontier = spark.createDataFrame([(start_page,)], ids)
+    log: list[tuple[int, int, int]] = []
+    round_no = 0
+    while len(log) < n_pages:
+        sample = [r["page_id"] for r in sample_frontier(
+            frontier, "page_id", min(sample_size, n_pages - len(log)), seed, round_no).collect()]
+        if not sample:
             break
-        k = min(sample_size, size, n_pages - collected)
-        sample = sample_frontier(frontier, "page_id", k, seed, round_no).persist()
-        samples.append(sample)
-        got = (sample.join(pages, "page_id")
-               .withColumn("round", F.lit(round_no).cast("long"))
-               .withColumn("ord", F.lit(collected).cast("long")
-                           + F.row_number().over(_in_round()) - 1))
-        fetched = got if fetched is None else fetched.unionByName(got)
-        collected += got.count()
-        new = got.join(e, got.page_id == e.src).select(F.col("dst").alias("page_id"))
-        frontier = frontier_union(frontier_except(frontier, sample, ["page_id"]), new)
+        log += [(round_no, len(log) + i, p) for i, p in enumerate(sample)]
+        taken = spark.createDataFrame([(p,) for p in sample], ids)
+        new = e.join(F.broadcast(taken), e.src == F.col("page_id")).select(F.col("dst").alias("page_id"))
+        frontier = frontier_union(frontier_except(frontier, taken, ["page_id"]), new)
         if not revisit:
-            frontier = frontier_except(frontier, fetched.select("page_id"), ["page_id"])
+            seen = spark.createDataFrame([(p,) for p in sorted({p for _, _, p in log})], ids)
+            frontier = frontier_except(frontier, seen, ["page_id"])
+        frontier = cut_lineage(frontier)
         round_no += 1
-        if round_no % checkpoint_every == 0:
-            frontier = cut_lineage(frontier)
-            fetched = cut_lineage(fetched)
-            for smp in samples:  # no longer in any live lineage
-                smp.unpersist()
-            samples = []
-    if fetched is None:
-        fetched = pages.limit(0).withColumn("round", F.lit(0).cast("long")).withColumn(
-            "ord", F.lit(0).cast("long"))
     e.unpersist()
-    return dedup_title(fetched, "ord"), fetched
+    return spark.createDataFrame(log, "round long, ord long, page_id long")
 
 
-def _in_round():
-    from pyspark.sql import Window
-    # a round fetches at most sample_size pages: a bounded single window
-    return Window.orderBy("page_id")
+def crawl(pages: DataFrame, edges: DataFrame, start_page: int, n_pages: int, sample_size: int = 100,
+          seed: str = "0", revisit: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Sampled frontier crawl.  One join fetches all logged pages (U3),
+    then titles are deduplicated (A4).  Returns (deduplicated records, fetched
+    records with ``round`` and ``ord``)."""
+    log = crawl_log(edges, start_page, n_pages, sample_size, seed, revisit)
+    fetched = pages.join(F.broadcast(log), "page_id")  # at most n_pages rows
+    return dedup_title(fetched, "ord"), fetched

@@ -7,9 +7,9 @@ upstream model's data path, not the same predictions.
 
 Scale notes: transition counts are partially aggregated before the shuffle
 (the PAD->PAD pair is the hottest key by far); a context's distribution is
-bounded by the vocabulary, so per-context windows stay small; the model
-table reaches tasks through a join, broadcast only when its row count (known
-from the fit) is under a fixed bound.
+bounded by the vocabulary, so per-context windows stay small; the model is
+a table (one row a context for decoding) that rows reach through equi-joins,
+whose strategy Spark picks from its size.
 """
 
 from __future__ import annotations
@@ -21,10 +21,9 @@ from pyspark.sql import functions as F
 
 from tokenmill.functions import arrays as A
 from tokenmill.functions.vocab import EOS_ID, PAD_ID, SOS_ID
-from tokenmill.session import cut_lineage
+from tokenmill.session import cut_lineage, materialize
 
 EXCLUDED = (SOS_ID, PAD_ID)  # never generated (upstream zeroes them)
-MAX_BROADCAST_ROWS = 2_000_000
 
 
 def _ctx_key(seq: Column, t: Column, order: int) -> Column:
@@ -53,17 +52,16 @@ def transitions(framed: DataFrame, order: int = 2, col: str = "encoded",
 def next_token_probs(trans: DataFrame, excluded=EXCLUDED) -> DataFrame:
     """M2: p(next | ctx) with excluded ids removed and the rest renormalised.
 
-    Also ``cum_lo``/``cum_hi``: the next token's slice of [0, 1) in id order
+    Also ``hi`` and ``n``: the running count in id order and the context's
+    total, whole numbers, so the slices [hi - c, hi) of [0, n) have no gaps
     (inverse-CDF sampling, M3).  The window is per context, so its size is
     bounded by the vocabulary.
     """
     t = trans.where(~F.col("next").isin(list(excluded)))
     w = Window.partitionBy("ctx")
     wc = Window.partitionBy("ctx").orderBy("next").rowsBetween(Window.unboundedPreceding, 0)
-    tot = F.sum("c").over(w)
-    return (t.withColumn("p", F.col("c") / tot)
-            .withColumn("cum_hi", F.sum("c").over(wc) / tot)
-            .withColumn("cum_lo", F.col("cum_hi") - F.col("p")))
+    return (t.withColumn("n", F.sum("c").over(w)).withColumn("p", F.col("c") / F.col("n"))
+            .withColumn("hi", F.sum("c").over(wc)))
 
 
 def greedy_table(probs: DataFrame) -> DataFrame:
@@ -71,226 +69,119 @@ def greedy_table(probs: DataFrame) -> DataFrame:
     return probs.groupBy("ctx").agg(F.min_by("next", F.struct(-F.col("c"), F.col("next"))).alias("next"))
 
 
+def context_table(probs: DataFrame) -> DataFrame:
+    """One row per context: its total, next ids in id order with their running
+    counts (arrays no longer than the vocabulary), and the arg-max."""
+    row = F.sort_array(F.collect_list(F.struct("next", "hi")))
+    return (probs.groupBy("ctx").agg(F.max("n").alias("n"), row.alias("r"),
+                                     F.min_by("next", F.struct(-F.col("c"), F.col("next"))).alias("greedy"))
+            .select("ctx", "n", F.col("r.next").alias("nexts"), F.col("r.hi").alias("his"), "greedy"))
+
+
 @dataclass(frozen=True)
 class Model:
-    probs: DataFrame       # ctx, next, c, p, cum_lo, cum_hi
-    greedy: DataFrame      # ctx, next
-    fallback_greedy: int   # arg-max of the context-free distribution
-    n_rows: int
+    probs: DataFrame     # ctx, next, c, n, p, hi
+    contexts: DataFrame  # ctx, n, nexts, his, greedy; '' is the context-free row
 
 
 def fit(framed: DataFrame, order: int = 2, excluded=EXCLUDED) -> Model:
     """Fit the count model.  Unseen contexts back off to the context-free
-    distribution (all targets), stored under the empty context ''."""
-    trans = transitions(framed, order).persist()
+    distribution (all targets), stored under the empty context ''; without
+    any training target that row generates EOS."""
+    trans = materialize(transitions(framed, order), "transitions")
     uni = trans.groupBy("next").agg(F.sum("c").alias("c")).select(F.lit("").alias("ctx"), "next", "c")
-    probs = next_token_probs(trans.unionByName(uni), excluded).persist()
-    n_rows = probs.count()
-    greedy = greedy_table(probs).persist()
-    fb = greedy.where(F.col("ctx") == "").collect()
-    return Model(probs, greedy, int(fb[0]["next"]) if fb else EOS_ID, n_rows)
-
-
-def _maybe_broadcast(df: DataFrame, n_rows: int) -> DataFrame:
-    return F.broadcast(df) if n_rows <= MAX_BROADCAST_ROWS else df
-
-
-def _uniform(seed: str, row_key: Column, step: Column) -> Column:
-    """Seeded uniform in [0, 1) from xxhash64 of (seed, row, step)."""
-    h = F.xxhash64(F.lit(seed), row_key, step)
-    return (F.pmod(h, F.lit(1 << 52)).cast("double")) / float(1 << 52)
-
-
-def draw_next(rows: DataFrame, model: Model, seed: str, step: int,
-              n_buckets: int = 1024) -> DataFrame:
-    """M3: one categorical draw per row (columns ``rid``, ``ctx``).
-
-    Inverse CDF as an equi-join on (ctx, bucket): each token's [cum_lo,
-    cum_hi) slice is listed under the ``n_buckets`` buckets it overlaps, a row
-    looks only at the bucket of its uniform draw, and the interval test picks
-    the token.  Rows whose context is unseen use the '' context.
-    """
-    known = model.probs.select("ctx").distinct()
-    r = rows.join(_maybe_broadcast(known.withColumn("_k", F.lit(True)), model.n_rows), "ctx", "left")
-    r = r.withColumn("ctx", F.when(F.col("_k"), F.col("ctx")).otherwise(F.lit(""))).drop("_k")
-    r = r.withColumn("_u", _uniform(seed, F.col("rid"), F.lit(step)))
-    r = r.withColumn("_b", F.least(F.floor(F.col("_u") * n_buckets), F.lit(n_buckets - 1)).cast("int"))
-    lo = F.floor(F.col("cum_lo") * n_buckets).cast("int")
-    hi = F.least(F.ceil(F.col("cum_hi") * n_buckets) - 1, F.lit(n_buckets - 1)).cast("int")
-    iv = model.probs.select("ctx", "next", "cum_lo", "cum_hi",
-                            F.explode(F.sequence(lo, F.greatest(lo, hi))).alias("_b"))
-    j = r.join(iv, ["ctx", "_b"]).where((F.col("_u") >= F.col("cum_lo")) & (F.col("_u") < F.col("cum_hi")))
-    # rounding at the top edge: keep the largest-id candidate as a guard
-    return j.groupBy("rid").agg(F.max("next").alias("next"))
-
-
-MAX_ARRAY_MODEL_ROWS = 200_000
-
-
-def _array_model(model: Model):
-    """Bigram model as constant arrays indexed by context id (bounded by the
-    row count checked by the caller): greedy next, and per context the next
-    ids with their cumulative upper bounds."""
-    rows = model.probs.select("ctx", "next", "cum_hi").collect()
-    greedy = {r["ctx"]: r["next"] for r in model.greedy.collect()}
-    per: dict[str, list] = {}
-    for r in rows:
-        per.setdefault(r["ctx"], []).append((r["next"], r["cum_hi"]))
-    ids = [int(k) for k in per if k != ""] + [int(k) for k in greedy if k != ""]
-    top = max(ids) if ids else 0
-    g = [greedy.get(str(i)) for i in range(top + 1)]
-    nexts, cums = [], []
-    for i in range(top + 1):
-        lst = sorted(per.get(str(i), []))
-        nexts.append([n for n, _ in lst] or None)
-        cums.append([c for _, c in lst] or None)
-    fb = sorted(per.get("", []))
-    return g, nexts, cums, [n for n, _ in fb], [c for _, c in fb]
-
-
-def _greedy_paths(g: list, fallback: int, max_new_tokens: int) -> tuple[list, list]:
-    """Greedy bigram continuation of every possible last token (and of an
-    unseen one): a function of the last token alone, computed on the model
-    table (bounded by the vocabulary and the size check), not on the data."""
-    def walk(first: int | None, start_from_fallback: bool) -> list[int]:
-        out: list[int] = []
-        cur = first
-        for _ in range(max_new_tokens):
-            nx = fallback if start_from_fallback and not out and cur is None else (
-                g[cur] if cur is not None and 0 <= cur < len(g) and g[cur] is not None else fallback)
-            if nx == EOS_ID:
-                break
-            out.append(nx)
-            cur = nx
-        return out
-    return [walk(t, False) for t in range(len(g))], walk(None, True)
-
-
-def _sample_fold(prompts: DataFrame, start: Column, nexts: list, cums: list, fb_n: list,
-                 fb_c: list, max_new_tokens: int, seed: str) -> DataFrame:
-    """Sampled bigram decoding as one ``aggregate`` fold over the step index:
-    every row runs its own ``max_new_tokens`` draws inside one projection (no
-    driver loop, no per-step plan).  Draw ``u`` = xxhash64(seed, rid, step),
-    the same as the step-by-step path."""
-    n_arr = F.array(*[F.lit(v).cast("array<int>") if v else F.lit(None).cast("array<int>")
-                      for v in nexts])
-    c_arr = F.array(*[F.lit(v).cast("array<double>") if v else F.lit(None).cast("array<double>")
-                      for v in cums])
-    fb_narr = F.lit(fb_n).cast("array<int>")
-    fb_carr = F.lit(fb_c).cast("array<double>")
-
-    def step(acc: Column, st: Column) -> Column:
-        last = F.element_at(acc["ids"], -1) + 1
-        ns = F.coalesce(F.try_element_at(n_arr, last), fb_narr)
-        cs = F.coalesce(F.try_element_at(c_arr, last), fb_carr)
-        u = _uniform(seed, F.col("rid"), st)
-        nx = F.element_at(ns, F.least(F.size(F.filter(cs, lambda c: c <= u)) + 1, F.size(ns)))
-        stop = acc["done"] | (nx == EOS_ID)
-        return F.struct(F.when(stop, acc["ids"]).otherwise(F.concat(acc["ids"], F.array(nx))).alias("ids"),
-                        F.when(stop, acc["n_new"]).otherwise(acc["n_new"] + 1).alias("n_new"),
-                        stop.alias("done"))
-    init = F.struct(start.alias("ids"), F.lit(0).alias("n_new"), F.lit(False).alias("done"))
-    out = F.aggregate(F.sequence(F.lit(0), F.lit(max_new_tokens - 1)), init, step)
-    return prompts.select("rid", out.alias("_g")).select("rid", "_g.ids", "_g.n_new")
-
-
-def _generate_arrays(prompts: DataFrame, model: Model, max_new_tokens: int, mode: str,
-                     seed: str, checkpoint_every: int, fold: bool = True) -> DataFrame:
-    """Bigram fast path: every step is one projection (no join, no shuffle);
-    finished rows carry a ``done`` flag and stop changing."""
-    g, nexts, cums, fb_n, fb_c = _array_model(model)
-    start = F.when(F.size("ids") == 0, F.array(F.lit(SOS_ID))).otherwise(F.col("ids"))
-    if mode == "greedy":
-        # one projection: prompt ++ continuation of its last token
-        paths, unseen = _greedy_paths(g, model.fallback_greedy, max_new_tokens)
-        p_arr = F.array(*[F.lit(p).cast("array<int>") for p in paths])
-        cont = F.coalesce(F.try_element_at(p_arr, F.element_at(start, -1) + 1),
-                          F.lit(unseen).cast("array<int>"))
-        return prompts.select("rid", F.concat(start, cont).alias("ids"),
-                              F.size(cont).alias("n_new"))
-    g_arr = F.array(*[F.lit(v) for v in g]).cast("array<int>")
-    if mode == "sample" and fold:
-        return _sample_fold(prompts, start, nexts, cums, fb_n, fb_c, max_new_tokens, seed)
-    n_arr = F.array(*[F.lit(v).cast("array<int>") if v else F.lit(None).cast("array<int>")
-                      for v in nexts])
-    c_arr = F.array(*[F.lit(v).cast("array<double>") if v else F.lit(None).cast("array<double>")
-                      for v in cums])
-    fb_narr = F.lit(fb_n).cast("array<int>")
-    fb_carr = F.lit(fb_c).cast("array<double>")
-    cur = prompts.select("rid", F.when(F.size("ids") == 0, F.array(F.lit(SOS_ID)))
-                         .otherwise(F.col("ids")).alias("ids"),
-                         F.lit(0).alias("n_new"), F.lit(False).alias("done"))
-    for step in range(max_new_tokens):
-        last = F.element_at("ids", -1) + 1
-        if mode == "greedy":
-            nx = F.coalesce(F.try_element_at(g_arr, last), F.lit(model.fallback_greedy))
-        else:
-            ns = F.coalesce(F.try_element_at(n_arr, last), fb_narr)
-            cs = F.coalesce(F.try_element_at(c_arr, last), fb_carr)
-            u = _uniform(seed, F.col("rid"), F.lit(step))
-            k = F.least(F.size(F.filter(cs, lambda c: c <= u)) + 1, F.size(ns))
-            nx = F.element_at(ns, k)
-        cur = cur.withColumn("_nx", nx)
-        stop = F.col("done") | (F.col("_nx") == EOS_ID)
-        cur = cur.select("rid",
-                         F.when(stop, F.col("ids")).otherwise(A.append(F.col("ids"), F.col("_nx"))).alias("ids"),
-                         F.when(stop, F.col("n_new")).otherwise(F.col("n_new") + 1).alias("n_new"),
-                         stop.alias("done"))
-        if (step + 1) % checkpoint_every == 0:
-            cur = cut_lineage(cur)
-            if cur.where(~F.col("done")).isEmpty():
-                break
-    return cur.drop("done")
+    probs = materialize(next_token_probs(trans.unionByName(uni), excluded), "probs")
+    contexts = context_table(probs)
+    if probs.isEmpty():
+        contexts = contexts.unionByName(framed.sparkSession.range(1).select(
+            F.lit("").alias("ctx"), F.lit(1).cast("long").alias("n"), F.array(F.lit(EOS_ID)).alias("nexts"),
+            F.array(F.lit(1).cast("long")).alias("his"), F.lit(EOS_ID).alias("greedy")))
+    return Model(probs, materialize(contexts, "contexts"))
+
+
+def _draw(seed: str, row_key: Column, step: Column, n: Column) -> Column:
+    """Seeded whole number in [0, n): 48 bits of md5(seed:row:step), mod n."""
+    key = F.concat_ws(":", F.lit(seed), row_key.cast("string"), step.cast("string"))
+    return F.conv(F.substring(F.md5(key), 1, 12), 16, 10).cast("long") % n
+
+
+def _with_context(rows: DataFrame, model: Model) -> DataFrame:
+    """Each row (column ``ctx``) with its context's row, or the '' row if the
+    context was never seen.  One row a context, so rows never multiply."""
+    known = model.contexts
+    rest = model.contexts.where(F.col("ctx") == "").select(*[F.col(c).alias(f"_{c}") for c in known.columns])
+    j = rows.join(known, "ctx", "left").join(F.broadcast(rest), F.col("_ctx") == "", "left")  # one row
+    return j.select(*rows.columns, *[F.coalesce(c, f"_{c}").alias(c) for c in ("n", "nexts", "his", "greedy")])
+
+
+def draw_next(rows: DataFrame, model: Model, seed: str, step: Column | int) -> DataFrame:
+    """M3: one categorical draw per row (columns ``rid``, ``ctx``): the first
+    next id whose running count exceeds the draw.  Adds ``next``."""
+    step = F.lit(step) if isinstance(step, int) else step
+    j = _with_context(rows, model).withColumn("_u", _draw(seed, F.col("rid"), step, F.col("n")))
+    at = F.size(F.filter("his", lambda h: h <= F.col("_u"))) + 1
+    return j.withColumn("next", F.element_at("nexts", at)).drop("n", "nexts", "his", "greedy", "_u")
+
+
+def greedy_paths(model: Model, max_new_tokens: int) -> DataFrame:
+    """(state, path): the greedy bigram continuation of every last token, up to
+    EOS, by doubling: a path of 2**k tokens goes on with the path of its last
+    token.  One small join a round; the state '' stands for unseen tokens."""
+    states = model.contexts.select(F.col("ctx").alias("state")).union(
+        model.contexts.select(F.col("greedy").cast("string"))).distinct()
+    nxt = _with_context(states.withColumn("ctx", F.col("state")), model).select("state", "greedy")
+    over = F.col("greedy") == EOS_ID
+    paths = materialize(nxt.select("state", F.when(over, F.array().cast("array<int>")).otherwise(
+        F.array("greedy")).alias("path"), over.alias("over")), "paths")
+    length = 1
+    while length < max_new_tokens:
+        more = paths.select(F.col("state").alias("last"), F.col("path").alias("tail"), F.col("over").alias("tail_over"))
+        last = F.when(~F.col("over"), F.element_at("path", -1).cast("string"))
+        paths = materialize(paths.withColumn("last", last).join(more, "last", "left").select(
+            "state", F.when(F.col("over"), F.col("path")).otherwise(F.concat("path", "tail")).alias("path"),
+            (F.col("over") | F.col("tail_over")).alias("over")), "paths")
+        length *= 2
+    return paths.select("state", F.slice("path", 1, max_new_tokens).alias("path"))
 
 
 def generate(prompts: DataFrame, model: Model, order: int = 2, max_new_tokens: int = 100,
              mode: str = "greedy", seed: str = "0", context_length: int = 1024,
-             checkpoint_every: int = 25) -> DataFrame:
+             checkpoint_every: int = 20) -> DataFrame:
     """M4: complete every prompt (columns ``rid``, ``ids``) up to
     ``max_new_tokens``; stop at EOS (not emitted).  Output keeps the prompt.
 
-    Each step: W7 crop -> context key -> join model -> draw -> G9 append.
-    Finished rows leave the active set; an empty prompt starts from SOS (Q14).
-    A bigram model under ``MAX_ARRAY_MODEL_ROWS`` rows (counted at fit time)
-    runs as constant arrays instead of a join per step.
+    Greedy bigram completion is one join with :func:`greedy_paths`.  Otherwise
+    each step is W7 crop -> context key -> join with the context table -> draw
+    or arg-max -> G9 append; lineage is cut every few steps and the loop ends
+    when all rows are done.  An empty prompt starts from SOS (Q14).  The model
+    stays a table throughout.
     """
-    if order == 2 and model.n_rows <= MAX_ARRAY_MODEL_ROWS:
-        return _generate_arrays(prompts, model, max_new_tokens, mode, seed, checkpoint_every)
-    cur = prompts.select("rid", F.when(F.size("ids") == 0, F.array(F.lit(SOS_ID)))
-                         .otherwise(F.col("ids")).alias("ids"),
-                         F.lit(0).alias("n_new"))
-    done: DataFrame | None = None
-    parts: list[DataFrame] = []
-    cached: list[DataFrame] = []
+    if mode not in ("greedy", "sample"):
+        raise ValueError("mode must be 'greedy' or 'sample'")
+    start = prompts.select("rid", F.when(F.size("ids") == 0, F.array(F.lit(SOS_ID))).otherwise(F.col("ids")).alias("ids"))
+    if mode == "greedy" and order == 2:
+        paths = greedy_paths(model, max_new_tokens)
+        unseen = paths.where(F.col("state") == "").select(F.col("path").alias("_path"), F.col("state").alias("_state"))
+        j = (start.withColumn("state", F.element_at("ids", -1).cast("string")).join(paths, "state", "left")
+             .join(F.broadcast(unseen), F.col("_state") == "", "left"))  # one row
+        more = F.coalesce("path", "_path")
+        return j.select("rid", F.concat("ids", more).alias("ids"), F.size(more).alias("n_new"))
+    cur = start.withColumn("n_new", F.lit(0)).withColumn("done", F.lit(False))
     for step in range(max_new_tokens):
         ctx_ids = A.keep_last(F.col("ids"), context_length)
         act = cur.withColumn("ctx", _ctx_key(ctx_ids, F.size(ctx_ids) - 1, order))
         if mode == "greedy":
-            known = act.join(_maybe_broadcast(model.greedy, model.n_rows), "ctx", "left")
-            nxt = known.withColumn("next", F.coalesce("next", F.lit(model.fallback_greedy)))
+            act = _with_context(act, model).withColumn("next", F.col("greedy"))
         else:
-            drawn = draw_next(act.select("rid", "ctx"), model, seed, step)
-            nxt = act.join(drawn, "rid")
-        # one step result feeds two branches: keep it so neither recomputes it
-        nxt = nxt.select("rid", "ids", "n_new", "next").persist()
-        cached.append(nxt)
-        parts.append(nxt.where(F.col("next") == EOS_ID).select("rid", "ids", "n_new"))
-        cur = nxt.where(F.col("next") != EOS_ID).select(
-            "rid", A.append(F.col("ids"), F.col("next")).alias("ids"), (F.col("n_new") + 1).alias("n_new"))
-        if (step + 1) % checkpoint_every == 0 or step + 1 == max_new_tokens:
+            act = draw_next(act, model, seed, step)
+        stop = F.col("done") | (F.col("next") == EOS_ID)
+        cur = act.select("rid", F.when(stop, F.col("ids")).otherwise(A.append(F.col("ids"), F.col("next"))).alias("ids"),
+                         (F.col("n_new") + F.when(stop, 0).otherwise(1)).alias("n_new"), stop.alias("done"))
+        if (step + 1) % checkpoint_every == 0:
             cur = cut_lineage(cur)
-            for part in parts:
-                done = part if done is None else done.unionByName(part)
-            done = cut_lineage(done)
-            parts = []
-            for c in cached:
-                c.unpersist()
-            cached = []
-            if cur.isEmpty():
+            if cur.where(~F.col("done")).isEmpty():
                 break
-    for part in parts:
-        done = part if done is None else done.unionByName(part)
-    return cur if done is None else done.unionByName(cur)
+    return cur.drop("done")
 
 
 def sequence_losses(framed: DataFrame, model_trans: DataFrame, vocab_size: int,
@@ -301,34 +192,31 @@ def sequence_losses(framed: DataFrame, model_trans: DataFrame, vocab_size: int,
     x, y = A.shift_inputs(F.col(col)), A.shift_targets(F.col(col))
     pos = framed.select("doc_id", F.explode(F.arrays_zip(x.alias("x"), y.alias("y"))).alias("p")).select(
         "doc_id", F.col("p.x").cast("string").alias("ctx"), F.col("p.y").alias("next"))
-    # The position table is the big, skewed side (PAD->PAD alone can be a third
-    # of it); the model side is counted and broadcast under a fixed bound, so
-    # the hot key never concentrates in one shuffle partition.
-    trans = model_trans.persist()
-    n_model = trans.count()
-    ctx_tot = trans.groupBy("ctx").agg(F.sum("c").alias("n_ctx"))
-    j = (pos.join(_maybe_broadcast(trans, n_model), ["ctx", "next"], "left")
-         .join(_maybe_broadcast(ctx_tot, n_model), "ctx", "left")
+    # Counted by (document, ctx, next) before the join: PAD->PAD is one row a
+    # document, and the counting is combined map-side.
+    pos = pos.groupBy("doc_id", "ctx", "next").agg(F.count(F.lit(1)).alias("times"))
+    ctx_tot = model_trans.groupBy("ctx").agg(F.sum("c").alias("n_ctx"))
+    j = (pos.join(model_trans, ["ctx", "next"], "left").join(ctx_tot, "ctx", "left")
          .withColumn("lp", F.log((F.coalesce("c", F.lit(0)) + k) /
                                  (F.coalesce("n_ctx", F.lit(0)) + k * vocab_size))))
-    return j.groupBy("doc_id").agg((-F.sum("lp")).alias("nll"), F.count(F.lit(1)).alias("n_pos"))
+    return j.groupBy("doc_id").agg((-F.sum(F.col("times") * F.col("lp"))).alias("nll"), F.sum("times").alias("n_pos"))
 
 
 def loss_report(seq_losses: DataFrame, batches: DataFrame, n_acc: int) -> tuple[DataFrame, DataFrame]:
-    """A7/A8 over one epoch's batches (``doc_id, split, batch_id``).
+    """A7/A8 over batches (``doc_id, split, epoch, batch_id``), every epoch.
 
     Returns (per-batch, summary).  Per batch: mean NLL over all its positions,
     and that mean divided by the accumulation steps (train log, A8).  Summary
-    per split: ``reference_loss`` = sum of batch means / number of examples
+    per split and epoch: ``reference_loss`` = sum of batch means / number of examples
     (upstream's test aggregation, Q9) and ``token_mean_loss`` = all NLL / all
     positions.
     """
     j = batches.join(seq_losses, "doc_id")
-    per_batch = j.groupBy("split", "batch_id").agg(
+    per_batch = j.groupBy("split", "epoch", "batch_id").agg(
         F.count(F.lit(1)).alias("n_examples"), F.sum("nll").alias("nll"), F.sum("n_pos").alias("n_pos")
     ).withColumn("batch_mean", F.col("nll") / F.col("n_pos")).withColumn(
         "scaled_loss", F.col("batch_mean") / n_acc)
-    summary = per_batch.groupBy("split").agg(
+    summary = per_batch.groupBy("split", "epoch").agg(
         F.sum("n_examples").alias("n_examples"), F.count(F.lit(1)).alias("n_batches"),
         (F.sum("batch_mean") / F.sum("n_examples")).alias("reference_loss"),
         (F.sum("nll") / F.sum("n_pos")).alias("token_mean_loss"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tokenmill.functions import arrays as A
 from tokenmill.functions import text as TX
-from tokenmill.functions.vocab import BASE_SIZE, base_stoi, char_of_id
+from tokenmill.functions.vocab import base_stoi, char_of_id
 
 
 class Tokenizer:
@@ -100,8 +100,15 @@ def oov_report(df: DataFrame, col: str, tokenizer: Tokenizer | None = None) -> D
         F.countDistinct("doc_id").cast("long").alias("documents"))
 
 
-def base_size() -> int:
-    return BASE_SIZE
+def quarantine(df: DataFrame, col: str, tokenizer: Tokenizer | None = None) -> tuple[DataFrame, DataFrame]:
+    """P8 with the quarantine policy: (rows whose characters are all in the
+    vocabulary, the others with ``n_oov``, their number of characters that are
+    not).  Both are narrow filters of the input; a NULL text is no OOV."""
+    tokenizer = tokenizer or CharacterTokenizer()
+    known = "".join(sorted(t for t in tokenizer.stoi if len(t) == 1))
+    n_oov = F.length(F.translate(F.col(col), known, ""))
+    rest = df.withColumn("n_oov", F.coalesce(n_oov, F.lit(0)).cast("long"))
+    return rest.where(F.col("n_oov") == 0).drop("n_oov"), rest.where(F.col("n_oov") > 0)
 
 
 def _encode_by_join(self: Tokenizer, df: DataFrame, col: str = "text",
@@ -111,15 +118,20 @@ def _encode_by_join(self: Tokenizer, df: DataFrame, col: str = "text",
     position.  One group per document holds exactly that document's tokens."""
     spark = df.sparkSession
     tok = self.tokenize(df.select("doc_id", col), col, "_tokens")
-    ex = tok.select("doc_id", F.posexplode("_tokens").alias("k", "token"))
-    vocab = F.broadcast(self.vocab_df(spark))
+    # posexplode_outer: a plain explode lets Catalyst infer size(tokens) > 0,
+    # push it below and run the tokenizer a second time for it
+    ex = tok.select("doc_id", F.posexplode_outer("_tokens").alias("k", "token"))
+    vocab = F.broadcast(self.vocab_df(spark))  # as large as the tokenizer
     joined = ex.join(vocab, "token", "left")
     if on_oov == "fail":
-        joined = joined.withColumn("id", F.coalesce(F.col("id"), A.raise_oov("token").cast("int")))
+        joined = joined.withColumn("id", F.when(F.col("token").isNotNull(), F.coalesce(
+            F.col("id"), A.raise_oov("token").cast("int"))))
     per_doc = joined.groupBy("doc_id").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("k", "id"))), lambda s: s["id"]).alias(out))
+        F.max((F.col("token").isNotNull() & F.col("id").isNull())).alias("_oov"),
+        F.transform(F.sort_array(F.collect_list(F.when(F.col("id").isNotNull(), F.struct("k", "id")))),
+                    lambda s: s["id"]).alias(out))
     res = df.join(per_doc, "doc_id", "left")
-    return res.withColumn(out, F.coalesce(F.col(out), F.array().cast("array<int>")))
+    return res.withColumn(out, F.when(F.col(col).isNotNull() & ~F.col("_oov"), F.col(out))).drop("_oov")
 
 
 Tokenizer.encode_by_join = _encode_by_join
@@ -131,15 +143,15 @@ def _decode_by_join(self: Tokenizer, df: DataFrame, col: str = "encoded",
     vocabulary (broadcast; tokenizer-sized), concatenate per document in
     position order.  An unknown id raises, as upstream's KeyError."""
     spark = df.sparkSession
-    ex = df.select("doc_id", F.posexplode(col).alias("k", "id"))
-    inv = F.broadcast(self.inverse_vocab_df(spark))
-    joined = ex.join(inv, "id", "left").withColumn(
-        "token", F.coalesce(F.col("token"), A.raise_oov("id").cast("string")))
-    per_doc = joined.groupBy("doc_id").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("k", "token"))),
-                                 lambda s: s["token"]), "").alias(out))
-    res = df.join(per_doc, "doc_id", "left")
-    return res.withColumn(out, F.coalesce(F.col(out), F.lit("")))
+    ex = df.select("doc_id", F.col(col).isNull().alias("_null"), F.posexplode_outer(col).alias("k", "id"))
+    inv = F.broadcast(self.inverse_vocab_df(spark))  # as large as the tokenizer
+    joined = ex.join(inv, "id", "left").withColumn("token", F.when(F.col("id").isNotNull(), F.coalesce(
+        F.col("token"), A.raise_oov("id").cast("string"))))
+    per_doc = joined.groupBy("doc_id").agg(F.max("_null").alias("_null"), F.array_join(F.transform(
+        F.sort_array(F.collect_list(F.when(F.col("id").isNotNull(), F.struct("k", "token")))),
+        lambda s: s["token"]), "").alias(out))
+    res = df.drop(col).join(per_doc, "doc_id", "left")
+    return res.withColumn(out, F.when(~F.col("_null"), F.col(out))).drop("_null")
 
 
 Tokenizer.decode_by_join = _decode_by_join

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tokenmill.functions import text as TX
 from tokenmill.operators import sequence as S
-from tokenmill.operators.batching import stream_split, train_test_split
+from tokenmill.operators.batching import stream_split
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -47,10 +47,7 @@ def prepare_summary(docs: DataFrame, tokenizer, context_length: int, ratio: floa
     """H4 + W1 + A6 counts: documents in, kept after P3, train and test sizes."""
     spark = docs.sparkSession
     n_in = docs.count()
-    prepared = S.prepare_corpus(docs, tokenizer, context_length)
-    split = train_test_split(prepared, ratio)
-    counts = split.groupBy().agg(
-        F.count(F.lit(1)).cast("long").alias("n_kept"),
-        F.sum(F.when(F.col("split") == "train", 1).otherwise(0)).cast("long").alias("n_train"),
-        F.sum(F.when(F.col("split") == "test", 1).otherwise(0)).cast("long").alias("n_test"))
-    return counts.select(F.lit(n_in).cast("long").alias("n_in"), "n_kept", "n_train", "n_test")
+    kept = S.prepare_corpus(docs, tokenizer, context_length).count()
+    train = int(ratio * kept)  # the positional split's size needs no numbering
+    return spark.range(1).select(*[F.lit(n).cast("long").alias(name) for name, n in (
+        ("n_in", n_in), ("n_kept", kept), ("n_train", train), ("n_test", kept - train))])

@@ -53,6 +53,29 @@ def ids_str(lst: str) -> str:
     return f"array_to_string(list_transform({lst}, lambda x: cast(x as varchar)), ' ')"
 
 
+def decode_ids(lst: str) -> str:
+    """Text of base-vocabulary ids."""
+    return (f"array_to_string(list_transform({lst}, lambda x: case x when 0 then '<PAD>' when 1 then '<SOS>' "
+            f"when 2 then '<EOS>' when 97 then chr(10) else chr(cast(x + case when x < 63 then 29 else 30 end as int)) end), '')")
+
+
+def crawl_log(edges_sql: str, start: int, n_pages: int, sample: int, seed: str, rounds: int) -> str:
+    """C1's loop as a chain of CTEs, ending in ``crawl(round, ord, page_id)``;
+    rounds after the crawl's end add nothing."""
+    ctes = [f"e as materialized ({edges_sql})",
+            f"log0 as materialized (select 0::bigint as round, 0::bigint as ord, {start}::bigint as page_id)",
+            f"f0 as materialized (select distinct dst as page_id from e where src = {start} and dst <> {start})"]
+    for k in range(1, rounds + 1):
+        order = f"row_number() over (order by md5(concat_ws(':', {q(seed)}, '{k}', page_id::varchar)), page_id)"
+        ctes += [f"s{k} as materialized (select * from (select page_id, {order} as i, (select count(*) from log{k - 1}) as c "
+                 f"from f{k - 1}) where i <= least({sample}, {n_pages} - c))",
+                 f"log{k} as materialized (select * from log{k - 1} union all "
+                 f"select {k}, c + i - 1, page_id from s{k})",
+                 f"f{k} as materialized ((select page_id from f{k - 1} union select dst from e where src in "
+                 f"(select page_id from s{k})) except select page_id from log{k})"]
+    return "with " + ", ".join(ctes) + f", crawl as (select * from log{rounds})"
+
+
 def frame(ids: str, n: int) -> str:
     return (f"list_concat([1], {ids}, [2], "
             f"list_transform(range({n} - len({ids}) - 1), lambda x: 0))")

@@ -24,8 +24,8 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-MAX_BROADCAST_OFFSETS = 1_000_000
+#: Rows that one block (one window partition) is sized for.
+BLOCK_ROWS = 1_000_000
 
 
 def _bucket(k: Column, bounds: list[float], lo: int, hi: int) -> Column:
@@ -46,20 +46,26 @@ def with_ordinal(df: DataFrame, bucket_key: Column, order_cols: list[Column],
     sum of ``value`` over all earlier rows of the group.
 
     Returns (DataFrame, totals) where totals maps group tuples to
-    (row count, value sum).  The input is read three times (quantiles, block
-    counts, numbering); with ``materialize_input`` it is computed once and
-    written as a Parquet table in the checkpoint folder, so the first two
-    passes scan only the key columns.
+    (row count, value sum).  Callers pass keys (and sizes), never texts or
+    token arrays: the input is read three times (quantiles, block counts,
+    numbering); with ``materialize_input`` it is computed once and written as
+    a Parquet table in the checkpoint folder.  The number of blocks follows
+    the row count.
     """
+    from pyspark.sql import types as T
+
     from tokenmill.session import materialize
     spark = df.sparkSession
     groups = list(group_cols or [])
-    blocks = n_blocks or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    kind = df.select(bucket_key.alias("k")).schema["k"].dataType
+    if not isinstance(kind, T.NumericType):
+        raise TypeError(f"the bucket key must be numeric, not {kind.simpleString()}")
     d = df.withColumn("_bk", bucket_key.cast("double"))
     val = value if value is not None else F.lit(0)
     d = d.withColumn("_val", val.cast("long"))
     if materialize_input:
         d = materialize(d, "ordinal-input")
+    blocks = n_blocks or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-d.count() // BLOCK_ROWS))
     bounds: list[float] = []
     if blocks > 1:
         qs = d.approxQuantile("_bk", [i / blocks for i in range(1, blocks)], 1.0 / (4 * blocks))
@@ -80,13 +86,10 @@ def with_ordinal(df: DataFrame, bucket_key: Column, order_cols: list[Column],
             offs.append((*g, r["_blk"], ns[i], vs[i]))
         totals[g] = (ns[-1], vs[-1])
     schema = d.select(*groups, "_blk").schema
-    from pyspark.sql import types as T
     schema = T.StructType(list(schema.fields) + [T.StructField("_on", T.LongType()),
                                                  T.StructField("_ov", T.LongType())])
-    offsets = spark.createDataFrame(offs, schema)
-    # groups x blocks rows, counted here: broadcast only below a fixed bound.
-    if len(offs) <= MAX_BROADCAST_OFFSETS:
-        offsets = F.broadcast(offsets)
+    # groups x blocks rows, one for a million rows of input; the list is here anyway
+    offsets = F.broadcast(spark.createDataFrame(offs, schema))
     w = Window.partitionBy(*groups, "_blk").orderBy(*order_cols)
     d = d.join(offsets, [*groups, "_blk"])
     d = d.withColumn(out, F.col("_on") + F.row_number().over(w) - 1)

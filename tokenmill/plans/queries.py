@@ -19,7 +19,7 @@ from tokenmill.operators import bpe as B
 from tokenmill.operators import crawl as C
 from tokenmill.operators import ngram as M
 from tokenmill.sources import pages as PG
-from tokenmill.operators.tokenizer import CharacterTokenizer, oov_report
+from tokenmill.operators.tokenizer import CharacterTokenizer, oov_report, quarantine
 from tokenmill.plans import oracle as O
 from tokenmill.sources.tables import documents
 
@@ -235,7 +235,8 @@ def _split_corpus(spark, sf):
 
 
 def q_train_test_split(spark, sf):
-    return _split_corpus(spark, sf).select("doc_id", F.col("ord").cast("long"), "split")
+    keys = W.split_keys(_framed(spark, sf), TRAIN.train_test_split_ratio)
+    return keys.select("doc_id", F.col("ord").cast("long"), "split")
 
 
 def q_stream_split(spark, sf):
@@ -245,8 +246,9 @@ def q_stream_split(spark, sf):
                     F.size("test").cast("long").alias("n_test"))
 
 
-def _batches(spark, sf):
-    return W.shuffle_batches(_split_corpus(spark, sf).drop("ord"), TRAIN)
+def _batches(spark, sf, first_epoch=1):
+    keys = W.split_keys(_framed(spark, sf), TRAIN.train_test_split_ratio)
+    return W.shuffle_batches(keys.drop("ord"), TRAIN, first_epoch=first_epoch)
 
 
 def q_shuffle_batches(spark, sf):
@@ -264,6 +266,7 @@ START_PAGE = 0
 SAMPLE_SIZE = 100      # upstream default sample size
 N_PAGES = 10_000       # upstream crawl size
 SEED = "0"
+CRAWL_SAMPLE, CRAWL_PAGES = 2, 6  # a crawl whose sample and bound both bind
 
 
 def _pages(spark, sf):
@@ -311,9 +314,26 @@ def q_frontier_sample(spark, sf):
 
 
 def q_crawl_sample(spark, sf):
+    """C1 with a sample size and page bound that bind: the records after A4."""
     p = _pages(spark, sf)
-    _, log = C.crawl(p, C.link_edges(p), START_PAGE, N_PAGES, SAMPLE_SIZE, SEED)
-    return log.select("round", "ord", "page_id", "title")
+    records, _ = C.crawl(p, C.link_edges(p), START_PAGE, CRAWL_PAGES, CRAWL_SAMPLE, SEED)
+    return records.select("title", "page_id", "summary", "round", F.col("ord").alias("last_ord"), "first_ord")
+
+
+def q_crawl_log(spark, sf):
+    """C1's fetch log with the upstream sample size and page bound."""
+    return C.crawl_log(C.link_edges(_pages(spark, sf)), START_PAGE, N_PAGES, SAMPLE_SIZE, SEED)
+
+
+def q_page_rejects(spark, sf):
+    """Pages without a readable title (Q11), which the crawl does not see."""
+    return PG.read_pages(spark, sf)[1].select("page_id", "reason")
+
+
+def q_oov_quarantine(spark, sf):
+    """Documents that hold characters outside the vocabulary, set aside."""
+    _, rejected = quarantine(documents(spark, sf), "text")
+    return rejected.select("doc_id", "n_oov")
 
 
 # --- M: next-token statistics ----------------------------------------------------
@@ -323,7 +343,7 @@ VOCAB = 98             # character tokenizer size (smoothing denominator)
 
 def _train_framed(spark, sf):
     sp = _split_corpus(spark, sf)
-    return sp.where(F.col("split") == "train").drop("ord", "split")
+    return sp.where(F.col("split") == "train").select("doc_id", "encoded")
 
 
 def q_transitions(spark, sf):
@@ -348,7 +368,8 @@ def _generate(spark, sf, mode):
     model = M.fit(_train_framed(spark, sf))
     g = M.generate(_prompts(spark, sf), model, max_new_tokens=MAX_NEW_TOKENS, mode=mode, seed=SEED)
     return g.select(F.col("rid").cast("long").alias("item_id"), F.col("n_new").cast("long"),
-                    A.ids_str(F.col("ids")).alias("completion"))
+                    A.ids_str(F.col("ids")).alias("completion"),
+                    CharacterTokenizer().decode_col(F.col("ids")).alias("text"))
 
 
 def q_generate(spark, sf):
@@ -363,20 +384,23 @@ def _losses(spark, sf):
     framed = _framed(spark, sf)
     trans = M.transitions(_train_framed(spark, sf))
     seq = M.sequence_losses(framed, trans, VOCAB)
-    ep1 = _batches(spark, sf).where(F.col("epoch") == 1).select("doc_id", "split", "batch_id")
-    return M.loss_report(seq, ep1, TRAIN.n_accumulation_steps)
+    # the test loss is also recorded before the first epoch (epoch 0)
+    batches = _batches(spark, sf, first_epoch=0).where((F.col("epoch") > 0) | (F.col("split") == "test"))
+    return M.loss_report(seq, batches, TRAIN.n_accumulation_steps)
 
 
 def q_lm_eval(spark, sf):
     _, summary = _losses(spark, sf)
-    return summary.select("split", F.col("n_examples").cast("long"), F.col("n_batches").cast("long"),
+    n_train = summary.where("split = 'train'").agg(F.max("n_examples")).first()[0] or 0
+    return summary.select("split", F.col("epoch").cast("long"), F.col("n_examples").cast("long"), F.col("n_batches").cast("long"),
+                          (F.col("epoch") * n_train).cast("long").alias("counter"),
                           F.round("reference_loss", 6).alias("reference_loss"),
                           F.round("token_mean_loss", 6).alias("token_mean_loss"))
 
 
 def q_batch_losses(spark, sf):
     per_batch, _ = _losses(spark, sf)
-    return per_batch.select("split", F.col("batch_id").cast("long"), F.col("n_examples").cast("long"),
+    return per_batch.select("split", F.col("epoch").cast("long"), F.col("batch_id").cast("long"), F.col("n_examples").cast("long"),
                             F.round("batch_mean", 6).alias("batch_mean"),
                             F.round("scaled_loss", 6).alias("scaled_loss"))
 
@@ -431,6 +455,7 @@ QUERIES = {
     "context_crop": q_context_crop,
     "prefix_split": q_prefix_split,
     "oov_report": q_oov_report,
+    "oov_quarantine": q_oov_quarantine,
     "frame_stream": q_frame_stream,
     "word_freq": q_word_freq,
     "pair_stats": q_pair_stats,
@@ -456,6 +481,8 @@ QUERIES = {
     "frontier_except": q_frontier_except,
     "frontier_sample": q_frontier_sample,
     "crawl_sample": q_crawl_sample,
+    "crawl_log": q_crawl_log,
+    "page_rejects": q_page_rejects,
     "transitions": q_transitions,
     "next_token_probs": q_next_token_probs,
     "generate": q_generate,
@@ -545,6 +572,7 @@ _SPLIT = (f"select doc_id, ids, cast(row_number() over (order by doc_id) - 1 as
 _BATCHES = (f"select doc_id, split, epoch, cast(row_number() over (partition by split, epoch order by "
             f"md5(concat_ws(':', '{TRAIN.seed}', epoch::varchar, doc_id::varchar)), doc_id) - 1 as bigint) as ord "
             f"from ({_SPLIT}) s, (select unnest(range(1, {TRAIN.n_epochs + 1})) as epoch) e")
+_BATCHES_0 = _BATCHES.replace("range(1, ", "range(0, ", 1)
 _N_TRAIN = f"(select count(*) from ({_SPLIT}) where split = 'train')"
 ORACLE.update({
     "train_test_split": f"select doc_id, ord, split from ({_SPLIT})",
@@ -581,7 +609,8 @@ _PAGES = (f"select page_id, {O.clean_reference(_unescape_sql(_RAW_TITLE))} as ti
           f"from pages")
 _PAGES_OK = f"select * from ({_PAGES}) where title is not null and title <> ''"
 _EDGES = (f"select distinct l.src, p.page_id as dst from (select page_id as src, lower(unnest(links)) as term "
-          f"from ({_PAGES_OK})) l join ({_PAGES_OK}) p on p.title_key = l.term")
+          f"from ({_PAGES_OK})) l join (select title_key, min(page_id) as page_id from ({_PAGES_OK}) group by title_key) p "
+          f"on p.title_key = l.term")
 _TERMS = f"select lower(unnest(links)) as term from ({_PAGES_OK})"
 ORACLE.update({
     "page_extract": (f"select page_id, title, summary, cast(len(links) as bigint) as n_links, title_key "
@@ -599,6 +628,19 @@ ORACLE.update({
                         f"order by md5(concat_ws(':', '{SEED}', '0', term)), term limit {SAMPLE_SIZE}"),
 })
 
+_CRAWL_ROUNDS = 60  # more than either crawl takes on the test tables
+ORACLE.update({
+    "crawl_log": (O.crawl_log(_EDGES, START_PAGE, N_PAGES, SAMPLE_SIZE, SEED, _CRAWL_ROUNDS)
+                  + " select round, ord, page_id from crawl"),
+    "crawl_sample": (O.crawl_log(_EDGES, START_PAGE, CRAWL_PAGES, CRAWL_SAMPLE, SEED, _CRAWL_ROUNDS)
+                     + f" select p.title, arg_max(p.page_id, c.ord) as page_id, arg_max(p.summary, c.ord) as summary, "
+                       f"arg_max(c.round, c.ord) as round, max(c.ord) as last_ord, min(c.ord) as first_ord "
+                       f"from crawl c join ({_PAGES_OK}) p on p.page_id = c.page_id group by p.title"),
+    "page_rejects": f"select page_id, 'no title' as reason from ({_PAGES}) where title is null or title = ''",
+    "oov_quarantine": (f"select doc_id, cast(count(*) as bigint) as n_oov from (select doc_id, unnest({O.chars('text')}) as c "
+                       f"from documents) where c not in ({_BASE_CHARS_SQL}) group by doc_id"),
+})
+
 _TRAIN_IDS = f"select doc_id, ids from ({_SPLIT}) where split = 'train'"
 _TRANS = (f"select cast(ids[i] as varchar) as ctx, ids[i + 1] as next, count(*) as c from "
           f"(select ids, unnest(range(1, len(ids))) as i from ({_TRAIN_IDS})) group by all")
@@ -606,6 +648,11 @@ _GREEDY = (f"with trans as ({_TRANS}), allc as (select * from trans union all "
            f"select '' as ctx, next, sum(c) from trans group by next), "
            f"greedy as (select ctx, first(next order by c desc, next) as next from allc "
            f"where next not in (0, 1) group by ctx)")
+_SAMPLED = (f"with trans as ({_TRANS}), allc as (select * from trans union all "
+            f"select '' as ctx, next, sum(c) from trans group by next), "
+            f"cum as materialized (select ctx, next, c::bigint as c, (sum(c) over (partition by ctx order by next))::bigint as hi, "
+            f"(sum(c) over (partition by ctx))::bigint as n from allc where next not in (0, 1)), "
+            f"ctxs as materialized (select distinct ctx, n from cum)")
 _PROMPTS = (f"select item_id as rid, case when len(ids) = 0 then [1] else ids end as ids from "
             f"(select item_id, {O.char_ids(O.clean_reference('text'))} as ids from benchmark)")
 _LOSS = (f"with trans as ({_TRANS}), tot as (select ctx, sum(c) as n_ctx from trans group by ctx), "
@@ -613,9 +660,10 @@ _LOSS = (f"with trans as ({_TRANS}), tot as (select ctx, sum(c) as n_ctx from tr
          f"(select doc_id, ids, unnest(range(1, len(ids))) as i from ({_FRAMED}))), "
          f"seq as (select doc_id, -sum(ln((coalesce(c, 0) + 1.0) / (coalesce(n_ctx, 0) + {VOCAB}.0))) as nll, "
          f"count(*) as n_pos from pos left join trans using (ctx, next) left join tot using (ctx) group by doc_id), "
-         f"b as (select doc_id, split, ord // {TRAIN.batch_size} as batch_id from ({_BATCHES}) where epoch = 1), "
-         f"pb as (select split, batch_id, count(*) as n_examples, sum(nll) as nll, sum(n_pos) as n_pos, "
-         f"sum(nll) / sum(n_pos) as batch_mean from b join seq using (doc_id) group by split, batch_id)")
+         f"b as (select doc_id, split, epoch, ord // {TRAIN.batch_size} as batch_id from ({_BATCHES_0}) "
+         f"where epoch > 0 or split = 'test'), "
+         f"pb as (select split, epoch, batch_id, count(*) as n_examples, sum(nll) as nll, sum(n_pos) as n_pos, "
+         f"sum(nll) / sum(n_pos) as batch_mean from b join seq using (doc_id) group by split, epoch, batch_id)")
 ORACLE.update({
     "transitions": f"select ctx, cast(next as bigint) as next, cast(c as bigint) as c from ({_TRANS})",
     "next_token_probs": (f"select ctx, cast(next as bigint) as next, round(c / sum(c) over (partition by ctx), 6) as p "
@@ -627,11 +675,23 @@ ORACLE.update({
                  f"on gr.ctx = cast(g.ids[len(g.ids)] as varchar)) where nx <> 2 and n_new < {MAX_NEW_TOKENS}) "
                  f"select * from g)) "
                  f"select cast(rid as bigint) as item_id, cast(max(n_new) as bigint) as n_new, "
-                 f"{O.ids_str('arg_max(ids, n_new)')} as completion from gen group by rid"),
-    "lm_eval": (f"{_LOSS} select split, cast(sum(n_examples) as bigint) as n_examples, "
+                 f"{O.ids_str('arg_max(ids, n_new)')} as completion, {O.decode_ids('arg_max(ids, n_new)')} as text "
+                 f"from gen group by rid"),
+    "generate_sampled": (f"{_SAMPLED}, gen as (select * from (with recursive g(rid, ids, n_new) as "
+                         f"(select rid, ids, 0 from ({_PROMPTS}) union all "
+                         f"select d.rid, list_append(d.ids, t.next), d.n_new + 1 from "
+                         f"(select g.*, k.ctx, ('0x' || substr(md5(concat_ws(':', '{SEED}', g.rid::varchar, g.n_new::varchar)), 1, 12))"
+                         f"::bigint % k.n as u from g join ctxs k on k.ctx = case when g.ids[len(g.ids)]::varchar in "
+                         f"(select ctx from ctxs) then g.ids[len(g.ids)]::varchar else '' end where g.n_new < {MAX_NEW_TOKENS}) d "
+                         f"join cum t on t.ctx = d.ctx and d.u >= t.hi - t.c and d.u < t.hi where t.next <> 2) select * from g)) "
+                         f"select cast(rid as bigint) as item_id, cast(max(n_new) as bigint) as n_new, "
+                         f"{O.ids_str('arg_max(ids, n_new)')} as completion, {O.decode_ids('arg_max(ids, n_new)')} as text "
+                         f"from gen group by rid"),
+    "lm_eval": (f"{_LOSS} select split, cast(epoch as bigint) as epoch, cast(sum(n_examples) as bigint) as n_examples, "
+                f"cast(epoch * {_N_TRAIN} as bigint) as counter, "
                 f"cast(count(*) as bigint) as n_batches, round(sum(batch_mean) / sum(n_examples), 6) as reference_loss, "
-                f"round(sum(nll) / sum(n_pos), 6) as token_mean_loss from pb group by split"),
-    "batch_losses": (f"{_LOSS} select split, cast(batch_id as bigint) as batch_id, cast(n_examples as bigint) "
+                f"round(sum(nll) / sum(n_pos), 6) as token_mean_loss from pb group by split, epoch"),
+    "batch_losses": (f"{_LOSS} select split, cast(epoch as bigint) as epoch, cast(batch_id as bigint) as batch_id, cast(n_examples as bigint) "
                      f"as n_examples, round(batch_mean, 6) as batch_mean, "
                      f"round(batch_mean / {TRAIN.n_accumulation_steps}, 6) as scaled_loss from pb"),
 })

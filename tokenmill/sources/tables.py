@@ -38,15 +38,24 @@ CORPUS_SCHEMA = T.StructType([
 ])
 
 
-def read_json_corpus(spark: SparkSession, path: str, with_encoded: bool | None = None) -> DataFrame:
-    """One JSON array per file (``multiLine``); explicit schema, no inference.
-
-    Array order becomes ``doc_id`` through the file's row order; a multi-line
-    file is one task, so Parquet is the format to use at scale.
+def read_json_corpus(spark: SparkSession, path: str, with_encoded: bool | None = None,
+                     layout: str = "auto") -> DataFrame:
+    """A JSON corpus with an explicit schema, no inference.
+
+    ``layout``: ``array`` (one JSON array per file, read whole by one task),
+    ``lines`` (one record per line, splittable; what :func:`write_corpus`
+    writes) or ``auto``, which looks at the first character of the text.
+    Row order in the files becomes ``doc_id``; Parquet is the format to use
+    at scale.
     """
     from pyspark.sql import functions as F
+    if layout not in ("auto", "array", "lines"):
+        raise ValueError("layout must be 'auto', 'array' or 'lines'")
+    if layout == "auto":
+        head = spark.read.text(path).where(F.trim("value") != "").limit(1).collect()
+        layout = "array" if head and head[0]["value"].lstrip().startswith("[") else "lines"
     schema = CORPUS_SCHEMA if with_encoded is not False else T.StructType(CORPUS_SCHEMA.fields[:2])
-    df = spark.read.schema(schema).json(path, multiLine=True)
+    df = spark.read.schema(schema).json(path, multiLine=layout == "array")
     df = df.withColumn("doc_id", F.monotonically_increasing_id())
     if with_encoded is None and "encoded" in df.columns:
         if df.where(F.col("encoded").isNotNull()).limit(1).count() == 0:

@@ -2,8 +2,10 @@
 
 The chain is stateless once the tokenizer is fitted (the vocabulary is a
 constant or a broadcast), so new documents landing in a folder can be
-prepared incrementally with exactly-once file output.  The stream's
-checkpoint lives under ``spark.checkpoint.dir`` unless one is given.
+prepared incrementally.  The stream's checkpoint belongs to its sink: unless
+one is given it lies in the sink folder, so a later application that writes
+to the same sink goes on where the last one stopped (a checkpoint of another
+sink, or a new one, would make the file sink skip batches it has recorded).
 """
 
 from __future__ import annotations
@@ -15,7 +17,6 @@ from pyspark.sql.streaming import StreamingQuery
 from tokenmill.functions import text as TX
 from tokenmill.operators import sequence as S
 from tokenmill.operators.tokenizer import CharacterTokenizer, Tokenizer
-from tokenmill.session import ensure_checkpoint_dir
 
 DOC_SCHEMA = "doc_id long, text string"
 
@@ -33,7 +34,7 @@ def prepare_stream(spark: SparkSession, source_dir: str, sink_dir: str, context_
     """
     tokenizer = tokenizer or CharacterTokenizer()
     if checkpoint_location is None:
-        checkpoint_location = ensure_checkpoint_dir(spark).rstrip("/") + "/streams/prepare"
+        checkpoint_location = sink_dir.rstrip("/") + "/_stream_checkpoint"
     reader = spark.readStream.schema(DOC_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
