@@ -116,13 +116,14 @@ class Model:
         return np.where(bag.text[1:] > bag.text[:-1], -np.expm1(-(keep[bag.text[1:]] - keep[bag.text[:-1]])), 0.0)
 
 
-def fit(bag: Bags, toxic: np.ndarray) -> Model:
-    """Stochastic gradient (Adagrad) on the noisy-or likelihood."""
-    kinds = bag.feature.shape[1]
-    words_of = np.append(bag.sentence, len(bag.feature))[bag.text]
-    text_of = np.repeat(np.arange(len(toxic)), np.diff(words_of) * kinds)
-    seen = np.unique(text_of * (NONE + 1) + bag.feature.ravel()) % (NONE + 1)
-    useful = np.bincount(seen.astype(np.int64), minlength=NONE + 1) >= MIN_DOCUMENTS
+def fit(samples: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray) -> Model:
+    """Stochastic gradient (Adagrad) on the noisy-or likelihood of texts, each
+    given by its features (a row a word) and its sentences' first words."""
+    kinds = samples[0][0].shape[1]
+    documents = np.zeros(NONE + 1, np.int32)
+    for feature, _ in samples:
+        documents[np.unique(feature)] += 1
+    useful = documents >= MIN_DOCUMENTS
     useful[NONE] = False
     w, square, bias, bias_square = np.zeros(NONE + 1), np.full(NONE + 1, 1e-3), -4.0, 1e-3
     weigh = ((toxic == 0).sum() / max(1, (toxic == 1).sum())) ** BALANCE
@@ -131,15 +132,14 @@ def fit(bag: Bags, toxic: np.ndarray) -> Model:
         order = rng.permutation(len(toxic))
         for a in range(0, len(order), BATCH):
             docs = np.sort(order[a:a + BATCH])
-            sent = np.concatenate([np.arange(bag.text[d], bag.text[d + 1]) for d in docs])
-            if not len(sent):
+            f = np.concatenate([samples[d][0] for d in docs])
+            if not len(f):
                 continue
-            sizes = np.diff(np.append(bag.sentence, len(bag.feature)))[sent]
-            rows = np.repeat(bag.sentence[sent], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            f = bag.feature[rows]
-            heads = np.cumsum(sizes) - sizes
+            base = np.cumsum([0, *(len(samples[d][0]) for d in docs)])
+            heads = np.concatenate([samples[d][1] + n for d, n in zip(docs, base)])
+            of = np.repeat(np.arange(len(docs)), [len(samples[d][1]) for d in docs])
+            sizes = np.diff(np.append(heads, len(f)))
             z = np.add.reduceat(w[f].sum(1), heads) + bias
-            of = np.repeat(np.arange(len(docs)), bag.text[docs + 1] - bag.text[docs])
             clean = np.exp(-np.bincount(of, np.logaddexp(0.0, z), len(docs)))  # probability of no toxic sentence
             pull = np.where(toxic[docs] == 1, -weigh * clean / np.maximum(1 - clean, 1e-6), 1.0)
             g = pull[of] * logistic(z) / len(docs)
@@ -185,16 +185,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     made = T.store(T.map_arrow(chosen, _feature_task, "id long, toxic int, feats binary, sents binary"), "toxic-sample")
     total = made.agg(F.sum(F.octet_length("feats"))).first()[0] or 0
     fits = F.pmod(F.xxhash64("id", F.lit("bytes")), F.lit(1 << 30)) / float(1 << 30) < min(1.0, 4 * TRAIN_FEATURES / max(1, total))
-    rows = made.where(fits).orderBy("id", "toxic").toPandas()
-    if rows["toxic"].nunique() < 2:
+    rows = made.where(fits).orderBy("id", "toxic").toArrow()  # at most about TRAIN_FEATURES numbers
+    toxic = rows["toxic"].to_numpy()
+    if len(np.unique(toxic)) < 2:
         return Model(None, 0.0, share)
     kinds = 2 + len(PREFIXES)
-    feats = [np.frombuffer(x, np.uint32).reshape(-1, kinds) for x in rows["feats"]]
-    sents = [np.frombuffer(x, np.uint32).astype(np.int64) for x in rows["sents"]]
-    base = np.cumsum([0, *map(len, feats)])
-    bag = Bags(np.concatenate(feats), np.concatenate([s + b for s, b in zip(sents, base)]),
-               np.cumsum([0, *map(len, sents)]), np.zeros(0, np.int64), np.zeros(0, np.int64))
-    return fit(bag, rows["toxic"].to_numpy())
+    read = lambda x: np.frombuffer(x.as_buffer(), np.uint32)
+    return fit([(read(x).reshape(-1, kinds), read(y).astype(np.int64)) for x, y in zip(rows["feats"], rows["sents"])], toxic)
 
 
 _SPAN = pa.struct([("begin", pa.int64()), ("end", pa.int64()), ("score", pa.float64())])
