@@ -8,6 +8,8 @@ as literals, broadcast joins or a broadcast variable.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,7 +45,8 @@ class Tokenizer:
     def decode_col(self, ids: Column) -> Column:
         """Concatenate the tokens of the ids (unknown id -> error)."""
         top = max(self.itos)
-        table = F.array(*[F.lit(self.itos.get(i)) for i in range(top + 1)])
+        # one constant value in the plan, however large the vocabulary
+        table = F.from_json(F.lit(json.dumps([self.itos.get(i) for i in range(top + 1)])), "array<string>")
         def one(i: Column) -> Column:
             ok = (i >= 0) & (i <= top)
             tok = F.when(ok, F.element_at(table, F.when(ok, i + 1).otherwise(1)))

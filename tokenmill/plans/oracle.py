@@ -129,6 +129,38 @@ def bpe_merges(text_sql: str, n_merges: int) -> str:
             "cast(98 + rank as bigint) as id from merges")
 
 
+def bpe_encode(fit_sql: str, n_merges: int, text_sql: str) -> str:
+    """Encode by the lowest-id rule as it stands: for each distinct run, take
+    the adjacent concatenation of the lowest id, merge its occurrences left to
+    right without overlap (a fold over the tokens; an empty string marks that
+    the last token was just merged), and repeat.  Emits doc_id, n_tokens,
+    encoded.  For texts with white space: a fold copies its list at each token.
+    """
+    runs = f"regexp_extract_all(text, {q('[' + WS_CLASS + ']|[^' + WS_CLASS + ']+')})"
+    pair = "steps.toks[i] || steps.toks[i + 1]"
+    return ("with recursive " + ", ".join(bpe_ctes(fit_sql, n_merges)) + f""",
+vocab as materialized (select token, max(id) as id from (select l || r as token, 98 + rank as id from merges
+  union all select * from (values ('<PAD>', 0), ('<SOS>', 1), ('<EOS>', 2)) s(token, id)) group by token),
+v as materialized (select map(list(token), list(id)) as ids, map(list(id), list(token)) as names from vocab),
+texts as materialized (select doc_id, text, {runs} as runs from ({text_sql})),
+pos as materialized (select doc_id, unnest(runs) as run, unnest(range(len(runs))) as k from texts),
+steps(run, toks, k) as (
+  select run, {chars('run')}, 0 from (select distinct run from pos)
+  union all
+  select run, list_filter(list_reduce(list_transform(toks, lambda t: [t]), lambda acc, x:
+    case when acc[-1] = '' then list_append(acc[:-2], x[1])
+         when acc[-1] || x[1] = s then list_concat(acc[:-2], [s, ''])
+         else list_append(acc, x[1]) end), lambda t: t <> ''), k + 1
+  from (select run, steps.toks as toks, k,
+               v.names[list_min(list_transform(range(1, len(steps.toks)), lambda i: v.ids[{pair}]))] as s
+        from steps, v where len(steps.toks) > 1) where s is not null),
+done as (select run, arg_max(toks, k) as toks from steps group by run),
+enc as materialized (select run, list_transform(done.toks, lambda t: coalesce(v.ids[t], {char_id('t')})) as ids from done, v)
+select t.doc_id, cast(coalesce(n, 0) as bigint) as n_tokens, coalesce(encoded, '') as encoded from texts t left join
+  (select doc_id, sum(len(ids)) as n, string_agg({ids_str('ids')}, ' ' order by k) as encoded
+   from pos join enc using (run) group by doc_id) a on a.doc_id = t.doc_id""")
+
+
 def bpe_encode_two_char(fit_sql: str, n_merges: int, text_sql: str) -> str:
     """Encode with merges that are all two single characters (checked in SQL).
 

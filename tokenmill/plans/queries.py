@@ -21,6 +21,7 @@ from tokenmill.operators import ngram as M
 from tokenmill.sources import pages as PG
 from tokenmill.operators.tokenizer import CharacterTokenizer, oov_report, quarantine
 from tokenmill.plans import oracle as O
+from tokenmill.session import materialize
 from tokenmill.sources.tables import documents
 
 CONTEXT_LENGTH = 1024  # model default context length
@@ -125,8 +126,7 @@ def q_frame_stream(spark, sf):
     from tokenmill.streaming.prepare_stream import prepare_stream
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/frame-{uuid.uuid4().hex}"
     q = prepare_stream(spark, sf, f"{base}/out", CONTEXT_LENGTH,
-                       checkpoint_location=f"{base}/checkpoint", path_glob="documents.parquet",
-                       spread_partitions=spark.sparkContext.defaultParallelism)
+                       path_glob="documents.parquet", max_files_per_trigger=64)
     q.awaitTermination()
     out = spark.read.schema("doc_id long, text string, encoded array<int>").parquet(f"{base}/out")
     return out.select("doc_id", A.ids_str(F.col("encoded")).alias("encoded"))
@@ -138,11 +138,18 @@ def q_oov_report(spark, sf):
 
 # --- A/H: BPE -----------------------------------------------------------------
 FIT_MERGES = 32      # bpe_merges
-ENCODE_MERGES = 8    # tokenizers used by the encode / lookup queries
+ENCODE_MERGES = 18   # tokenizers of the encode / lookup queries: merges of merges among them
+PREPARE_MERGES = 8   # tokenizer of the preparation queries
+
+_TOKENIZERS: dict[tuple, B.BPETokenizer] = {}
 
 
 def _fitted(spark, sf, n=ENCODE_MERGES) -> B.BPETokenizer:
-    return B.BPETokenizer(n).fit(documents(spark, sf), "text")
+    """The tokenizer of a table folder, fitted once in an application."""
+    key = (spark.sparkContext.applicationId, sf, n)
+    if key not in _TOKENIZERS:
+        _TOKENIZERS[key] = B.BPETokenizer(n).fit(documents(spark, sf), "text")
+    return _TOKENIZERS[key]
 
 
 def q_word_freq(spark, sf):
@@ -157,15 +164,15 @@ def q_pair_stats(spark, sf):
 
 
 def q_top_pair(spark, sf):
-    words = B.word_table(documents(spark, sf))
-    stats = B.pair_stats(words)
+    words = materialize(B.word_table(documents(spark, sf)), "words")
+    stats = materialize(B.pair_stats(words), "pairs")
     best = B.best_pair(words, stats)
     return stats.where((F.col("l") == best["l"]) & (F.col("r") == best["r"])).select(
         "l", "r", F.col("c").cast("long").alias("c"))
 
 
 def q_merge_once(spark, sf):
-    words = B.word_table(documents(spark, sf))
+    words = materialize(B.word_table(documents(spark, sf)), "words")
     best = B.best_pair(words, B.pair_stats(words))
     return words.select("word", B.merge_pair(F.col("sym"), best["l"], best["r"]).alias("sym"))
 
@@ -423,7 +430,7 @@ def q_text_to_tokens_stream(spark, sf):
 
 
 def _prepared_bpe(spark, sf):
-    tok = _fitted(spark, sf)
+    tok = _fitted(spark, sf, PREPARE_MERGES)
     return S.prepare_corpus(_clean_docs(spark, sf), tok, CONTEXT_LENGTH)
 
 
@@ -434,7 +441,7 @@ def q_prepare_corpus(spark, sf):
 
 def q_prepare_summary(spark, sf):
     from tokenmill.plans.compose import prepare_summary
-    tok = _fitted(spark, sf)
+    tok = _fitted(spark, sf, PREPARE_MERGES)
     return prepare_summary(_clean_docs(spark, sf), tok, CONTEXT_LENGTH, TRAIN.train_test_split_ratio)
 
 
@@ -539,7 +546,7 @@ ORACLE = {
 _DOCS = "select doc_id, text from documents"
 _COLLAPSE = f"select doc_id, {O.clean_collapse('text')} as text from documents"
 _W0 = O.bpe_ctes(_DOCS, 1)
-_ENCODE_SQL = O.bpe_encode_two_char(_DOCS, ENCODE_MERGES, _COLLAPSE)
+_ENCODE_SQL = O.bpe_encode(_DOCS, ENCODE_MERGES, _COLLAPSE)
 ORACLE.update({
     "word_freq": (f"select word, cast(freq as bigint) as freq, cast(first.d as bigint) as first_doc "
                   f"from ({O.bpe_words(_DOCS)})"),
@@ -696,7 +703,7 @@ ORACLE.update({
                      f"round(batch_mean / {TRAIN.n_accumulation_steps}, 6) as scaled_loss from pb"),
 })
 
-_BPE_CLEAN = O.bpe_encode_two_char(_DOCS, ENCODE_MERGES, _CLEAN)
+_BPE_CLEAN = O.bpe_encode_two_char(_DOCS, PREPARE_MERGES, _CLEAN)
 _PREP = (f"select doc_id, {O.frame('ids', CONTEXT_LENGTH)} as ids from (select doc_id, "
          f"case when encoded = '' then []::int[] else list_transform(string_split(encoded, ' '), "
          f"lambda x: cast(x as int)) end as ids from ({_BPE_CLEAN})) where len(ids) < {CONTEXT_LENGTH}")
@@ -717,7 +724,7 @@ ORACLE["bpe_decode"] = _COLLAPSE.replace(" as text from", " as decoded from")
 _CONV = (f"select conv_id, turn, {O.clean_collapse('text')} as text from conversations")
 ORACLE["conversation_roundtrip"] = (
     f"select e.doc_id // 100000 as conv_id, e.doc_id % 100000 as turn, e.n_tokens, c.text as decoded from "
-    f"({O.bpe_encode_two_char(_DOCS, ENCODE_MERGES, 'select conv_id * 100000 + turn as doc_id, text from (' + _CONV + ')')}) e "
+    f"({O.bpe_encode(_DOCS, ENCODE_MERGES, 'select conv_id * 100000 + turn as doc_id, text from (' + _CONV + ')')}) e "
     f"join (select conv_id * 100000 + turn as doc_id, text from ({_CONV})) c on c.doc_id = e.doc_id")
 
 _TRANSLIT_IDS = f"select doc_id, {O.char_ids(O.translit('text'))} as ids from documents"

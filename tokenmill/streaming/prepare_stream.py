@@ -25,12 +25,11 @@ def prepare_stream(spark: SparkSession, source_dir: str, sink_dir: str, context_
                    tokenizer: Tokenizer | None = None, clean_mode: str = "reference",
                    checkpoint_location: str | None = None, available_now: bool = True,
                    max_files_per_trigger: int | None = None,
-                   path_glob: str | None = None, spread_partitions: int | None = None) -> StreamingQuery:
+                   path_glob: str | None = None) -> StreamingQuery:
     """Start a query that prepares every document file arriving in ``source_dir``.
 
-    ``spread_partitions`` hash-spreads each micro-batch by ``doc_id`` before
-    the CPU-heavy steps, for sources whose files arrive as few large row
-    groups (a file's row group is read by one task).
+    Narrow throughout: texts are not shuffled, a task prepares what it reads.
+    ``max_files_per_trigger`` bounds a micro-batch.
     """
     tokenizer = tokenizer or CharacterTokenizer()
     if checkpoint_location is None:
@@ -41,8 +40,6 @@ def prepare_stream(spark: SparkSession, source_dir: str, sink_dir: str, context_
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
     raw = reader.parquet(source_dir)
-    if spread_partitions:
-        raw = raw.repartition(spread_partitions, "doc_id")
     docs = raw.select("doc_id", TX.clean_text(F.col("text"), clean_mode).alias("text"))
     prepared = S.prepare_corpus(docs, tokenizer, context_length)
     writer = (prepared.writeStream.format("parquet")
