@@ -8,7 +8,6 @@ import duckdb
 import pytest
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"bpe_merges", "generate", "generate_sampled", "crawl_sample"}
 
 
 def _digest(cols, rows):
@@ -21,14 +20,14 @@ def _digest(cols, rows):
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "conversations", "labels"):
+    for t in sorted(f.removesuffix(".parquet") for f in os.listdir(SF)):
         con.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
     return con
 
 
 def _names():
     import __spark_entry__ as E
-    return [n for n in E.oracle_sql() if n not in SLOW or os.environ.get("TOKENMILL_SLOW_TESTS")]
+    return list(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", _names())
