@@ -70,7 +70,7 @@ CELL_BLOCK = 1 << 15
 #: Bands below this one index one-deletion neighbours (sets below 64 tokens).
 DELETION_BANDS = 6
 #: Entries and documents that a task packs into one set of blocks.
-PACK_ENTRIES, PACK_DOCS = 1 << 21, 1 << 15
+PACK_ENTRIES, PACK_DOCS = 1 << 19, 1 << 15
 #: Entries that an owner handles at a time.
 OWNER_ENTRIES = 400_000
 MAX_SEEDS = 16

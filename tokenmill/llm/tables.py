@@ -20,7 +20,7 @@ def ready(spark: SparkSession) -> SparkSession:
     """Session settings of the operators; small Arrow batches bound a task's
     memory when texts are very long."""
     prepare(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
     return spark
 
 
