@@ -60,6 +60,30 @@ def test_surge_and_dive():
     assert html_extract.main_lines(lines) == ["x" * 30, "x" * 200, "x" * 5, "x" * 300]
 
 
+STORY = "A sentence of the story that is long enough to stand in a block of its own, with a number to tell it: "
+
+
+def story(a, b):
+    return [f"{STORY}{n}" for n in range(a, b)]
+
+
+def paragraphs(lines):
+    return "".join(f"<p>{x}</p>" for x in lines)
+
+
+def test_block_sums_decide_beside_a_small_article():
+    body = paragraphs(story(0, 4))
+    teaser = "<article class='teaser'><h3>Other</h3><p>Read on</p></article>"
+    assert html_extract.main_text(f"<body><div>{body}</div>{teaser}") == "\n".join(story(0, 4))
+    assert html_extract.main_text(f"<body>{teaser}<div>{body}</div>{teaser}") == "\n".join(story(0, 4))
+    said = "".join(f"<li><article class='comment'><p>Reader {n}</p></article>" for n in range(9))
+    assert "\n".join(story(0, 4)) in html_extract.main_text(f"<body><div>{body}</div><ul>{said}</ul>")
+    links = "<ul><li><a href=1>One</a><li><a href=2>Two</a><li><a href=3>Three</a></ul>"
+    assert (html_extract.main_text(f"<body><div>My site</div><article>{body}{links}</article><div>Imprint</div>")
+            == "\n".join([*story(0, 4), "One", "Two", "Three"]))
+    assert html_extract.main_text("<article><a href=1>Only a link</a></article>") == "Only a link"
+
+
 def test_long_page_is_not_quadratic():
     assert len(html_extract.main_text("<article>" + "<p>w x</p>" * 50_000).split("\n")) == 50_000
     assert html_extract.main_text("<" * 100_000 + "a") is not None

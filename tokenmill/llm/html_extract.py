@@ -3,14 +3,19 @@
 Markup is stripped into lines, one for each block of text.  Everything that
 is no article text by its element or its name (navigation, page headers and
 footers, sidebars, notices, adverts, forms, scripts, styles, comments of
-readers) leaves an empty line; so does the text outside the article where the
-page marks one.  Line i then has the length of its text outside links, and
-block i the sum of lines i to i + ``WINDOW`` - 1.  A surge is the point where
-that sum rises from nothing above the threshold, the next dive the point
-where it is nothing again; lines between the two are kept.  In a marked
-article any text is above the threshold.  Elsewhere a region needs a block of
-``MIN_BLOCK`` characters or, if no region has one, the page's largest, and of
-the regions those with a quarter of the largest region's text stay.
+readers) leaves an empty line.  Line i then has the length of its text outside
+links, and block i the sum of lines i to i + ``WINDOW`` - 1.  A surge is the
+point where that sum rises from nothing above the threshold, the next dive the
+point where it is nothing again; lines between the two are kept.  A region
+needs a block of ``MIN_BLOCK`` characters or, if no region has one, the page's
+largest.  Of the regions of a page without a kept article those with a quarter
+of the largest region's text stay.
+
+A marked article (article, main) is evidence and no rule: its text counts
+``MARKED_WEIGHT`` times, a region ends at its border, and an article with a
+kept region is kept whole, with its link lists.  Text outside is kept or not by
+its own block sums, and so is an article.  On a page with no text but links
+those in articles count.
 
 Character references are decoded, white space inside a block becomes one
 space, blocks are joined by a line feed; nothing else is dropped or cut.  The
@@ -35,6 +40,8 @@ from tokenmill.llm import tables as T
 WINDOW = 3
 MIN_BLOCK = 80
 KEEP_SHARE = 0.25
+#: A character in a marked article counts as this many.
+MARKED_WEIGHT = 2
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+)(?:>|\Z)|<[!?][^>]*+(?:>|\Z)""", re.S)
 _NAME = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -66,13 +73,13 @@ def _names(attributes: str) -> set[str]:
     return {p.lower() for m in _NAME.finditer(attributes) for p in _PART.findall(m[1] or m[2] or m[3] or "")}
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool]]:
-    """(text, characters outside links, inside a marked article) of each block
-    in page order; dropped parts give empty lines."""
-    lines: list[tuple[str, int, bool]] = []
+def lines_of(page: str) -> list[tuple[str, int, int]]:
+    """(text, characters outside links, number of the outermost marked article
+    or 0) of each block in page order; dropped parts give empty lines."""
+    lines: list[tuple[str, int, int]] = []
     stack: list[tuple[str, bool, bool]] = []  # element, dropped, article
     text: list[tuple[str, bool]] = []
-    drop = article = links = 0
+    drop = article = links = articles = 0
 
     def flush() -> None:
         if text:
@@ -80,7 +87,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             plain = " ".join(html_lib.unescape("".join(t for t, link in text if not link)).split())
             text.clear()
             if whole:
-                lines.append((whole, len(plain), article > 0))
+                lines.append((whole, len(plain), articles if article else 0))
 
     def pop() -> str:
         nonlocal drop, article, links
@@ -92,7 +99,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         article -= marked
         links -= name == "a"
         if dropped:
-            lines.append(("", 0, article > 0))
+            lines.append(("", 0, articles if article else 0))
         return name
 
     at, raw = 0, ""
@@ -144,6 +151,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                    or not article and (name in OUTSIDE_ONLY or bool(names & OUTSIDE_NAMES) and name not in ("html", "body", "article", "main")))
         stack.append((name, dropped, marked and not dropped))
         drop += dropped
+        articles += marked and not dropped and not article
         article += marked and not dropped
         links += name == "a"
     if not raw and not drop and at < len(page):
@@ -152,33 +160,33 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     return lines
 
 
-def main_lines(lines: list[tuple[str, int, bool]]) -> list[str]:
+def main_lines(lines: list[tuple[str, int, int]]) -> list[str]:
     """The kept lines by surge and dive of the block sums."""
-    marked = any(inside and t for t, _, inside in lines)
-    if marked:
+    weight = [MARKED_WEIGHT * n if inside else n for _, n, inside in lines]
+    if not any(weight):
         weight = [len(t) if inside else 0 for t, _, inside in lines]
-    else:
-        weight = [n for _, n, _ in lines]
     total = [0]
     for n in weight:
         total.append(total[-1] + n)
-    block = [total[min(len(weight), i + WINDOW)] - total[i] for i in range(len(weight))]
-    if not block or max(block) == 0:
+    regions, start, last = [], 0, -1  # last: the newest line with weight
+    for i, n in enumerate(weight):
+        if n:
+            if last >= 0 and (i - last > WINDOW or bool(lines[i][2]) != bool(lines[last][2])):
+                regions.append((start, last + 1))
+                last = -1
+            start, last = i if last < 0 else start, i
+    if last < 0:
         return []
-    threshold = 1 if marked else min(MIN_BLOCK, max(block))
-    regions, start = [], None
-    for i, n in enumerate([*block, 0]):
-        if start is None and n > 0 and (i == len(block) or weight[i] > 0):
-            start = i
-        elif start is not None and n == 0:
-            regions.append((start, i))
-            start = None
-    regions = [(a, b) for a, b in regions if max(block[a:b]) >= threshold]
-    if not marked:
+    regions.append((start, last + 1))
+    peak = [max(total[min(b, i + WINDOW)] - total[i] for i in range(a, b)) for a, b in regions]
+    threshold = min(MIN_BLOCK, max(peak))
+    regions = [r for r, n in zip(regions, peak) if n >= threshold]
+    articles = {lines[a][2] for a, b in regions for a in range(a, b) if lines[a][2]}
+    if not articles:
         most = max(total[b] - total[a] for a, b in regions)
         regions = [(a, b) for a, b in regions if total[b] - total[a] >= KEEP_SHARE * most]
-    keep = lambda i: lines[i][0] and (lines[i][2] if marked else True)
-    return [lines[i][0] for a, b in regions for i in range(a, b) if keep(i)]
+    keep = {i for a, b in regions for i in range(a, b)}
+    return [line[0] for i, line in enumerate(lines) if line[0] and (i in keep or line[2] in articles)]
 
 
 def main_text(page: str | None) -> str:
