@@ -84,6 +84,18 @@ def test_block_sums_decide_beside_a_small_article():
     assert html_extract.main_text("<article><a href=1>Only a link</a></article>") == "Only a link"
 
 
+@pytest.mark.parametrize("wrapper", [
+    "class='content has-sidebar'", "class='no-comments'", "class='layout with-nav'", "id='searchResults'", "class='post withoutSidebar'",
+    "class='sidebar-layout'", "role='search'"])
+def test_names_are_only_a_hint(wrapper):
+    body, text = paragraphs(story(0, 4)), "\n".join(story(0, 4))
+    ad = f"<div class='ad'><p>{STORY}</p></div>"
+    assert html_extract.main_text(f"<body><p>Site</p><ul><li><a>1</a><li><a>2</a><li><a>3</a></ul><div {wrapper}>{body}{ad}</div>") == text
+    assert html_extract.main_text(f"<body><div {wrapper}><article>{body}{ad}</article></div><div class=footer>{STORY}</div>") == text
+    assert html_extract.main_text(f"<body><div {wrapper}><div><article><p>Short.</p></article></div></div>") == "Short."
+    assert html_extract.main_text(f"<body><div class='ad'>{STORY}</div><article><p>Short.</p></article>") == "Short."
+
+
 def test_long_page_is_not_quadratic():
     assert len(html_extract.main_text("<article>" + "<p>w x</p>" * 50_000).split("\n")) == 50_000
     assert html_extract.main_text("<" * 100_000 + "a") is not None

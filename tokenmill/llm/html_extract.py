@@ -1,9 +1,11 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped into lines, one for each block of text.  Everything that
-is no article text by its element or its name (navigation, page headers and
-footers, sidebars, notices, adverts, forms, scripts, styles, comments of
-readers) leaves an empty line.  Line i then has the length of its text outside
+is no article text by its element (navigation, page headers and footers,
+sidebars, forms, scripts, styles) leaves an empty line.  So does a part that
+is none by its class, id or role (also notices, adverts, comments of readers),
+unless it holds an article or most of the page's largest block: names are a
+hint, and ``has-sidebar`` or ``no-comments`` are none.  Line i then has the length of its text outside
 links, and block i the sum of lines i to i + ``WINDOW`` - 1.  A surge is the
 point where that sum rises from nothing above the threshold, the next dive the
 point where it is nothing again; lines between the two are kept.  A region
@@ -65,19 +67,65 @@ DROP_NAMES = {"nav", "navigation", "navbar", "menu", "sidebar", "aside", "ad", "
               "comments", "reply", "replies", "respond", "disqus", "breadcrumb", "breadcrumbs", "pagination", "pager", "footer",
               "toolbar", "widget", "skip", "search", "complementary", "contentinfo", "dialog"}
 OUTSIDE_NAMES = {"header", "masthead", "topbar"}
+#: What follows these in a name says what the page has around the text or lacks.
+ABOUT = {"has", "no", "with", "without"}
+#: Elements inside a block; with a name of the lists their text goes at once.
+INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "mark", "q",
+          "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var"}
 
 
 def _names(attributes: str) -> set[str]:
-    if "=" not in attributes:
-        return set()
-    return {p.lower() for m in _NAME.finditer(attributes) for p in _PART.findall(m[1] or m[2] or m[3] or "")}
+    names: set[str] = set()
+    if "=" in attributes:
+        for m in _NAME.finditer(attributes):
+            for name in (m[1] or m[2] or m[3] or "").split():
+                for part in _PART.findall(name):
+                    if part.lower() in ABOUT:
+                        break
+                    names.add(part.lower())
+    return names
+
+
+def _weights(lines: list[tuple[str, int, int]]) -> list[int]:
+    weight = [MARKED_WEIGHT * n if inside else n for _, n, inside in lines]
+    return weight if any(weight) else [len(t) if inside else 0 for t, _, inside in lines]
+
+
+def _drop_named(lines: list[tuple[str, int, int]], named: list[list[int]]) -> list[tuple[str, int, int]]:
+    """The lines with one empty line for each named part (first line, end, holds
+    an article) that holds neither an article nor most of the largest block;
+    beside article text that block needs ``MIN_BLOCK`` and two lines of the part."""
+    if not named:
+        return lines
+    total = [0]
+    for n in _weights(lines):
+        total.append(total[-1] + n)
+    ends = [min(len(lines), i + WINDOW) for i in range(len(lines))]
+    at = max(range(len(lines)), key=lambda i: total[ends[i]] - total[i], default=0)
+    most = total[ends[at]] - total[at] if lines else 0
+    end, article = 0, False
+    for a, b, _ in [*named, (len(lines), len(lines), 0)]:
+        article = article or any(mark and n for _, n, mark in lines[end:a])
+        end = max(end, b)
+    out, done = [], 0
+    for a, b, holds in named:  # by first line, outer parts first
+        if a < done or holds:
+            continue
+        low, high = max(a, at), min(b, ends[at]) if lines else 0
+        if low < high and 2 * (total[high] - total[low]) > most and not (
+                article and (most < MIN_BLOCK or sum(line[1] > 0 for line in lines[low:high]) < 2)):
+            continue
+        out += [*lines[done:a], ("", 0, 0)]
+        done = b
+    return out + lines[done:]
 
 
 def lines_of(page: str) -> list[tuple[str, int, int]]:
     """(text, characters outside links, number of the outermost marked article
     or 0) of each block in page order; dropped parts give empty lines."""
     lines: list[tuple[str, int, int]] = []
-    stack: list[tuple[str, bool, bool]] = []  # element, dropped, article
+    stack: list[tuple[str, bool, bool, int]] = []  # element, dropped, article, its place in named or -1
+    named: list[list[int]] = []
     text: list[tuple[str, bool]] = []
     drop = article = links = articles = 0
 
@@ -91,10 +139,12 @@ def lines_of(page: str) -> list[tuple[str, int, int]]:
 
     def pop() -> str:
         nonlocal drop, article, links
-        name, dropped, marked = stack[-1]
-        if name in BLOCK:
+        name, dropped, marked, part = stack[-1]
+        if name in BLOCK or part >= 0:
             flush()
         stack.pop()
+        if part >= 0:
+            named[part][1] = len(lines)
         drop -= dropped
         article -= marked
         links -= name == "a"
@@ -146,25 +196,35 @@ def lines_of(page: str) -> list[tuple[str, int, int]]:
         if name in VOID or m[3].endswith("/"):
             continue
         names = _names(m[3])
-        marked = name in ("article", "main") or "main" in names and "role" in m[3].lower()
-        dropped = (name in DROP or bool(names & DROP_NAMES) and name not in ("html", "body", "article", "main")
-                   or not article and (name in OUTSIDE_ONLY or bool(names & OUTSIDE_NAMES) and name not in ("html", "body", "article", "main")))
-        stack.append((name, dropped, marked and not dropped))
+        exempt = name in ("html", "body", "article", "main")
+        hint = not exempt and bool(names & DROP_NAMES or not article and names & OUTSIDE_NAMES)
+        marked = (name in ("article", "main") or "main" in names and "role" in m[3].lower()) and not names & DROP_NAMES
+        dropped = name in DROP or not article and name in OUTSIDE_ONLY or hint and name in INLINE
+        part = -1
+        if hint and not dropped and not drop:
+            flush()
+            part = len(named)
+            named.append([len(lines), 0, 0])
+        if marked and not dropped and not drop:
+            for e in stack:
+                if e[3] >= 0:
+                    named[e[3]][2] = 1
+        stack.append((name, dropped, marked and not dropped, part))
         drop += dropped
         articles += marked and not dropped and not article
         article += marked and not dropped
         links += name == "a"
     if not raw and not drop and at < len(page):
         text.append((page[at:], links > 0))
+    while stack:
+        pop()
     flush()
-    return lines
+    return _drop_named(lines, named)
 
 
 def main_lines(lines: list[tuple[str, int, int]]) -> list[str]:
     """The kept lines by surge and dive of the block sums."""
-    weight = [MARKED_WEIGHT * n if inside else n for _, n, inside in lines]
-    if not any(weight):
-        weight = [len(t) if inside else 0 for t, _, inside in lines]
+    weight = _weights(lines)
     total = [0]
     for n in weight:
         total.append(total[-1] + n)
