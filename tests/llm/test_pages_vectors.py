@@ -96,6 +96,30 @@ def test_names_are_only_a_hint(wrapper):
     assert html_extract.main_text(f"<body><div class='ad'>{STORY}</div><article><p>Short.</p></article>") == "Short."
 
 
+@pytest.mark.parametrize("tag", ["div", "body", "section", "td"])
+def test_a_gap_in_a_container_does_not_cut_off_the_end(tag):
+    long, text = paragraphs(story(0, 20)), "\n".join(story(0, 20))
+    links = "<ul><li><a href=1>One</a></li><li><a href=2>Two</a></li><li><a href=3>Three</a></li></ul>"
+    advert = f"<aside><nav>{links}</nav><form><button>Buy</button></form><aside>x</aside></aside>"
+    named = "<div class=ad><p>Buy</p><div class=ads><p>this</p></div><p>now</p><p>here</p></div>"
+    page = lambda end: f"<{tag}>{long}{end}</{tag}>" if tag != "section" else f"<div><section>{long}</section><section>{end}</section></div>"
+    assert html_extract.main_text(page(f"{links}<p>The end.</p>")) == f"{text}\nOne\nTwo\nThree\nThe end."
+    for gap in (advert, named, advert * 4):
+        assert html_extract.main_text(page(f"{gap}<p>The end.</p>")) == f"{text}\nThe end."
+    assert html_extract.main_text(page(f"{links}<p>{STORY * 2}</p>")).endswith("Three\n" + " ".join((STORY * 2).split()))
+
+
+def test_text_of_other_containers_needs_a_block_of_its_own():
+    links = "<ul><li><a href=1>One</a><li><a href=2>Two</a><li><a href=3>Three</a></ul>"
+    page = f"<body><div><p>Site</p><p>Motto</p></div>{links}<div>{paragraphs(story(0, 20))}</div>{links}<div><p>{STORY}</p><p>x</p></div>"
+    assert html_extract.main_text(page) == "\n".join([*story(0, 20), STORY.strip(), "x"])
+
+
+def test_a_dropped_subtree_is_one_empty_line():
+    lines, _ = html_extract.lines_of("<p>a</p><aside><nav>x</nav><form><nav>y</nav></form></aside><p>b</p>")
+    assert [line[0] for line in lines] == ["a", "", "b"]
+
+
 def test_long_page_is_not_quadratic():
     assert len(html_extract.main_text("<article>" + "<p>w x</p>" * 50_000).split("\n")) == 50_000
     assert html_extract.main_text("<" * 100_000 + "a") is not None

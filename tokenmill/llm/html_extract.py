@@ -10,8 +10,12 @@ links, and block i the sum of lines i to i + ``WINDOW`` - 1.  A surge is the
 point where that sum rises from nothing above the threshold, the next dive the
 point where it is nothing again; lines between the two are kept.  A region
 needs a block of ``MIN_BLOCK`` characters or, if no region has one, the page's
-largest.  Of the regions of a page without a kept article those with a quarter
-of the largest region's text stay.
+largest.  Around a kept region the rest of its container goes with it: of the
+element that holds more than half of the region's text (not counting
+paragraphs, sections, lists and the like, nor an element of one line unless
+the page itself is next), everything from its first to its last line with text
+outside links stays, so a list of links or an advert does not cut off a short
+closing section.
 
 A marked article (article, main) is evidence and no rule: its text counts
 ``MARKED_WEIGHT`` times, a region ends at its border, and an article with a
@@ -29,6 +33,7 @@ pages cut off in the middle, unclosed and stray tags are read like a browser
 does (an open paragraph ends at the next block); repeated rows stay rows.
 """
 
+import bisect
 import html as html_lib
 import re
 from typing import Iterator
@@ -41,10 +46,12 @@ from tokenmill.llm import tables as T
 
 WINDOW = 3
 MIN_BLOCK = 80
-KEEP_SHARE = 0.25
 #: A character in a marked article counts as this many.
 MARKED_WEIGHT = 2
 
+#: A block: text, characters outside links, article number; of a page also its box.
+Line = tuple
+
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+)(?:>|\Z)|<[!?][^>]*+(?:>|\Z)""", re.S)
 _NAME = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
@@ -67,6 +74,8 @@ DROP_NAMES = {"nav", "navigation", "navbar", "menu", "sidebar", "aside", "ad", "
               "comments", "reply", "replies", "respond", "disqus", "breadcrumb", "breadcrumbs", "pagination", "pager", "footer",
               "toolbar", "widget", "skip", "search", "complementary", "contentinfo", "dialog"}
 OUTSIDE_NAMES = {"header", "masthead", "topbar"}
+#: Elements whose lines belong together.
+BOXES = {"div", "article", "main", "center", "td", "th"}
 #: What follows these in a name says what the page has around the text or lacks.
 ABOUT = {"has", "no", "with", "without"}
 #: Elements inside a block; with a name of the lists their text goes at once.
@@ -86,13 +95,13 @@ def _names(attributes: str) -> set[str]:
     return names
 
 
-def _weights(lines: list[tuple[str, int, int]]) -> list[int]:
-    weight = [MARKED_WEIGHT * n if inside else n for _, n, inside in lines]
-    return weight if any(weight) else [len(t) if inside else 0 for t, _, inside in lines]
+def _weights(lines: list[Line]) -> list[int]:
+    weight = [MARKED_WEIGHT * line[1] if line[2] else line[1] for line in lines]
+    return weight if any(weight) else [len(line[0]) if line[2] else 0 for line in lines]
 
 
-def _drop_named(lines: list[tuple[str, int, int]], named: list[list[int]]) -> list[tuple[str, int, int]]:
-    """The lines with one empty line for each named part (first line, end, holds
+def _drop_named(lines: list[Line], boxes: list[list[int]], named: list[list[int]]) -> list[Line]:
+    """The lines (boxes are moved along) with one empty line for each named part (first line, end, holds
     an article) that holds neither an article nor most of the largest block;
     beside article text that block needs ``MIN_BLOCK`` and two lines of the part."""
     if not named:
@@ -105,9 +114,9 @@ def _drop_named(lines: list[tuple[str, int, int]], named: list[list[int]]) -> li
     most = total[ends[at]] - total[at] if lines else 0
     end, article = 0, False
     for a, b, _ in [*named, (len(lines), len(lines), 0)]:
-        article = article or any(mark and n for _, n, mark in lines[end:a])
+        article = article or any(line[2] and line[1] for line in lines[end:a])
         end = max(end, b)
-    out, done = [], 0
+    out, done, place = [], 0, list(range(len(lines) + 1))
     for a, b, holds in named:  # by first line, outer parts first
         if a < done or holds:
             continue
@@ -115,16 +124,28 @@ def _drop_named(lines: list[tuple[str, int, int]], named: list[list[int]]) -> li
         if low < high and 2 * (total[high] - total[low]) > most and not (
                 article and (most < MIN_BLOCK or sum(line[1] > 0 for line in lines[low:high]) < 2)):
             continue
-        out += [*lines[done:a], ("", 0, 0)]
+        for i in range(done, a):
+            place[i] = len(out) + i - done
+        out += lines[done:a]
+        place[a:b] = [len(out)] * (b - a)
+        out.append(("", 0, 0, lines[a][3] if a < b else 0))
         done = b
+    for i in range(done, len(lines) + 1):
+        place[i] = len(out) + i - done
+    for box in boxes:
+        box[0], box[1] = place[box[0]], place[box[1]]
     return out + lines[done:]
 
 
-def lines_of(page: str) -> list[tuple[str, int, int]]:
+def lines_of(page: str) -> tuple[list[Line], list[list[int]]]:
     """(text, characters outside links, number of the outermost marked article
-    or 0) of each block in page order; dropped parts give empty lines."""
-    lines: list[tuple[str, int, int]] = []
-    stack: list[tuple[str, bool, bool, int]] = []  # element, dropped, article, its place in named or -1
+    or 0, place of the innermost box) of each block in page order, where a
+    dropped part gives one empty line; (first line, end, place of the outer
+    box) of each box, the page first."""
+    lines: list[Line] = []
+    boxes = [[0, 0, 0]]
+    box = 0
+    stack: list[tuple[str, bool, bool, int, int]] = []  # element, dropped, article, its place in named and in boxes or -1
     named: list[list[int]] = []
     text: list[tuple[str, bool]] = []
     drop = article = links = articles = 0
@@ -135,21 +156,23 @@ def lines_of(page: str) -> list[tuple[str, int, int]]:
             plain = " ".join(html_lib.unescape("".join(t for t, link in text if not link)).split())
             text.clear()
             if whole:
-                lines.append((whole, len(plain), articles if article else 0))
+                lines.append((whole, len(plain), articles if article else 0, box))
 
     def pop() -> str:
-        nonlocal drop, article, links
-        name, dropped, marked, part = stack[-1]
+        nonlocal drop, article, links, box
+        name, dropped, marked, part, own = stack[-1]
         if name in BLOCK or part >= 0:
             flush()
         stack.pop()
         if part >= 0:
             named[part][1] = len(lines)
+        if own >= 0:
+            boxes[own][1], box = len(lines), boxes[own][2]
         drop -= dropped
         article -= marked
         links -= name == "a"
-        if dropped:
-            lines.append(("", 0, articles if article else 0))
+        if dropped and not drop:
+            lines.append(("", 0, articles if article else 0, box))
         return name
 
     at, raw = 0, ""
@@ -209,7 +232,13 @@ def lines_of(page: str) -> list[tuple[str, int, int]]:
             for e in stack:
                 if e[3] >= 0:
                     named[e[3]][2] = 1
-        stack.append((name, dropped, marked and not dropped, part))
+        own = -1
+        if name in BOXES and not dropped and not drop:
+            flush()
+            own = len(boxes)
+            boxes.append([len(lines), 0, box])
+            box = own
+        stack.append((name, dropped, marked and not dropped, part, own))
         drop += dropped
         articles += marked and not dropped and not article
         article += marked and not dropped
@@ -219,11 +248,26 @@ def lines_of(page: str) -> list[tuple[str, int, int]]:
     while stack:
         pop()
     flush()
-    return _drop_named(lines, named)
+    boxes[0][1] = len(lines)
+    return _drop_named(lines, boxes, named), boxes
+
+
+def _container(a: int, b: int, total: list[int], text: list[int], lines: list[Line], boxes: list[list[int]]) -> int:
+    """The place of the box that lines a to b belong to; total and text are
+    running sums of weights and of lines with text."""
+    middle = bisect.bisect_right(total, (total[a] + total[b]) / 2, a, b) - 1
+    at = lines[middle][3]
+    while at:
+        low, high, outer = boxes[at]
+        if (2 * (total[min(b, high)] - total[max(a, low)]) > total[b] - total[a]
+                and (text[high] - text[low] > 1 or not outer)):
+            break
+        at = outer
+    return at
 
 
-def main_lines(lines: list[tuple[str, int, int]]) -> list[str]:
-    """The kept lines by surge and dive of the block sums."""
+def main_lines(lines: list[Line], boxes: list[list[int]] | None = None) -> list[str]:
+    """The kept lines by surge and dive of the block sums, joined inside boxes."""
     weight = _weights(lines)
     total = [0]
     for n in weight:
@@ -241,16 +285,25 @@ def main_lines(lines: list[tuple[str, int, int]]) -> list[str]:
     peak = [max(total[min(b, i + WINDOW)] - total[i] for i in range(a, b)) for a, b in regions]
     threshold = min(MIN_BLOCK, max(peak))
     regions = [r for r, n in zip(regions, peak) if n >= threshold]
-    articles = {lines[a][2] for a, b in regions for a in range(a, b) if lines[a][2]}
-    if not articles:
-        most = max(total[b] - total[a] for a, b in regions)
-        regions = [(a, b) for a, b in regions if total[b] - total[a] >= KEEP_SHARE * most]
-    keep = {i for a, b in regions for i in range(a, b)}
-    return [line[0] for i, line in enumerate(lines) if line[0] and (i in keep or line[2] in articles)]
+    articles = {lines[i][2] for a, b in regions for i in range(a, b) if lines[i][2]}
+    keep = bytearray(len(lines))
+    for a, b in regions:
+        keep[a:b] = b"\1" * (b - a)
+    if boxes:
+        text = [0]
+        for line in lines:
+            text.append(text[-1] + bool(line[0]))
+        weighted = [i for i, n in enumerate(weight) if n]
+        for low, high, _ in (boxes[k] for k in {_container(a, b, total, text, lines, boxes) for a, b in regions}):
+            first, end = bisect.bisect_left(weighted, low), bisect.bisect_left(weighted, high)
+            if first < end:
+                a, b = weighted[first], weighted[end - 1] + 1
+                keep[a:b] = b"\1" * (b - a)
+    return [line[0] for i, line in enumerate(lines) if line[0] and (keep[i] or line[2] in articles)]
 
 
 def main_text(page: str | None) -> str:
-    return "\n".join(main_lines(lines_of(page))) if page else ""
+    return "\n".join(main_lines(*lines_of(page))) if page else ""
 
 
 def extractor():
