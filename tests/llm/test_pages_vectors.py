@@ -189,6 +189,30 @@ def test_top_k(spark, monkeypatch, seed, spread):
     assert got == brute_top(rows)
 
 
+@pytest.mark.parametrize("case", ["query row repeated", "other row repeated", "other vectors of the query's id"])
+def test_top_k_of_rows_repeated_in_an_isolated_cluster(spark, case):
+    from pyspark.sql import functions as F
+
+    r = np.random.default_rng(7)
+    by_hash = spark.range(1, 20_000).orderBy(F.xxhash64("id", F.lit("pivot")))
+    query = by_hash.where("id % 50 = 0").first().id  # a pivot of its own
+    rows = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(r.normal(size=(400, 4)), 20_001) if i % 50]
+    alone = [40.0, 0.0, 0.0, 0.0]
+    rows += [(query, alone)]
+    if case == "query row repeated":
+        rows += [(query, alone)] * 300
+    elif case == "other row repeated":
+        rows += [(by_hash.where("id % 50 = 1").first().id, alone)] * 300
+    else:
+        rows += [(query, [40.0, k / 256, 0.0, 0.0]) for k in range(1, 9)]
+    want = brute_top(rows)
+    got = sorted(map(tuple, knn_join.top_k(vectors(spark, rows)).collect()))
+    if case.startswith("other vectors"):  # the SQL ranks the rows of a query id together
+        best = sorted(((-s, i) for _, _, i, s in want))[:5]
+        want = [(query, n, i, -s) for n, (s, i) in enumerate(best, 1)]
+    assert got == want and len(got) == 5
+
+
 def test_top_k_of_huge_components_is_exact(spark):
     rows = [(50 * k, [1e7 + 1000 * k, 3.0]) for k in range(4)] + [(k, [1e7, float(k)]) for k in range(1, 9)]
     assert sorted(map(tuple, knn_join.top_k(vectors(spark, rows)).collect())) == brute_top(rows)

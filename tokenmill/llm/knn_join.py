@@ -10,7 +10,9 @@ inequality.
    queries, between ``MIN_PIVOTS`` and ``MAX_PIVOTS``.  Queries and candidates
    go to the cell of their nearest pivot.
 2. Summaries: of each query cell the radius, of each candidate cell the count
-   and the k + 1 smallest distances to the pivot (a few rows for each cell,
+   and the k + 1 smallest distances to the pivot of different ids, each id by
+   its nearest row, since a query leaves out all rows of one id, its own, and
+   k others may have to be k ids (a few rows for each cell,
    pre-aggregated by task).  From these the driver derives for each query
    group an upper bound of the (k + 1)-th nearest distance, hence for each
    pair of cells the range of pivot distances that can matter.
@@ -89,13 +91,20 @@ def _assign_task(pivots, dim: int, top2: float, every: int):
 
 
 def _summary_task(n: int, k: int):
-    small = [np.zeros(0)] * n
+    small, small_id, most = [np.zeros(0)] * n, [np.zeros(0, np.int64)] * n, np.full(n, np.inf)
     count, asked, radius = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n)
 
     def fn(batch):
-        sc, sd = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        for c in np.unique(sc):
-            small[c] = np.sort(np.concatenate([small[c], sd[sc == c]]))[:k + 1]
+        sc, sd, ids = (batch.column(i).to_numpy() for i in (0, 1, 4))
+        near = sd < most[sc]
+        for c in np.unique(sc[near]):
+            here = near & (sc == c)
+            d, i = np.concatenate([small[c], sd[here]]), np.concatenate([small_id[c], ids[here]])
+            order = np.argsort(d, kind="stable")
+            first = order[np.sort(np.unique(i[order], return_index=True)[1])[:k + 1]]
+            small[c], small_id[c] = d[first], i[first]
+            if len(first) > k:
+                most[c] = d[first[-1]]
         np.add.at(count, sc, 1)
         ask = batch.column(2).is_valid().to_numpy(zero_copy_only=False)
         qc = batch.column(2).drop_null().to_numpy()
@@ -105,7 +114,8 @@ def _summary_task(n: int, k: int):
 
     def end():
         yield pa.record_batch([pa.array(np.arange(n, dtype=np.int32)), pa.array(small, pa.list_(pa.float64())),
-                               pa.array(count), pa.array(asked), pa.array(radius)], names=["cell", "small", "n", "asked", "radius"])
+                               pa.array(small_id, pa.list_(pa.int64())), pa.array(count), pa.array(asked), pa.array(radius)],
+                              names=["cell", "small", "small_id", "n", "asked", "radius"])
 
     fn.end = end
     return fn
@@ -115,19 +125,26 @@ class Plan:
     """Which pivot distances of which cells each query group needs, and how
     groups are split into tasks."""
 
-    def __init__(self, pivots: np.ndarray, rows: list, k: int, scale: float) -> None:
+    def __init__(self, pivots: np.ndarray, rows: list, k: int, scale: float, ids: dict[int, list[int]] | None = None) -> None:
+        """ids: of each cell's small distances; without them each is an id of its own."""
         n = len(pivots)
         self.count, self.asked, radius = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n)
-        near = np.full((n, k + 1), np.inf)
+        near, near_id = np.full((n, k + 1), np.inf), np.arange(n * (k + 1)).reshape(n, k + 1)
         for r in rows:
             c = r["cell"]
             self.count[c], self.asked[c], radius[c] = r["n"], r["asked"], r["radius"]
             near[c, :len(r["small"])] = r["small"]
+            if ids is not None and c in ids:
+                near_id[c, :len(ids[c])] = ids[c]
+        known = np.isfinite(near)
         apart = np.sqrt(np.maximum(0.0, (pivots ** 2).sum(1)[:, None] + (pivots ** 2).sum(1)[None] - 2 * pivots @ pivots.T))
         slack = 1e-6 * (1.0 + scale)  # rounding of the doubles above
         self.low, self.high = np.full((n, n), np.inf), np.full((n, n), -np.inf)
         for i in np.flatnonzero(self.asked):
-            bound = np.sort((radius[i] + apart[i][:, None] + near).ravel())[k]
+            far = (radius[i] + apart[i][:, None] + near)[known]
+            order = np.argsort(far)
+            first = np.sort(np.unique(near_id[known][order], return_index=True)[1])
+            bound = far[order[first[k]]] if len(first) > k else np.inf
             self.low[i] = apart[i] - radius[i] - bound - slack
             self.high[i] = apart[i] + radius[i] + bound + slack
         self.blocks = np.maximum(1, -(-self.asked // BLOCK_QUERIES))
@@ -256,11 +273,16 @@ def _search(vectors: DataFrame, dim: int, k: int, every: int) -> DataFrame:
     pivots = spark.sparkContext.broadcast(points)  # at most MAX_PIVOTS vectors
     cells = T.store(T.map_arrow(vectors.select("id", "v"), lambda: _assign_task(pivots, dim, top2, every),
                                 "id long, v array<long>, sc int, sd double, qc int, qd double"), "cells")
-    parts = T.map_arrow(cells.select("sc", "sd", "qc", "qd"), lambda: _summary_task(len(points), k),
-                        "cell int, small array<double>, n long, asked long, radius double")
-    summary = (parts.groupBy("cell").agg(F.slice(F.sort_array(F.flatten(F.collect_list("small"))), 1, k + 1).alias("small"),
-                                         F.sum("n").alias("n"), F.sum("asked").alias("asked"), F.max("radius").alias("radius")))
-    plan = spark.sparkContext.broadcast(Plan(points, summary.collect(), k, top2 ** 0.5))  # pivots squared
+    parts = T.store(T.map_arrow(cells.select("sc", "sd", "qc", "qd", "id"), lambda: _summary_task(len(points), k),
+                                "cell int, small array<double>, small_id array<long>, n long, asked long, radius double"), "parts")
+    near = (parts.select("cell", F.explode(F.arrays_zip("small", "small_id")).alias("s"))
+            .groupBy("cell", F.col("s.small_id").alias("id")).agg(F.min("s.small").alias("d"))
+            .groupBy("cell").agg(F.slice(F.sort_array(F.collect_list(F.struct("d", "id"))), 1, k + 1).alias("near")))
+    summary = (parts.groupBy("cell").agg(F.sum("n").alias("n"), F.sum("asked").alias("asked"), F.max("radius").alias("radius"))
+               .join(near, "cell", "left").withColumn("near", F.coalesce("near", F.expr("cast(array() as array<struct<d:double,id:long>>)")))
+               .select("cell", F.col("near.d").alias("small"), F.col("near.id").alias("ids"), "n", "asked", "radius").collect())
+    ids = {r["cell"]: r["ids"] for r in summary}
+    plan = spark.sparkContext.broadcast(Plan(points, summary, k, top2 ** 0.5, ids))  # pivots squared
     spread = T.map_arrow(cells, lambda: _replicate_task(plan), "task long, kind int, id long, v array<long>")
     solved = T.map_arrow(spread.repartition("task").sortWithinPartitions("task", "kind", "id", "v"), lambda: _solve_task(dim, k),
                          "query_id long, vec_id long, score long")
