@@ -17,7 +17,7 @@ PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language; those without a letter or like no language go."""
+    """Documents in a learned language; those without a letter, or long and like no language, go."""
     tables.ready(spark)
     return language_id.keep_known(docs)
 

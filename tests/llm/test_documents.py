@@ -255,6 +255,25 @@ def test_language_id_held_out_accuracy(spark):
     assert np.mean([r.lang == r.lang_pred for r in got]) > 0.97
 
 
+def test_noise_of_the_cosine_rejects_no_short_text(spark):
+    tables.ready(spark)
+    docs = tables.read(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text", "lang", "source")
+    r = random.Random(5)
+    short = [" ".join(t.split()[at:at + n]) for (t,) in docs.where("length(text) > 300").orderBy("doc_id").limit(100).select("text").collect()
+             for n in (1, 2) for at in (3, 30)]
+    short += ["Avec.", "A.", "A.\nAll rights reserved.", "Quick fix", "iPhone 15 Pro", "x", "zq " * 500]
+    short = [t for t in short if any(c.isalpha() for c in t)]
+    scripts = [(0x3B1, 0x3C9), (0x430, 0x44F), (0x4E00, 0x8000)]
+    strange = [" ".join("".join(chr(r.randint(*s)) for _ in range(r.randint(2, 9))) for _ in range(100)) for s in scripts for _ in range(60)]
+    rows = [(10**6 + i, t, None, "s") for i, t in enumerate([*short, *strange])] + [(10**7, "12 !", None, "s")]
+    both = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    kept = {x.doc_id for x in language_id.keep_known(both).collect()}
+    assert [t for i, t in enumerate(short) if 10**6 + i not in kept] == []
+    assert sum(10**6 + len(short) + i in kept for i in range(len(strange))) <= 2 and 10**7 not in kept
+    lost = [x.text for x in docs.collect() if x.doc_id not in kept and any(c.isalpha() for c in x.text)]
+    assert lost == []
+
+
 def test_language_vectors_bind_and_bundle():
     b = language_id.Bundler(64)
     a, p, e = (b.letter(ord(c)) for c in "ape")
