@@ -207,3 +207,16 @@ def test_quarantine_sets_rows_aside(spark):
     ok, bad = quarantine(df, "text")
     assert sorted(r["doc_id"] for r in ok.collect()) == [0, 2]
     assert {r["doc_id"]: r["n_oov"] for r in bad.collect()} == {1: 2, 3: 1}
+
+
+def test_crawl_sample_query_takes_every_reachable_page(spark, monkeypatch):
+    from tokenmill.plans import queries as Q
+
+    rows = [(0, "s", "t", [f"w{i}" for i in range(1, 20)], "s")] + [(i, f"w{i}", "t", [], f"w{i}") for i in range(1, 21)]
+    pages = spark.createDataFrame(rows, "page_id long, title string, summary string, links array<string>, title_key string")
+    monkeypatch.setattr(Q, "_pages", lambda spark, sf: pages)
+    got = Q.q_crawl_sample(spark, "").collect()
+    assert sorted(r["page_id"] for r in got) == list(range(20))
+    assert max(r["round"] for r in got) == 3
+    few = C.crawl(pages, C.link_edges(pages), 0, 6, 2, "0")[1].collect()
+    assert len(few) == 6 and max(r["round"] for r in few) == 3
