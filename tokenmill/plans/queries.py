@@ -255,7 +255,7 @@ def q_stream_split(spark, sf):
 
 def _batches(spark, sf, first_epoch=1):
     keys = W.split_keys(_framed(spark, sf), TRAIN.train_test_split_ratio)
-    return W.shuffle_batches(keys.drop("ord"), TRAIN, first_epoch=first_epoch)
+    return W.shuffle_batches(keys, TRAIN, first_epoch=first_epoch)
 
 
 def q_shuffle_batches(spark, sf):
@@ -576,9 +576,22 @@ _SPLIT = (f"select doc_id, ids, cast(row_number() over (order by doc_id) - 1 as
           f"case when row_number() over (order by doc_id) - 1 < "
           f"floor({TRAIN.train_test_split_ratio}::double * count(*) over ()) "
           f"then 'train' else 'test' end as split from ({_FRAMED})")
-_BATCHES = (f"select doc_id, split, epoch, cast(row_number() over (partition by split, epoch order by "
-            f"md5(concat_ws(':', '{TRAIN.seed}', epoch::varchar, doc_id::varchar)), doc_id) - 1 as bigint) as ord "
-            f"from ({_SPLIT}) s, (select unnest(range(1, {TRAIN.n_epochs + 1})) as epoch) e")
+# The Feistel rounds over (l, r), and the walk back into 0 .. n - 1 by recursion.
+def _feistel(source: str, x: str) -> str:
+    sql = f"select *, {x} // b as l, {x} % b as r from ({source})"
+    for i in range(W.FEISTEL_ROUNDS):
+        side, other, size = (("l", "r", "a"), ("r", "l", "b"))[i % 2]
+        draw = f"('0x' || substr(md5(concat_ws(':', '{TRAIN.seed}', epoch::varchar, split, '{i}', {other}::varchar)), 1, 15))::bigint"
+        sql = f"select * replace (({side} + {draw}) % {size} as {side}) from ({sql})"
+    return f"select doc_id, split, epoch, n, a, b, l * b + r as y from ({sql})"
+
+
+_PLACES = (f"select doc_id, split, epoch, n, a, ceil(n / a)::bigint as b, x from (select doc_id, split, "
+           f"row_number() over (partition by split order by ord) - 1 as x, count(*) over (partition by split) as n, "
+           f"ceil(sqrt(count(*) over (partition by split)))::bigint as a from ({_SPLIT})) s, "
+           f"(select unnest(range(1, {TRAIN.n_epochs + 1})) as epoch) e")
+_BATCHES = (f"select doc_id, split, epoch, y as ord from (with recursive walk as ({_feistel(_PLACES, 'x')} "
+            f"union all {_feistel('select * from walk where y >= n', 'y')}) select * from walk) where y < n")
 _BATCHES_0 = _BATCHES.replace("range(1, ", "range(0, ", 1)
 _N_TRAIN = f"(select count(*) from ({_SPLIT}) where split = 'train')"
 ORACLE.update({
