@@ -10,9 +10,13 @@ shard is its slot's offset plus its number inside the virtual slot, so no
 window holds more than a virtual slot.
 
 Law ``bytes``: shard sizes are near equal, up to the size of a small slot.
-Copies of a text have different ids and spread over the slots.  A null id
-hashes by its text; rows that repeat an id share a slot.  An empty table
-gives an empty result, and a text that is null has no bytes.
+The virtual slot hashes the id, the text's crc32 and size, and a number that
+tells rows equal in all three apart, so neither copies of a text nor rows that
+repeat an id, with one text or many, share a slot.  Equal rows are counted
+first (map-side combined) and numbered from their count, a hot one in chunks
+of ``CHUNK_ROWS`` dealt to different tasks; the numbers depend on nothing but
+the rows.  A null id hashes by the rest.  An empty table gives an empty
+result, and a text that is null has no bytes.
 """
 
 from __future__ import annotations
@@ -27,11 +31,25 @@ from tokenmill.llm import tables as T
 
 N_SLOTS = 8192
 ROW_BYTES = 8
+#: Equal rows that one task numbers at a time.
+CHUNK_ROWS = 8192
 
 
-def virtual_slot(id_col: Column, text_col: Column, n_slots: int = N_SLOTS) -> Column:
-    return F.pmod(F.coalesce(F.xxhash64(F.when(id_col.isNotNull(), id_col)), F.lit(0))
-                  + F.when(id_col.isNull(), F.xxhash64(text_col)).otherwise(F.lit(0)), F.lit(n_slots)).cast("int")
+def virtual_slot(n_slots: int = N_SLOTS) -> Column:
+    """The slot of a row of :func:`numbered` rows."""
+    return F.pmod(F.xxhash64("doc_id", "text_crc32", "size", "repeat"), F.lit(n_slots)).cast("int")
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """One row per input row (doc_id, size, text_crc32) with ``repeat``: 0, 1, ...
+    among rows equal in all three."""
+    same = ["doc_id", "size", "text_crc32"]
+    counts = T.store(rows.groupBy(*same).agg(F.count(F.lit(1)).alias("n")), "equal-rows")
+    few = counts.where(F.col("n") <= CHUNK_ROWS).select(*same, F.lit(0).cast("long").alias("base"), "n")
+    base = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(CHUNK_ROWS).cast("long")))
+    many = (counts.where(F.col("n") > CHUNK_ROWS).select(*same, "n", base.alias("base"))
+            .select(*same, "base", F.least(F.lit(CHUNK_ROWS), F.col("n") - F.col("base")).alias("n")).repartition(*same, "base"))
+    return few.union(many).select(*same, F.explode(F.sequence("base", F.col("base") + F.col("n") - 1)).alias("repeat"))
 
 
 def record_size(text_col: Column) -> Column:
@@ -130,8 +148,8 @@ def shard(df: DataFrame, n_shards: int = 24, id_col: str = "doc_id", text_col: s
     spark = df.sparkSession
     id_, text = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`").cast("string")
     rows = df.select(id_.alias("doc_id"), record_size(text).alias("size"),
-                     F.crc32(F.encode(F.coalesce(text, F.lit("")), "utf-8")).alias("text_crc32"),
-                     virtual_slot(id_, text, n_slots).alias("vslot"))
+                     F.crc32(F.encode(F.coalesce(text, F.lit("")), "utf-8")).alias("text_crc32"))
+    rows = numbered(rows).withColumn("vslot", virtual_slot(n_slots))
     sums = rows.groupBy("vslot").agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n")).collect()
     load = {r["vslot"]: (r["b"], r["n"]) for r in sums}
     path = T.shared_folder(spark, "shard-map")
@@ -141,7 +159,7 @@ def shard(df: DataFrame, n_shards: int = 24, id_col: str = "doc_id", text_col: s
         _map_frame(spark, version, m, load).write.parquet(f"{path}/version={version}")
     # n_slots rows: a size fixed by the parameter.
     placed = rows.join(F.broadcast(shard_map(spark, path, 1).select("version", "vslot", "shard", "offset")), "vslot")
-    inside = Window.partitionBy("vslot").orderBy("doc_id", "size", "text_crc32")
+    inside = Window.partitionBy("vslot").orderBy("doc_id", "size", "text_crc32", "repeat")
     return (placed.withColumn("slot", F.col("offset") + F.row_number().over(inside) - 1)
             .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                     F.lit(None).cast("int").alias("grown_shard"), "vslot", F.col("version").alias("map_version")), path)
