@@ -68,6 +68,8 @@ DROP = {"nav", "aside", "footer", "form", "menu", "dialog", "button", "head", "l
 OUTSIDE_ONLY = {"header"}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "option": {"option"}}
+#: Where a raw element ends: what stands before is no markup.
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I) for name in RAW}
 DROP_NAMES = {"nav", "navigation", "navbar", "menu", "sidebar", "aside", "ad", "ads", "advert", "adverts", "advertisement", "sponsor",
               "sponsored", "promo", "banner", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "alert", "popup", "modal",
               "newsletter", "subscribe", "signup", "login", "share", "sharing", "social", "related", "recommended", "comment",
@@ -78,7 +80,7 @@ OUTSIDE_NAMES = {"header", "masthead", "topbar"}
 BOXES = {"div", "article", "main", "center", "td", "th"}
 #: What follows these in a name says what the page has around the text or lacks.
 ABOUT = {"has", "no", "with", "without"}
-#: Elements inside a block; with a name of the lists their text goes at once.
+#: Elements inside a block; a block whose words all are in such with a name of the lists goes.
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "mark", "q",
           "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var"}
 
@@ -145,108 +147,117 @@ def lines_of(page: str) -> tuple[list[Line], list[list[int]]]:
     lines: list[Line] = []
     boxes = [[0, 0, 0]]
     box = 0
-    stack: list[tuple[str, bool, bool, int, int]] = []  # element, dropped, article, its place in named and in boxes or -1
+    stack: list[tuple[str, bool, bool, int, int, bool]] = []  # element, dropped, article, place in named and in boxes or -1, aside
+    places: dict[str, list[int]] = {}  # element: its places in the stack
     named: list[list[int]] = []
-    text: list[tuple[str, bool]] = []
-    drop = article = links = articles = 0
+    open_parts: list[int] = []
+    text: list[tuple[str, bool, bool]] = []  # piece, in a link, in an inline element with a listed name
+    drop = article = links = articles = asides = 0
 
     def flush() -> None:
         if text:
-            whole = " ".join(html_lib.unescape("".join(t for t, _ in text)).split())
-            plain = " ".join(html_lib.unescape("".join(t for t, link in text if not link)).split())
+            whole = " ".join(html_lib.unescape("".join(t for t, _, _ in text)).split())
+            if any(aside for _, _, aside in text) and not any(
+                    c.isalnum() for t, _, aside in text if not aside for c in html_lib.unescape(t)):
+                whole = ""
+                lines.append(("", 0, articles if article else 0, box))
+            plain = " ".join(html_lib.unescape("".join(t for t, link, _ in text if not link)).split())
             text.clear()
             if whole:
                 lines.append((whole, len(plain), articles if article else 0, box))
 
-    def pop() -> str:
-        nonlocal drop, article, links, box
-        name, dropped, marked, part, own = stack[-1]
+    def last(*names: str) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=-1)
+
+    def pop() -> None:
+        nonlocal drop, article, links, box, asides
+        name, dropped, marked, part, own, aside = stack[-1]
         if name in BLOCK or part >= 0:
             flush()
         stack.pop()
+        places[name].pop()
         if part >= 0:
             named[part][1] = len(lines)
+            open_parts.pop()
         if own >= 0:
             boxes[own][1], box = len(lines), boxes[own][2]
         drop -= dropped
         article -= marked
+        asides -= aside
         links -= name == "a"
         if dropped and not drop:
             lines.append(("", 0, articles if article else 0, box))
-        return name
 
-    at, raw = 0, ""
-    for m in _TOKEN.finditer(page):
+    def pop_to(place: int) -> None:
+        while len(stack) > place:
+            pop()
+
+    at = 0
+    while m := _TOKEN.search(page, at):
         name = (m[2] or "").lower()
-        if raw:
-            if m[1] and name == raw:
-                raw = ""
-            at = m.end()
-            continue
         if m.start() > at and not drop:
-            text.append((page[at:m.start()], links > 0))
+            text.append((page[at:m.start()], links > 0, asides > 0))
         at = m.end()
         if not name:
             continue
         if m[1]:
-            if any(e[0] == name for e in stack):
-                while pop() != name:
-                    pass
+            if places.get(name):
+                pop_to(places[name][-1])
             elif name in BLOCK:
                 flush()
             continue
         if name in RAW:
             if not m[3].endswith("/"):
-                raw = name
+                end = _RAW_END[name].search(page, at)
+                at = end.start() if end else len(page)
             continue
         if name == "br" or name == "wbr":
-            text.append((" " if name == "br" else "", False))
+            text.append((" " if name == "br" else "", False, asides > 0))
             continue
         if name in BLOCK:
             flush()
-            if any(e[0] == "p" for e in stack) and name not in ("html", "body"):
-                while pop() != "p":
-                    pass
+            if places.get("p") and name not in ("html", "body"):
+                pop_to(places["p"][-1])
         ends = CLOSES.get(name)
         if ends:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in ends:
-                    while len(stack) > k:
-                        pop()
-                    break
-                if stack[k][0] in ("ul", "ol", "dl", "table", "menu", "select"):
-                    break
+            k = last(*ends)
+            if k > last("ul", "ol", "dl", "table", "menu", "select"):
+                pop_to(k)
         if name in VOID or m[3].endswith("/"):
             continue
         names = _names(m[3])
         exempt = name in ("html", "body", "article", "main")
         hint = not exempt and bool(names & DROP_NAMES or not article and names & OUTSIDE_NAMES)
         marked = (name in ("article", "main") or "main" in names and "role" in m[3].lower()) and not names & DROP_NAMES
-        dropped = name in DROP or not article and name in OUTSIDE_ONLY or hint and name in INLINE
+        dropped = name in DROP or not article and name in OUTSIDE_ONLY
+        aside = hint and name in INLINE
         part = -1
-        if hint and not dropped and not drop:
+        if hint and not aside and not dropped and not drop:
             flush()
             part = len(named)
             named.append([len(lines), 0, 0])
+            open_parts.append(part)
         if marked and not dropped and not drop:
-            for e in stack:
-                if e[3] >= 0:
-                    named[e[3]][2] = 1
+            for k in reversed(open_parts):
+                if named[k][2]:
+                    break
+                named[k][2] = 1
         own = -1
         if name in BOXES and not dropped and not drop:
             flush()
             own = len(boxes)
             boxes.append([len(lines), 0, box])
             box = own
-        stack.append((name, dropped, marked and not dropped, part, own))
+        places.setdefault(name, []).append(len(stack))
+        stack.append((name, dropped, marked and not dropped, part, own, aside))
         drop += dropped
+        asides += aside
         articles += marked and not dropped and not article
         article += marked and not dropped
         links += name == "a"
-    if not raw and not drop and at < len(page):
-        text.append((page[at:], links > 0))
-    while stack:
-        pop()
+    if not drop and at < len(page):
+        text.append((page[at:], links > 0, asides > 0))
+    pop_to(0)
     flush()
     boxes[0][1] = len(lines)
     return _drop_named(lines, boxes, named), boxes
