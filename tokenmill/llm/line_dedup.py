@@ -27,13 +27,15 @@ from tokenmill.llm import tables as T
 
 MAX_SHARE = 0.5
 MIN_PAGES = 3
+#: Parts that the pages and lines of one host are dealt to.
+SALTS = 32
 
 # Patterns that Java's and RE2's engines read alike.
-HIDDEN = (r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<noscript\b.*?</noscript\s*>"
-          r"|<template\b.*?</template\s*>|<head\b.*?</head\s*>")
+HIDDEN = (r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)"
+          r"|<noscript\b.*?(?:</noscript\s*>|\z)|<template\b.*?(?:</template\s*>|\z)|<head\b.*?(?:</head\s*>|<body\b[^<>]*>|\z)")
 BREAK = (r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr"
-         r"|html|li|main|nav|ol|p|pre|section|table|td|tfoot|th|thead|tr|ul)\b[^>]*>")
-TAG = r"<[^>]*>"
+         r"|html|li|main|nav|ol|p|pre|section|table|td|tfoot|th|thead|tr|ul)\b[^<>]*>")
+TAG = r"<[^<>]*>"
 BLANK = r"[\x09-\x0D\x20]+"
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 
@@ -54,6 +56,14 @@ def _key(line: Column) -> Column:
     return F.struct(F.xxhash64(line).alias("h"), F.xxhash64(line, F.lit(1)).alias("g"))
 
 
+def _salt(*columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int")
+
+
+def _for_each_salt(df: DataFrame) -> DataFrame:
+    return df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
 def dedup_lines(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
                 max_share: float = MAX_SHARE, min_pages: int = MIN_PAGES) -> DataFrame:
     """One row per page: page_id, host, text (kept lines, joined by line
@@ -64,9 +74,10 @@ def dedup_lines(df: DataFrame, id_col: str = "page_id", url_col: str = "url", ht
     totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     lines = pages.select("host", F.explode(F.array_distinct(F.transform("lines", _key))).alias("line"))
     counts = lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
-    common = counts.join(totals, "host").where(F.col("n") / F.col("pages") > max_share)
+    common = (counts.withColumn("salt", _salt("line"))
+              .join(_for_each_salt(totals), ["host", "salt"])).where(F.col("n") / F.col("pages") > max_share)
     drop = common.groupBy("host").agg(F.collect_list("line").alias("drop"))
-    out = pages.join(drop, "host", "left").withColumn(
+    out = pages.withColumn("salt", _salt("page_id", "lines")).join(_for_each_salt(drop), ["host", "salt"], "left").withColumn(
         "kept", F.when(F.col("drop").isNull(), F.col("lines")).otherwise(
             F.filter("lines", lambda x: ~F.array_contains(F.col("drop"), _key(x)))))
     return out.select("page_id", "host", F.array_join("kept", "\n").alias("text"), F.size("lines").cast("long").alias("n_lines"),
