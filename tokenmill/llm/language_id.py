@@ -24,7 +24,10 @@ a letter stay.
 
 Defined cases: a text that is null or without a letter is ``und`` with score
 0, as is every text when nothing could be learned; equal cosines go to the
-first language by code point; a null id is never held out.
+first language by code point; a null id is never held out, and such rows are
+drawn for training by their text.  Repeated rows are predicted alike and each
+may be drawn; an empty table gives an empty result.  Extra columns with
+clashing names play no part.
 """
 
 from typing import Iterator
@@ -40,8 +43,10 @@ from tokenmill.llm.bytehash import U64, mix, random_words
 DIMENSIONS = 4096
 TRAIN_PER_LANGUAGE = 2000
 MAX_LANGUAGES = 4096
-#: Trigram vectors that a task keeps.
-CACHE_ROWS = 16384
+#: Bytes of trigram vectors, and of letter vectors, that a task keeps (one byte a dimension).
+CACHE_BYTES, LETTER_BYTES = 48 << 20, 8 << 20
+#: Trigram vectors that are widened at a time.
+SLICE = 256
 UNKNOWN = "und"
 #: Share of long texts of no learned language that may look like one.
 FALSE_KEEP = 0.001
@@ -62,15 +67,17 @@ class Bundler:
         self.alpha = alpha
         self.keys = np.zeros(0, np.int64)
         self.rows = np.zeros(0, np.int64)
-        self.vectors = np.zeros((CACHE_ROWS, dimensions), np.float32)
+        self.room = CACHE_BYTES // dimensions
+        self.vectors = np.zeros((self.room, dimensions), np.int8)
+        self.wide = np.zeros((SLICE, dimensions), np.float32)
         self.used = 0
 
     def letter(self, c: int) -> np.ndarray:
         if c not in self.letters:
-            if len(self.letters) > CACHE_ROWS:
+            if len(self.letters) >= LETTER_BYTES // self.dimensions:
                 self.letters.clear()
             bits = mix(random_words(self.dimensions, 101) ^ mix(np.full(self.dimensions, c + 1, U64)))
-            self.letters[c] = np.where(bits & U64(1), 1, -1).astype(np.float32)
+            self.letters[c] = np.where(bits & U64(1), 1, -1).astype(np.int8)
         return self.letters[c]
 
     def bind(self, key: int) -> np.ndarray:
@@ -93,7 +100,7 @@ class Bundler:
         found[found] = self.keys[at[found]] == keys[found]
         if not found.all():
             new = keys[~found]
-            if self.used + len(new) > CACHE_ROWS:
+            if self.used + len(new) > self.room:
                 self.keys, self.rows, self.used = self.keys[:0], self.rows[:0], 0
                 new = keys
             for i, k in enumerate(new.tolist()):
@@ -113,9 +120,11 @@ class Bundler:
     def add(self, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
         counts = counts.astype(np.float32)
         out = np.zeros(self.dimensions, np.float32)
-        for a in range(0, len(keys), CACHE_ROWS // 4):
-            part = slice(a, a + CACHE_ROWS // 4)
-            out += counts[part] @ self.vectors[self._known(keys[part])]
+        for a in range(0, len(keys), SLICE):
+            rows = self._known(keys[a:a + SLICE])
+            wide = self.wide[:len(rows)]
+            wide[:] = self.vectors[rows]
+            out += counts[a:a + SLICE] @ wide
         return out
 
 
@@ -151,13 +160,17 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     if not counts:
         return [], np.zeros((0, DIMENSIONS), np.float32)
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, per_language / n))])
-    drawn = F.pmod(F.xxhash64(F.coalesce(F.col("id"), F.lit(0)), F.lit("language")), F.lit(1 << 30)) / float(1 << 30)
+    drawn = F.pmod(F.xxhash64(F.coalesce(F.col("id"), F.xxhash64("text")), F.lit("language")), F.lit(1 << 30)) / float(1 << 30)
     sample = rows.where(drawn < F.element_at(share, F.col("lang"))).select("lang", "text")
     parts = T.map_arrow(sample, _train_task, "lang string, v array<double>")
     sums = (parts.select("lang", F.posexplode("v").alias("i", "x")).groupBy("lang", "i").agg(F.sum("x").alias("x"))
-            .groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("v")).collect())
-    sums = sorted((r["lang"], np.array([c["x"] for c in r["v"]])) for r in sums)
-    return [k for k, _ in sums], np.array([v / max(np.linalg.norm(v), 1e-12) for _, v in sums], np.float32).reshape(-1, DIMENSIONS)
+            .groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("v"))
+            .select("lang", F.transform("v", lambda c: c["x"]).alias("v")).orderBy("lang").toArrow())
+    # One row of numbers a language, and never as Python objects.
+    names = sums.column("lang").to_pylist()
+    flat = sums.column("v").combine_chunks().flatten() if names else pa.array([], pa.float64())
+    v = flat.to_numpy(zero_copy_only=False).reshape(len(names), DIMENSIONS)
+    return names, (v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)).astype(np.float32)
 
 
 def rejection(languages: int, dimensions: int = DIMENSIONS) -> tuple[float, float]:
@@ -189,6 +202,8 @@ def predictor(df: DataFrame, langs: list[str], prototypes: np.ndarray):
                 score.append(min(1.0, max(0.0, float(cosines[best]))))
             yield pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(evidence, pa.float64())],
                                              ["lang", "score", "evidence"])
+        del bundler
+        T.release()
 
     return F.arrow_udf(run, "lang string, score double, evidence double").asNondeterministic()
 

@@ -7,9 +7,12 @@ under such names, so an input may carry any other columns.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +60,16 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(id_col.cast("string"), "utf-8")) % 5 == 0, F.lit(False))
 
 
+def release() -> None:
+    """Give a finished task's memory back: Python workers live on for the next
+    tasks beside the executor's JVM, and free lists would stay with them."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_arrow(df: DataFrame, make: Callable, schema: str) -> DataFrame:
     """``mapInArrow`` with per-task state: ``make()`` runs once in each task and
     returns ``fn(batch) -> iterable of record batches``; an optional ``fn.end()``
@@ -68,4 +81,6 @@ def map_arrow(df: DataFrame, make: Callable, schema: str) -> DataFrame:
         end = getattr(fn, "end", None)
         if end is not None:
             yield from end()
+        del fn, end
+        release()
     return df.mapInArrow(run, schema)
