@@ -415,3 +415,27 @@ def test_noisy_or_by_hand():
 
 def test_rows_are_plain(odd):
     assert isinstance(odd[0].first(), Row)
+
+
+def test_long_words_hash_by_every_place(spark):
+    """No period in a word's hash: exchanged blocks of 4,096 bytes make other words."""
+    a, b, c = "A" * 4096, "b" * 4096, "c" * 1000
+    texts = [a + b, b + a, a + a + b + c, a + b + a + c, b + a + a + c, (a + b) * 2, (b + a) * 2, a + b]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.near_duplicates(df).collect()}
+    assert got == {i: (1, 0 if i == 7 else i) for i in range(8)}
+
+
+def test_shards_stay_equal_when_ids_repeat(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "CHUNK_ROWS", 100)
+    same = [(7, "x" * 92)] * 1500
+    texts = [(8, f"{k:092d}") for k in range(1500)]
+    rows = same + texts + [(100 + k, f"{k:092d}") for k in range(1500)]
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string"))[0].collect()
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == Counter((i, 100, zlib.crc32(t.encode())) for i, t in rows)
+    sums, slots = Counter(), defaultdict(set)
+    for r in got:
+        sums[r.shard] += r.size
+        slots[r.shard].add(r.slot)
+    assert len(sums) == 24 and max(sums.values()) - min(sums.values()) <= 200
+    assert all(slots[s] == set(range(sums[s] // 100)) for s in slots)

@@ -1,6 +1,7 @@
 """Operators on pages and embeddings: brute force and edge cases."""
 
 import random
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -229,3 +230,37 @@ def test_groups_far_away_are_not_replicated():
     rows = [{"cell": c, "small": [0.1] * 6, "n": 50, "asked": 2, "radius": 1.0} for c in range(2)]
     p = knn_join.Plan(pivots, rows, 5, 100.0)
     assert p.low[0, 1] > 90 and p.low[0, 0] <= 0.1 <= p.high[0, 0]
+
+
+@pytest.mark.parametrize("code", ["for(var i=0;i<n;i++){f()}", "if(a<b&&c>d){}", "x='</p><!--';", "<!-- a<b"])
+def test_code_in_raw_elements_is_no_markup(code):
+    body = "".join(f"<p>{STORY}</p>" for _ in range(4))
+    clean = html_extract.main_text(f"<html><head></head><body><article>{body}{body}</article></body></html>")
+    assert clean
+    for tag in ("script", "style"):
+        raw = f"<{tag}>{code}</{tag} >"
+        page = f"<html><head>{raw}</head><body><article>{body}{raw}{body}</article></body></html>"
+        assert html_extract.main_text(page) == clean
+
+
+def test_listed_names_do_not_cut_words_of_a_sentence():
+    body = f"<p>{STORY}</p>" * 4
+    text = html_extract.main_text(f'<article>{body}<p><span class="search-term">python</span> is <em class="notice">not</em> all</p>'
+                                  f'<p><a class="share" href=1>Share</a> | <span class="ad">Ad</span></p><p>x</p></article>')
+    assert text.split("\n")[-2:] == ["python is not all", "x"]
+
+
+@pytest.mark.parametrize("piece", ["<div>", "<b>", "<div class=ad>", "<li>", "<article>", "<ul><li>", "<!--", "<script>", "<a title='", "<p <"])
+def test_deep_and_broken_markup_takes_one_pass(piece):
+    start = time.time()
+    html_extract.main_text(piece * (1_000_000 // len(piece) // 4) + "x")
+    assert time.time() - start < 6
+
+
+@pytest.mark.parametrize("piece", ["<!--", "<script>", "<style>", "<noscript>", "<template>", "<head>", "<p", "<", "</script ", "<p <"])
+def test_line_dedup_reads_broken_markup_once(spark, piece):
+    from pyspark.sql import functions as F
+    start = time.time()
+    page = "<p>first</p>" + piece * (1_000_000 // len(piece))
+    got = spark.createDataFrame([(page,)], "html string").select(line_dedup.page_lines(F.col("html")).alias("x")).first().x
+    assert got[0] == "first" and time.time() - start < 8

@@ -1,8 +1,9 @@
 """Vectorised word hashing over Arrow string columns.
 
 Works on the UTF-8 bytes of many texts at once: a word's 64-bit hash is a
-weighted sum of random byte values, taken with ``np.add.reduceat`` over the
-word's bytes, so no Python object is made per word.  All arithmetic is
+sum of random byte values, each weighted by its place in the word (a weight
+that never repeats, however long the word), taken with ``np.add.reduceat`` over
+the word's bytes, so no Python object is made per word.  All arithmetic is
 modulo 2**64.  Texts are taken in runs of about ``CHUNK_BYTES``; a longer
 single text forms its own run and is never cut.
 """
@@ -14,7 +15,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+#: About fifty bytes of work arrays for each byte of text.
+CHUNK_BYTES = 1 << 18
 U64 = np.uint64
 
 
@@ -27,12 +29,19 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def random_words(n: int, seed: int) -> np.ndarray:
     """``n`` fixed pseudo-random 64-bit values."""
+    return random_at(np.arange(n), seed)
+
+
+def random_at(i: np.ndarray, seed: int) -> np.ndarray:
+    """The values at places ``i`` of the endless series of a seed."""
     with np.errstate(over="ignore"):
-        return mix((np.arange(1, n + 1, dtype=U64) + U64(seed)) * U64(0x9E3779B97F4A7C15))
+        return mix((i.astype(U64) + U64(seed + 1)) * U64(0x9E3779B97F4A7C15))
 
 
 _BYTE = random_words(256, 11)
-_PLACE = random_words(1 << 12, 23) | U64(1)
+_PLACE_SEED = 23
+#: The first weights; later ones are computed where a word is that long.
+_PLACE = random_words(1 << 12, _PLACE_SEED) | U64(1)
 #: White space of the word contracts: tab to carriage return, and the space.
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -73,7 +82,10 @@ def words(data: np.ndarray, offs: np.ndarray, separator: np.ndarray = SPACE,
     lengths = np.add.reduceat(inside, starts, dtype=np.int64)
     marks = np.concatenate([[0], starts, [len(data)]])
     place = np.arange(len(data)) - np.repeat(marks[:-1], np.diff(marks))
-    value = np.where(inside, _BYTE[LOWER[data]], U64(0)) * _PLACE[place & 4095]
+    weight = _PLACE[np.minimum(place, len(_PLACE) - 1)]
+    far = np.flatnonzero(place >= len(_PLACE))
+    weight[far] = random_at(place[far], _PLACE_SEED) | U64(1)
+    value = np.where(inside, _BYTE[LOWER[data]], U64(0)) * weight
     with np.errstate(over="ignore"):
         h = mix(np.add.reduceat(value, starts) + lengths.astype(U64) * U64(0xD6E8FEB86659FD93))
     return starts, starts + lengths, h, np.searchsorted(starts, offs)

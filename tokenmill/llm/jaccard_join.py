@@ -74,6 +74,8 @@ PACK_ENTRIES, PACK_DOCS = 1 << 19, 1 << 15
 #: Entries that an owner handles at a time.
 OWNER_ENTRIES = 400_000
 MAX_SEEDS = 16
+#: Parts that the members of one center are dealt to.
+CENTER_SALTS = 16
 _WEIGHT = random_words(SHINGLE, 5) | U64(1)
 
 
@@ -480,8 +482,11 @@ class Join:
         at = T.store(at, "labelled-clusters")
         major = (at.groupBy("center", "label").agg(F.count(F.lit(1)).alias("k"))
                  .groupBy("center").agg(F.max(F.struct("k", "label")).alias("m"), F.count(F.lit(1)).alias("labels"))
-                 .where("labels > 1").select("center", F.col("m.label").alias("major")))
-        at = T.store(at.join(major, "center").groupBy("rep").agg(F.max("label").alias("label")), "open-members")
+                 .where("labels > 1").select("center", F.col("m.label").alias("major"))
+                 .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(CENTER_SALTS - 1)))))
+        # A center of many near copies is a hot key: its members are dealt over the salts.
+        at = at.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(CENTER_SALTS)).cast("int"))
+        at = T.store(at.join(major, ["center", "salt"]).groupBy("rep").agg(F.max("label").alias("label")), "open-members")
         rare = T.map_arrow(sets.join(at.select(F.col("rep").alias("id")), "id", "left_semi"),
                            lambda: _rare_task(shared), "id long, n long, place long, token long")
         rare = T.store(at.join(rare.withColumnRenamed("id", "rep"), "rep"), "rare-tokens")
