@@ -7,7 +7,7 @@ SHARED = "/root/testdata/sf0.001"
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(m[1]) for m in (re.match(r"op(\d+)_", q) for q in E.queries()) if m)
-    assert numbers == list(range(1, 11)) and "pipeline" in E.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in E.queries()
 
 
 def test_pipeline_stages_take_and_return_documents(spark):

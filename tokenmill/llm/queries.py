@@ -4,12 +4,15 @@ where SQL can express them (the others have brute-force tests)."""
 from __future__ import annotations
 
 from tokenmill.llm import (
-    exact_dedup, html_extract, jaccard_join, knn_join, language_id, line_dedup, mixing, sentencepiece, sharding, toxicity)
+    exact_dedup, html_extract, jaccard_join, knn_join, language_id, line_dedup, mixing, sentencepiece, sharding, spelling, token_files, toxicity,
+    whitening)
 from tokenmill.llm.tables import read
 
 
 #: A SentencePiece model with byte pieces; another file may be given to the operator.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+#: A file of the tokenizers library; any other of its files may be given.
+WORD_TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
 
 
 def op1_exact_dedup(spark, sf):
@@ -52,9 +55,21 @@ def op10_language_id(spark, sf):
     return language_id.predict(read(spark, sf, "documents"))
 
 
+def op11_spelling_variants(spark, sf):
+    return spelling.variants(read(spark, sf, "documents"))
+
+
+def op12_token_files(spark, sf):
+    return token_files.write_and_read(read(spark, sf, "documents"), WORD_TOKENIZER)
+
+
+def op13_embedding_whitening(spark, sf):
+    return whitening.whiten(read(spark, sf, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_sharding, op3_sentencepiece, op4_line_dedup, op5_mixing, op6_html_extraction, op7_jaccard_join, op8_toxicity, op9_knn_join,
-    op10_language_id)}
+    op10_language_id, op11_spelling_variants, op12_token_files, op13_embedding_whitening)}
 
 ORACLE = {
     "op4_line_dedup": rf"""
