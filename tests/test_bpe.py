@@ -176,3 +176,57 @@ def test_memo_is_bounded_by_characters():
         assert sum(map(len, enc.memo)) <= 100
     enc.encode("a" * (MEMO_RUN + 1))
     assert all(len(r) <= MEMO_RUN for r in enc.memo)
+
+
+def _prose(spark, folder):
+    rnd = random.Random(9)
+    stems = ["the", "there", "other", "in", "inner", "winter", "on", "onion", "error", "terra", "an", "banana", "tension", "ration"]
+    texts = [" ".join(rnd.choice(stems) + rnd.choice(["", "s", "er", "ing", "ation"]) for _ in range(200)) for _ in range(20)]
+    docs_df(spark, texts).write.mode("overwrite").parquet(folder)
+    return texts, spark.read.parquet(folder)
+
+
+def test_rounds_are_fewer_than_merges_and_scans_fewer_than_rounds(spark, tmp_path):
+    texts, df = _prose(spark, str(tmp_path / "docs"))
+    tok = BPETokenizer(24).fit(df)
+    assert [(l, r, c) for _, l, r, c, _ in tok.merges] == _literal_fit(texts, 24)
+    assert tok.rounds <= 18 and tok.scans < 24 / 3
+
+
+def test_more_ties_than_the_driver_keeps(spark, monkeypatch):
+    from tokenmill.operators import bpe
+    monkeypatch.setattr(bpe, "KEEP", 3)
+    monkeypatch.setattr(bpe, "MAX_ADJACENT", 4)
+    texts = ["abcd efgh ijkl abxd", "mnop efxh ab ef"]
+    assert [(l, r, c) for _, l, r, c, _ in BPETokenizer(6).fit(docs_df(spark, texts)).merges] == _literal_fit(texts, 6)
+
+
+def test_a_stopped_fit_goes_on_after_its_last_published_round(spark, tmp_path, monkeypatch):
+    from tokenmill.operators import bpe
+    texts, df = _prose(spark, str(tmp_path / "docs"))
+    want, state = _literal_fit(texts, 16), str(tmp_path / "state")
+    merge, done = bpe.MergeRounds.merge, []
+
+    def stops(self, left_over):
+        if len(done) == 5:
+            raise RuntimeError("driver lost")
+        done.append(left_over)
+        return merge(self, left_over)
+
+    monkeypatch.setattr(bpe.MergeRounds, "merge", stops)
+    with pytest.raises(RuntimeError):
+        BPETokenizer(16, checkpoint_every=2).fit(df, state=state)
+    seen = []
+    monkeypatch.setattr(bpe.MergeRounds, "merge", lambda self, n: seen.append(n) or merge(self, n))
+    tok = BPETokenizer(16, checkpoint_every=2).fit(df, state=state)
+    assert [(l, r, c) for _, l, r, c, _ in tok.merges] == want
+    assert seen[0] == done[4], "round 5 is the first that runs again"
+    # a round cut off before its manifest is not seen; another input or parameter raises
+    spark.range(1).write.parquet(f"{state}/round-000099/words")
+    again = BPETokenizer(16, checkpoint_every=2).fit(df, state=state)
+    assert again.merges == tok.merges
+    with pytest.raises(ValueError, match="another input"):
+        BPETokenizer(17, checkpoint_every=2).fit(df, state=state)
+    docs_df(spark, texts[:5]).write.mode("append").parquet(str(tmp_path / "docs"))
+    with pytest.raises(ValueError, match="another input"):
+        BPETokenizer(16, checkpoint_every=2).fit(spark.read.parquet(str(tmp_path / "docs")), state=state)

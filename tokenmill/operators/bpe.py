@@ -1,10 +1,15 @@
 """Byte-pair encoding as Spark jobs.
 
 Fit: the corpus is reduced once to a table of distinct words
-``(sym, freq, seen)``; each merge round is one aggregation over that table
-whose single winning row reaches the driver.  Words with nothing left to
-merge leave the table, and a reliable checkpoint cuts lineage every few
-rounds.  Ties follow first insertion: (first word seen, position in word).
+``(sym, freq, seen)`` and its pair counts.  A round applies as many merges as
+are exact together (:mod:`tokenmill.operators.bpe_batch`), rewrites the words
+narrowly and counts pairs again only in the words it changed.  The driver holds
+the best ``KEEP`` pairs with exact counts and the count that all others stay
+below; changed counts come from the round's delta, so the whole pair table is
+read only when the best pairs are used up.  Words with nothing left to merge
+leave the table; lineage is cut, or the state published for a resumable fit,
+every few rounds.  Ties follow first insertion: (first word seen, position in
+word).
 
 Encode: texts are tokenized run by run in an Arrow-batched UDF holding the
 vocabulary as a broadcast variable (size = number of merges, known on the
@@ -20,6 +25,7 @@ from pyspark.sql import types as T
 from tokenmill.functions import arrays as A
 from tokenmill.functions import text as TX
 from tokenmill.functions.vocab import SPECIALS
+from tokenmill.operators.bpe_batch import safe_prefix
 from tokenmill.operators.tokenizer import Tokenizer
 from tokenmill.session import cut_lineage
 
@@ -155,47 +161,193 @@ def pair_delta(affected_old: DataFrame, affected_new: DataFrame, mode: str) -> D
         F.max(F.when(F.col("dc") < 0, F.lit(True)).otherwise(F.lit(False))).alias("removed"))
 
 
-def apply_delta(pairs: DataFrame, delta: DataFrame) -> DataFrame:
-    """Fold a delta into the pair table (full outer join on the pair; the
-    table is hash-partitioned by pair, so only the delta moves).  Counts stay
-    exact; ``s`` stays a lower bound of the true first-seen key."""
-    j = pairs.join(delta, ["l", "r"], "full_outer")
-    c = F.coalesce(F.col("c"), F.lit(0)) + F.coalesce(F.col("dc"), F.lit(0))
-    s = F.when(F.col("s").isNull(), F.col("s_add")).when(F.col("s_add").isNull(), F.col("s")) \
-        .otherwise(F.least(F.col("s"), F.col("s_add")))
-    return j.select("l", "r", c.alias("c"), s.alias("s")).where(F.col("c") > 0)
-
-
-def best_pair_incremental(words: DataFrame, pairs: DataFrame, mode: str, k: int = 64):
-    """A3 on a pair table whose first-seen keys are lower bounds: the top
-    count decides unless tied; tied pairs get exact keys computed in Spark
-    (the tied set stays a DataFrame: broadcast only when it is known to be
-    under ``k`` rows), then the in-word index breaks the last ties."""
-    rows = pairs.orderBy(F.desc("c")).limit(k).collect()
-    if not rows:
-        return None
-    top = rows[0]["c"]
-    tied = [r for r in rows if r["c"] == top]
-    if len(tied) == 1:
-        return tied[0]
-    tied_df = pairs.where(F.col("c") == F.lit(top)).select("l", "r", "c")
-    if len(tied) < len(rows):
-        tied_df = F.broadcast(tied_df)
-    exact = (_pair_rows(words, mode, 1).join(tied_df.select("l", "r"), ["l", "r"], "left_semi")
-             .groupBy("l", "r").agg(F.min("seen").alias("s")).join(tied_df, ["l", "r"]))
-    cands = exact.orderBy("s").limit(k).collect()
-    s_min = cands[0]["s"]
-    firsts = [r for r in cands if r["s"] == s_min]
-    if len(firsts) == len(cands):  # all in one word: bounded by its length
-        firsts = exact.where(F.col("s") == F.lit(s_min)).collect()
-    if len(firsts) == 1:
-        return firsts[0]
-    sym = words.where(F.col("seen") == F.lit(s_min)).select("sym").first()["sym"]
+def compact(log: list[DataFrame]) -> DataFrame:
+    """The pair table of a base table and the deltas after it.  Counts are
+    exact; ``s`` is a lower bound of the true first-seen key."""
+    rows = log[0].select("l", "r", "c", "s")
+    for delta in log[1:]:
+        rows = rows.unionByName(delta.select("l", "r", F.col("dc").alias("c"), F.col("s_add").alias("s")))
+    return rows.groupBy("l", "r").agg(F.sum("c").alias("c"), F.min("s").alias("s")).where(F.col("c") > 0)
+
+
+def order_of_ties(words: DataFrame, tied: list[tuple[str, str]], mode: str) -> list[tuple[str, str]]:
+    """Pairs of equal count by first insertion: the first word that holds a
+    pair (exact, from the words as they are), then its index in that word."""
+    df = F.broadcast(words.sparkSession.createDataFrame(tied, "l string, r string"))  # at most KEEP rows
+    first = (_pair_rows(words, mode, 1).join(df, ["l", "r"]).groupBy("l", "r").agg(F.min("seen").alias("s"))).collect()
+    place = {(r["l"], r["r"]): r["s"] for r in first}
+    times: dict = {}
+    for s in place.values():
+        times[s] = times.get(s, 0) + 1
+    shared = [s for s, n in times.items() if n > 1]
+    index: dict[tuple, int] = {}
+    if shared:
+        for row in words.where(F.col("seen").isin(shared)).select("seen", "sym").collect():
+            symbols = row["sym"].split(" ") if mode == "reference" else row["sym"].strip().split("  ")
+            for i in range(len(symbols) - 1):
+                index.setdefault((row["seen"], symbols[i], symbols[i + 1]), i)
+    return sorted(tied, key=lambda p: (place[p], index.get((place[p], *p), 0)))
+
+
+def first_of_many(words: DataFrame, pairs: DataFrame, count: int, mode: str) -> tuple[str, str]:
+    """The first inserted of all pairs with the top count when they are too
+    many for the driver: the earliest word in Spark, then the index in it."""
+    tied = pairs.where(F.col("c") == F.lit(count)).select("l", "r")
+    first = (_pair_rows(words, mode, 1).join(tied, ["l", "r"], "left_semi").groupBy("l", "r").agg(F.min("seen").alias("s")))
+    low = first.agg(F.min("s").alias("s")).first()["s"]
+    here = {(r["l"], r["r"]) for r in first.where(F.col("s") == F.lit(low)).collect()}  # bounded by the word's length
+    sym = words.where(F.col("seen") == F.lit(low)).select("sym").first()["sym"]
     symbols = sym.split(" ") if mode == "reference" else sym.strip().split("  ")
-    first_index: dict[tuple[str, str], int] = {}
-    for i in range(len(symbols) - 1):
-        first_index.setdefault((symbols[i], symbols[i + 1]), i)
-    return min(firsts, key=lambda r: first_index[(r["l"], r["r"])])
+    return next(p for p in zip(symbols, symbols[1:]) if p in here)
+
+
+#: Best pairs that the driver keeps, and candidates and adjacent pairs of one round.
+KEEP, ROUND, MAX_ADJACENT = 512, 24, 20_000
+
+
+class MergeRounds:
+    """The state of a fit between rounds: the words, the pair table as a base
+    and deltas, the best pairs with exact counts and the ``bound`` that every
+    other pair's count is at most, and every symbol there may be."""
+
+    def __init__(self, words: DataFrame, pairs: DataFrame, mode: str, refused: tuple[str, ...] = ()) -> None:
+        self.words, self.log, self.mode, self.refused = words, [pairs], mode, refused
+        self.best: dict[tuple[str, str], int] = {}
+        self.bound = 0
+        self.symbols: set[str] | None = None
+        self.stale: list[DataFrame] = []
+        self.waiting: list[DataFrame] = []
+        self.rounds = self.scans = 0
+
+    def spell(self, pair: tuple[str, str], left: str, right: str) -> str:
+        joined = pair[0] + pair[1]
+        return left[:len(left) - len(pair[0])] + (escape_replacement(joined) if self.mode == "reference" else joined) + right[len(pair[1]):]
+
+    def scan(self) -> None:
+        """Read the whole pair table for the best pairs."""
+        self.scans += 1
+        if len(self.log) > 1:
+            whole = compact(self.log).persist()
+            self.stale += self.log
+            self.log = [whole]
+        rows = self.log[0].orderBy(F.desc("c")).limit(KEEP + 1).collect()
+        self.bound = rows[KEEP]["c"] if len(rows) > KEEP else 0
+        self.best = {(r["l"], r["r"]): r["c"] for r in rows if r["c"] > self.bound}
+
+    def ranked(self, limit: int) -> list[tuple[str, str]]:
+        """The next pairs in their order, at most ``limit``; ties are settled
+        where they stand first, and end the list further on."""
+        out: list[tuple[str, str]] = []
+        by_count: dict[int, list] = {}
+        for pair, c in self.best.items():
+            by_count.setdefault(c, []).append(pair)
+        for c in sorted(by_count, reverse=True):
+            group = by_count[c]
+            if len(group) > 1 and out:
+                break
+            out += order_of_ties(self.words, group, self.mode) if len(group) > 1 else group
+            if len(out) >= limit:
+                break
+        return out[:limit]
+
+    def adjacent(self, pairs: list[tuple[str, str]]) -> list[tuple[str, str]] | None:
+        """The pairs of the table that a merge of ``pairs`` joins; None if too many."""
+        if self.mode == "canonical":
+            return list(pairs)
+        hit = F.lit(False)
+        for l, r in pairs:
+            hit = hit | (F.endswith("l", F.lit(l)) & F.startswith("r", F.lit(r)))
+        rows = self.log[0].select("l", "r").where(hit)
+        for delta in self.log[1:]:
+            rows = rows.unionByName(delta.where(F.col("dc") > 0).select("l", "r").where(hit))
+        found = rows.distinct().limit(MAX_ADJACENT + 1).collect()
+        return None if len(found) > MAX_ADJACENT else [(r["l"], r["r"]) for r in found]
+
+    def all_symbols(self) -> set[str]:
+        """Every symbol of the pair table: characters at first, so bounded by the alphabet."""
+        rows = compact(self.log).select(F.explode(F.array("l", "r")).alias("s")).distinct().collect()
+        return {r["s"] for r in rows}
+
+    def merge(self, left_over: int) -> list[tuple[str, str, int]]:
+        """One round: the merges made, (left, right, count), none at the end."""
+        if not self.best or max(self.best.values()) <= self.bound:
+            self.scan()
+        if not self.best and self.bound == 0:
+            return []
+        self.rounds += 1
+        if not self.best:  # more pairs share the top count than the driver keeps
+            pair = first_of_many(self.words, self.log[0], self.bound, self.mode)
+            batch, counts, exact = [pair], {pair: self.bound}, False
+        else:
+            ranked = self.ranked(min(ROUND, left_over))
+            adjacent = self.adjacent(ranked)
+            if adjacent is None:
+                k, exact, new = 1, False, set()
+            else:
+                self.symbols = self.all_symbols() if self.symbols is None else self.symbols
+                k, new, exact = safe_prefix(ranked, adjacent, self.symbols, self.spell, self.mode == "canonical")
+                self.symbols |= new
+            batch = ranked[:k]
+            counts = {p: self.best[p] for p in batch}
+        made = [(l, r, counts[l, r]) for l, r in batch]
+        if not exact:
+            self.symbols = None
+        if left_over > len(batch):
+            self._apply(batch, exact)
+        return made
+
+    def _apply(self, batch: list[tuple[str, str]], exact: bool) -> None:
+        hit, sym = F.lit(False), F.col("sym")
+        for l, r in batch:
+            hit = hit | F.col("sym").contains(f"{l} {r}" if self.mode == "reference" else f" {l}  {r} ")
+            sym = merge_pair(sym, l, r, self.mode)
+        old = self.words.where(hit)
+        delta = pair_delta(old, old.withColumn("sym", sym), self.mode)
+        if self.refused:
+            delta = delta.where(~F.concat("l", "r").isin(*self.refused))
+        delta = delta.where(F.col("dc") != 0).persist()
+        words = self.words.withColumn("sym", F.when(hit, sym).otherwise(F.col("sym"))).persist()
+        changed = self._changed(delta)
+        # this job filled the cache of the present words: their predecessors can go, they themselves only next time
+        self.stale += self.waiting
+        self.waiting = [self.words]
+        self.words = words
+        self.log.append(delta)
+        if not exact:  # a symbol that was there before, or that is not known: counts of old pairs may have risen
+            self.best, self.bound = {}, 0
+            return
+        for l, r, dc in changed:
+            c = self.best.get((l, r), 0) + dc
+            if c > self.bound:
+                self.best[l, r] = c
+            else:
+                self.best.pop((l, r), None)
+        if len(self.best) > 4 * KEEP:
+            self.bound = sorted(self.best.values(), reverse=True)[KEEP]
+            self.best = {p: c for p, c in self.best.items() if c > self.bound}
+
+    def _changed(self, delta: DataFrame) -> list[tuple[str, str, int]]:
+        """The delta of the kept pairs and of new ones above the bound (a new
+        pair's delta is its count)."""
+        keys = ", ".join(f"'{f'{l} {r}'.encode().hex().upper()}'" for l, r in self.best)
+        kept = F.expr(f"hex(encode(concat_ws(' ', l, r), 'utf-8')) in ({keys})") if keys else F.lit(False)
+        rows = delta.where(kept | (F.col("dc") > F.lit(self.bound))).select("l", "r", "dc").collect()
+        return [(r["l"], r["r"], r["dc"]) for r in rows]
+
+    def keep(self, publish=None) -> None:
+        """Cut lineage: through ``publish`` (tables to tables read back) or a checkpoint."""
+        space = " " if self.mode == "reference" else "  "
+        words, pairs = self.words.where(F.col("sym").contains(space)), compact(self.log)
+        tables = publish({"words": words, "pairs": pairs}) if publish else {"words": cut_lineage(words), "pairs": cut_lineage(pairs)}
+        self.stale += [self.words, *self.waiting, *self.log]
+        self.waiting = []
+        self.words, self.log = tables["words"].persist(), [tables["pairs"].persist()]
+
+    def release(self, everything: bool = False) -> None:
+        """Drop the caches that nothing reads any more."""
+        for df in self.stale + ([self.words, *self.waiting, *self.log] if everything else []):
+            df.unpersist()
+        self.stale = []
 
 
 class BPETokenizer(Tokenizer):
@@ -216,6 +368,8 @@ class BPETokenizer(Tokenizer):
         self.checkpoint_every = checkpoint_every
         self.reserve_special = reserve_special
         self.merges: list[tuple[int, str, str, int, int]] = []
+        #: Rounds of the last fit, and how often it read the whole pair table.
+        self.rounds = self.scans = 0
 
     # -- H1 ------------------------------------------------------------------
     def _register(self, rank: int, start: int, l: str, r: str, c: int) -> None:
@@ -225,54 +379,43 @@ class BPETokenizer(Tokenizer):
         self.itos[new_id] = token
         self.merges.append((rank, l, r, c, new_id))
 
-    def fit(self, df: DataFrame, col: str = "text") -> "BPETokenizer":
-        """H1.  Round: pick the best pair from the persisted pair table; rewrite the
-        words (narrow); recount pairs only for the words that held the merged
-        pattern and fold that delta into the table.  The corpus-wide explode
-        and aggregation happen once, not once per merge.
+    def fit(self, df: DataFrame, col: str = "text", state: str | None = None) -> "BPETokenizer":
+        """H1 in exact batched rounds.  ``state`` names a shared folder that
+        makes the fit resumable: every ``checkpoint_every`` rounds its tables
+        and merges are published there, and a fit over the same input with the
+        same parameters goes on after the newest published round.
         """
+        from tokenmill.plans.rounds import Rounds, input_fingerprint
         start = len(self)
         space = " " if self.mode == "reference" else "  "
-        words = word_table(df, col, self.mode).select("sym", "freq", "seen")
-        words = words.where(F.col("sym").contains(space)).persist()
-        pairs = pair_stats(words, self.mode).persist()
-        if self.reserve_special:  # a refused pair never wins; other pairs go on
-            pairs = pairs.where(~F.concat("l", "r").isin(*SPECIALS))
-        keep: list[list[DataFrame]] = []
-        rank = 0
-        while rank < self.num_merges:
-            best = best_pair_incremental(words, pairs, self.mode)
-            # a generation is released only once its successor was computed
-            while len(keep) > 1:
-                for d in keep.pop(0):
-                    d.unpersist()
-            if best is None:
-                break
-            l, r, c = best["l"], best["r"], int(best["c"])
-            self._register(rank, start, l, r, c)
-            rank += 1
-            if rank == self.num_merges:
+        refused = tuple(SPECIALS) if self.reserve_special else ()
+        spark = df.sparkSession
+        kept = Rounds(spark, state, input_fingerprint(df, col, self.mode, self.num_merges, self.reserve_special)) if state else None
+        found = kept.latest() if kept else None
+        if found:
+            number, tables, values = found
+            for rank, l, r, c, _ in values["merges"]:
+                self._register(rank, start, l, r, c)
+            rounds = MergeRounds(tables["words"].persist(), tables["pairs"].persist(), self.mode, refused)
+            rounds.rounds = number
+        else:
+            words = word_table(df, col, self.mode).select("sym", "freq", "seen")
+            words = words.where(F.col("sym").contains(space)).persist()
+            pairs = pair_stats(words, self.mode)
+            if refused:  # a refused pair never wins; other pairs go on
+                pairs = pairs.where(~F.concat("l", "r").isin(*refused))
+            rounds = MergeRounds(words, pairs.persist(), self.mode, refused)
+        while len(self.merges) < self.num_merges:
+            made = rounds.merge(self.num_merges - len(self.merges))
+            rounds.release()
+            if not made:
                 break
-            pattern = f"{l} {r}" if self.mode == "reference" else f" {l}  {r} "
-            hit = F.col("sym").contains(pattern)
-            old = words.where(hit)
-            new = old.withColumn("sym", merge_pair(F.col("sym"), l, r, self.mode))
-            delta = pair_delta(old, new, self.mode)
-            if self.reserve_special:
-                delta = delta.where(~F.concat("l", "r").isin(*SPECIALS))
-            nxt_pairs = apply_delta(pairs, delta)
-            nxt_words = (words.withColumn("sym", F.when(hit, merge_pair(F.col("sym"), l, r, self.mode))
-                                          .otherwise(F.col("sym")))
-                         .where(F.col("sym").contains(space)))
-            if self.checkpoint_every and rank % self.checkpoint_every == 0:
-                nxt_words, nxt_pairs = cut_lineage(nxt_words), cut_lineage(nxt_pairs)
-            keep.append([words, pairs])
-            words, pairs = nxt_words.persist(), nxt_pairs.persist()
-        words.unpersist()
-        pairs.unpersist()
-        for gen in keep:
-            for d in gen:
-                d.unpersist()
+            for l, r, c in made:
+                self._register(len(self.merges), start, l, r, int(c))
+            if self.checkpoint_every and rounds.rounds % self.checkpoint_every == 0 and len(self.merges) < self.num_merges:
+                rounds.keep((lambda tables: kept.publish(rounds.rounds, tables, {"merges": self.merges})) if kept else None)
+        self.rounds, self.scans = rounds.rounds, rounds.scans
+        rounds.release(everything=True)
         return self
 
     def fingerprint(self) -> str:
