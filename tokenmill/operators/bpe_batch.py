@@ -9,11 +9,18 @@ every i < k,
 
 1. no later pair of the prefix is touched: its left symbol is no v of merge i,
    its right symbol no u of it, and the pair itself is not joined by it;
-2. merge i does not touch itself (the same, for its own pair), and no symbol is
-   both a u and a v of it, so that one pass joins no three symbols;
-3. every symbol it makes is made from one (u, v) only, by one merge only, and
-   did not exist before; and no symbol made so far ends in the left or begins
-   with the right part of a later pair.
+2. merge i does not touch its own pair in this way;
+3. every symbol it makes is made from one sequence of old symbols only, and did
+   not exist before.
+
+A merge may also join symbols that earlier merges of the round made, and three
+symbols at once where the middle one begins with its right and ends in its left
+part.  Both follow from the old pairs it joins (a made symbol begins with its
+first and ends in its last old symbol), so all symbols it can make are listed
+for (3).  Where a list would not be complete the round ends: before a pair
+whose left part is longer than the last old symbol of a made one that ends in
+it (or right part and first symbol), and after a merge that may join more than
+three symbols.
 
 Then (1) and (3) leave the later pairs' counts and first places as they were.
 A pair with a new symbol stands, by (3), for occurrences of one old pair
@@ -37,6 +44,10 @@ def matches(pair: Pair, left: str, right: str, anchored: bool) -> bool:
     return (left, right) == pair if anchored else left.endswith(pair[0]) and right.startswith(pair[1])
 
 
+#: Symbols of one merge that are listed; beyond that it ends the round.
+MAX_MADE = 20_000
+
+
 def safe_prefix(ranked: list[Pair], adjacent: Iterable[Pair], symbols: set[str],
                 spell: Callable[[Pair, str, str], str], anchored: bool) -> tuple[int, set[str], bool]:
     """(k, new symbols, whether these are all): how many of the ``ranked``
@@ -50,20 +61,54 @@ def safe_prefix(ranked: list[Pair], adjacent: Iterable[Pair], symbols: set[str],
     lefts: set[str] = set()
     rights: set[str] = set()
     joined: set[Pair] = set()
-    new: set[str] = set()
+    new: dict[str, Pair] = {}  # made symbol: its first and last old symbol
     for k, pair in enumerate(ranked):
         c, d = pair
-        if k and (c in rights or d in lefts or pair in joined or any(
-                s == c or s == d or (not anchored and (s.endswith(c) or s.startswith(d))) for s in new)):
-            return k, new, True
+        if k and (c in rights or d in lefts or pair in joined or (not anchored and any(
+                s.endswith(c) and not last.endswith(c) or s.startswith(d) and not first.startswith(d)
+                for s, (first, last) in new.items()))):
+            return k, set(new), True
+        made = _made(pair, hits[pair], {} if anchored else new, spell)
+        if made is None:
+            return k + 1, set(new), False
         us, vs = {u for u, _ in hits[pair]}, {v for _, v in hits[pair]}
-        made = [spell(pair, u, v) for u, v in hits[pair]]
-        whole = not us & vs
-        fresh = len(set(made)) == len(made) and not any(s in symbols or s in new for s in made)
-        new |= set(made)
-        if not (whole and fresh):  # condition 2 or 3 fails: the last merge of the round
-            return k + 1, new, whole and fresh
+        names = [s for s, _ in made]
+        if len(set(names)) < len(names) or any(s in symbols or s in new for s in names):
+            return k + 1, set(new).union(names), False  # condition 3
+        new.update(made)
+        if c in vs or d in us:  # condition 2
+            return k + 1, set(new), True
         lefts |= us
         rights |= vs
         joined |= set(hits[pair])
-    return len(ranked), new, True
+    return len(ranked), set(new), True
+
+
+def _made(pair: Pair, hits: list[Pair], new: dict[str, Pair], spell: Callable[[Pair, str, str], str]) -> list[tuple[str, Pair]] | None:
+    """All symbols that the merge can make, with their first and last old
+    symbol; None where they cannot be listed."""
+    starts: dict[str, list[str]] = {}
+    ends: dict[str, list[str]] = {}
+    for s, (first, last) in new.items():
+        starts.setdefault(first, []).append(s)
+        ends.setdefault(last, []).append(s)
+    outer = lambda s: new.get(s, (s, s))
+    known = set(hits)
+    us, vs = {u for u, _ in hits}, {v for _, v in hits}
+    middle = [s for s in [*us & vs, *(s for s, (first, last) in new.items() if first in vs and last in us)]]
+    if any((outer(x)[1], outer(y)[0]) in known for x in middle for y in middle):
+        return None
+    made = []
+    for u, v in hits:
+        for x in [u, *ends.get(u, [])]:
+            for y in [v, *starts.get(v, [])]:
+                made.append((spell(pair, x, y), (outer(x)[0], outer(y)[1])))
+        if len(made) > MAX_MADE:
+            return None
+    for m in middle:
+        before = [x for u, v in hits if v == outer(m)[0] for x in [u, *ends.get(u, [])]]
+        after = [y for u, v in hits if u == outer(m)[1] for y in [v, *starts.get(v, [])]]
+        if len(made) + len(before) * len(after) > MAX_MADE:
+            return None
+        made += [(spell(pair, spell(pair, x, m), y), (outer(x)[0], outer(y)[1])) for x in before for y in after]
+    return made
