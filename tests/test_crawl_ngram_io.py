@@ -3,6 +3,7 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import docs_df
@@ -141,6 +142,51 @@ def test_tokenizer_store_roundtrip(spark):
         pass
 
 
+def test_a_save_cut_off_leaves_the_version_before(spark, tmp_path, monkeypatch):
+    from tokenmill.sources import tokenizer_store as S
+    path = str(tmp_path / "store")
+    first = BPETokenizer(2).fit(docs_df(spark, ["ab ab abc"]))
+    save_tokenizer(spark, first, path)
+    second = BPETokenizer(4).fit(docs_df(spark, ["xy xy xyz zz zz"]))
+    with monkeypatch.context() as m:
+        m.setattr(second, "inverse_vocab_df", lambda spark: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            save_tokenizer(spark, second, path)
+    assert load_tokenizer(spark, path).merges == first.merges and len(S.versions(spark, path)) == 1
+    save_tokenizer(spark, second, path)
+    assert load_tokenizer(spark, path).merges == second.merges and len(S.versions(spark, path)) == 2
+
+
+def test_a_short_or_altered_table_raises(spark, tmp_path):
+    path = str(tmp_path / "store")
+    at = save_tokenizer(spark, BPETokenizer(2).fit(docs_df(spark, ["ab ab abc"])), path)
+    rows = spark.read.parquet(f"{at}/vocab").collect()
+    spark.createDataFrame(rows[:50]).write.mode("overwrite").parquet(f"{at}/vocab")
+    with pytest.raises(TokenizerStoreError, match="rows instead of"):
+        load_tokenizer(spark, path)
+    spark.createDataFrame([(r["token"], (r["id"] + 1) % 50) for r in rows], "token string, id int").write.mode("overwrite").parquet(f"{at}/vocab")
+    with pytest.raises(TokenizerStoreError, match="altered"):
+        load_tokenizer(spark, path)
+
+
+def test_tokenizers_are_kept_by_input_and_parameters(spark, tmp_path, monkeypatch):
+    from tokenmill.sources import tokenizer_store as S
+    docs, folder = str(tmp_path / "docs"), str(tmp_path / "kept")
+    docs_df(spark, ["ab ab abc", "abc bc"]).write.parquet(docs)
+    fits = []
+    fit = BPETokenizer.fit
+    monkeypatch.setattr(BPETokenizer, "fit", lambda self, *a, **k: fits.append(self.num_merges) or fit(self, *a, **k))
+    one, store = S.fitted(spark.read.parquet(docs), 2, folder=folder)
+    again, _ = S.fitted(spark.read.parquet(docs), 2, folder=folder)
+    assert again.merges == one.merges and fits == [2]
+    S.fitted(spark.read.parquet(docs), 3, folder=folder)
+    assert fits == [2, 3]
+    docs_df(spark, ["zz zz zz zz"]).write.mode("overwrite").parquet(docs)
+    changed, _ = S.fitted(spark.read.parquet(docs), 2, folder=folder)
+    assert fits == [2, 3, 2] and changed.merges != one.merges
+    assert S.vocab_table(spark, store).count() == len(one)
+
+
 def test_json_corpus_io(spark):
     d = tempfile.mkdtemp(prefix="tm-json-")
     src = os.path.join(d, "data.json")

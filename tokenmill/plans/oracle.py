@@ -107,8 +107,8 @@ def _pairs(w: str) -> str:
 
 def bpe_ctes(text_sql: str, n_merges: int) -> list[str]:
     """Unrolled rounds: w_k (working words), b_k (winning pair of round k)."""
-    ctes = [f"words as ({bpe_words(text_sql)})",
-            "w0 as (select array_to_string(regexp_extract_all(word, '(?s).'), ' ') as sym, freq, first "
+    ctes = [f"words as materialized ({bpe_words(text_sql)})",
+            "w0 as materialized (select array_to_string(regexp_extract_all(word, '(?s).'), ' ') as sym, freq, first "
             "from words where length(word) > 1)"]
     for k in range(n_merges):
         ctes.append(f"b{k} as (select l, r, sum(freq) as c, min(f) as f from ({_pairs(f'w{k}')}) "

@@ -23,6 +23,7 @@ from tokenmill.operators.tokenizer import CharacterTokenizer, oov_report, quaran
 from tokenmill.plans import oracle as O
 from tokenmill.session import materialize
 from tokenmill.sources.tables import documents
+from tokenmill.sources.tokenizer_store import fitted, vocab_table
 
 CONTEXT_LENGTH = 1024  # model default context length
 
@@ -141,15 +142,10 @@ FIT_MERGES = 32      # bpe_merges
 ENCODE_MERGES = 18   # tokenizers of the encode / lookup queries: merges of merges among them
 PREPARE_MERGES = 8   # tokenizer of the preparation queries
 
-_TOKENIZERS: dict[tuple, B.BPETokenizer] = {}
-
 
 def _fitted(spark, sf, n=ENCODE_MERGES) -> B.BPETokenizer:
-    """The tokenizer of a table folder, fitted once in an application."""
-    key = (spark.sparkContext.applicationId, sf, n)
-    if key not in _TOKENIZERS:
-        _TOKENIZERS[key] = B.BPETokenizer(n).fit(documents(spark, sf), "text")
-    return _TOKENIZERS[key]
+    """The tokenizer fitted on a table's files, from its store if it is there."""
+    return fitted(documents(spark, sf), n)[0]
 
 
 def q_word_freq(spark, sf):
@@ -185,8 +181,8 @@ def q_bpe_merges(spark, sf):
 
 
 def q_vocab_size(spark, sf):
-    tok = _fitted(spark, sf)
-    return spark.range(1).select(F.lit(len(tok)).cast("long").alias("vocab_size"))
+    _, store = fitted(documents(spark, sf), ENCODE_MERGES)
+    return vocab_table(spark, store).agg(F.count(F.lit(1)).alias("vocab_size"))
 
 
 def q_bpe_encode(spark, sf):
