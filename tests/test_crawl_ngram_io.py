@@ -1,6 +1,7 @@
 """Crawl loop, n-gram model, tokenizer store, JSON corpus I/O, streaming."""
 
 import os
+import random
 import tempfile
 
 import pytest
@@ -142,6 +143,75 @@ def test_tokenizer_store_roundtrip(spark):
         pass
 
 
+def test_bitmaps_hold_exactly_their_ids(spark):
+    rnd = random.Random(2)
+    inside = {rnd.randint(-70_000, 70_000) for _ in range(3000)} | {0, 1, -1, 32_768, 32_769, -32_768, 1 << 40}
+    asked = sorted(inside)[::3] + [rnd.randint(-70_000, 70_000) for _ in range(3000)]
+    frame = lambda ids: spark.createDataFrame([(i,) for i in ids], "page_id long")
+    bits = C.as_bitmaps(frame(inside))
+    got = sorted(r.page_id for r in C.not_in_bitmaps(frame(asked), bits).collect())
+    assert got == sorted(i for i in asked if i not in inside) and bits.count() < 12
+    assert C.not_in_bitmaps(frame(asked), C.as_bitmaps(frame([]))).count() == len(asked)
+
+
+def _chain(spark, folder, n=40):
+    rnd = random.Random(3)
+    edges = [(k, k + 1) for k in range(n)] + [(rnd.randint(0, n), rnd.randint(0, n)) for _ in range(15)] + [(500, 501)]
+    spark.createDataFrame(edges, "src long, dst long").write.parquet(folder)
+    depth, queue = {0: 0}, [0]
+    for x in queue:
+        for a, b in edges:
+            if a == x and b not in depth:
+                depth[b] = depth[x] + 1
+                queue.append(b)
+    return spark.read.parquet(folder), depth
+
+
+def test_depths_and_a_stopped_crawl_goes_on(spark, tmp_path, monkeypatch):
+    from tokenmill.plans.rounds import Rounds
+    edges, want = _chain(spark, str(tmp_path / "edges"), 12)
+    start = spark.createDataFrame([(0,)], "page_id long")
+    depths = lambda df: {r.page_id: r.depth for r in df.collect()}
+    assert depths(C.crawl_depth(edges, start)) == want
+    state, publish, numbers = str(tmp_path / "state"), Rounds.publish, []
+
+    def stops(self, number, tables, values):
+        if number == 4 and len(numbers) == 4:
+            tables["frontier"].write.parquet(f"{self.folder}/round-000004/frontier")  # cut off before the manifest
+            raise RuntimeError("driver lost")
+        numbers.append(number)
+        return publish(self, number, tables, values)
+
+    monkeypatch.setattr(Rounds, "publish", stops)
+    with pytest.raises(RuntimeError):
+        C.crawl_depth(edges, start, state=state)
+    monkeypatch.setattr(Rounds, "publish", lambda self, k, *a: numbers.append(k) or publish(self, k, *a))
+    got = C.crawl_depth(edges, start, state=state)
+    assert depths(got) == want and got.count() == len(want) and numbers[:6] == [0, 1, 2, 3, 4, 5]
+
+
+def test_a_stopped_sampled_crawl_goes_on(spark, tmp_path, monkeypatch):
+    edges, _ = _chain(spark, str(tmp_path / "edges"))
+    want = sorted(map(tuple, C.crawl_log(edges, 0, 14, 2).collect()))
+    state, sample, calls = str(tmp_path / "state"), C.sample_frontier, []
+
+    def stops(*a):
+        calls.append(a[-1])
+        if len(calls) == 6:
+            raise RuntimeError("driver lost")
+        return sample(*a)
+
+    monkeypatch.setattr(C, "sample_frontier", stops)
+    with pytest.raises(RuntimeError):
+        C.crawl_log(edges, 0, 14, 2, state=state, publish_every=2)
+    calls.clear()
+    monkeypatch.setattr(C, "sample_frontier", lambda *a: calls.append(a[-1]) or sample(*a))
+    assert sorted(map(tuple, C.crawl_log(edges, 0, 14, 2, state=state, publish_every=2).collect())) == want
+    assert calls[0] == 4
+    with pytest.raises(ValueError, match="other parameters"):
+        C.crawl_log(edges, 0, 15, 2, state=state)
+
+
 def test_a_save_cut_off_leaves_the_version_before(spark, tmp_path, monkeypatch):
     from tokenmill.sources import tokenizer_store as S
     path = str(tmp_path / "store")

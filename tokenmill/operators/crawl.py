@@ -9,10 +9,11 @@ lineage is cut with reliable checkpoints.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenmill.session import cut_lineage
+from tokenmill.plans.rounds import Rounds, input_fingerprint
+from tokenmill.session import cut_lineage, materialize
 
 
 def link_terms(pages: DataFrame) -> DataFrame:
@@ -57,40 +58,71 @@ def dedup_title(records: DataFrame, order_col: str = "ord") -> DataFrame:
         F.min(order_col).alias("first_ord")).select("title", "last.*", "first_ord")
 
 
-def crawl_depth(edges: DataFrame, start: DataFrame, checkpoint_every: int = 3,
-                max_rounds: int | None = None) -> DataFrame:
+def _in_bitmap(bitmap: Column, place: Column) -> Column:
+    """Whether bit ``place`` of a binary bitmap is set (false without one)."""
+    byte = F.conv(F.hex(F.substring(bitmap, (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return F.coalesce(F.getbit(byte, (place % 8).cast("int")) == 1, F.lit(False))
+
+
+def as_bitmaps(ids: DataFrame) -> DataFrame:
+    """(bucket, bits): the set of ``page_id`` as one bitmap for each id range."""
+    return ids.groupBy(F.bitmap_bucket_number("page_id").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("page_id")).alias("bits"))
+
+
+def not_in_bitmaps(ids: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """The rows of ``ids`` whose ``page_id`` is in none of the bitmaps: a join
+    with one row for each id range, not with the members."""
+    rows = ids.withColumn("bucket", F.bitmap_bucket_number("page_id"))
+    return (rows.join(bitmaps, "bucket", "left")
+            .where(~_in_bitmap(F.col("bits"), F.bitmap_bit_position("page_id"))).drop("bucket", "bits"))
+
+
+def crawl_depth(edges: DataFrame, start: DataFrame, max_rounds: int | None = None, state: str | None = None) -> DataFrame:
     """Breadth-first depth of every page reachable from ``start``
-    (column ``page_id``).  Each round joins only the newest frontier with
-    the edges and anti-joins everything visited."""
-    e = edges.persist()
-    visited = start.select("page_id", F.lit(0).cast("long").alias("depth")).distinct().persist()
-    frontier = visited
-    rounds = [visited]
-    depth = 0
-    while True:
+    (column ``page_id``).
+
+    A round joins the newest frontier with the edges and drops what was
+    visited.  The visited set is a table of bitmaps, one for a range of 32,768
+    ids and or-ed together each round, so it grows with the id range by an
+    eighth of a byte an id and no round reads the visited rows again.  Each
+    round's frontier is written once and is part of the result.  ``state``
+    names a shared folder to go on from after a stop (same input and bound).
+    """
+    kept = Rounds(edges.sparkSession, state, input_fingerprint(edges, "depth", max_rounds)) if state else None
+    e = materialize(edges.select("src", "dst"), "edges")
+    done = kept.latest() if kept else None
+    if done:
+        depth, tables, values = done
+        frontier, visited, grew = tables["frontier"], tables["visited"], values["grew"]
+    else:
+        first = start.select("page_id", F.lit(0).cast("long").alias("depth")).distinct()
+        depth, grew = 0, True
+        frontier, visited = _keep_depth(kept, 0, first, as_bitmaps(first), grew)
+    found = [frontier]
+    while grew and (max_rounds is None or depth < max_rounds):
         depth += 1
-        nxt = (frontier.join(e, frontier.page_id == e.src).select(F.col("dst").alias("page_id"))
-               .distinct().join(visited.select("page_id"), "page_id", "left_anti")
-               .select("page_id", F.lit(depth).cast("long").alias("depth")))
-        if depth % checkpoint_every == 0:
-            nxt = cut_lineage(nxt)
-        else:
-            rounds.append(nxt.persist())
-            nxt = rounds[-1]
-        if nxt.isEmpty() or (max_rounds is not None and depth >= max_rounds):
-            break
-        visited = visited.unionByName(nxt)
-        if depth % checkpoint_every == 0:
-            visited = cut_lineage(visited)
-        frontier = nxt
-    visited = cut_lineage(visited)
-    for r in [e, *rounds]:
-        r.unpersist()
-    return visited
+        near = frontier.join(e, F.col("page_id") == F.col("src")).select(F.col("dst").alias("page_id")).distinct()
+        new = materialize(not_in_bitmaps(near, visited).select("page_id", F.lit(depth).cast("long").alias("depth")), "frontier")
+        more = visited.unionByName(as_bitmaps(new)).groupBy("bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+        grew = not new.isEmpty()
+        if grew or kept:
+            frontier, visited = _keep_depth(kept, depth, new, more, grew)
+            found.append(frontier)
+    return kept.all("frontier") if kept else edges.sparkSession.read.schema("page_id long, depth long").parquet(
+        *[f for df in found for f in df.inputFiles()])
+
+
+def _keep_depth(kept: Rounds | None, depth: int, frontier: DataFrame, visited: DataFrame, grew: bool) -> tuple[DataFrame, DataFrame]:
+    """A round's tables as stored: published for a resumable crawl, else as plain tables."""
+    if kept:
+        tables = kept.publish(depth, {"frontier": frontier, "visited": visited}, {"grew": grew})
+        return tables["frontier"], tables["visited"]
+    return frontier if depth else materialize(frontier, "frontier"), materialize(visited, "visited")
 
 
 def crawl_log(edges: DataFrame, start_page: int, n_pages: int, sample_size: int = 100, seed: str = "0",
-              revisit: bool = False) -> DataFrame:
+              revisit: bool = False, state: str | None = None, publish_every: int = 8) -> DataFrame:
     """C1's fetch log (round, ord, page_id): which pages a sampled crawl takes.
 
     Each round samples ``min(sample_size, |frontier|, n_pages - collected)``
@@ -101,14 +133,22 @@ def crawl_log(edges: DataFrame, start_page: int, n_pages: int, sample_size: int
 
     The loop works on ids and the edge table alone.  The ids of one sample
     (at most ``sample_size``) pass through the driver, and the log of at most
-    ``n_pages`` ids, both parameters; frontiers stay distributed.
+    ``n_pages`` ids, both parameters; frontiers stay distributed.  ``state``
+    names a shared folder where the frontier and the log are published every
+    ``publish_every`` rounds; the same crawl goes on from there after a stop.
     """
     spark = edges.sparkSession
     ids = "page_id long"
+    kept = Rounds(spark, state, input_fingerprint(edges, start_page, n_pages, sample_size, seed, revisit)) if state else None
     e = edges.select("src", "dst").persist()
     frontier = spark.createDataFrame([(start_page,)], ids)
     log: list[tuple[int, int, int]] = []
     round_no = 0
+    done = kept.latest() if kept else None
+    if done:
+        round_no, tables, _ = done
+        frontier = tables["frontier"]
+        log = sorted((tuple(r) for r in tables["log"].collect()), key=lambda r: r[1])
     while len(log) < n_pages:
         sample = [r["page_id"] for r in sample_frontier(
             frontier, "page_id", min(sample_size, n_pages - len(log)), seed, round_no).collect()]
@@ -121,10 +161,16 @@ def crawl_log(edges: DataFrame, start_page: int, n_pages: int, sample_size: int
         if not revisit:
             seen = spark.createDataFrame([(p,) for p in sorted({p for _, _, p in log})], ids)
             frontier = frontier_except(frontier, seen, ["page_id"])
-        frontier = cut_lineage(frontier)
         round_no += 1
+        if kept and round_no % publish_every == 0:
+            frontier = kept.publish(round_no, {"frontier": frontier, "log": spark.createDataFrame(log, _LOG)}, {})["frontier"]
+        else:
+            frontier = cut_lineage(frontier)
     e.unpersist()
-    return spark.createDataFrame(log, "round long, ord long, page_id long")
+    return spark.createDataFrame(log, _LOG)
+
+
+_LOG = "round long, ord long, page_id long"
 
 
 def crawl(pages: DataFrame, edges: DataFrame, start_page: int, n_pages: int, sample_size: int = 100,

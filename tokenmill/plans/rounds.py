@@ -56,6 +56,10 @@ class Rounds:
         self.spark.createDataFrame([(manifest,)], "value string").coalesce(1).write.mode("overwrite").text(f"{at}/manifest")
         return {name: self.spark.read.schema(df.schema).parquet(f"{at}/{name}") for name, df in tables.items()}
 
+    def all(self, name: str) -> DataFrame:
+        """One table of every published round together."""
+        return self.spark.read.parquet(*[f"{self.folder}/round-{k:06d}/{name}" for k in self._numbers()])
+
     def latest(self) -> tuple[int, dict[str, DataFrame], dict] | None:
         """(round, tables, values) of the newest published round, if any."""
         numbers = self._numbers()
