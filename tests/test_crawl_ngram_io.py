@@ -336,3 +336,52 @@ def test_crawl_sample_query_takes_every_reachable_page(spark, monkeypatch):
     assert max(r["round"] for r in got) == 3
     few = C.crawl(pages, C.link_edges(pages), 0, 6, 2, "0")[1].collect()
     assert len(few) == 6 and max(r["round"] for r in few) == 3
+
+
+def test_back_off_uses_the_longest_known_context(spark):
+    import math
+    seqs = [[1, 5, 6, 7, 2, 0], [1, 5, 6, 8, 2, 0], [1, 6, 8, 5, 6, 8]]
+    counts = {}
+    for s in seqs:
+        for i in range(len(s) - 1):
+            for n in range(0, min(2, i + 1) + 1):
+                ctx = " ".join(map(str, s[i + 1 - n:i + 1]))
+                counts[ctx, s[i + 1]] = counts.get((ctx, s[i + 1]), 0) + 1
+    df = spark.createDataFrame(list(enumerate(seqs)), "doc_id long, encoded array<int>")
+    trans = M.backoff_transitions(df, 3)
+    assert {(r.ctx, r.next): r.c for r in trans.collect()} == counts
+    total = {}
+    for (ctx, _), c in counts.items():
+        total[ctx] = total.get(ctx, 0) + c
+
+    def longest(context):
+        tried = [" ".join(map(str, context[-n:])) if n else "" for n in range(min(2, len(context)), -1, -1)]
+        return next(t for t in tried if t in total)
+
+    held = [[1, 9, 5, 6, 8], [5, 6, 7, 7, 7], [9, 9, 9]]
+    got = {r.doc_id: r for r in M.backoff_losses(spark.createDataFrame(list(enumerate(held)), "doc_id long, encoded array<int>"), trans, 10, 3).collect()}
+    for d, s in enumerate(held):
+        want = 0.0
+        for i in range(len(s) - 1):
+            ctx = longest(s[:i + 1])
+            want -= math.log((counts.get((ctx, s[i + 1]), 0) + 1) / (total[ctx] + 10))
+        assert got[d].nll == pytest.approx(want) and got[d].n_pos == len(s) - 1
+    with pytest.raises(ValueError, match="order 2"):
+        M.sequence_losses(df, trans, 10)
+    # greedy completion: the best next token of the longest known context, ties to the lowest id
+    prompts = [[1, 5], [9, 5], [9, 9], [8]]
+    model = M.fit(df, order=3)
+    out = M.generate(spark.createDataFrame(list(enumerate(prompts)), "rid long, ids array<int>"), model, order=3, max_new_tokens=3)
+    with pytest.raises(ValueError, match="order 3"):
+        M.generate(spark.createDataFrame([(0, [1])], "rid long, ids array<int>"), model)
+    for r in out.collect():
+        ids = list(prompts[r.rid])
+        for _ in range(3):
+            usable = {c for c, x in counts if x not in (0, 1)}
+            tried = [" ".join(map(str, ids[-n:])) if n else "" for n in range(min(2, len(ids)), -1, -1)]
+            ctx = next(t for t in tried if t in usable)
+            nxt = min((x for c, x in counts if c == ctx and x not in (0, 1)), key=lambda x: (-counts[ctx, x], x))
+            if nxt == 2:
+                break
+            ids.append(nxt)
+        assert list(r.ids) == ids

@@ -49,6 +49,44 @@ def transitions(framed: DataFrame, order: int = 2, col: str = "encoded",
     return ex.groupBy("ctx", "next").agg(F.count(F.lit(1)).alias("c"))
 
 
+def _suffixes(ctx: Column) -> Column:
+    """The context and all its shorter suffixes, the longest first, '' last."""
+    parts = F.filter(F.split(ctx, " "), lambda x: x != "")
+    n = F.size(parts)
+    return F.transform(F.sequence(F.lit(0), n), lambda k: F.array_join(F.slice(parts, k + 1, n - k), " "))
+
+
+def backoff_transitions(framed: DataFrame, order: int, col: str = "encoded") -> DataFrame:
+    """M1 of every context length up to ``order - 1``: counts of (context,
+    next), '' for none.  A position's shorter contexts are the suffixes of its
+    longest one, so they are summed from the counted table, not from the text."""
+    longest = materialize(transitions(framed, order, col), "transitions")
+    return (longest.select(F.explode(_suffixes(F.col("ctx"))).alias("ctx"), "next", "c")
+            .groupBy("ctx", "next").agg(F.sum("c").alias("c")))
+
+
+def longest_known(contexts: DataFrame, known: DataFrame) -> DataFrame:
+    """(ctx, used, n_ctx): the longest suffix of each ``ctx`` in ``known``
+    (used, n_ctx).  One row for each different context and suffix is joined."""
+    tried = contexts.select("ctx").distinct().select("ctx", F.posexplode(_suffixes(F.col("ctx"))).alias("k", "used"))
+    return (tried.join(known, "used").groupBy("ctx").agg(F.min_by(F.struct("used", "n_ctx"), F.col("k")).alias("m"))
+            .select("ctx", "m.used", "m.n_ctx"))
+
+
+def backoff_losses(framed: DataFrame, counts: DataFrame, vocab_size: int, order: int, k: float = 1.0, col: str = "encoded") -> DataFrame:
+    """M5 with back-off: as :func:`sequence_losses`, each position under the
+    add-k distribution of its longest context that the training text holds."""
+    x, y = A.shift_inputs(F.col(col)), A.shift_targets(F.col(col))
+    pos = (framed.select("doc_id", x.alias("x"), F.posexplode(y).alias("t", "next"))
+           .select("doc_id", _ctx_key(F.col("x"), F.col("t"), order).alias("ctx"), "next"))
+    pos = materialize(pos.groupBy("doc_id", "ctx", "next").agg(F.count(F.lit(1)).alias("times")), "positions")
+    known = counts.groupBy(F.col("ctx").alias("used")).agg(F.sum("c").alias("n_ctx"))
+    j = (pos.join(longest_known(pos, known), "ctx", "left").withColumn("used", F.coalesce("used", F.lit("")))
+         .join(counts.withColumnRenamed("ctx", "used"), ["used", "next"], "left"))
+    lp = F.log((F.coalesce("c", F.lit(0)) + k) / (F.coalesce("n_ctx", F.lit(0)) + k * vocab_size))
+    return j.groupBy("doc_id").agg((-F.sum(F.col("times") * lp)).alias("nll"), F.sum("times").alias("n_pos"))
+
+
 def next_token_probs(trans: DataFrame, excluded=EXCLUDED) -> DataFrame:
     """M2: p(next | ctx) with excluded ids removed and the rest renormalised.
 
@@ -82,21 +120,21 @@ def context_table(probs: DataFrame) -> DataFrame:
 class Model:
     probs: DataFrame     # ctx, next, c, n, p, hi
     contexts: DataFrame  # ctx, n, nexts, his, greedy; '' is the context-free row
+    order: int = 2
 
 
 def fit(framed: DataFrame, order: int = 2, excluded=EXCLUDED) -> Model:
-    """Fit the count model.  Unseen contexts back off to the context-free
-    distribution (all targets), stored under the empty context ''; without
-    any training target that row generates EOS."""
-    trans = materialize(transitions(framed, order), "transitions")
-    uni = trans.groupBy("next").agg(F.sum("c").alias("c")).select(F.lit("").alias("ctx"), "next", "c")
-    probs = materialize(next_token_probs(trans.unionByName(uni), excluded), "probs")
+    """Fit the count model over all context lengths below ``order``.  A
+    context is looked up by its longest known suffix; the last one is '',
+    the context-free distribution of all targets.  Without any training
+    target that row generates EOS."""
+    probs = materialize(next_token_probs(backoff_transitions(framed, order), excluded), "probs")
     contexts = context_table(probs)
     if probs.isEmpty():
         contexts = contexts.unionByName(framed.sparkSession.range(1).select(
             F.lit("").alias("ctx"), F.lit(1).cast("long").alias("n"), F.array(F.lit(EOS_ID)).alias("nexts"),
             F.array(F.lit(1).cast("long")).alias("his"), F.lit(EOS_ID).alias("greedy")))
-    return Model(probs, materialize(contexts, "contexts"))
+    return Model(probs, materialize(contexts, "contexts"), order)
 
 
 def _draw(seed: str, row_key: Column, step: Column, n: Column) -> Column:
@@ -106,12 +144,19 @@ def _draw(seed: str, row_key: Column, step: Column, n: Column) -> Column:
 
 
 def _with_context(rows: DataFrame, model: Model) -> DataFrame:
-    """Each row (column ``ctx``) with its context's row, or the '' row if the
-    context was never seen.  One row a context, so rows never multiply."""
+    """Each row (column ``ctx``) with the row of its context's longest known
+    suffix, the '' row at last.  One row a context, so rows never multiply."""
+    found = ("n", "nexts", "his", "greedy")
     known = model.contexts
     rest = model.contexts.where(F.col("ctx") == "").select(*[F.col(c).alias(f"_{c}") for c in known.columns])
-    j = rows.join(known, "ctx", "left").join(F.broadcast(rest), F.col("_ctx") == "", "left")  # one row
-    return j.select(*rows.columns, *[F.coalesce(c, f"_{c}").alias(c) for c in ("n", "nexts", "his", "greedy")])
+    j = rows.join(known, "ctx", "left")
+    for k in range(1, model.order - 1):  # the suffix without its first k tokens
+        at = F.get(_suffixes(F.col("ctx")), F.lit(k))
+        shorter = known.select(F.col("ctx").alias("_short"), *[F.col(c).alias(f"_s_{c}") for c in found])
+        j = j.withColumn("_at", at).join(shorter, F.col("_at") == F.col("_short"), "left")
+        j = j.select(*rows.columns, *[F.coalesce(c, f"_s_{c}").alias(c) for c in found])
+    j = j.join(F.broadcast(rest), F.col("_ctx") == "", "left")  # one row
+    return j.select(*rows.columns, *[F.coalesce(c, f"_{c}").alias(c) for c in found])
 
 
 def draw_next(rows: DataFrame, model: Model, seed: str, step: Column | int) -> DataFrame:
@@ -159,6 +204,8 @@ def generate(prompts: DataFrame, model: Model, order: int = 2, max_new_tokens: i
     if mode not in ("greedy", "sample"):
         raise ValueError("mode must be 'greedy' or 'sample'")
     start = prompts.select("rid", F.when(F.size("ids") == 0, F.array(F.lit(SOS_ID))).otherwise(F.col("ids")).alias("ids"))
+    if order != model.order:
+        raise ValueError(f"the model is of order {model.order}, not {order}")
     if mode == "greedy" and order == 2:
         paths = greedy_paths(model, max_new_tokens)
         unseen = paths.where(F.col("state") == "").select(F.col("path").alias("_path"), F.col("state").alias("_state"))
@@ -184,11 +231,18 @@ def generate(prompts: DataFrame, model: Model, order: int = 2, max_new_tokens: i
     return cur.drop("done")
 
 
+def _one_order(trans: DataFrame) -> None:
+    """The bigram loss looks up one token: a longer context would match nothing."""
+    if not trans.where(F.col("ctx").contains(" ")).isEmpty():
+        raise ValueError("transitions of order 2 expected; use backoff_losses for longer contexts")
+
+
 def sequence_losses(framed: DataFrame, model_trans: DataFrame, vocab_size: int,
                     k: float = 1.0, col: str = "encoded") -> DataFrame:
     """Per sequence: summed negative log-likelihood of all (x, y) positions
     (PAD targets included, as upstream) under add-k smoothing over the full
     vocabulary, and the number of positions."""
+    _one_order(model_trans)
     x, y = A.shift_inputs(F.col(col)), A.shift_targets(F.col(col))
     pos = framed.select("doc_id", F.explode(F.arrays_zip(x.alias("x"), y.alias("y"))).alias("p")).select(
         "doc_id", F.col("p.x").cast("string").alias("ctx"), F.col("p.y").alias("next"))

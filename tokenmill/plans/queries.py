@@ -383,18 +383,39 @@ def q_generate_sampled(spark, sf):
     return _generate(spark, sf, "sample")
 
 
-def _losses(spark, sf):
-    framed = _framed(spark, sf)
-    trans = M.transitions(_train_framed(spark, sf))
-    seq = M.sequence_losses(framed, trans, VOCAB)
+ORDER = 3              # of the back-off queries: contexts of up to two tokens
+
+
+def q_backoff_probs(spark, sf):
+    """M1 and M2 over all context lengths below ``ORDER``."""
+    pr = M.next_token_probs(M.backoff_transitions(_train_framed(spark, sf), ORDER))
+    return pr.select("ctx", F.col("next").cast("long"), F.col("c").cast("long").alias("c"), F.round("p", 6).alias("p"))
+
+
+def _losses(spark, sf, order=2):
+    # encoded and framed once; split, counts and losses read the stored ids
+    framed = materialize(_framed(spark, sf), "framed").select("doc_id", "encoded")
+    keys = W.split_keys(framed, TRAIN.train_test_split_ratio)
+    keys = materialize(keys, "split")
+    train = framed.join(keys.where("split = 'train'").select("doc_id"), "doc_id", "left_semi")
+    if order == 2:
+        seq = M.sequence_losses(framed, materialize(M.transitions(train), "transitions"), VOCAB)
+    else:
+        seq = M.backoff_losses(framed, materialize(M.backoff_transitions(train, order), "transitions"), VOCAB, order)
     # the test loss is also recorded before the first epoch (epoch 0)
-    batches = _batches(spark, sf, first_epoch=0).where((F.col("epoch") > 0) | (F.col("split") == "test"))
-    return M.loss_report(seq, batches, TRAIN.n_accumulation_steps)
+    batches = W.shuffle_batches(keys, TRAIN, first_epoch=0).where((F.col("epoch") > 0) | (F.col("split") == "test"))
+    per_batch, summary = M.loss_report(seq, batches, TRAIN.n_accumulation_steps)
+    return per_batch, summary, keys.where("split = 'train'").count()
+
+
+def q_backoff_loss(spark, sf):
+    """M5 with contexts of up to two tokens, looked up by longest known suffix."""
+    per_batch, summary, _ = _losses(spark, sf, ORDER)
+    return summary.where("epoch = 1").select("split", F.col("n_examples").cast("long"), F.round("token_mean_loss", 6).alias("token_mean_loss"))
 
 
 def q_lm_eval(spark, sf):
-    _, summary = _losses(spark, sf)
-    n_train = summary.where("split = 'train'").agg(F.max("n_examples")).first()[0] or 0
+    _, summary, n_train = _losses(spark, sf)
     return summary.select("split", F.col("epoch").cast("long"), F.col("n_examples").cast("long"), F.col("n_batches").cast("long"),
                           (F.col("epoch") * n_train).cast("long").alias("counter"),
                           F.round("reference_loss", 6).alias("reference_loss"),
@@ -402,7 +423,7 @@ def q_lm_eval(spark, sf):
 
 
 def q_batch_losses(spark, sf):
-    per_batch, _ = _losses(spark, sf)
+    per_batch, _, _ = _losses(spark, sf)
     return per_batch.select("split", F.col("epoch").cast("long"), F.col("batch_id").cast("long"), F.col("n_examples").cast("long"),
                             F.round("batch_mean", 6).alias("batch_mean"),
                             F.round("scaled_loss", 6).alias("scaled_loss"))
@@ -490,6 +511,8 @@ QUERIES = {
     "next_token_probs": q_next_token_probs,
     "generate": q_generate,
     "generate_sampled": q_generate_sampled,
+    "backoff_probs": q_backoff_probs,
+    "backoff_loss": q_backoff_loss,
     "lm_eval": q_lm_eval,
     "batch_losses": q_batch_losses,
     "text_to_tokens": q_text_to_tokens,
@@ -712,6 +735,25 @@ ORACLE.update({
                      f"round(batch_mean / {TRAIN.n_accumulation_steps}, 6) as scaled_loss from pb"),
 })
 
+_CTX = ("unnest([{'ctx': '', 'n': 0}, {'ctx': ids[i]::varchar, 'n': 1}] || case when i > 1 then "
+        "[{'ctx': ids[i - 1]::varchar || ' ' || ids[i]::varchar, 'n': 2}] else [] end)")
+_BACKOFF = (f"select e.ctx as ctx, next, count(*) as c from (select {_CTX} as e, ids[i + 1] as next from "
+            f"(select ids, unnest(range(1, len(ids))) as i from ({_TRAIN_IDS}))) group by all")
+ORACLE.update({
+    "backoff_probs": (f"select ctx, cast(next as bigint) as next, cast(c as bigint) as c, round(c / sum(c) over (partition by ctx), 6) as p "
+                      f"from ({_BACKOFF}) where next not in (0, 1)"),
+    "backoff_loss": (f"with counts as materialized ({_BACKOFF}), tot as materialized (select ctx, sum(c) as n_ctx from counts group by ctx), "
+                     f"pos as (select doc_id, next, case when i > 1 then ids[i - 1]::varchar || ' ' || ids[i]::varchar end as two, "
+                     f"ids[i]::varchar as one from (select doc_id, ids, ids[i + 1] as next, i from "
+                     f"(select doc_id, ids, unnest(range(1, len(ids))) as i from ({_FRAMED})))), "
+                     f"used as (select doc_id, next, case when b.ctx is not null then two when a.ctx is not null then one else '' end as ctx "
+                     f"from pos left join tot b on b.ctx = two left join tot a on a.ctx = one), "
+                     f"seq as (select doc_id, -sum(ln((coalesce(c, 0) + 1.0) / (coalesce(n_ctx, 0) + {VOCAB}.0))) as nll, count(*) as n_pos "
+                     f"from used left join counts using (ctx, next) left join tot using (ctx) group by doc_id) "
+                     f"select split, cast(count(*) as bigint) as n_examples, round(sum(nll) / sum(n_pos), 6) as token_mean_loss "
+                     f"from seq join ({_SPLIT}) using (doc_id) group by split"),
+})
+
 _BPE_CLEAN = O.bpe_encode_two_char(_DOCS, PREPARE_MERGES, _CLEAN)
 _PREP = (f"select doc_id, {O.frame('ids', CONTEXT_LENGTH)} as ids from (select doc_id, "
          f"case when encoded = '' then []::int[] else list_transform(string_split(encoded, ' '), "
