@@ -18,7 +18,7 @@ A file is an image of bytes::
     levels   for each: packed chunks, packed bitmap, rank directory
 
 and ends with the crc32 of all before it, so a damaged image raises.  Images
-are rows of a Parquet table (number, ids before the file, image): Spark's
+are rows of a Parquet table (file number, ids, documents, image): Spark's
 writer commits them whole and a lost executor's task runs again; any store
 that Spark reads will do.
 
@@ -30,9 +30,9 @@ Reading takes a file's documents one by one through the levels.
 
 The tokenizer's file is a parameter.  Where its pre-tokenizer cuts at white
 space and keeps none (read from the file), words between blanks are encoded
-apart, each distinct word once by the library and from then on from a task's
-memo of ``MEMO_BYTES``; otherwise texts go to the library whole.  Both give the
-library's ids of the whole text.
+apart, each distinct one by the library and from then on from a task's memo of
+``MEMO_BYTES`` (closing marks apart from their word); otherwise texts go to the
+library whole.  Both give the library's ids of the whole text.
 
 Defined cases: a null text is empty and holds the end id alone; a null id
 sorts before all and stays null; rows that repeat an id stand side by side,
@@ -46,11 +46,11 @@ import json
 import re
 import struct
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenmill.llm import tables as T
@@ -61,7 +61,7 @@ END_ID = 2
 FILE_IDS, TASK_IDS = 1 << 18, 1 << 22
 #: Bits between two entries of a rank directory.
 RANK_BITS = 512
-MEMO_BYTES = 24 << 20
+MEMO_BYTES = 64 << 20
 MAGIC, VERSION = b"DACS", 1
 _HEAD = struct.Struct("<4sIQQI")
 _LEVEL = struct.Struct("<IQQQQ")
@@ -225,6 +225,10 @@ def words_apart(tokenizer: dict) -> bool:
             and not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in tokenizer.get("added_tokens", [])))
 
 
+#: A mark between a letter and a blank or the end: a token of its own.
+_MARK = re.compile(r"(?<=[a-z])([.,;:!?)])(?=[ \n]|\Z)")
+
+
 class Encoder:
     """Texts to ids (little-endian unsigned 32-bit bytes, the end id last)."""
 
@@ -234,35 +238,78 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
-            self.apart = words_apart(json.load(f))
+            spec = json.load(f)
+        self.apart = words_apart(spec)
+        suffix = spec["model"].get("end_of_word_suffix")
+        self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        if suffix:
+            self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
         self.end = np.array([end_id], "<u4").tobytes()
+        # two generations: words met since the last turn, and those of the turn before
         self.memo: dict[str, bytes] = {}
-        self.room = self.memo_bytes = memo_bytes
+        self.old: dict[str, bytes] = {}
+        self.half = memo_bytes // 2 // 250
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Words of letters in one call: each ends with its one token that ends a word."""
+        if not self.ends.any() or len(words) < 2:
+            return self._whole(words)
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) != len(words):
+            return self._whole(words)
+        data = ids.tobytes()
+        return [data[4 * i:4 * j] for i, j in zip([0, *cuts[:-1].tolist()], cuts.tolist())]
+
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
+        found = {w: self.old[w] for w in words if w in self.old}
+        letters, rest = [], []
+        for w in words.difference(found):
+            (letters if w.isalpha() and (w.isascii() or max(w) < "\u0250") and len(w) < 100 else rest).append(w)
+        for k in range(0, len(letters), 2000):
+            found.update(zip(letters[k:k + 2000], self._letters(letters[k:k + 2000])))
+        found.update(zip(rest, self._whole(rest)))
+        # no word of a generation is longer than a few hundred bytes, so counting entries bounds it
+        if len(self.memo) + len(found) > self.half:
+            self.old, self.memo = self.memo, {}
+        if len(found) <= self.half:
+            self.memo.update(found if not rest else {w: x for w, x in found.items() if len(w) < 100})
+        return found
+
+    @staticmethod
+    def _blanks(text: str) -> list[str]:
+        """The text cut at blanks, A-Z lowered, a mark that ends a word apart.
+        What might spell a special token once lowered is left as it stands."""
+        if "<|" not in text:
+            text = _MARK.sub(r" \1", text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"))
+        return text.replace("\n", " ").split(" ")
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.apart:
             return [x + self.end for x in self._whole(texts)]
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.memo
-        new = list({w for words in split for w in words if w not in known})
-        here = dict(zip(new, self._whole(new)))
-        get = known.get
-        out = []
-        for words in split:
-            out.append(b"".join([get(w) if w in known else here[w] for w in words]) + self.end)
-        for w, ids in here.items():
-            cost = 200 + 4 * len(w) + len(ids)
-            if cost < 2000:
-                if cost > self.room:
-                    known.clear()
-                    self.room = self.memo_bytes
-                known[w] = ids
-                self.room -= cost
-        return out
+        split = [self._blanks(t) for t in texts]
+        get = self.memo.get
+        rows = [list(map(get, words)) for words in split]
+        open_ = [k for k, row in enumerate(rows) if None in row]
+        if open_:
+            found = self._learn({w for k in open_ for w, ids in zip(split[k], rows[k]) if ids is None})
+            for k in open_:
+                rows[k] = [found[w] if ids is None else ids for w, ids in zip(split[k], rows[k])]
+        return [b"".join(row) + self.end for row in rows]
+
+
+def _narrow(ids: bytes) -> bytes:
+    """The ids in two bytes each where they fit, behind their width."""
+    wide = np.frombuffer(ids, "<u4")
+    return b"\4" + ids if len(wide) and wide.max() >> 16 else b"\2" + wide.astype("<u2").tobytes()
+
+
+def _widen(ids: bytes) -> np.ndarray:
+    return np.frombuffer(ids, "<u2" if ids[0] == 2 else "<u4", offset=1)
 
 
 def _encode_task(path: str, end_id: int):
@@ -279,7 +326,7 @@ def _encode_task(path: str, end_id: int):
             ids = encoder.encode(texts[at:end])
             yield pa.record_batch([batch.column(0).slice(at, end - at), pa.array([len(x) // 4 for x in ids], pa.int64()),
                                    pa.array([zlib.crc32(t.encode("utf-8", "surrogatepass")) for t in texts[at:end]], pa.int64()),
-                                   pa.array(ids, pa.binary())], names=["doc_id", "n", "tie", "ids"])
+                                   pa.array([_narrow(x) for x in ids], pa.binary())], names=["doc_id", "n", "tie", "ids"])
             at = end
     return fn
 
@@ -304,7 +351,7 @@ def _pack_task(file_ids: int):
     def fn(batch):
         nonlocal held
         for id_, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            ids = np.frombuffer(raw, "<u4")
+            ids = _widen(raw)
             if docs and held + len(ids) > file_ids:
                 yield from emit()
             docs.append((id_, ids))
@@ -316,8 +363,8 @@ def _pack_task(file_ids: int):
 
 def write(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID,
           file_ids: int = FILE_IDS, task_ids: int = TASK_IDS) -> DataFrame:
-    """Encode and write: the table of files (file, start, n, docs, image), in
-    ascending doc id from file to file.  ``path`` is the tokenizer's file."""
+    """Encode and write: the table of files (file, n, docs, image), in
+    ascending doc id from file to file (:func:`starts` gives their places).  ``path`` is the tokenizer's file."""
     spark = T.ready(df.sparkSession)
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                      F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
@@ -332,47 +379,50 @@ def write(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "tex
         ordered = encoded.repartitionByRange(parts, *order)
     ordered = ordered.sortWithinPartitions(*order).select("doc_id", "ids")
     images = T.store(T.map_arrow(ordered, lambda: _pack_task(file_ids), "part int, seq int, n long, docs long, image binary"), "token-files")
-    # A task writes its images in order, so (part, seq) is the order of the files.
-    files = images.withColumn("file", F.col("part").cast("long") * (1 << 31) + F.col("seq"))
-    per_part = images.groupBy("part").agg(F.sum("n").alias("start"))
-    before = prefix_sums(per_part, "part", ["start"])
-    within = prefix_sums_within(images)
-    starts = within.join(before, "part").select("file", (F.col("start") + F.col("inside")).alias("start"))
-    return T.store(files.select("file", "n", "docs", "image").join(starts, "file"), "token-files")
+    return images.select(_file_number().alias("file"), "n", "docs", "image")
+
 
+def _file_number() -> Column:
+    """A task writes its images in order, so part and number give the order of the files."""
+    return F.col("part").cast("long") * (1 << 31) + F.col("seq")
 
-def prefix_sums_within(images: DataFrame) -> DataFrame:
-    """(part, file, inside): ids of the same part's images before this one."""
-    from pyspark.sql import Window
-    w = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    return images.select("part", (F.col("part").cast("long") * (1 << 31) + F.col("seq")).alias("file"),
-                         F.coalesce(F.sum("n").over(w), F.lit(0)).alias("inside"))
 
+def starts(files: DataFrame) -> DataFrame:
+    """(file, start): the ids of all files before each, kept as a table."""
+    sizes = files.select("file", "n", F.shiftright("file", 31).alias("part"))
+    per_part = prefix_sums(sizes.groupBy("part").agg(F.sum("n").alias("before")), "part", ["before"])
+    inside = Window.partitionBy("part").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    return T.store(sizes.join(per_part, "part").select("file", (F.col("before") + F.col("inside")).alias("start")), "token-starts")
 
-def _read_task(use: Callable[[int | None, int, np.ndarray], tuple], schema: pa.Schema):
+
+def _read_task(use: Callable[[np.ndarray], tuple], schema: pa.Schema):
     def fn(batch):
-        for start, image in zip(batch.column(0).to_pylist(), batch.column(1)):
+        for number, image in zip(batch.column(0).to_pylist(), batch.column(1)):
             file = File(image.as_buffer().to_pybytes())
             for low in range(0, file.n_docs, 1000):
-                rows = [use(file.doc_ids[k], start + int(file.starts[k]), file.document(k))
+                rows = [(number, file.doc_ids[k], int(file.starts[k]), *use(file.document(k)))
                         for k in range(low, min(low + 1000, file.n_docs))]
                 yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
     return fn
 
 
+def _read(files: DataFrame, use: Callable[[np.ndarray], tuple], fields: list[tuple[str, pa.DataType]], kinds: str) -> DataFrame:
+    schema = pa.schema([("file", pa.int64()), ("doc_id", pa.int64()), ("inside", pa.int64()), *fields])
+    rows = T.map_arrow(files.select("file", "image"), lambda: _read_task(use, schema), f"file long, doc_id long, inside long, {kinds}")
+    return (rows.join(starts(files), "file")
+            .select("doc_id", (F.col("start") + F.col("inside")).alias("start"), *[n for n, _ in fields]))
+
+
 def documents(files: DataFrame) -> DataFrame:
     """The documents read back: doc_id, start, ids (array)."""
-    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("ids", pa.list_(pa.int64()))])
-    return T.map_arrow(files.select("start", "image"), lambda: _read_task(lambda i, s, x: (i, s, x.tolist()), schema),
-                       "doc_id long, start long, ids array<long>")
+    return _read(files, lambda x: (x.tolist(),), [("ids", pa.list_(pa.int64()))], "ids array<long>")
 
 
 def digests(files: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of the documents read back."""
-    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
-    return T.map_arrow(files.select("start", "image"),
-                       lambda: _read_task(lambda i, s, x: (i, s, len(x), zlib.crc32(x.astype("<u4").tobytes())), schema),
-                       "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return _read(files, lambda x: (len(x), zlib.crc32(x.astype("<u4").tobytes())),
+                 [("n_tokens", pa.int64()), ("ids_crc32", pa.int64())], "n_tokens long, ids_crc32 long")
 
 
 def _lookup_task():
@@ -392,6 +442,7 @@ def tokens_at(files: DataFrame, places: DataFrame, place_col: str = "place") ->
     cell = lambda c: F.floor(c / FILE_IDS).cast("long")
     want = places.select(F.col(f"`{place_col}`").cast("long").alias("place")).distinct().withColumn("cell", cell(F.col("place")))
     covered = F.explode(F.sequence(cell(F.col("start")), cell(F.col("start") + F.col("n") - 1)))
+    files = files.join(starts(files), "file")
     where = files.where("n > 0").select("file", "start", "n", covered.alias("cell"))
     found = want.join(where, "cell").where("place >= start and place < start + n")
     found = found.groupBy("file", "cell").agg(F.collect_list("place").alias("places"))
