@@ -96,3 +96,43 @@ def test_transliteration_of_single_characters(spark):
     df = spark.createDataFrame(list(golden.items()), "x string, want string")
     rows = df.select("x", "want", TX.transliterate(F.col("x")).alias("got")).collect()
     assert {r["x"]: r["got"] for r in rows} == golden
+
+
+def test_transliteration_of_scripts(spark):
+    """Golden values for each block; Han, which has no rule, goes or stays by flag."""
+    golden = {"Щука и жук, ёлка": "Shchuka i zhuk, elka", "ЖУК": "ZhUK", "Ъ объект": '" ob"ekt', "Ўўѓќї": "Uugki",
+              "Αθήνα": "Athena", "ἄγγελος ῥόδον υἱός": "angelos rhodon huios", "οἱ εὑρίσκω ὕδωρ": "hoi heurisko hydor",
+              "αϋπνία Ψ": "aypnia Ps", "とうきょう": "toukyou", "まっちゃ": "matcha", "カッター": "kattaa",
+              "しんいち": "shin'ichi", "ファイル": "fairu", "ティッシュ": "tisshu", "ウィキ": "wiki",
+              "한국어": "hangugeo", "서울 값": "seoul gabs", "ＡＢＣ１２": "ABC12", "東タワー。": "tawaa.",
+              "Ärger µ Ω": "Arger u O", "": "", "plain": "plain", "ー": "-"}
+    df = spark.createDataFrame([*golden.items(), (None, None)], "x string, want string")
+    rows = df.select("x", "want", TX.transliterate(F.col("x")).alias("got")).collect()
+    assert {r["x"]: r["got"] for r in rows} == {**golden, None: None}
+    kept = df.where(F.col("x") == "東タワー。").select(TX.transliterate(F.col("x"), "keep").alias("t")).first()["t"]
+    assert kept == "東tawaa."
+
+
+def test_every_hangul_syllable_and_kana_reads_as_ascii(spark):
+    """Each of the 11,172 syllables is its letters' readings; both kana read the same."""
+    import unicodedata
+
+    from tokenmill.functions import scripts as SC
+    df = spark.range(0xAC00, 0xD7A4).select(F.col("id"), F.expr("decode(unhex(hex(int(id))), 'UTF-16BE')").alias("c"))
+    for r in df.select("id", "c", TX.transliterate(F.col("c")).alias("t")).collect():
+        jamo = [ord(j) for j in unicodedata.normalize("NFD", chr(r["id"]))]
+        want = SC.HANGUL_LEAD[jamo[0] - 0x1100] + SC.HANGUL_VOWEL[jamo[1] - 0x1161]
+        want += SC.HANGUL_TAIL[jamo[2] - 0x11A7] if len(jamo) > 2 else ""
+        assert (r["c"], r["t"]) == (chr(r["id"]), want)
+    pairs = [(chr(cp), chr(cp + SC.KATAKANA_SHIFT)) for cp in range(0x3041, 0x3097)]
+    rows = spark.createDataFrame(pairs, "h string, k string").select(
+        TX.transliterate(F.col("h")).alias("h"), TX.transliterate(F.col("k")).alias("k"), F.col("h").alias("c")).collect()
+    assert all(r["h"] == r["k"] and (r["h"] or r["c"] == SC.SMALL_TSU) for r in rows)
+
+
+def test_scripts_leave_fewer_unknown_characters(spark):
+    from tokenmill.operators.tokenizer import oov_report
+    mixed = docs_df(spark, ["Москва Αθήνα 서울 とうきょう ok", "東京 plain"])
+    before = oov_report(mixed, "text").count()
+    after = oov_report(mixed.withColumn("text", TX.transliterate(F.col("text"), "keep")), "text")
+    assert before > 15 and sorted(r["token"] for r in after.collect()) == ["京", "東"]

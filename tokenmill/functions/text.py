@@ -12,6 +12,8 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tokenmill.functions.scripts import romanise
+
 # Fixed value: every character Python's str.isspace() accepts (== Python
 # ``\s``), written so that Java regex and RE2 read it the same way.
 WS_CLASS = (r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
@@ -67,23 +69,25 @@ def transliteration_table() -> tuple[dict[str, str], dict[str, str]]:
 def transliterate(col: Column, unknown: str = "drop") -> Column:
     """map Unicode letters to ASCII; ``unknown='drop'|'keep'`` for the rest.
 
-    All-ASCII rows (the common case) skip the work through one ``rlike``.
+    All-ASCII rows (the common case) skip the work through one ``rlike``, and
+    rows without another script the reading of scripts.
     """
     one, many = transliteration_table()
+    raw, col = col, romanise(col)  # a character read so is none of the table's
     chain = col
     for ch, rep in sorted(many.items()):
         chain = F.replace(chain, F.lit(ch), F.lit(rep))
     # the one-to-many chain runs only on rows holding one of its characters
     many_class = "[" + "".join(sorted(many)).replace("\\", "\\\\").replace("]", "\\]") \
         .replace("[", "\\[").replace("^", "\\^").replace("-", "\\-") + "]"
-    out = F.when(col.rlike(many_class), chain).otherwise(col)
+    out = F.when(raw.rlike(many_class), chain).otherwise(col)
     src = "".join(sorted(one))
     out = F.translate(out, src, "".join(one[c] for c in sorted(one)))
     if unknown == "drop":
         out = F.regexp_replace(out, NON_ASCII, "")
     elif unknown != "keep":
         raise ValueError("unknown must be 'drop' or 'keep'")
-    return F.when(col.rlike(NON_ASCII), out).otherwise(col)
+    return F.when(raw.rlike(NON_ASCII), out).otherwise(raw)
 
 
 def strip_newlines(col: Column) -> Column:
