@@ -226,10 +226,37 @@ def test_top_k_of_nothing(spark):
 
 
 def test_groups_far_away_are_not_replicated():
-    pivots = np.array([[0.0, 0.0], [100.0, 0.0]])
-    rows = [{"cell": c, "small": [0.1] * 6, "n": 50, "asked": 2, "radius": 1.0} for c in range(2)]
-    p = knn_join.Plan(pivots, rows, 5, 100.0)
-    assert p.low[0, 1] > 90 and p.low[0, 0] <= 0.1 <= p.high[0, 0]
+    pivots = np.array([[100.0, 0.0], [0.0, 100.0]])
+    groups = [{"cell": c, "asked": 2, "radius": 1.0, "norm": 101.0} for c in range(2)]
+    cells = [{"cell": c, "n": 50, "radius": 2.0, "norm": 102.0} for c in range(2)]
+    sample = [{"id": 10 * c + i, "v": pivots[c]} for c in range(2) for i in range(6)]
+    p = knn_join.Plan(pivots, groups, cells, sample, 5)
+    assert p.open.tolist() == [[True, False], [False, True]]
+    x = np.array([[100.0, 1.0], [96.0, 0.0]])
+    g, r = p.needed(x, np.zeros(2, int), np.linalg.norm(x, axis=1))
+    assert list(zip(g, r)) == [(0, 0)]  # the second cannot reach what six vectors are sure of
+    few = knn_join.Plan(pivots, groups, cells, sample[:5], 5)
+    assert few.open.all()
+
+
+def test_bounds_leave_out_most_of_clustered_vectors(spark, monkeypatch):
+    """Clusters of different norms: each group gets little but its own; results equal brute force."""
+    monkeypatch.setattr(knn_join, "MIN_PIVOTS", 48)
+    r = np.random.default_rng(4)
+    centers = r.normal(size=(12, 32))
+    centers *= (r.uniform(1, 3, 12) / np.linalg.norm(centers, axis=1))[:, None]
+    rows = [(i, (centers[r.integers(12)] + 0.01 * r.normal(size=32)).astype(np.float32).tolist()) for i in range(2400)]
+    df = vectors(spark, rows)
+    (dim, groups, n, sent), = knn_join.replicas(df)
+    assert (dim, n) == (32, 2400) and groups >= 6 and sent < n * groups / 3
+    assert sorted(map(tuple, knn_join.top_k(df).collect())) == brute_top(rows)
+
+
+def test_top_k_of_components_without_a_long(spark):
+    """Such vectors take no part; scores beyond 64 bits count as the last long."""
+    rows = [(50, [1e30, 1.0]), (100, [1e16, 0.0]), (1, [1e16, 0.0]), (2, [-1e16, 1.0]), (3, [2e16, 5.0])]
+    got = sorted(map(tuple, knn_join.top_k(vectors(spark, rows)).collect()))
+    assert got == [(100, 1, 1, 2 ** 63 - 1), (100, 2, 3, 2 ** 63 - 1), (100, 3, 2, -2 ** 63 + 1)]
 
 
 @pytest.mark.parametrize("code", ["for(var i=0;i<n;i++){f()}", "if(a<b&&c>d){}", "x='</p><!--';", "<!-- a<b"])

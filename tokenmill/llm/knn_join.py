@@ -1,36 +1,38 @@
 """Exact top-k inner products as a Voronoi kNN join.
 
-Vectors are the integers floor(256 * x).  With M the largest norm, a
-candidate x gets one more coordinate sqrt(M^2 - |x|^2) and a query the
-coordinate 0; then |q' - x'|^2 = |q|^2 + M^2 - 2 q.x, so the nearest
-neighbours are the highest inner products and distances obey the triangle
-inequality.
+Vectors are the integers floor(256 * x).  For a query q of a group with pivot
+p and radius r, |q - p| <= r, and any vector x, the score q.x lies within
+r|x| of p.x (the distance bound in the form that inner products need; it asks
+nothing of the vectors' norms).
 
 1. Pivots: a hashed choice of candidates, one for about ``QUERIES_PER_GROUP``
-   queries, between ``MIN_PIVOTS`` and ``MAX_PIVOTS``.  Queries and candidates
-   go to the cell of their nearest pivot.
-2. Summaries: of each query cell the radius, of each candidate cell the count
-   and the k + 1 smallest distances to the pivot of different ids, each id by
-   its nearest row, since a query leaves out all rows of one id, its own, and
-   k others may have to be k ids (a few rows for each cell,
-   pre-aggregated by task).  From these the driver derives for each query
-   group an upper bound of the (k + 1)-th nearest distance, hence for each
-   pair of cells the range of pivot distances that can matter.
-3. Replication: a candidate goes to the query groups whose range it is in and
-   to no others.  Groups are split in blocks of queries and chunks of
-   candidates by a hash of the id, so that one crowded cell or one vector that
-   many rows share is spread over many tasks.
+   queries, between ``MIN_PIVOTS`` and ``MAX_PIVOTS``.  Every vector goes to the
+   cell of its nearest pivot; the queries of a cell are a group.
+2. Summaries: of each group the radius and the largest norm; of each cell the
+   count, radius and largest norm, and the k + 1 vectors of different ids with
+   the best lower bound for their own group (a few rows for each cell,
+   pre-aggregated by task).  Different ids, since a query leaves out all rows
+   of one id, its own.  The (k + 1)-th best lower bound p.y - r|y| over these
+   vectors is a score that every query of the group reaches k times.
+3. Replication: a cell whose upper bound is below that score is left out of the
+   group whole; of the others a vector goes to the group only if its own upper
+   bound, the smaller of p.x + r|x| and max|q| |x|, reaches the score.  Groups
+   are split in blocks of queries and chunks of candidates by a hash of the id,
+   so that one crowded cell or one vector that many rows share is spread over
+   many tasks.
 4. Each block meets its chunks as a stream in order of id, keeping k rows a
    query; partial results are merged by query.
 
 Inner products are exact: in doubles while every partial sum stays below
-2**53, otherwise with Python integers (a score beyond 64 bits fails).
+2**53, otherwise with Python integers; a score beyond 64 bits counts as the
+last 64-bit integer of its sign.
 
 Defined cases: vectors that are null or hold null or non-finite components,
-and rows whose id is null, take no part; vectors of different length are not
-compared; rows that repeat id and vector count once; a query never meets rows
-of its own id; fewer candidates than k give all; an empty table gives an empty
-result.  Ties go to the smaller id.
+or a component whose integer has no 64 bits, and rows whose id is null, take
+no part; vectors of different length are not compared; rows that repeat id and
+vector count once; a query never meets rows of its own id; fewer candidates
+than k give all; an empty table gives an empty result.  Ties go to the smaller
+id.  ``replicas`` reports how much the bounds left.
 """
 
 from __future__ import annotations
@@ -50,6 +52,10 @@ QUERIES_PER_GROUP = 128
 MIN_PIVOTS, MAX_PIVOTS = 8, 2048
 BLOCK_QUERIES = 512
 CHUNK_ROWS = 4096
+#: Scores and components beyond have no 64-bit integer.
+LONG_MAX = 2 ** 63 - 1
+#: Rounding of the doubles in the bounds, as a share of the largest product.
+SLACK = 1e-9
 #: In place of an id while a query has fewer than k neighbours.
 FREE = -2 ** 63
 
@@ -57,11 +63,11 @@ FREE = -2 ** 63
 def integer_vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """(id, v array<long>, norm2 double) of the rows that take part."""
     v = F.col(f"`{vec_col}`")
-    bad = F.exists(v, lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")))
+    bad = F.exists(v, lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) >= 2.0 ** 63 / SCALE))
     rows = df.where(F.col(f"`{id_col}`").isNotNull() & v.isNotNull() & ~F.coalesce(bad, F.lit(True)))
     rows = rows.select(F.col(f"`{id_col}`").cast("long").alias("id"),
                        F.transform(v, lambda x: F.floor(F.lit(float(SCALE)) * x.cast("double")).cast("long")).alias("v"))
-    return rows.withColumn("norm2", F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+    return rows
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -69,98 +75,97 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return flat.to_numpy(zero_copy_only=False).reshape(len(column), dim).astype(np.int64, copy=False)
 
 
-def _assign_task(pivots, dim: int, top2: float, every: int):
+def _assign_task(pivots, dim: int):
     p = pivots.value
 
-    def nearest(x):
-        d2 = (x * x).sum(1)[:, None] + (p * p).sum(1)[None] - 2 * x @ p.T
-        cell = d2.argmin(1)
-        return cell, np.linalg.norm(x - p[cell], axis=1)
-
     def fn(batch):
-        ids = batch.column(0).to_numpy()
         x = _matrix(batch.column(1), dim).astype(np.float64)
-        more = np.sqrt(np.maximum(0.0, top2 - (x * x).sum(1)))
-        sc, sd = nearest(np.column_stack([x, more]))
-        qc, qd = nearest(np.column_stack([x, np.zeros(len(x))]))
-        asks = ids % every == 0
-        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(sc.astype(np.int32)), pa.array(sd),
-                               pa.array(qc.astype(np.int32), mask=~asks), pa.array(qd, mask=~asks)],
-                              names=["id", "v", "sc", "sd", "qc", "qd"])
+        cell = ((p * p).sum(1)[None] - 2 * x @ p.T).argmin(1)
+        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(cell.astype(np.int32)),
+                               pa.array(np.linalg.norm(x - p[cell], axis=1)), pa.array(np.linalg.norm(x, axis=1))],
+                              names=["id", "v", "cell", "d", "norm"])
     return fn
 
 
-def _summary_task(n: int, k: int):
-    small, small_id, most = [np.zeros(0)] * n, [np.zeros(0, np.int64)] * n, np.full(n, np.inf)
-    count, asked, radius = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n)
+def _sample_task(pivots, radius, dim: int, k: int):
+    """Of each cell the k + 1 rows of different ids with the best lower bound."""
+    p, r = pivots.value, radius.value
+    kept: dict[int, tuple] = {}
 
     def fn(batch):
-        sc, sd, ids = (batch.column(i).to_numpy() for i in (0, 1, 4))
-        near = sd < most[sc]
-        for c in np.unique(sc[near]):
-            here = near & (sc == c)
-            d, i = np.concatenate([small[c], sd[here]]), np.concatenate([small_id[c], ids[here]])
-            order = np.argsort(d, kind="stable")
-            first = order[np.sort(np.unique(i[order], return_index=True)[1])[:k + 1]]
-            small[c], small_id[c] = d[first], i[first]
-            if len(first) > k:
-                most[c] = d[first[-1]]
-        np.add.at(count, sc, 1)
-        ask = batch.column(2).is_valid().to_numpy(zero_copy_only=False)
-        qc = batch.column(2).drop_null().to_numpy()
-        np.add.at(asked, qc, 1)
-        np.maximum.at(radius, qc, batch.column(3).to_numpy(zero_copy_only=False)[ask])
+        x = _matrix(batch.column(1), dim)
+        ids, cell, norm = (batch.column(i).to_numpy() for i in (0, 2, 4))
+        low = (x * p[cell]).sum(1) - r[cell] * norm
+        for c in np.unique(cell):
+            here = np.flatnonzero(cell == c)
+            i, w, y = ids[here], low[here], x[here]
+            if c in kept:
+                i, w, y = (np.concatenate(both) for both in zip(kept[c], (i, w, y)))
+            first = _best_of_different(i, w, k + 1)
+            kept[c] = i[first], w[first], y[first]
         return ()
 
     def end():
-        yield pa.record_batch([pa.array(np.arange(n, dtype=np.int32)), pa.array(small, pa.list_(pa.float64())),
-                               pa.array(small_id, pa.list_(pa.int64())), pa.array(count), pa.array(asked), pa.array(radius)],
-                              names=["cell", "small", "small_id", "n", "asked", "radius"])
+        for c, (i, w, y) in kept.items():
+            yield pa.record_batch([pa.array(np.full(len(i), c, np.int32)), pa.array(i), pa.array(w),
+                                   pa.array(list(y), pa.list_(pa.int64()))], names=["cell", "id", "low", "v"])
 
     fn.end = end
     return fn
 
 
+def _best_of_different(ids: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+    """Places of the n heaviest rows, one for each id."""
+    order = np.lexsort((ids, -weight))
+    return order[np.sort(np.unique(ids[order], return_index=True)[1])[:n]]
+
+
 class Plan:
-    """Which pivot distances of which cells each query group needs, and how
-    groups are split into tasks."""
+    """The score each query group is sure of, the cells that can reach it, and
+    how groups are split into tasks."""
 
-    def __init__(self, pivots: np.ndarray, rows: list, k: int, scale: float, ids: dict[int, list[int]] | None = None) -> None:
-        """ids: of each cell's small distances; without them each is an id of its own."""
+    def __init__(self, pivots: np.ndarray, groups: list, cells: list, sample: list, k: int) -> None:
+        """groups: cell, asked, radius, norm; cells: cell, n, radius, norm; sample: id, v."""
         n = len(pivots)
-        self.count, self.asked, radius = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n)
-        near, near_id = np.full((n, k + 1), np.inf), np.arange(n * (k + 1)).reshape(n, k + 1)
-        for r in rows:
-            c = r["cell"]
-            self.count[c], self.asked[c], radius[c] = r["n"], r["asked"], r["radius"]
-            near[c, :len(r["small"])] = r["small"]
-            if ids is not None and c in ids:
-                near_id[c, :len(ids[c])] = ids[c]
-        known = np.isfinite(near)
-        apart = np.sqrt(np.maximum(0.0, (pivots ** 2).sum(1)[:, None] + (pivots ** 2).sum(1)[None] - 2 * pivots @ pivots.T))
-        slack = 1e-6 * (1.0 + scale)  # rounding of the doubles above
-        self.low, self.high = np.full((n, n), np.inf), np.full((n, n), -np.inf)
+        self.pivots = pivots
+        self.asked, self.radius, self.norm = np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
+        self.count, wide, most = np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
+        for g in groups:
+            self.asked[g["cell"]], self.radius[g["cell"]], self.norm[g["cell"]] = g["asked"], g["radius"], g["norm"]
+        for c in cells:
+            self.count[c["cell"]], wide[c["cell"]], most[c["cell"]] = c["n"], c["radius"], c["norm"]
+        ids = np.array([y["id"] for y in sample], np.int64)
+        y = np.array([y["v"] for y in sample], np.float64).reshape(len(sample), pivots.shape[1])
+        norm_y, norm_p = np.linalg.norm(y, axis=1), np.linalg.norm(pivots, axis=1)
+        self.sure = np.full(n, -np.inf)
         for i in np.flatnonzero(self.asked):
-            far = (radius[i] + apart[i][:, None] + near)[known]
-            order = np.argsort(far)
-            first = np.sort(np.unique(near_id[known][order], return_index=True)[1])
-            bound = far[order[first[k]]] if len(first) > k else np.inf
-            self.low[i] = apart[i] - radius[i] - bound - slack
-            self.high[i] = apart[i] + radius[i] + bound + slack
+            low = y @ pivots[i] - self.radius[i] * norm_y
+            best = _best_of_different(ids, low, k + 1)
+            if len(best) > k:
+                self.sure[i] = low[best[k]]
+        scale = max(most.max(initial=0.0), norm_p.max(initial=0.0))
+        self.sure -= SLACK * (1.0 + scale * scale)
+        upper = pivots @ pivots.T + norm_p[:, None] * wide[None] + self.radius[:, None] * most[None]
+        self.open = (np.minimum(upper, self.norm[:, None] * most[None]) >= self.sure[:, None]) & (self.asked > 0)[:, None]
         self.blocks = np.maximum(1, -(-self.asked // BLOCK_QUERIES))
-        reach = np.array([self.count[self.high[i] >= 0].sum() for i in range(n)])
-        self.chunks = np.maximum(1, -(-reach // CHUNK_ROWS))
+        self.chunks = np.maximum(1, -(-(self.open @ self.count) // CHUNK_ROWS))
         tasks = np.where(self.asked > 0, self.blocks * self.chunks, 0)
         self.first = np.concatenate([[0], np.cumsum(tasks)[:-1]])
 
+    def needed(self, x: np.ndarray, cell: np.ndarray, norm: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(groups, rows): where the vectors' own upper bounds reach the group's sure score."""
+        groups = np.flatnonzero(self.open[:, np.unique(cell)].any(1))
+        upper = np.minimum(self.pivots[groups] @ x.T + self.radius[groups][:, None] * norm, self.norm[groups][:, None] * norm)
+        g, r = np.nonzero(self.open[groups][:, cell] & (upper >= self.sure[groups][:, None]))
+        return groups[g], r
+
 
 def _spread(ids: np.ndarray, seed: int) -> np.ndarray:
     return (mix(ids.astype(np.int64).view(U64) + U64(seed)) >> U64(1)).astype(np.int64)
 
 
-def _replicate_task(plan):
+def _replicate_task(plan, dim: int, every: int):
     p = plan.value
-    groups = np.flatnonzero(p.asked)
 
     def rows(batch, task, kind, at):
         for b in range(0, len(at), 8192):
@@ -170,20 +175,20 @@ def _replicate_task(plan):
                                    batch.column(0).take(where), batch.column(1).take(where)], names=["task", "kind", "id", "v"])
 
     def fn(batch):
-        ids, sc, sd = (batch.column(i).to_numpy() for i in (0, 2, 3))
+        ids, cell, norm = (batch.column(i).to_numpy() for i in (0, 2, 4))
+        x = _matrix(batch.column(1), dim).astype(np.float64)
         for a in range(0, len(ids), 500):
             part = slice(a, a + 500)
-            needed = (sd[part] >= p.low[groups][:, sc[part]]) & (sd[part] <= p.high[groups][:, sc[part]])
-            g, r = np.nonzero(needed)
-            g, r = groups[g], r + a
+            g, r = p.needed(x[part], cell[part], norm[part])
+            r = r + a
             chunk = _spread(ids[r], 1) % p.chunks[g]
             times = p.blocks[g]
             block = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
             task = np.repeat(p.first[g] + chunk, times) + block * np.repeat(p.chunks[g], times)
             yield from rows(batch, task, 1, np.repeat(r, times))
-        r = np.flatnonzero(batch.column(4).is_valid().to_numpy(zero_copy_only=False))
+        r = np.flatnonzero(ids % every == 0)
         if len(r):
-            g = batch.column(4).drop_null().to_numpy()
+            g = cell[r]
             block = _spread(ids[r], 2) % p.blocks[g]
             times = p.chunks[g]
             chunk = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
@@ -219,7 +224,7 @@ def _solve_task(dim: int, k: int):
         if most < 2 ** 53:
             score = qf @ x.T.astype(np.float64)
         else:
-            score = q[1].astype(object) @ x.T.astype(object)
+            score = np.clip(q[1].astype(object) @ x.T.astype(object), -LONG_MAX, LONG_MAX)
             if not big:
                 big, top_score = True, top_score.astype(object)
         own = q[0][:, None] == ids[None]
@@ -262,28 +267,34 @@ def _solve_task(dim: int, k: int):
     return fn
 
 
-def _search(vectors: DataFrame, dim: int, k: int, every: int) -> DataFrame:
+def _plan(vectors: DataFrame, dim: int, k: int, every: int) -> tuple[DataFrame, Plan]:
+    """(vectors with their cells, what each group needs)."""
     spark = vectors.sparkSession
-    totals = vectors.agg(F.max("norm2").alias("m"), F.sum((F.col("id") % every == 0).cast("long")).alias("q")).first()
-    top2 = float(totals["m"] or 0.0)
-    n = int(min(MAX_PIVOTS, max(MIN_PIVOTS, -(-(totals["q"] or 0) // QUERIES_PER_GROUP))))
+    asks = F.col("id") % every == 0
+    n = int(min(MAX_PIVOTS, max(MIN_PIVOTS, -(-vectors.where(asks).count() // QUERIES_PER_GROUP))))
     chosen = vectors.select("id", "v").orderBy(F.xxhash64("id", F.lit("pivot")), "id").limit(n).collect()
-    points = np.array([list(r["v"]) for r in chosen], np.float64).reshape(len(chosen), dim)
-    points = np.unique(np.column_stack([points, np.sqrt(np.maximum(0.0, top2 - (points ** 2).sum(1)))]), axis=0)
+    points = np.unique(np.array([list(r["v"]) for r in chosen], np.float64).reshape(len(chosen), dim), axis=0)
     pivots = spark.sparkContext.broadcast(points)  # at most MAX_PIVOTS vectors
-    cells = T.store(T.map_arrow(vectors.select("id", "v"), lambda: _assign_task(pivots, dim, top2, every),
-                                "id long, v array<long>, sc int, sd double, qc int, qd double"), "cells")
-    parts = T.store(T.map_arrow(cells.select("sc", "sd", "qc", "qd", "id"), lambda: _summary_task(len(points), k),
-                                "cell int, small array<double>, small_id array<long>, n long, asked long, radius double"), "parts")
-    near = (parts.select("cell", F.explode(F.arrays_zip("small", "small_id")).alias("s"))
-            .groupBy("cell", F.col("s.small_id").alias("id")).agg(F.min("s.small").alias("d"))
-            .groupBy("cell").agg(F.slice(F.sort_array(F.collect_list(F.struct("d", "id"))), 1, k + 1).alias("near")))
-    summary = (parts.groupBy("cell").agg(F.sum("n").alias("n"), F.sum("asked").alias("asked"), F.max("radius").alias("radius"))
-               .join(near, "cell", "left").withColumn("near", F.coalesce("near", F.expr("cast(array() as array<struct<d:double,id:long>>)")))
-               .select("cell", F.col("near.d").alias("small"), F.col("near.id").alias("ids"), "n", "asked", "radius").collect())
-    ids = {r["cell"]: r["ids"] for r in summary}
-    plan = spark.sparkContext.broadcast(Plan(points, summary, k, top2 ** 0.5, ids))  # pivots squared
-    spread = T.map_arrow(cells, lambda: _replicate_task(plan), "task long, kind int, id long, v array<long>")
+    cells = T.store(T.map_arrow(vectors, lambda: _assign_task(pivots, dim), "id long, v array<long>, cell int, d double, norm double"),
+                    "cells")
+    groups = cells.where(asks).groupBy("cell").agg(F.count(F.lit(1)).alias("asked"), F.max("d").alias("radius"),
+                                                   F.max("norm").alias("norm")).collect()
+    counts = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("d").alias("radius"), F.max("norm").alias("norm")).collect()
+    wide = np.zeros(len(points))
+    for g in groups:
+        wide[g["cell"]] = g["radius"]
+    radius = spark.sparkContext.broadcast(wide)
+    best = (T.map_arrow(cells, lambda: _sample_task(pivots, radius, dim, k), "cell int, id long, low double, v array<long>")
+            .groupBy("cell", "id").agg(F.max(F.struct("low", "v")).alias("b")))
+    place = F.row_number().over(Window.partitionBy("cell").orderBy(F.desc("b.low"), "id"))
+    sample = best.withColumn("place", place).where(F.col("place") <= k + 1).select("id", "b.v").collect()  # k + 1 a pivot
+    return cells, Plan(points, groups, counts, sample, k)
+
+
+def _search(vectors: DataFrame, dim: int, k: int, every: int) -> DataFrame:
+    cells, needs = _plan(vectors, dim, k, every)
+    plan = vectors.sparkSession.sparkContext.broadcast(needs)  # pivots squared
+    spread = T.map_arrow(cells, lambda: _replicate_task(plan, dim, every), "task long, kind int, id long, v array<long>")
     solved = T.map_arrow(spread.repartition("task").sortWithinPartitions("task", "kind", "id", "v"), lambda: _solve_task(dim, k),
                          "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
@@ -300,3 +311,22 @@ def top_k(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k:
     if out is None:
         return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     return out
+
+
+def replicas(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k: int = K, every: int = QUERY_EVERY) -> list[tuple]:
+    """For each vector length: (length, query groups, vectors, vectors sent to groups)."""
+    vectors = T.store(integer_vectors(df, id_col, vec_col), "vectors")
+    out = []
+    for r in vectors.groupBy(F.size("v").alias("dim")).count().orderBy("dim").collect():
+        cells, needs = _plan(vectors.where(F.size("v") == r["dim"]), r["dim"], k, every)
+        plan, dim = df.sparkSession.sparkContext.broadcast(needs), r["dim"]
+
+        def make(plan=plan, dim=dim):
+            def fn(batch):
+                x, cell, norm = _matrix(batch.column(1), dim).astype(np.float64), batch.column(2).to_numpy(), batch.column(4).to_numpy()
+                sent = sum(len(plan.value.needed(x[a:a + 500], cell[a:a + 500], norm[a:a + 500])[1]) for a in range(0, len(x), 500))
+                yield pa.record_batch([pa.array([sent])], names=["sent"])
+            return fn
+        sent = T.map_arrow(cells, make, "sent long").agg(F.sum("sent")).first()[0]
+        out.append((dim, int((needs.asked > 0).sum()), r["count"], sent or 0))
+    return out
