@@ -87,14 +87,18 @@ def test_ngram_probabilities_and_generation(spark):
 
 
 def _literal_decode(counts, ids, order, n):
-    """Greedy completion step by step from (ctx, next) counts."""
+    """Greedy completion step by step from (ctx, next) counts: the longest end
+    of the tokens so far that any counted context ends with decides."""
     ids = list(ids) or [1]
-    rest = {}
-    for (_, nx), c in counts.items():
-        rest[nx] = rest.get(nx, 0) + c
     for _ in range(n):
-        ctx = " ".join(map(str, ids[max(0, len(ids) - (order - 1)):]))
-        own = {nx: c for (k, nx), c in counts.items() if k == ctx and nx > 1} or {k: c for k, c in rest.items() if k > 1}
+        for length in range(min(order - 1, len(ids)), -1, -1):
+            end, own = ids[len(ids) - length:], {}
+            for (ctx, nx), c in counts.items():
+                known = [int(t) for t in ctx.split()]
+                if nx > 1 and length <= len(known) and known[len(known) - length:] == end:
+                    own[nx] = own.get(nx, 0) + c
+            if own:
+                break
         nx = min(own, key=lambda k: (-own[k], k))
         if nx == 2:
             break
