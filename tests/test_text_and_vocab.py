@@ -136,3 +136,24 @@ def test_scripts_leave_fewer_unknown_characters(spark):
     before = oov_report(mixed, "text").count()
     after = oov_report(mixed.withColumn("text", TX.transliterate(F.col("text"), "keep")), "text")
     assert before > 15 and sorted(r["token"] for r in after.collect()) == ["京", "東"]
+
+
+def test_clean_collapse_and_rewriting_follow_the_rules_on_random_texts():
+    import random
+    import re
+
+    from tokenmill.operators.bpe_kernel import Rewriter, tokenize_run
+    rnd = random.Random(3)
+    for _ in range(200):
+        stoi = {c: i for i, c in enumerate("abc")}
+        known = list("abc")
+        for i in rnd.sample(range(3, 40), 12):  # ids in no order of length
+            made = rnd.choice(known) + rnd.choice(known)
+            if made not in stoi:
+                stoi[made] = i
+                known.append(made)
+        r = Rewriter(stoi)
+        for _ in range(20):
+            text = "".join(rnd.choice("aabbc  é") for _ in range(rnd.randrange(40)))
+            want = [t for run in re.findall(r"\s|\S+", text) for t in tokenize_run(run, stoi)]
+            assert [r.token.get(ord(c), c) for c in r.rewrite(text)] == want

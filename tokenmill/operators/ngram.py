@@ -5,8 +5,8 @@ draw, M4 batch completion, M5 held-out loss with the upstream aggregation
 (A7) and the scaled train batch loss (A8).  Same operator surface as the
 upstream model's data path, not the same predictions.
 
-Scale notes: transition counts are partially aggregated before the shuffle
-(the PAD->PAD pair is the hottest key by far); a context's distribution is
+Scale notes: transitions are counted in the tasks before the shuffle (the
+PAD->PAD pair is the hottest key by far); a context's distribution is
 bounded by the vocabulary, so per-context windows stay small; the model is
 a table (one row a context for decoding) that rows reach through equi-joins,
 whose strategy Spark picks from its size.
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tokenmill.functions import arrays as A
 from tokenmill.functions.vocab import EOS_ID, PAD_ID, SOS_ID
+from tokenmill.operators.arrow_ids import gram_counts
 from tokenmill.session import cut_lineage, materialize
 
 EXCLUDED = (SOS_ID, PAD_ID)  # never generated (upstream zeroes them)
@@ -36,17 +37,10 @@ def _ctx_key(seq: Column, t: Column, order: int) -> Column:
 def transitions(framed: DataFrame, order: int = 2, col: str = "encoded",
                 include_pad_targets: bool = True) -> DataFrame:
     """M1: counts of (context, next) over the (x, y) pairs of framed sequences."""
-    x, y = A.shift_inputs(F.col(col)), A.shift_targets(F.col(col))
-    if order == 2:
-        ex = framed.select(F.explode(F.arrays_zip(x.alias("x"), y.alias("y"))).alias("p")).select(
-            F.col("p.x").cast("string").alias("ctx"), F.col("p.y").alias("next"))
-    else:
-        ex = framed.select(x.alias("x"), y.alias("y")).select(
-            "x", F.posexplode("y").alias("t", "next")).select(
-            _ctx_key(F.col("x"), F.col("t"), order).alias("ctx"), "next")
+    ex = gram_counts(framed, col, order)  # counted in the tasks
     if not include_pad_targets:
         ex = ex.where(F.col("next") != PAD_ID)
-    return ex.groupBy("ctx", "next").agg(F.count(F.lit(1)).alias("c"))
+    return ex.groupBy("ctx", "next").agg(F.sum("c").alias("c"))
 
 
 def _suffixes(ctx: Column) -> Column:
@@ -76,15 +70,23 @@ def longest_known(contexts: DataFrame, known: DataFrame) -> DataFrame:
 def backoff_losses(framed: DataFrame, counts: DataFrame, vocab_size: int, order: int, k: float = 1.0, col: str = "encoded") -> DataFrame:
     """M5 with back-off: as :func:`sequence_losses`, each position under the
     add-k distribution of its longest context that the training text holds."""
-    x, y = A.shift_inputs(F.col(col)), A.shift_targets(F.col(col))
-    pos = (framed.select("doc_id", x.alias("x"), F.posexplode(y).alias("t", "next"))
-           .select("doc_id", _ctx_key(F.col("x"), F.col("t"), order).alias("ctx"), "next"))
-    pos = materialize(pos.groupBy("doc_id", "ctx", "next").agg(F.count(F.lit(1)).alias("times")), "positions")
+    pairs = transitions(framed, order, col).select("ctx", "next")
     known = counts.groupBy(F.col("ctx").alias("used")).agg(F.sum("c").alias("n_ctx"))
-    j = (pos.join(longest_known(pos, known), "ctx", "left").withColumn("used", F.coalesce("used", F.lit("")))
-         .join(counts.withColumnRenamed("ctx", "used"), ["used", "next"], "left"))
+    scores = (pairs.join(longest_known(pairs, known), "ctx", "left").withColumn("used", F.coalesce("used", F.lit("")))
+              .join(counts.withColumnRenamed("ctx", "used"), ["used", "next"], "left"))
+    return _summed(framed, col, order, scores, vocab_size, k)
+
+
+def _summed(framed: DataFrame, col: str, order: int, scores: DataFrame, vocab_size: int, k: float) -> DataFrame:
+    """Each sequence's summed loss and number of positions.  ``scores`` holds
+    every different (ctx, next) of ``framed`` once, with its counts, so one
+    join scores the positions, which are counted within their row: nothing of
+    the sequences is exchanged but a partial sum."""
     lp = F.log((F.coalesce("c", F.lit(0)) + k) / (F.coalesce("n_ctx", F.lit(0)) + k * vocab_size))
-    return j.groupBy("doc_id").agg((-F.sum(F.col("times") * lp)).alias("nll"), F.sum("times").alias("n_pos"))
+    scores = materialize(scores.select("ctx", "next", lp.alias("lp")), "scores")
+    j = gram_counts(framed, col, order, key="doc_id").join(scores, ["ctx", "next"], "left")
+    unseen = F.log(F.lit(float(k)) / (k * vocab_size))  # a null id meets no score
+    return j.groupBy("doc_id").agg((-F.sum(F.col("c") * F.coalesce("lp", unseen))).alias("nll"), F.sum("c").alias("n_pos"))
 
 
 def next_token_probs(trans: DataFrame, excluded=EXCLUDED) -> DataFrame:
@@ -243,17 +245,9 @@ def sequence_losses(framed: DataFrame, model_trans: DataFrame, vocab_size: int,
     (PAD targets included, as upstream) under add-k smoothing over the full
     vocabulary, and the number of positions."""
     _one_order(model_trans)
-    x, y = A.shift_inputs(F.col(col)), A.shift_targets(F.col(col))
-    pos = framed.select("doc_id", F.explode(F.arrays_zip(x.alias("x"), y.alias("y"))).alias("p")).select(
-        "doc_id", F.col("p.x").cast("string").alias("ctx"), F.col("p.y").alias("next"))
-    # Counted by (document, ctx, next) before the join: PAD->PAD is one row a
-    # document, and the counting is combined map-side.
-    pos = pos.groupBy("doc_id", "ctx", "next").agg(F.count(F.lit(1)).alias("times"))
-    ctx_tot = model_trans.groupBy("ctx").agg(F.sum("c").alias("n_ctx"))
-    j = (pos.join(model_trans, ["ctx", "next"], "left").join(ctx_tot, "ctx", "left")
-         .withColumn("lp", F.log((F.coalesce("c", F.lit(0)) + k) /
-                                 (F.coalesce("n_ctx", F.lit(0)) + k * vocab_size))))
-    return j.groupBy("doc_id").agg((-F.sum(F.col("times") * F.col("lp"))).alias("nll"), F.sum("times").alias("n_pos"))
+    totals = model_trans.groupBy("ctx").agg(F.sum("c").alias("n_ctx"))
+    pairs = transitions(framed, col=col).select("ctx", "next")
+    return _summed(framed, col, 2, pairs.join(model_trans, ["ctx", "next"], "left").join(totals, "ctx", "left"), vocab_size, k)
 
 
 def loss_report(seq_losses: DataFrame, batches: DataFrame, n_acc: int) -> tuple[DataFrame, DataFrame]:
