@@ -31,3 +31,21 @@ def test_length_filter_runs_after_encoding(spark):
     opt = S.length_filter(enc, 5)._jdf.queryExecution().optimizedPlan().toString()
     filter_lines = [ln for ln in opt.splitlines() if "Filter" in ln]
     assert filter_lines and all("transform" not in ln for ln in filter_lines)
+
+
+def test_joins_carry_a_row_for_each_different_token(spark):
+    """A join encoder's rows follow a document's different tokens, not its length."""
+    from tokenmill.operators.arrow_ids import places
+    df = spark.createDataFrame([(1, [5, 7, 5, 5]), (2, []), (3, None)], "doc_id long, ids array<int>")
+    rows = {(r["doc_id"], r["id"], None if r["at"] is None else tuple(r["at"])) for r in places(df, "ids", "id", "int").collect()}
+    assert rows == {(1, 5, (0, 2, 3)), (1, 7, (1,)), (2, None, ()), (3, None, None)}
+    tok = BPETokenizer(2).fit(docs_df(spark, ["ab ab ab"]))
+    plan = _plan(tok.encode_by_join(docs_df(spark, ["ab ba"])))
+    assert "posexplode" not in plan
+
+
+def test_losses_exchange_no_positions(spark):
+    from tokenmill.operators import ngram as M
+    df = spark.createDataFrame([(1, [1, 5, 7, 2]), (2, [1, 5, 2, 0])], "doc_id long, encoded array<int>")
+    plan = _plan(M.sequence_losses(df, M.transitions(df), 10))
+    assert "keys=[doc_id" in plan and "keys=[doc_id" not in plan.split("MapInArrow")[-1] and "explode" not in plan
