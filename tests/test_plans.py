@@ -49,3 +49,30 @@ def test_losses_exchange_no_positions(spark):
     df = spark.createDataFrame([(1, [1, 5, 7, 2]), (2, [1, 5, 2, 0])], "doc_id long, encoded array<int>")
     plan = _plan(M.sequence_losses(df, M.transitions(df), 10))
     assert "keys=[doc_id" in plan and "keys=[doc_id" not in plan.split("MapInArrow")[-1] and "explode" not in plan
+
+
+def test_spread_follows_the_rows(spark, tmp_path):
+    """One row group in many splits is read by one task, whatever the number of splits."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+    from tokenmill.sources.tables import spread
+    rows = {"doc_id": list(range(4000)), "text": [f"text {i * 7919}" for i in range(4000)]}
+    keys = {"spark.sql.files.maxPartitionBytes": "2048", "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in keys}
+    filled = lambda df: df.select(F.spark_partition_id()).distinct().count()
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        pq.write_table(pa.table(rows), tmp_path / "one.parquet")
+        pq.write_table(pa.table(rows), tmp_path / "even.parquet", row_group_size=125)
+        one = spark.read.parquet(str(tmp_path / "one.parquet"))
+        target = spark.sparkContext.defaultParallelism
+        assert one.rdd.getNumPartitions() >= target and filled(one) == 1
+        assert filled(spread(one, "doc_id")) >= target
+        assert sorted(r["doc_id"] for r in spread(one, "doc_id").collect()) == rows["doc_id"]
+        even = spark.read.parquet(str(tmp_path / "even.parquet"))
+        assert spread(even, "doc_id") is even
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
