@@ -76,3 +76,20 @@ def test_spread_follows_the_rows(spark, tmp_path):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_corpus_is_encoded_once(spark):
+    """Split, counts and both kinds of the framed filter read stored ids."""
+    from tokenmill.plans import queries as Q
+    for name in ("transitions", "framed_filter"):
+        plan = Q.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "ArrowEvalPython" not in plan, name
+
+
+def test_reference_cleaning_deletes_what_the_pattern_does(spark):
+    from pyspark.sql import functions as F
+    from tokenmill.functions import text as TX
+    texts = ["".join(map(chr, range(0x300))), "".join(map(chr, range(0x2000, 0x2070))), "a　 b\\\\c\x85\x1c d", "", None, "Привет мир\n\\"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    rows = df.select(TX.clean_text(F.col("text")).alias("x"), F.regexp_replace(TX.transliterate(F.col("text")), f"[{TX.WS_CLASS}\\\\]+", "").alias("y")).collect()
+    assert [r["x"] for r in rows] == [r["y"] for r in rows]
