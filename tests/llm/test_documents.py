@@ -439,3 +439,36 @@ def test_shards_stay_equal_when_ids_repeat(spark, monkeypatch):
         slots[r.shard].add(r.slot)
     assert len(sums) == 24 and max(sums.values()) - min(sums.values()) <= 200
     assert all(slots[s] == set(range(sums[s] // 100)) for s in slots)
+
+
+def test_pairs_near_the_threshold_are_ruled_out_by_their_sketches(spark, monkeypatch):
+    """A group of near copies that mostly do not link: few of its pairs are verified."""
+    r = random.Random(5)
+    base = [f"w{r.randrange(4000)}" for _ in range(110)]
+    texts = []
+    for _ in range(150):
+        w = list(base)
+        for _ in range(r.choice((2, 2, 3))):
+            w[r.randrange(len(w))] = f"w{r.randrange(4000)}"
+        texts.append(" ".join(w))
+    pairs, store = [], jaccard_join.T.store
+
+    def counted(df, name):
+        out = store(df, name)
+        if name == "rest-pairs":
+            pairs.append(out.count())
+        return out
+    monkeypatch.setattr(jaccard_join.T, "store", counted)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x["doc_id"]: x["component_id"] for x in jaccard_join.near_duplicates(df).collect()}
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    links = [(a, b) for a in range(150) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    root = list(range(150))
+    for _ in range(150):
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+    assert got == dict(enumerate(root))
+    assert sum(pairs) < 500, pairs
+    x, y = (np.unique(np.random.default_rng(k).integers(0, 2 ** 63, 300).astype(np.uint64)) for k in (1, 2))
+    apart = sum((int(a) ^ int(b) & (1 << 64) - 1).bit_count() for a, b in zip(jaccard_join.parities(x).view(np.uint64), jaccard_join.parities(y).view(np.uint64)))
+    assert 0 < apart <= len(np.setxor1d(x, y))

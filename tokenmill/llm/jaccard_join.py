@@ -34,7 +34,9 @@ member, its center; the members of all buckets of a center are its cluster.
   different components, and then the rarest tokens of both (n - o + 1 of n,
   for an intersection of o) share one.  Members of clusters that hold several
   components meet by such a token, those of the token's largest component
-  only the others, and the pairs found are verified.  Large groups of near
+  only the others; a pair whose parity sketches (:func:`parities`) differ in
+  more bits than a link's sets may in tokens is ruled out where it meets, and
+  the other pairs found are verified.  Large groups of near
   copies thus pay for the tokens that tell their members apart, not for their
   pairs.
 
@@ -56,7 +58,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenmill.llm import tables as T
@@ -76,6 +78,8 @@ OWNER_ENTRIES = 400_000
 MAX_SEEDS = 16
 #: Parts that the members of one center are dealt to.
 CENTER_SALTS = 16
+#: Longs of a set's parity sketch.
+SKETCH_WORDS = 16
 _WEIGHT = random_words(SHINGLE, 5) | U64(1)
 
 
@@ -367,17 +371,34 @@ def _set_task(bloom, n_bits: int):
 
 
 def _rare_task(cost):
-    """(id, n, place, token): the n // 5 + 1 rarest tokens, by counter and hash."""
+    """(id, n, place, token, sketch): the n // 5 + 1 rarest tokens, by counter
+    and hash, the first with the set's parity sketch."""
     def fn(batch):
         for id_, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             s = np.frombuffer(raw, U64)
             top = s[np.lexsort((s, cost.value[_cell(s)]))[:len(s) // 5 + 1]]
             full = np.full(len(top), id_, np.int64), np.full(len(top), len(s), np.int64)
+            sketch = [parities(s).tolist(), *[None] * (len(top) - 1)][:len(top)]
             yield pa.record_batch([pa.array(full[0]), pa.array(full[1]), pa.array(np.arange(1, len(top) + 1)),
-                                   pa.array(top.view(np.int64))], names=["id", "n", "place", "token"])
+                                   pa.array(top.view(np.int64)), pa.array(sketch, pa.list_(pa.int64()))],
+                                  names=["id", "n", "place", "token", "sketch"])
     return fn
 
 
+def parities(s: np.ndarray) -> np.ndarray:
+    """Whether each of ``SKETCH_WORDS`` * 64 cells holds an odd number of the
+    set's tokens.  A token in one of two sets turns one bit, so sketches differ
+    in no more bits than the sets in tokens."""
+    bits = np.bincount((mix(s + U64(9)) & U64(64 * SKETCH_WORDS - 1)).astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
+def _may_link(sketch: str, other: str, n: str, n2: str) -> Column:
+    """Whether the sketches leave the (n + n2) / 9 differing tokens a link may have."""
+    apart = sum((F.bit_count(F.col(sketch)[k].bitwiseXOR(F.col(other)[k])) for k in range(SKETCH_WORDS)), F.lit(0))
+    return 9 * apart <= F.col(n) + F.col(n2)
+
+
 _PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -488,18 +509,20 @@ class Join:
         at = at.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(CENTER_SALTS)).cast("int"))
         at = T.store(at.join(major, ["center", "salt"]).groupBy("rep").agg(F.max("label").alias("label")), "open-members")
         rare = T.map_arrow(sets.join(at.select(F.col("rep").alias("id")), "id", "left_semi"),
-                           lambda: _rare_task(shared), "id long, n long, place long, token long")
+                           lambda: _rare_task(shared), "id long, n long, place long, token long, sketch array<long>")
         rare = T.store(at.join(rare.withColumnRenamed("id", "rep"), "rep"), "rare-tokens")
         most = (rare.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k"))
                 .groupBy("token").agg(F.max(F.struct("k", "label")).alias("m"), F.count(F.lit(1)).alias("labels"))
                 .where("labels > 1").select("token", F.col("m.label").alias("most")))
-        rare = T.store(rare.join(most, "token"), "shared-tokens")
+        sketches = rare.where("place = 1").select("rep", "sketch").distinct()
+        rare = T.store(rare.drop("sketch").join(most, "token").join(sketches, "rep"), "shared-tokens")
         few = rare.where("label <> most").select("token", F.col("rep").alias("r2"), F.col("n").alias("n2"),
-                                                 F.col("place").alias("p2"), F.col("label").alias("l2"))
+                                                 F.col("place").alias("p2"), F.col("label").alias("l2"), F.col("sketch").alias("s2"))
         both = F.ceil((F.col("n") + F.col("n2")) * 4 / F.lit(9.0) - 1e-9)  # the intersection that a link needs
         rest = (rare.join(few, "token")
                 .where((F.col("label") != F.col("l2")) & _sizes_fit("n", "n2")
-                       & (F.col("place") <= F.col("n") - both + 1) & (F.col("p2") <= F.col("n2") - both + 1))
+                       & (F.col("place") <= F.col("n") - both + 1) & (F.col("p2") <= F.col("n2") - both + 1)
+                       & _may_link("sketch", "s2", "n", "n2"))
                 .select(F.least("rep", "r2").alias("a"), F.greatest("rep", "r2").alias("b")).distinct()
                 .join(star, ["a", "b"], "left_anti"))
         rest = T.store(rest, "rest-pairs")
