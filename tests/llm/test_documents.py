@@ -472,3 +472,56 @@ def test_pairs_near_the_threshold_are_ruled_out_by_their_sketches(spark, monkeyp
     x, y = (np.unique(np.random.default_rng(k).integers(0, 2 ** 63, 300).astype(np.uint64)) for k in (1, 2))
     apart = sum((int(a) ^ int(b) & (1 << 64) - 1).bit_count() for a, b in zip(jaccard_join.parities(x).view(np.uint64), jaccard_join.parities(y).view(np.uint64)))
     assert 0 < apart <= len(np.setxor1d(x, y))
+
+
+def test_groups_of_links_meet_their_hub(spark, monkeypatch):
+    """Near copies that nearly all link, but not with the first of them: pairs grow with the members, not with the links."""
+    r = random.Random(8)
+    base = [f"w{k}" for k in range(150)]
+    texts = []
+    for k in range(700):
+        w = list(base)
+        for at in r.sample(range(len(w)), 5 if k < 300 else r.choice((1, 2, 2, 3))):
+            w[at] = f"x{r.randrange(300)}"
+        texts.append(" ".join(w))
+    pairs, store = {}, jaccard_join.T.store
+
+    def counted(df, name):
+        out = store(df, name)
+        if name in ("hub-pairs", "rest-pairs"):
+            pairs[name] = pairs.get(name, 0) + out.count()
+        return out
+    monkeypatch.setattr(jaccard_join.T, "store", counted)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x["doc_id"]: x["component_id"] for x in jaccard_join.near_duplicates(df).collect()}
+    shingles = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    root = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if root[a] != root[b] and 100 * len(shingles[a] & shingles[b]) >= 80 * len(shingles[a] | shingles[b]):
+                low, high = sorted((root[a], root[b]))
+                root = [low if x == high else x for x in root]
+    assert got == dict(enumerate(root)) and len(set(root)) < 500
+    assert sum(pairs.values()) < 3 * len(texts), pairs
+
+
+def test_components_of_chains_stars_and_random_links(spark):
+    from tokenmill.llm.components import components, extend
+    r = random.Random(4)
+    order = r.sample(range(1000, 1300), 300)
+    links = [(k, k + 1) for k in range(200)] + list(zip(order, order[1:])) + [(5000, 4000 + k) for k in range(50)] + [(7, 7), (3, 2), (2, 3)]
+    links += [(r.randrange(6000, 6400), r.randrange(6000, 6400)) for _ in range(220)]
+
+    def plain(links):
+        root = {x: x for p in links if p[0] != p[1] for x in p}
+        for a, b in links:
+            if a != b and root[a] != root[b]:
+                low, high = sorted((root[a], root[b]))
+                root = {x: low if y == high else y for x, y in root.items()}
+        return root
+    table = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    labels = components(table(links))
+    assert {x.node: x.label for x in labels.collect()} == plain(links) and components(table([])).count() == 0
+    more = [(150, 1100), (9000, 9001), (9001, 4010), (6001, 6002), (1, 2)]
+    got = extend(labels, table(more)).collect()
+    assert {x.node: x.label for x in got} == plain(links + more) and len(got) == len({x.node for x in got})

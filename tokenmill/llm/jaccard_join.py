@@ -30,6 +30,12 @@ member, its center; the members of all buckets of a center are its cluster.
 
 * Stars: a center is verified against the members it shares two buckets or
   more with; similar ones are merged to components.
+* Hubs: of a cluster with ``HUB_MEMBERS`` or more in several components, the
+  member nearest to the bits that most members' parity sketches have is its
+  hub.  Each component is verified at the member next to a hub, so that a
+  group around one text becomes one component for a pair a member; further
+  rounds take hubs from those outside the largest component, until a round
+  connects few.
 * Rest: two members of a cluster can still be similar only if they lie in
   different components, and then the rarest tokens of both (n - o + 1 of n,
   for an intersection of o) share one.  Members of clusters that hold several
@@ -63,7 +69,7 @@ from pyspark.sql import functions as F
 
 from tokenmill.llm import tables as T
 from tokenmill.llm.bytehash import U64, mix, random_words, text_runs, words
-from tokenmill.llm.components import components
+from tokenmill.llm.components import components, extend
 
 SHINGLE = 5
 CELL_BITS = 21
@@ -80,6 +86,8 @@ MAX_SEEDS = 16
 CENTER_SALTS = 16
 #: Longs of a set's parity sketch.
 SKETCH_WORDS = 16
+#: Members from which on a cluster has a hub.
+HUB_MEMBERS = 32
 _WEIGHT = random_words(SHINGLE, 5) | U64(1)
 
 
@@ -371,17 +379,14 @@ def _set_task(bloom, n_bits: int):
 
 
 def _rare_task(cost):
-    """(id, n, place, token, sketch): the n // 5 + 1 rarest tokens, by counter
-    and hash, the first with the set's parity sketch."""
+    """(id, n, place, token): the n // 5 + 1 rarest tokens, by counter and hash."""
     def fn(batch):
         for id_, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             s = np.frombuffer(raw, U64)
             top = s[np.lexsort((s, cost.value[_cell(s)]))[:len(s) // 5 + 1]]
             full = np.full(len(top), id_, np.int64), np.full(len(top), len(s), np.int64)
-            sketch = [parities(s).tolist(), *[None] * (len(top) - 1)][:len(top)]
             yield pa.record_batch([pa.array(full[0]), pa.array(full[1]), pa.array(np.arange(1, len(top) + 1)),
-                                   pa.array(top.view(np.int64)), pa.array(sketch, pa.list_(pa.int64()))],
-                                  names=["id", "n", "place", "token", "sketch"])
+                                   pa.array(top.view(np.int64))], names=["id", "n", "place", "token"])
     return fn
 
 
@@ -393,10 +398,71 @@ def parities(s: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
+def _sketch_task():
+    def fn(batch):
+        found = [parities(np.frombuffer(raw, U64)).tolist() for raw in batch.column(1).to_pylist()]
+        yield pa.record_batch([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["id", "sketch"])
+    return fn
+
+
+def _apart(sketch: str, other: str) -> Column:
+    """Bits in which two sketches differ."""
+    return sum((F.bit_count(F.col(sketch)[k].bitwiseXOR(F.col(other)[k])) for k in range(SKETCH_WORDS)), F.lit(0))
+
+
 def _may_link(sketch: str, other: str, n: str, n2: str) -> Column:
     """Whether the sketches leave the (n + n2) / 9 differing tokens a link may have."""
-    apart = sum((F.bit_count(F.col(sketch)[k].bitwiseXOR(F.col(other)[k])) for k in range(SKETCH_WORDS)), F.lit(0))
-    return 9 * apart <= F.col(n) + F.col(n2)
+    return 9 * _apart(sketch, other) <= F.col(n) + F.col(n2)
+
+
+def _vote_task(last: bool):
+    """Sums the sketches (of a first run: the votes) of each center, which come
+    sorted: sets and, for each bit, sets that have it; in the last run the
+    sketch of the bits that most sets have."""
+    at, total = None, np.zeros(64 * SKETCH_WORDS + 1, np.int64)
+
+    def flush():
+        if at is not None and last:
+            most = np.packbits((2 * total[1:] > total[0]).astype(np.uint8)).view(np.int64).tolist()
+            yield pa.record_batch([pa.array([at]), pa.array([most], pa.list_(pa.int64()))], names=["center", "heart"])
+        elif at is not None:
+            yield pa.record_batch([pa.array([at]), pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())], names=["center", "votes"])
+
+    def fn(batch):
+        nonlocal at
+        for center, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if center != at:
+                yield from flush()
+                at = center
+                total[:] = 0
+            if last:
+                total[:] += np.frombuffer(zlib.decompress(x), np.int64)
+            else:
+                total[0] += 1
+                total[1:] += np.unpackbits(np.array(x, np.int64).view(np.uint8))
+
+    fn.end = flush
+    return fn
+
+
+def _hub_pairs(members: DataFrame, among: DataFrame) -> DataFrame:
+    """(a, b): for each component among ``members`` (center, salt, rep, n,
+    label, sketch) its member next to the hub of one of its centers.  A
+    center's hub is the one of ``among`` next to the bits that most of them have."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(CENTER_SALTS - 1))).alias("salt")
+    votes = among.select("center", "sketch", "salt").repartition("center", "salt").sortWithinPartitions("center")
+    votes = T.map_arrow(votes.drop("salt"), lambda: _vote_task(False), "center long, votes binary")
+    hearts = T.map_arrow(votes.repartition("center").sortWithinPartitions("center"), lambda: _vote_task(True),
+                         "center long, heart array<long>")
+    hearts = T.store(hearts, "hearts").select("center", "heart", salts)
+    hubs = (among.join(hearts, ["center", "salt"])
+            .groupBy("center").agg(F.min(F.struct(_apart("sketch", "heart").alias("apart"), "rep", "n", "label", "sketch")).alias("h")))
+    hubs = T.store(hubs, "hubs").select("center", F.col("h.rep").alias("r2"), F.col("h.n").alias("n2"), F.col("h.label").alias("l2"),
+                                        F.col("h.sketch").alias("s2"), salts)
+    near = (members.join(hubs, ["center", "salt"])
+            .where((F.col("label") != F.col("l2")) & _sizes_fit("n", "n2") & _may_link("sketch", "s2", "n", "n2"))
+            .groupBy("label").agg(F.min(F.struct(_apart("sketch", "s2").alias("apart"), "rep", "r2")).alias("p")))
+    return near.select(F.least("p.rep", "p.r2").alias("a"), F.greatest("p.rep", "p.r2").alias("b")).distinct()
 
 
 _PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -497,25 +563,33 @@ class Join:
         star = T.store(star, "star-pairs")
         links = _verified(star, sets)
         labels = components(links)
+        at = self._open(clusters, labels)
+        sketches = T.map_arrow(sets.join(at.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"), _sketch_task,
+                               "id long, sketch array<long>")
+        sketches = T.store(sketches.withColumnRenamed("id", "rep").distinct(), "sketches")
+        # Members of crowded clusters meet their hubs, until that connects few.
+        others, more = "size", True
+        while more:
+            crowd = at.where(F.col(others) >= HUB_MEMBERS)
+            if crowd.isEmpty():
+                break
+            crowd = T.store(crowd.join(sketches, "rep"), "crowd")
+            near = T.store(_hub_pairs(crowd, crowd if others == "size" else crowd.where("label <> major")), "hub-pairs")
+            tried, second = near.count(), _verified(near, sets)
+            found = second.count()
+            if found:
+                links, labels = links.unionByName(second), extend(labels, second)
+                at = self._open(clusters, labels)
+            others, more = "outside", found >= max(HUB_MEMBERS, tried / 4)
         # What is left: members of one cluster in different components that share a rare token.
-        at = (clusters.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-              .select("center", "rep", F.coalesce("label", "rep").alias("label")))
-        at = T.store(at, "labelled-clusters")
-        major = (at.groupBy("center", "label").agg(F.count(F.lit(1)).alias("k"))
-                 .groupBy("center").agg(F.max(F.struct("k", "label")).alias("m"), F.count(F.lit(1)).alias("labels"))
-                 .where("labels > 1").select("center", F.col("m.label").alias("major"))
-                 .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(CENTER_SALTS - 1)))))
-        # A center of many near copies is a hot key: its members are dealt over the salts.
-        at = at.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(CENTER_SALTS)).cast("int"))
-        at = T.store(at.join(major, ["center", "salt"]).groupBy("rep").agg(F.max("label").alias("label")), "open-members")
+        at = T.store(at.groupBy("rep").agg(F.max("label").alias("label")), "open-members")
         rare = T.map_arrow(sets.join(at.select(F.col("rep").alias("id")), "id", "left_semi"),
-                           lambda: _rare_task(shared), "id long, n long, place long, token long, sketch array<long>")
+                           lambda: _rare_task(shared), "id long, n long, place long, token long")
         rare = T.store(at.join(rare.withColumnRenamed("id", "rep"), "rep"), "rare-tokens")
         most = (rare.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k"))
                 .groupBy("token").agg(F.max(F.struct("k", "label")).alias("m"), F.count(F.lit(1)).alias("labels"))
                 .where("labels > 1").select("token", F.col("m.label").alias("most")))
-        sketches = rare.where("place = 1").select("rep", "sketch").distinct()
-        rare = T.store(rare.drop("sketch").join(most, "token").join(sketches, "rep"), "shared-tokens")
+        rare = T.store(rare.join(most, "token").join(sketches, "rep"), "shared-tokens")
         few = rare.where("label <> most").select("token", F.col("rep").alias("r2"), F.col("n").alias("n2"),
                                                  F.col("place").alias("p2"), F.col("label").alias("l2"), F.col("sketch").alias("s2"))
         both = F.ceil((F.col("n") + F.col("n2")) * 4 / F.lit(9.0) - 1e-9)  # the intersection that a link needs
@@ -529,10 +603,24 @@ class Join:
         if not rest.isEmpty():
             second = _verified(rest, sets)
             if not second.isEmpty():
-                links = links.unionByName(second)
-                labels = components(links)
+                links, labels = links.unionByName(second), extend(labels, second)
         self.links, self.labels = links, labels
 
+    @staticmethod
+    def _open(clusters: DataFrame, labels: DataFrame) -> DataFrame:
+        """(center, salt, rep, n, label, major, size, outside) of clusters that hold several
+        components: the largest, all members and those not in the largest."""
+        at = (clusters.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+              .select("center", "rep", "n", F.coalesce("label", "rep").alias("label")))
+        at = T.store(at, "labelled-clusters")
+        major = (at.groupBy("center", "label").agg(F.count(F.lit(1)).alias("k"))
+                 .groupBy("center").agg(F.max(F.struct("k", "label")).alias("m"), F.count(F.lit(1)).alias("labels"), F.sum("k").alias("size"))
+                 .where("labels > 1").select("center", F.col("m.label").alias("major"), "size", (F.col("size") - F.col("m.k")).alias("outside"))
+                 .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(CENTER_SALTS - 1)))))
+        # A center of many near copies is a hot key: its members are dealt over the salts.
+        at = at.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(CENTER_SALTS)).cast("int"))
+        return T.store(at.join(major, ["center", "salt"]), "open-clusters")
+
     def report(self) -> DataFrame:
         """One row per input row: doc_id, n_shingles, component_id."""
         home = (self.classes.join(self.labels.withColumnRenamed("node", "rep"), "rep", "left")
