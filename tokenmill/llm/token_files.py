@@ -50,6 +50,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,7 +62,7 @@ END_ID = 2
 FILE_IDS, TASK_IDS = 1 << 18, 1 << 22
 #: Bits between two entries of a rank directory.
 RANK_BITS = 512
-MEMO_BYTES = 64 << 20
+MEMO_BYTES = 128 << 20
 MAGIC, VERSION = b"DACS", 1
 _HEAD = struct.Struct("<4sIQQI")
 _LEVEL = struct.Struct("<IQQQQ")
@@ -88,23 +89,26 @@ def widths(ids: np.ndarray, max_levels: int = 8) -> list[int]:
     return out if len(out) <= max_levels else [*out[:max_levels - 1], top - sum(out[:max_levels - 1])]
 
 
+def _room(width: int) -> int:
+    """Bytes of the number type that holds ``width`` bits."""
+    return next(n for n in (1, 2, 4, 8) if width <= 8 * n)
+
+
 def pack(values: np.ndarray, width: int) -> bytes:
     """``width`` bits of each value, lowest bit first."""
-    bits = np.empty((len(values), width), np.uint8)
-    for k in range(width):
-        bits[:, k] = (values >> k) & 1
-    return np.packbits(bits.ravel(), bitorder="little").tobytes()
+    n = _room(width)
+    bits = np.unpackbits(values.astype(f"<u{n}").view(np.uint8).reshape(len(values), n), axis=1, bitorder="little")
+    return np.packbits(bits[:, :width].ravel(), bitorder="little").tobytes()
 
 
 def unpack(data: memoryview, width: int, i: int, j: int) -> np.ndarray:
     """Values i to j of :func:`pack`; only their bytes are looked at."""
     low = i * width
     bits = np.unpackbits(np.frombuffer(data[low // 8:-(-j * width // 8)], np.uint8), bitorder="little")
-    bits = bits[low % 8:low % 8 + (j - i) * width].reshape(j - i, width)
-    out = np.zeros(j - i, np.int64)
-    for k in range(width):
-        out |= bits[:, k].astype(np.int64) << k
-    return out
+    n = _room(width)
+    out = np.zeros((j - i, 8 * n), np.uint8)
+    out[:, :width] = bits[low % 8:low % 8 + (j - i) * width].reshape(j - i, width)
+    return np.packbits(out, axis=1, bitorder="little").view(f"<u{n}").ravel().astype(np.int64)
 
 
 def build(docs: list[tuple[int | None, np.ndarray]]) -> bytes:
@@ -225,8 +229,50 @@ def words_apart(tokenizer: dict) -> bool:
             and not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in tokenizer.get("added_tokens", [])))
 
 
-#: A mark between a letter and a blank or the end: a token of its own.
-_MARK = re.compile(r"(?<=[a-z])([.,;:!?)])(?=[ \n]|\Z)")
+def letters_whole(tokenizer: dict) -> bool:
+    """Whether, of a tokenizer with :func:`words_apart`, a word of letters is
+    one piece, cut into bytes: the pattern's other parts start otherwise."""
+    steps = tokenizer["pre_tokenizer"].get("pretokenizers", [])
+    parts = steps[0]["pattern"]["Regex"].split("|") if steps else []
+    return (r"[\p{L}]+" in parts and all(x[:1] == "'" or x in (r"[\p{L}]+", r"[\p{N}]", r"[^\s\p{L}\p{N}]+") for x in parts)
+            and [x["type"] for x in steps[1:]] == ["ByteLevel"] and not steps[1].get("use_regex", True))
+
+
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_BLANK, _MARK = (np.isin(np.arange(256), list(x)) for x in (b" \n", b".,;:!?)%$#&*"))
+
+
+def split_words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(words, first): all texts' words, cut at blanks, A-Z lowered, and the
+    place of each text's first word, with the end.  Marks between a letter and
+    a blank or the end are a word.  A text that might spell a special token
+    once lowered is cut at blanks only."""
+    offs = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    raw = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offs[0]:offs[-1]]
+    offs = (offs - offs[0]).astype(np.int64)
+    data, n = _LOWER[raw], len(raw)
+    blank, mark = _BLANK[data], _MARK[data]
+    cut = np.zeros(n + 1, bool)
+    cut[1:] = blank
+    edge = np.zeros(n + 1, bool)
+    edge[offs] = True
+    # runs of marks, inside one text
+    run = np.flatnonzero(mark & (edge[:-1] | ~np.concatenate([[False], mark[:-1]])))
+    end = np.flatnonzero(mark & (edge[1:] | ~np.concatenate([mark[1:], [False]]))) + 1
+    before, lead = data[np.maximum(run - 1, 0)], data[np.maximum(run - 2, 0)]
+    letter = (before >= 97) & (before <= 122) | (lead == 0xC3) & (before >= 0x80) & (before != 0x97) & (before != 0xB7)
+    cut[run[letter & ~edge[run] & (edge[end] | np.append(blank, False)[end])]] = True
+    special = np.flatnonzero((raw[:-1] == 60) & (raw[1:] == 124))  # <|
+    for k in np.unique(np.searchsorted(offs, special, "right") - 1):
+        i, j = offs[k], offs[k + 1]
+        data[i:j], cut[i + 1:j] = raw[i:j], blank[i:j - 1]
+    kept = np.concatenate([[0], np.cumsum(~blank)])
+    at = np.flatnonzero(cut | edge)
+    at = at[:-1] if len(at) and at[-1] == n else at  # the end of all
+    bounds = np.append(kept[at], kept[-1]).astype(np.int32)
+    words = pa.Array.from_buffers(pa.string(), len(at), [None, pa.py_buffer(bounds), pa.py_buffer(data[~blank])])
+    return words, np.searchsorted(at, offs)
 
 
 class Encoder:
@@ -235,7 +281,7 @@ class Encoder:
     def __init__(self, path: str, end_id: int = END_ID, memo_bytes: int = MEMO_BYTES) -> None:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -244,6 +290,14 @@ class Encoder:
         self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         if suffix:
             self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
+        # words of composed letters: nothing to compose, replace or cut
+        self.by_letters, self.lower = self.tokenizer, str
+        if self.apart and letters_whole(spec):
+            self.by_letters = Tokenizer.from_file(path)
+            self.by_letters.normalizer = None
+            self.by_letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(False, use_regex=False)])
+            if "Lowercase" in str(spec.get("normalizer")):
+                self.lower = str.lower
         self.end = np.array([end_id], "<u4").tobytes()
         # two generations: words met since the last turn, and those of the turn before
         self.memo: dict[str, bytes] = {}
@@ -258,7 +312,8 @@ class Encoder:
         """Words of letters in one call: each ends with its one token that ends a word."""
         if not self.ends.any() or len(words) < 2:
             return self._whole(words)
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        text = " ".join(words)
+        ids = np.array(self.by_letters.encode_batch_fast([self.lower(text)], add_special_tokens=False)[0].ids, "<u4")
         cuts = np.flatnonzero(self.ends[ids]) + 1
         if len(cuts) != len(words):
             return self._whole(words)
@@ -269,7 +324,7 @@ class Encoder:
         found = {w: self.old[w] for w in words if w in self.old}
         letters, rest = [], []
         for w in words.difference(found):
-            (letters if w.isalpha() and (w.isascii() or max(w) < "\u0250") and len(w) < 100 else rest).append(w)
+            (letters if w.isalpha() and (w.isascii() or max(w) < "\u0250" and "\u0130" not in w) and len(w) < 100 else rest).append(w)
         for k in range(0, len(letters), 2000):
             found.update(zip(letters[k:k + 2000], self._letters(letters[k:k + 2000])))
         found.update(zip(rest, self._whole(rest)))
@@ -280,26 +335,31 @@ class Encoder:
             self.memo.update(found if not rest else {w: x for w, x in found.items() if len(w) < 100})
         return found
 
-    @staticmethod
-    def _blanks(text: str) -> list[str]:
-        """The text cut at blanks, A-Z lowered, a mark that ends a word apart.
-        What might spell a special token once lowered is left as it stands."""
-        if "<|" not in text:
-            text = _MARK.sub(r" \1", text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"))
-        return text.replace("\n", " ").split(" ")
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: pa.Array | list[str]) -> list[bytes]:
         if not self.apart:
-            return [x + self.end for x in self._whole(texts)]
-        split = [self._blanks(t) for t in texts]
-        get = self.memo.get
-        rows = [list(map(get, words)) for words in split]
-        open_ = [k for k, row in enumerate(rows) if None in row]
-        if open_:
-            found = self._learn({w for k in open_ for w, ids in zip(split[k], rows[k]) if ids is None})
-            for k in open_:
-                rows[k] = [found[w] if ids is None else ids for w, ids in zip(split[k], rows[k])]
-        return [b"".join(row) + self.end for row in rows]
+            return [x + self.end for x in self._whole(texts if isinstance(texts, list) else texts.to_pylist())]
+        texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+        words, first = split_words(texts)
+        coded = words.dictionary_encode()
+        code, different = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        ids = list(map(self.memo.get, different))
+        if None in ids:
+            found = self._learn({w for w, x in zip(different, ids) if x is None})
+            ids = [found[w] if x is None else x for w, x in zip(different, ids)]
+        # each text's words and the end id, laid side by side
+        code = np.insert(code, first[1:], len(ids))
+        ids.append(self.end)
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat, start = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
+        each = size[code]
+        ends = np.cumsum(each)
+        data = flat[np.repeat(start[code] - ends + each, each) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
+        stop = 4 * ends[first[1:] + np.arange(len(texts))]
+        return [data[i:j] for i, j in zip([0, *stop[:-1].tolist()], stop.tolist())]
+
+
+#: A worker's encoders: later tasks go on with their words.
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
 def _narrow(ids: bytes) -> bytes:
@@ -313,19 +373,23 @@ def _widen(ids: bytes) -> np.ndarray:
 
 
 def _encode_task(path: str, end_id: int):
-    encoder = Encoder(path, end_id)
+    if (path, end_id) not in _ENCODERS:
+        _ENCODERS[path, end_id] = Encoder(path, end_id)
+    encoder = _ENCODERS[path, end_id]
 
     def fn(batch):
-        texts = batch.column(1).to_pylist()
+        texts = batch.column(1).cast(pa.string())
+        sizes = pc.binary_length(texts).to_pylist()
         at = 0
         while at < len(texts):  # a bounded part of the batch, or one long text
             end, size = at, 0
-            while end < len(texts) and (end == at or size + len(texts[end]) < 1 << 20):
-                size += len(texts[end])
+            while end < len(texts) and (end == at or size + sizes[end] < 1 << 21):
+                size += sizes[end]
                 end += 1
-            ids = encoder.encode(texts[at:end])
+            part = texts.slice(at, end - at)
+            ids = encoder.encode(part)
             yield pa.record_batch([batch.column(0).slice(at, end - at), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                                   pa.array([zlib.crc32(t.encode("utf-8", "surrogatepass")) for t in texts[at:end]], pa.int64()),
+                                   pa.array([zlib.crc32(x.as_buffer()) for x in part], pa.int64()),
                                    pa.array([_narrow(x) for x in ids], pa.binary())], names=["doc_id", "n", "tie", "ids"])
             at = end
     return fn
@@ -401,8 +465,9 @@ def _read_task(use: Callable[[np.ndarray], tuple], schema: pa.Schema):
         for number, image in zip(batch.column(0).to_pylist(), batch.column(1)):
             file = File(image.as_buffer().to_pybytes())
             for low in range(0, file.n_docs, 1000):
-                rows = [(number, file.doc_ids[k], int(file.starts[k]), *use(file.document(k)))
-                        for k in range(low, min(low + 1000, file.n_docs))]
+                at = file.starts[low:low + 1001].tolist()
+                block = file.slice(at[0], at[-1])
+                rows = [(number, file.doc_ids[low + k], i, *use(block[i - at[0]:j - at[0]])) for k, (i, j) in enumerate(zip(at, at[1:]))]
                 yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
     return fn
 
