@@ -130,15 +130,15 @@ def test_documents_table(spark, library):
     assert D.write_and_read(docs.where(F.lit(False)), PATH).count() == 0
 
 
-def test_a_workers_words_serve_its_next_task_and_marks_stand_apart(library, monkeypatch):
-    """Words are learned once a worker, whatever marks follow them."""
-    monkeypatch.setattr(D, "_ENCODERS", {})
+def test_marks_stand_apart_from_their_word(library, monkeypatch):
+    """Words are learned once, whatever marks follow them."""
     learned, learn = [], D.Encoder._learn
     monkeypatch.setattr(D.Encoder, "_learn", lambda self, words: learned.extend(words) or learn(self, words))
     words = [f"quor{chr(97 + k % 26)}{chr(97 + k // 26)}é" for k in range(300)]
     texts = [" ".join(w + r for w in words) for r in ("", "...", "%%%", "!!", ")")] + ["", "x<|endoftext|>É... É*** İ.", "a× a÷! ñ. ß.,"]
     batch = pa.record_batch([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    run = D._encode_task(PATH, 2)
     for _ in range(2):
-        got = [x for out in D._encode_task(PATH, 2)(batch) for x in out.column("ids").to_pylist()]
+        got = [x for out in run(batch) for x in out.column("ids").to_pylist()]
         assert [D._widen(x).tolist() for x in got] == [library.encode(t, add_special_tokens=False).ids + [2] for t in texts]
     assert len(learned) == len(set(learned)) < 330

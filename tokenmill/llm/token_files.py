@@ -62,7 +62,7 @@ END_ID = 2
 FILE_IDS, TASK_IDS = 1 << 18, 1 << 22
 #: Bits between two entries of a rank directory.
 RANK_BITS = 512
-MEMO_BYTES = 128 << 20
+MEMO_BYTES = 64 << 20
 MAGIC, VERSION = b"DACS", 1
 _HEAD = struct.Struct("<4sIQQI")
 _LEVEL = struct.Struct("<IQQQQ")
@@ -341,7 +341,7 @@ class Encoder:
         texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
         words, first = split_words(texts)
         coded = words.dictionary_encode()
-        code, different = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        code, different = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         ids = list(map(self.memo.get, different))
         if None in ids:
             found = self._learn({w for w, x in zip(different, ids) if x is None})
@@ -349,17 +349,11 @@ class Encoder:
         # each text's words and the end id, laid side by side
         code = np.insert(code, first[1:], len(ids))
         ids.append(self.end)
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        flat, start = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
-        each = size[code]
-        ends = np.cumsum(each)
-        data = flat[np.repeat(start[code] - ends + each, each) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
-        stop = 4 * ends[first[1:] + np.arange(len(texts))]
-        return [data[i:j] for i, j in zip([0, *stop[:-1].tolist()], stop.tolist())]
-
-
-#: A worker's encoders: later tasks go on with their words.
-_ENCODERS: dict[tuple[str, int], Encoder] = {}
+        laid = pa.array(ids, pa.large_binary()).take(pa.array(code))
+        bounds = np.frombuffer(laid.buffers()[1], np.int64)[laid.offset:laid.offset + len(laid) + 1]
+        stop = bounds[first[1:] + np.arange(1, len(texts) + 1)].tolist()
+        data = laid.buffers()[2].to_pybytes() if stop else b""
+        return [data[i:j] for i, j in zip([0, *stop[:-1]], stop)]
 
 
 def _narrow(ids: bytes) -> bytes:
@@ -373,9 +367,7 @@ def _widen(ids: bytes) -> np.ndarray:
 
 
 def _encode_task(path: str, end_id: int):
-    if (path, end_id) not in _ENCODERS:
-        _ENCODERS[path, end_id] = Encoder(path, end_id)
-    encoder = _ENCODERS[path, end_id]
+    encoder = Encoder(path, end_id)
 
     def fn(batch):
         texts = batch.column(1).cast(pa.string())
