@@ -525,3 +525,51 @@ def test_components_of_chains_stars_and_random_links(spark):
     more = [(150, 1100), (9000, 9001), (9001, 4010), (6001, 6002), (1, 2)]
     got = extend(labels, table(more)).collect()
     assert {x.node: x.label for x in got} == plain(links + more) and len(got) == len({x.node for x in got})
+
+
+def test_buckets_meet_at_their_smallest_probing_member():
+    r = random.Random(3)
+    for size in (0, 1, 7, 400):
+        rows = [(r.randrange(40), r.randrange(-9, 9), r.random() < 0.2) for _ in range(size)]
+        want = Counter()
+        for low in {x[0] for x in rows}:
+            members = {x[1] for x in rows if x[0] == low}
+            probing = {x[1] for x in rows if x[0] == low and x[2]}
+            if len(members) > 1 and probing:
+                want.update((min(probing), m) for m in members)
+        got = jaccard_join._meet(*(np.array([x[k] for x in rows], t) for k, t in enumerate((np.uint32, np.int64, bool)))) if rows else ((), (), ())
+        assert {(int(c), int(m)): int(k) for c, m, k in zip(*got)} == want
+
+
+def test_small_groups_meet_without_their_tokens(spark, monkeypatch):
+    """Small groups that share segments but mostly do not link: few rows a
+    document are kept, and only sets of pairs that their sketches leave travel."""
+    r = random.Random(12)
+    texts = []
+    for g in range(40):
+        base = [f"g{g}w{k}" for k in range(120)]
+        for k in range(6):
+            w = list(base)
+            for at in r.sample(range(len(w)), (1, 1, 8, 8, 9, 10)[k]):
+                w[at] = f"x{r.randrange(10 ** 6)}"
+            texts.append(" ".join(w))
+    r.shuffle(texts)
+    rows, store = Counter(), jaccard_join.T.store
+
+    def counted(df, name):
+        out = store(df, name)
+        rows[name] += out.count()
+        return out
+    monkeypatch.setattr(jaccard_join.T, "store", counted)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x["doc_id"]: x["component_id"] for x in jaccard_join.near_duplicates(df).collect()}
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    root = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if root[a] != root[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                low, high = sorted((root[a], root[b]))
+                root = [low if x == high else x for x in root]
+    assert got == dict(enumerate(root)) and len(set(root)) < len(texts)
+    assert rows["rare-tokens"] + rows["shared-tokens"] < len(texts), rows
+    assert rows["members"] <= 4 * len(texts) and rows["star-pairs"] < len(texts) / 2, rows

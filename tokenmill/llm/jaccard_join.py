@@ -21,13 +21,19 @@ up to one deletion on either side for 2, not looked at for 0.
   1e-6 a document), it probes again under another seed, in a further run
   over all documents, until none is left.  No case is dropped.
 
-Signatures travel as packed blocks (4 bytes plus a 2-byte reference each) to
-the owner of their hash range; a task sends one entry for all equal sets it
-has read.  Owners return the members of buckets that hold two documents or
-more and a probe.  Pairs are never expanded inside a bucket: equal sets are
-one node (their class), and each bucket hands its members to one probing
-member, its center; the members of all buckets of a center are its cluster.
-
+Signatures travel as packed blocks (4 bytes plus a 2-byte reference each, and
+the sets' first fingerprints) to the owner of their hash range; a task sends one
+entry for all equal sets it has read.  Pairs are never expanded inside a bucket:
+equal sets are one node (their class), and each bucket that holds two of them or
+more and a probe hands its members to one probing member, its center; the
+members of all buckets of a center are its cluster.  Owners hold whole buckets
+and return (center, member) with the buckets shared, so buckets themselves are
+neither stored nor shuffled.  Classes that share a first fingerprint stand in
+each other's clusters, which only adds candidates.
+
+* Sketches: a pair whose parity sketches (:func:`parities`) differ in more bits
+  than a link's sets may in tokens is ruled out before its sets travel; sets of
+  no pair to verify stay where they are, behind a Bloom filter.
 * Stars: a center is verified against the members it shares two buckets or
   more with; similar ones are merged to components.
 * Hubs: of a cluster with ``HUB_MEMBERS`` or more in several components, the
@@ -37,14 +43,13 @@ member, its center; the members of all buckets of a center are its cluster.
   rounds take hubs from those outside the largest component, until a round
   connects few.
 * Rest: two members of a cluster can still be similar only if they lie in
-  different components, and then the rarest tokens of both (n - o + 1 of n,
-  for an intersection of o) share one.  Members of clusters that hold several
-  components meet by such a token, those of the token's largest component
-  only the others; a pair whose parity sketches (:func:`parities`) differ in
-  more bits than a link's sets may in tokens is ruled out where it meets, and
-  the other pairs found are verified.  Large groups of near
-  copies thus pay for the tokens that tell their members apart, not for their
-  pairs.
+  different components.  In clusters below ``HUB_MEMBERS`` such members meet by
+  their sketches.  In larger ones they must share one of the rarest tokens of
+  both (n - o + 1 of n, for an intersection of o): members of clusters that hold
+  several components meet by such a token, those of the token's largest
+  component only the others.  Pairs that their sketches leave are verified.
+  Large groups of near copies thus pay for the tokens that tell their members
+  apart, not for their pairs.
 
 Every link comes from a verification on the full sets; pairs not verified are
 ruled out by a bound or already connected, so components are exact.  Sets of
@@ -237,14 +242,14 @@ class Signer:
         return np.concatenate(out), np.concatenate(flags), short
 
 
-_BLOCK = pa.schema([("part", pa.int64()), ("ids", pa.binary()), ("low", pa.binary()), ("ref", pa.binary())])
-#: The part that carries ids of documents that must probe under a further seed.
+_BLOCK = pa.schema([("part", pa.int64()), ("sets", pa.binary()), ("low", pa.binary()), ("ref", pa.binary())])
+#: The part that carries sets (first fingerprints) that must probe under a further seed.
 SHORT = -1
 
 
 def _sign_task(cost, seed: int, n_parts: int, signer: type = Signer):
     signers = [signer(cost.value, k) for k in range(seed + 1)]
-    ids: list[int] = []
+    names: list[int] = []
     short: list[int] = []
     sigs: list[np.ndarray] = []
     flags: list[np.ndarray] = []
@@ -263,12 +268,12 @@ def _sign_task(cost, seed: int, n_parts: int, signer: type = Signer):
             order = np.argsort(part, kind="stable")
             part, sig, ref = part[order], sig[order].astype(np.uint32), ref[order]
             heads = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-            id_of = np.array(ids, np.int64)
+            name_of = np.array(names, np.int64)
             for a, b in zip(heads, np.append(heads[1:], len(part))):
                 docs, inverse = np.unique(ref[a:b] >> 1, return_inverse=True)
                 local = (inverse.astype(np.uint16) << 1) | (ref[a:b] & 1)
-                rows.append((int(part[a]), id_of[docs].tobytes(), sig[a:b].tobytes(), local.astype(np.uint16).tobytes()))
-        for x in (ids, short, sigs, flags):
+                rows.append((int(part[a]), name_of[docs].tobytes(), sig[a:b].tobytes(), local.astype(np.uint16).tobytes()))
+        for x in (names, short, sigs, flags):
             x.clear()
         held = 0
         if rows:
@@ -287,12 +292,12 @@ def _sign_task(cost, seed: int, n_parts: int, signer: type = Signer):
             probing = all(g.sign(s, True)[2] for g in signers[:-1])
             sig, flag, too_short = signers[-1].sign(s, probing)
             if too_short:
-                short.append(id_)
-            ids.append(id_)
+                short.append(f[0])
+            names.append(f[0])
             sigs.append(sig)
             flags.append(flag)
             held += len(sig)
-            if held >= PACK_ENTRIES or len(ids) >= PACK_DOCS - 1:
+            if held >= PACK_ENTRIES or len(names) >= PACK_DOCS - 1:
                 yield from emit()
         if len(seen) > 1 << 20:
             seen.clear()
@@ -301,7 +306,38 @@ def _sign_task(cost, seed: int, n_parts: int, signer: type = Signer):
     return fn
 
 
-_MEMBER = pa.schema([("bucket", pa.int64()), ("id", pa.int64()), ("probe", pa.bool_())])
+#: ``shared`` is 0 in the rows of sets that must probe again.
+_MEMBER = pa.schema([("center", pa.int64()), ("member", pa.int64()), ("shared", pa.int64())])
+
+
+def _heads(*sorted_: np.ndarray) -> np.ndarray:
+    """Where a new tuple of values begins."""
+    return np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([x[1:] != x[:-1] for x in sorted_])]))
+
+
+def _meet(low: np.ndarray, name: np.ndarray, probe: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(center, member, shared) of the buckets of equal ``low``: the center is
+    the smallest probing member; buckets of one member or without a probe give none."""
+    order = np.argsort(low, kind="stable")
+    size = np.diff(np.append(at := _heads(low[order]), len(low)))
+    order = order[np.repeat((size >= 2) & np.logical_or.reduceat(probe[order], at), size)]
+    if not len(order):
+        return (np.zeros(0, np.int64),) * 3
+    order = order[np.lexsort((name[order], low[order]))]
+    low, name, probe = low[order], name[order], probe[order]
+    at = _heads(low, name)  # copies from several tasks are one member
+    low, name, probe = low[at], name[at], np.logical_or.reduceat(probe, at)
+    at = _heads(low)
+    size = np.diff(np.append(at, len(low)))
+    first = np.minimum.reduceat(np.where(probe, np.arange(len(low)), len(low) - 1), at)
+    keep = np.repeat(size >= 2, size)
+    center, member = np.repeat(name[first], size)[keep], name[keep]
+    if not len(center):
+        return center, member, member
+    order = np.lexsort((member, center))
+    center, member = center[order], member[order]
+    at = _heads(center, member)
+    return center[at], member[at], np.diff(np.append(at, len(center)))
 
 
 def _owner_task():
@@ -312,21 +348,13 @@ def _owner_task():
             return
         if at == SHORT:
             short = np.concatenate([np.frombuffer(h[0], np.int64) for h in held])
-            yield pa.record_batch([pa.array(np.full(len(short), SHORT)), pa.array(short), pa.array(np.ones(len(short), bool))],
-                                  schema=_MEMBER)
+            yield pa.record_batch([pa.array(short), pa.array(short), pa.array(np.zeros(len(short), np.int64))], schema=_MEMBER)
         else:
-            low = np.concatenate([np.frombuffer(h[1], np.uint32) for h in held])
             ref = [np.frombuffer(h[2], np.uint16) for h in held]
-            id_ = np.concatenate([np.frombuffer(h[0], np.int64)[r >> 1] for h, r in zip(held, ref)])
-            probe = (np.concatenate(ref) & 1).astype(bool)
-            order = np.argsort(low, kind="stable")
-            low, id_, probe = low[order], id_[order], probe[order]
-            heads = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
-            size = np.diff(np.append(heads, len(low)))
-            good = (size >= 2) & np.logical_or.reduceat(probe, heads)
-            keep = np.repeat(good, size)
-            bucket = np.int64(at) << 32 | low[keep].astype(np.int64)
-            yield pa.record_batch([pa.array(bucket), pa.array(id_[keep]), pa.array(probe[keep])], schema=_MEMBER)
+            found = _meet(np.concatenate([np.frombuffer(h[1], np.uint32) for h in held]),
+                          np.concatenate([np.frombuffer(h[0], np.int64)[r >> 1] for h, r in zip(held, ref)]),
+                          (np.concatenate(ref) & 1).astype(bool))
+            yield pa.record_batch([pa.array(x) for x in found], schema=_MEMBER)
         held.clear()
 
     def fn(batch):
@@ -378,6 +406,17 @@ def _set_task(bloom, n_bits: int):
     return fn
 
 
+def _pick_task(bloom, n_bits: int):
+    """The rows of the filter's ids."""
+    def fn(batch):
+        one, two = _bloom_bits(batch.column(0).to_numpy(), n_bits)
+        bits = bloom.value
+        hit = bits[one] & bits[two]
+        if hit.any():
+            yield batch.filter(pa.array(hit))
+    return fn
+
+
 def _rare_task(cost):
     """(id, n, place, token): the n // 5 + 1 rarest tokens, by counter and hash."""
     def fn(batch):
@@ -488,20 +527,27 @@ def _docs(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, set) of the wanted ids, and of few others."""
-    wanted = T.store(wanted.distinct(), "set-ids")
+def _bloom(wanted: DataFrame):
+    """(broadcast filter, its bits) of different ids."""
     n_bits = 1 << min(26, max(16, (16 * wanted.count()).bit_length()))
     words = (T.map_arrow(wanted, lambda: _bloom_task(n_bits), "at long, word long")
              .groupBy("at").agg(F.bit_or("word").alias("word")).toPandas())
     packed = np.zeros(n_bits // 64, np.int64)
     packed[words["at"].to_numpy(np.int64)] = words["word"].to_numpy(np.int64)
-    bloom = docs.sparkSession.sparkContext.broadcast(np.unpackbits(packed.view(np.uint8)).astype(bool))
+    return wanted.sparkSession.sparkContext.broadcast(np.unpackbits(packed.view(np.uint8)).astype(bool)), n_bits
+
+
+def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, set) of the wanted ids, and of few others."""
+    bloom, n_bits = _bloom(T.store(wanted.distinct(), "set-ids"))
     return T.store(T.map_arrow(docs, lambda: _set_task(bloom, n_bits), "id long, set binary"), "sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are similar."""
+    """The pairs (a, b) whose sets are similar.  Only sets of some pair, and few others, travel."""
+    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    bloom, n_bits = _bloom(T.store(wanted, "pair-ids"))
+    sets = T.map_arrow(sets, lambda: _pick_task(bloom, n_bits), "id long, set binary")
     both = (pairs.join(sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
             .join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").select("a", "b", "x", "y"))
     return T.store(T.map_arrow(both, _verify_task, "a long, b long").distinct(), "links")
@@ -534,11 +580,11 @@ class Join:
         n_parts = max(64, -(-int(0.45 * tokens) // OWNER_ENTRIES))
         while True:
             blocks = T.map_arrow(docs, lambda seed=seed: _sign_task(shared, seed, n_parts, signer),
-                                 "part long, ids binary, low binary, ref binary")
+                                 "part long, sets binary, low binary, ref binary")
             owned = blocks.repartition("part").sortWithinPartitions("part")
-            found = T.store(T.map_arrow(owned, _owner_task, "bucket long, id long, probe boolean"), "buckets")
-            members.append(found.where(F.col("bucket") != SHORT).withColumn("seed", F.lit(seed)))
-            if found.where(F.col("bucket") == SHORT).isEmpty():
+            found = T.store(T.map_arrow(owned, _owner_task, "center long, member long, shared long"), "bucket-members")
+            members.append(found.where("shared > 0"))
+            if found.where("shared = 0").isEmpty():
                 break
             seed += 1
             if seed == MAX_SEEDS:
@@ -549,24 +595,21 @@ class Join:
         self._link(rows, docs, shared)
 
     def _link(self, rows: DataFrame, docs: DataFrame, shared) -> None:
-        reps = self.keys.join(self.classes, ["fp1", "fp2", "n"]).select("id", "rep", "n")
-        rows = rows.join(reps, "id").groupBy("seed", "bucket", "rep", "n").agg(F.max("probe").alias("probe"))
-        rows = T.store(rows, "bucket-members")
-        heart = (rows.groupBy("seed", "bucket")
-                 .agg(F.min(F.when(F.col("probe"), F.struct("rep", "n"))).alias("c"), F.count(F.lit(1)).alias("size"))
-                 .where("size > 1 and c is not null").select("seed", "bucket", F.col("c.rep").alias("center"), F.col("c.n").alias("cn")))
-        clusters = (rows.join(heart, ["seed", "bucket"]).groupBy("center", "cn", "rep", "n").agg(F.count(F.lit(1)).alias("shared")))
-        clusters = T.store(clusters, "clusters")
+        rows = T.store(rows.groupBy("center", "member").agg(F.sum("shared").alias("shared")), "members")
+        for end, rep, n in ("center", "c", "cn"), ("member", "rep", "n"):
+            rows = rows.join(self.classes.select(F.col("fp1").alias(end), F.col("rep").alias(rep), F.col("n").alias(n)), end).drop(end)
+        clusters = T.store(rows.withColumnRenamed("c", "center"), "clusters")
         sets = _sets(docs, clusters.select(F.col("rep").alias("id")))
+        sketches = T.map_arrow(sets, _sketch_task, "id long, sketch array<long>").withColumnRenamed("id", "rep")
+        sketches = T.store(sketches.distinct(), "sketches")
         star = (clusters.where((F.col("rep") != F.col("center")) & (F.col("shared") > 1) & _sizes_fit("n", "cn"))
+                .join(sketches, "rep").join(sketches.select(F.col("rep").alias("center"), F.col("sketch").alias("s2")), "center")
+                .where(_may_link("sketch", "s2", "n", "cn"))
                 .select(F.least("rep", "center").alias("a"), F.greatest("rep", "center").alias("b")).distinct())
         star = T.store(star, "star-pairs")
         links = _verified(star, sets)
         labels = components(links)
         at = self._open(clusters, labels)
-        sketches = T.map_arrow(sets.join(at.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"), _sketch_task,
-                               "id long, sketch array<long>")
-        sketches = T.store(sketches.withColumnRenamed("id", "rep").distinct(), "sketches")
         # Members of crowded clusters meet their hubs, until that connects few.
         others, more = "size", True
         while more:
@@ -581,8 +624,14 @@ class Join:
                 links, labels = links.unionByName(second), extend(labels, second)
                 at = self._open(clusters, labels)
             others, more = "outside", found >= max(HUB_MEMBERS, tried / 4)
-        # What is left: members of one cluster in different components that share a rare token.
-        at = T.store(at.groupBy("rep").agg(F.max("label").alias("label")), "open-members")
+        # What is left: members of one cluster in different components.  In small clusters they all meet.
+        small = T.store(at.where(F.col("size") < HUB_MEMBERS).select("center", "rep", "n", "label").join(sketches, "rep"), "small-clusters")
+        few = small.select("center", F.col("rep").alias("r2"), F.col("n").alias("n2"), F.col("label").alias("l2"), F.col("sketch").alias("s2"))
+        near = (small.join(few, "center")
+                .where((F.col("rep") < F.col("r2")) & (F.col("label") != F.col("l2")) & _sizes_fit("n", "n2") & _may_link("sketch", "s2", "n", "n2"))
+                .select(F.col("rep").alias("a"), F.col("r2").alias("b")))
+        # In the others they share a rare token.
+        at = T.store(at.where(F.col("size") >= HUB_MEMBERS).groupBy("rep").agg(F.max("label").alias("label")), "open-members")
         rare = T.map_arrow(sets.join(at.select(F.col("rep").alias("id")), "id", "left_semi"),
                            lambda: _rare_task(shared), "id long, n long, place long, token long")
         rare = T.store(at.join(rare.withColumnRenamed("id", "rep"), "rep"), "rare-tokens")
@@ -597,8 +646,8 @@ class Join:
                 .where((F.col("label") != F.col("l2")) & _sizes_fit("n", "n2")
                        & (F.col("place") <= F.col("n") - both + 1) & (F.col("p2") <= F.col("n2") - both + 1)
                        & _may_link("sketch", "s2", "n", "n2"))
-                .select(F.least("rep", "r2").alias("a"), F.greatest("rep", "r2").alias("b")).distinct()
-                .join(star, ["a", "b"], "left_anti"))
+                .select(F.least("rep", "r2").alias("a"), F.greatest("rep", "r2").alias("b"))
+                .union(near).distinct().join(star, ["a", "b"], "left_anti"))
         rest = T.store(rest, "rest-pairs")
         if not rest.isEmpty():
             second = _verified(rest, sets)
