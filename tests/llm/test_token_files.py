@@ -142,3 +142,28 @@ def test_marks_stand_apart_from_their_word(library, monkeypatch):
         got = [x for out in run(batch) for x in out.column("ids").to_pylist()]
         assert [D._widen(x).tolist() for x in got] == [library.encode(t, add_special_tokens=False).ids + [2] for t in texts]
     assert len(learned) == len(set(learned)) < 330
+
+
+@pytest.mark.parametrize("width", [*range(1, 21), 33])
+def test_packed_values_come_back_from_any_place(width):
+    r = random.Random(width)
+    for n in (0, 1, 7, 8, 9, 200):
+        values = np.array([r.getrandbits(width) for _ in range(n)], np.int64)
+        data = D.pack(values, width)
+        whole = sum(int(v) << (k * width) for k, v in enumerate(values))
+        assert data == whole.to_bytes(-(-n * width // 8), "little")
+        for _ in range(20):
+            i, j = sorted(r.randint(0, n) for _ in range(2))
+            assert D.unpack(memoryview(data), width, i, j).tolist() == values[i:j].tolist()
+
+
+def test_only_the_images_are_stored(spark, library, monkeypatch):
+    """Ids are written once, as images; the library's file is read once a process."""
+    names, store = [], tables.store
+    monkeypatch.setattr(tables, "store", lambda df, name: names.append(name) or store(df, name))
+    df = spark.createDataFrame([(k, f"word{k} " * 40) for k in range(300)], "doc_id long, text string")
+    files = D.write(df, PATH, file_ids=300, task_ids=1000)
+    assert names == ["token-files"]
+    want = plain([(r.doc_id, r.text) for r in df.collect()], library)
+    assert sorted(map(tuple, D.digests(files).collect())) == want
+    assert D.Encoder(PATH).tokenizer is D.Encoder(PATH).tokenizer

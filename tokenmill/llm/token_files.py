@@ -22,10 +22,11 @@ are rows of a Parquet table (file number, ids, documents, image): Spark's
 writer commits them whole and a lost executor's task runs again; any store
 that Spark reads will do.
 
-Documents go into the files in ascending id.  They are encoded once and the
-ids stored; a range partitioning of the stored ids orders them, each task
-packs its range into images of about ``FILE_IDS`` ids (a document is never
-cut), and two-level prefix sums over the images give the ids before each.
+Documents go into the files in ascending id.  A range partitioning of the texts
+orders them; each task encodes its range and packs it at once into images of
+about ``FILE_IDS`` ids (a document is never cut), so that no ids but the images
+are written or shuffled; two-level prefix sums over the images give the ids
+before each.
 Reading takes a file's documents one by one through the levels.
 
 The tokenizer's file is a parameter.  Where its pre-tokenizer cuts at white
@@ -47,6 +48,7 @@ import re
 import struct
 import zlib
 from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -58,8 +60,11 @@ from tokenmill.llm import tables as T
 from tokenmill.plans.ordinal import prefix_sums
 
 END_ID = 2
-#: Ids of a file, and of a task of the packing step.
+#: Ids of a file, and of a task, which takes texts of up to ``ID_BYTES`` for each.
 FILE_IDS, TASK_IDS = 1 << 18, 1 << 22
+ID_BYTES = 8
+#: Text that a task has at least, where the cores would take more tasks.
+LEAST_BYTES = 1 << 20
 #: Bits between two entries of a rank directory.
 RANK_BITS = 512
 MEMO_BYTES = 64 << 20
@@ -75,7 +80,7 @@ def widths(ids: np.ndarray, max_levels: int = 8) -> list[int]:
         return [1]
     need = np.frexp(ids.astype(np.float64))[1]  # bit length of each id, 0 for 0
     top = max(1, int(need.max()))
-    longer = np.array([(need > b).sum() for b in range(top + 1)])  # ids that have a bit b
+    longer = len(ids) - np.cumsum(np.bincount(need, minlength=top + 1))  # ids that have a bit b
     longer[0] = len(ids)
     extra = 1 + 64 / RANK_BITS
     # best[b]: bits of all levels from bit b on, and the first of their widths
@@ -96,19 +101,49 @@ def _room(width: int) -> int:
 
 def pack(values: np.ndarray, width: int) -> bytes:
     """``width`` bits of each value, lowest bit first."""
-    n = _room(width)
-    bits = np.unpackbits(values.astype(f"<u{n}").view(np.uint8).reshape(len(values), n), axis=1, bitorder="little")
-    return np.packbits(bits[:, :width].ravel(), bitorder="little").tobytes()
+    size = -(-len(values) * width // 8)
+    if width > 16:
+        n = _room(width)
+        bits = np.unpackbits(values.astype(f"<u{n}").view(np.uint8).reshape(len(values), n), axis=1, bitorder="little")
+        return np.packbits(bits[:, :width].ravel(), bitorder="little").tobytes()
+    # eight values fill ``width`` bytes: a word of four values each, or one of all
+    eights = np.zeros((-(-len(values) // 8), 8), np.uint64)
+    eights.ravel()[:len(values)] = values
+    eights &= np.uint64((1 << width) - 1)
+    words = np.zeros((len(eights), 2), "<u8")
+    half = 4 * width
+    for k in range(4):
+        words[:, 0] |= eights[:, k] << np.uint64(k * width)
+        words[:, 1] |= eights[:, k + 4] << np.uint64(k * width)
+    if half < 64:
+        words[:, 0] |= words[:, 1] << np.uint64(half)
+        words[:, 1] >>= np.uint64(64 - half)
+    return np.ascontiguousarray(words.view(np.uint8)[:, :width]).tobytes()[:size]
 
 
 def unpack(data: memoryview, width: int, i: int, j: int) -> np.ndarray:
     """Values i to j of :func:`pack`; only their bytes are looked at."""
-    low = i * width
-    bits = np.unpackbits(np.frombuffer(data[low // 8:-(-j * width // 8)], np.uint8), bitorder="little")
-    n = _room(width)
-    out = np.zeros((j - i, 8 * n), np.uint8)
-    out[:, :width] = bits[low % 8:low % 8 + (j - i) * width].reshape(j - i, width)
-    return np.packbits(out, axis=1, bitorder="little").view(f"<u{n}").ravel().astype(np.int64)
+    if width > 16:
+        low = i * width
+        bits = np.unpackbits(np.frombuffer(data[low // 8:-(-j * width // 8)], np.uint8), bitorder="little")
+        n = _room(width)
+        out = np.zeros((j - i, 8 * n), np.uint8)
+        out[:, :width] = bits[low % 8:low % 8 + (j - i) * width].reshape(j - i, width)
+        return np.packbits(out, axis=1, bitorder="little").view(f"<u{n}").ravel().astype(np.int64)
+    first, n = i // 8, -(-j // 8) - i // 8
+    part = np.frombuffer(data[first * width:min((first + n) * width, -(-j * width // 8))], np.uint8)
+    if len(part) < n * width:
+        part = np.concatenate([part, np.zeros(n * width - len(part), np.uint8)])
+    words = np.zeros((n, 16), np.uint8)
+    words[:, :width] = part.reshape(n, width)
+    words, half, mask = words.view("<u8"), 4 * width, np.uint64((1 << width) - 1)
+    low = words[:, 0]
+    high = words[:, 1] if half == 64 else low >> np.uint64(half) | words[:, 1] << np.uint64(64 - half)
+    out = np.empty((n, 8), np.int64)
+    for k in range(4):
+        out[:, k] = low >> np.uint64(k * width) & mask
+        out[:, k + 4] = high >> np.uint64(k * width) & mask
+    return out.ravel()[i - 8 * first:j - 8 * first]
 
 
 def build(docs: list[tuple[int | None, np.ndarray]]) -> bytes:
@@ -187,17 +222,19 @@ class File:
 
     def slice(self, i: int, j: int) -> np.ndarray:
         """Ids i to j: one slice of each level."""
-        out = np.zeros(j - i, np.int64)
-        at, shift = np.arange(j - i), 0
+        out, at, shift = np.zeros(j - i, np.int64), None, 0
         for width, _, chunks, bitmap, ranks in self.levels:
             if i == j:
                 break
-            out[at] |= unpack(chunks, width, i, j) << shift
+            if at is None:
+                out = unpack(chunks, width, i, j)
+            else:
+                out[at] |= unpack(chunks, width, i, j) << shift
             if not len(bitmap):
                 break
             bits = np.unpackbits(np.frombuffer(bitmap[i // 8:-(-j // 8)], np.uint8), bitorder="little")
-            more = bits[i % 8:i % 8 + j - i].astype(bool)
-            at = at[more]
+            more = np.flatnonzero(bits[i % 8:i % 8 + j - i])
+            at = more if at is None else at[more]
             i = self._rank(bitmap, ranks, i)
             j = i + len(at)
             shift += width
@@ -275,29 +312,39 @@ def split_words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return words, np.searchsorted(at, offs)
 
 
+@lru_cache(maxsize=1)
+def _library(path: str) -> tuple:
+    """(tokenizer, words apart, tokens that end a word, tokenizer of words of
+    letters, their lower case) of a file, kept for a worker's next tasks."""
+    import os
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer, pre_tokenizers
+    tokenizer = Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    apart = words_apart(spec)
+    suffix = spec["model"].get("end_of_word_suffix")
+    ends = np.zeros(tokenizer.get_vocab_size() + 1, bool)
+    if suffix:
+        ends[[i for t, i in tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
+    # words of composed letters: nothing to compose, replace or cut
+    by_letters, lower = tokenizer, str
+    if apart and letters_whole(spec):
+        # the model alone, unless an added token could stand among letters and blanks
+        apart_from_added = all(re.search(r"[^\w\s]", t["content"]) for t in spec.get("added_tokens", []))
+        by_letters = Tokenizer(tokenizer.model) if apart_from_added else Tokenizer.from_file(path)
+        by_letters.normalizer = None
+        by_letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(False, use_regex=False)])
+        if "Lowercase" in str(spec.get("normalizer")):
+            lower = str.lower
+    return tokenizer, apart, ends, by_letters, lower
+
+
 class Encoder:
     """Texts to ids (little-endian unsigned 32-bit bytes, the end id last)."""
 
     def __init__(self, path: str, end_id: int = END_ID, memo_bytes: int = MEMO_BYTES) -> None:
-        import os
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, pre_tokenizers
-        self.tokenizer = Tokenizer.from_file(path)
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        self.apart = words_apart(spec)
-        suffix = spec["model"].get("end_of_word_suffix")
-        self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
-        if suffix:
-            self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
-        # words of composed letters: nothing to compose, replace or cut
-        self.by_letters, self.lower = self.tokenizer, str
-        if self.apart and letters_whole(spec):
-            self.by_letters = Tokenizer.from_file(path)
-            self.by_letters.normalizer = None
-            self.by_letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(False, use_regex=False)])
-            if "Lowercase" in str(spec.get("normalizer")):
-                self.lower = str.lower
+        self.tokenizer, self.apart, self.ends, self.by_letters, self.lower = _library(path)
         self.end = np.array([end_id], "<u4").tobytes()
         # two generations: words met since the last turn, and those of the turn before
         self.memo: dict[str, bytes] = {}
@@ -380,9 +427,8 @@ def _encode_task(path: str, end_id: int):
                 end += 1
             part = texts.slice(at, end - at)
             ids = encoder.encode(part)
-            yield pa.record_batch([batch.column(0).slice(at, end - at), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                                   pa.array([zlib.crc32(x.as_buffer()) for x in part], pa.int64()),
-                                   pa.array([_narrow(x) for x in ids], pa.binary())], names=["doc_id", "n", "tie", "ids"])
+            yield pa.record_batch([batch.column(0).slice(at, end - at), pa.array([_narrow(x) for x in ids], pa.binary())],
+                                  names=["doc_id", "ids"])
             at = end
     return fn
 
@@ -417,6 +463,18 @@ def _pack_task(file_ids: int):
     return fn
 
 
+def _write_task(path: str, end_id: int, file_ids: int):
+    """Texts in order to images: a part is packed as soon as it is encoded."""
+    encode, pack_ = _encode_task(path, end_id), _pack_task(file_ids)
+
+    def fn(batch):
+        for part in encode(batch):
+            yield from pack_(part)
+
+    fn.end = pack_.end
+    return fn
+
+
 def write(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID,
           file_ids: int = FILE_IDS, task_ids: int = TASK_IDS) -> DataFrame:
     """Encode and write: the table of files (file, n, docs, image), in
@@ -424,17 +482,14 @@ def write(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "tex
     spark = T.ready(df.sparkSession)
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                      F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    encoded = T.map_arrow(rows, lambda: _encode_task(path, end_id), "doc_id long, n long, tie long, ids binary")
-    encoded = T.store(encoded.withColumn("row", F.monotonically_increasing_id()), "token-ids")
-    total = encoded.agg(F.sum("n")).first()[0] or 0
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(1, -(-size // (ID_BYTES * task_ids)), min(spark.sparkContext.defaultParallelism, size // LEAST_BYTES))
+    rows = rows.withColumn("tie", F.crc32("text")).withColumn("row", F.monotonically_increasing_id())
     order = [F.col("doc_id").asc_nulls_first(), F.col("tie"), F.col("row")]
-    parts = max(1, -(-total // task_ids))
-    if parts == 1:
-        ordered = encoded.coalesce(1)
-    else:
-        ordered = encoded.repartitionByRange(parts, *order)
-    ordered = ordered.sortWithinPartitions(*order).select("doc_id", "ids")
-    images = T.store(T.map_arrow(ordered, lambda: _pack_task(file_ids), "part int, seq int, n long, docs long, image binary"), "token-files")
+    ordered = rows.coalesce(1) if parts == 1 else rows.repartitionByRange(parts, *order)
+    ordered = ordered.sortWithinPartitions(*order).select("doc_id", "text")
+    images = T.store(T.map_arrow(ordered, lambda: _write_task(path, end_id, file_ids), "part int, seq int, n long, docs long, image binary"),
+                     "token-files")
     return images.select(_file_number().alias("file"), "n", "docs", "image")
 
 
